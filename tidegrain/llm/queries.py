@@ -22,5 +22,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import html
+
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import chat
+
+    probe = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_rows(rows.union(spark.createDataFrame(probe, "conv_id long, turn long, role string, text string"))))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op3_html": op3_html, "op8_chat": op8_chat}
 ORACLES: dict[str, str] = {}
