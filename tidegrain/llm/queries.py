@@ -36,5 +36,18 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_rows(rows.union(spark.createDataFrame(probe, "conv_id long, turn long, role string, text string"))))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_html": op3_html, "op8_chat": op8_chat}
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import ann
+
+    e = table(spark, sf_dir, "embeddings")
+    return ann.nearest(e, e.where("vec_id % 50 = 0"), k=5)
+
+
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import mix
+
+    return mix.taken(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_html": op3_html, "op5_mix": op5_mix, "op8_chat": op8_chat}
 ORACLES: dict[str, str] = {}
