@@ -49,5 +49,11 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_html": op3_html, "op5_mix": op5_mix, "op8_chat": op8_chat}
+def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import tokenfile
+
+    return tokenfile.read(tokenfile.write(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), end=1))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_html": op3_html, "op5_mix": op5_mix, "op7_tokenfile": op7_tokenfile, "op8_chat": op8_chat}
 ORACLES: dict[str, str] = {}
