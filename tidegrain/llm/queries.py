@@ -55,5 +55,17 @@ def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(tokenfile.write(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), end=1))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_html": op3_html, "op5_mix": op5_mix, "op7_tokenfile": op7_tokenfile, "op8_chat": op8_chat}
+def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import lattice
+
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import quality
+
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality)}
 ORACLES: dict[str, str] = {}
