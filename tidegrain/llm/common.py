@@ -86,9 +86,6 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-MULT = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 | 1 for i in range(64)], np.uint64)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads sums of products over all bits."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -96,6 +93,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: A multiplier for each position, without linear relations among them.
+MULT = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def grams(a: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the k-grams of a sequence of word hashes."""
     n = len(a) - k + 1

@@ -43,6 +43,12 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(e, e.where("vec_id % 50 = 0"), k=5)
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import jaccard
+
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidegrain.llm import mix
 
@@ -67,5 +73,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality)}
 ORACLES: dict[str, str] = {}
