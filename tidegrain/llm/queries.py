@@ -73,5 +73,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality)}
+def op10_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import fm
+
+    return fm.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality, op10_fm)}
 ORACLES: dict[str, str] = {}
