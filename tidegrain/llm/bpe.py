@@ -3,8 +3,8 @@
 The encoding of a string by rank-ordered merges has one property that the traversal rests on: the encoding of every
 prefix is the encoding of a shorter prefix plus one last token, and that token is the only vocabulary entry ending
 there which merging would leave standing beside the token before it. So the state of a trie node is its last token.
-Distinct words go into a byte trie; a depth-first walk gives every node its last token from the states above it, and
-words that share a prefix share its states.
+Distinct words go into a path-compressed byte trie, laid out as their sorted list; a depth-first walk gives every node
+its last token from the states above it, and words that share a prefix share its states.
 
 Nulls count as empty texts, which have no tokens. Texts of any length are encoded whole: a word longer than any token
 costs time in proportion to its length. Rows are mapped one by one, so repeated rows, ties and extra columns change
@@ -36,7 +36,7 @@ def byte_alphabet() -> dict[str, int]:
 class TrieBPE:
     """Encoder and decoder of one vocabulary file; both directions agree with the file's own library."""
 
-    WORD_LIMIT = 300_000
+    WORD_LIMIT = 600_000
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
@@ -57,22 +57,19 @@ class TrieBPE:
                 self.made[t], self.product[t] = r, (a, b)
         self.heads = {b[:n] for b in self.ids for n in range(1, len(b) + 1)}
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.size = {i: len(b) for i, b in self.bytes.items()}
+        self.beside: dict[int, bool] = {}
         self.word_ids: dict[str, tuple[int, ...]] = {}
         self.chunk_ids: dict[str, tuple[int, ...]] = {}
 
     # --- last-token states
 
     def stands(self, a: int, b: int) -> bool:
-        """Whether merging leaves tokens a and b apart when their strings stand side by side."""
-        key = (a, b)
-        if (known := self.beside.get(key)) is None:
-            known = self.beside[key] = self._stands(a, b)
-        return known
-
-    def _stands(self, a: int, b: int) -> bool:
-        # Undo merges beside the seam, latest first; a merge across the seam that ranks before one undone would have come first.
-        # At equal rank the left one of two overlapping merges wins.
+        """Whether merging leaves tokens a and b apart when their strings stand side by side.
+
+        Undoes the merges beside the seam, latest first: a merge across the seam that ranks before one undone would have
+        come first, and of two overlapping merges of one rank the left one does.
+        """
         made, parts, rank = self.made, self.product, self.rank
         until, tie = len(rank) + 1, False
         while True:
@@ -82,59 +79,50 @@ class TrieBPE:
             ra, rb = made.get(a, -1), made.get(b, -1)
             if ra < 0 and rb < 0:
                 return True
-            if ra > rb:
-                # the merge across the seam starts inside a, to the right of the merge that made a: it loses a tie
-                until, tie = ra, False
-                a = parts[a][1]
-            else:
-                # the merge across the seam starts left of the merge that made b: it wins a tie
-                until, tie = rb, True
-                b = parts[b][0]
-
-    def encode_words(self, words: set[str]) -> None:
-        """Adds the encodings of words to word_ids: inserts them into a trie and walks it depth first."""
-        root: dict = {}
-        for w in words:
-            node = root
-            for c in w.encode("utf-8", "surrogatepass"):
-                node = node.setdefault(c, {})
-            node[-1] = w
-        path, states, reaches = bytearray(), [0], [0]
-        stack = [iter(root.items())]
-        while stack:
-            step = next(stack[-1], None)
-            if step is None:
-                stack.pop()
-                if stack:
-                    path.pop(), states.pop(), reaches.pop()
-                continue
-            c, node = step
-            if c == -1:
-                out, n = [], len(path)
-                while n:
-                    out.append(states[n])
-                    n -= len(self.bytes[states[n]])
-                self.word_ids[node] = tuple(reversed(out))
-                continue
-            path.append(c)
-            t, reach = self.last_token(path, states, reaches[-1])
-            states.append(t)
-            reaches.append(reach)
-            stack.append(iter(node.items()))
-
-    def last_token(self, path: bytearray, states: list[int], reach: int) -> tuple[int, int]:
-        """The last token of path, from the last tokens of its prefixes, and the length of the longest tail that starts a token."""
-        n = len(path)
-        reach = min(reach + 1, n)
-        tail = bytes(path[n - reach :])
-        while len(tail) > 1 and tail not in self.heads:
-            tail = tail[1:]
-        reach = len(tail)
-        for size in range(reach, 0, -1):
-            t = self.ids.get(tail[reach - size :])
-            if t is not None and (size == n or self.stands(states[n - size], t)):
-                return t, reach
-        raise ValueError("the vocabulary lacks a byte")
+            if ra > rb:  # a merge across the seam starts right of the one that made a and loses a tie
+                until, tie, a = ra, False, parts[a][1]
+            else:  # it starts left of the one that made b and wins a tie
+                until, tie, b = rb, True, parts[b][0]
+
+    def encode_words(self, words: list[str]) -> None:
+        """Adds the encodings of words to word_ids.
+
+        The sorted words are the path-compressed trie in depth-first order: a word branches off the path to the word
+        before it where the two first differ, and only the edge below the branch gets new states. A state is the last
+        token of the path so far, with the length of the longest tail that begins some token.
+        """
+        ids, heads, beside, stands, out = self.ids, self.heads, self.beside, self.stands, self.word_ids
+        states, reaches, path = [0], [0], b""
+        for raw, word in sorted((w.encode("utf-8", "surrogatepass"), w) for w in words):
+            depth, most = 0, min(len(raw), len(path))
+            while depth < most and raw[depth] == path[depth]:
+                depth += 1
+            del states[depth + 1 :], reaches[depth + 1 :]
+            reach = reaches[depth]
+            for n in range(depth + 1, len(raw) + 1):
+                start = n - reach - 1
+                while raw[start:n] not in heads:
+                    start += 1
+                reach = n - start
+                while True:
+                    t = ids.get(raw[start:n])
+                    if t is not None:
+                        if not start:
+                            break
+                        key = states[start] << 20 | t
+                        ok = beside.get(key)
+                        if ok is None:
+                            ok = beside[key] = stands(states[start], t)
+                        if ok:
+                            break
+                    start += 1
+                states.append(t)
+                reaches.append(reach)
+            path, n, tokens, size = raw, len(raw), [], self.size
+            while n:
+                tokens.append(states[n])
+                n -= size[states[n]]
+            out[word] = tuple(reversed(tokens))
 
     # --- texts
 
@@ -152,37 +140,50 @@ class TrieBPE:
                 merged[-1] += " " + p
         return merged
 
-    def _learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: list[str]) -> None:
         if len(self.word_ids) > self.WORD_LIMIT:
             self.word_ids.clear()
-        split = {c: WORDS.findall(c) for c in chunks}
         known = self.word_ids
-        if new := {w for ws in split.values() for w in ws if w not in known}:
+        split = [WORDS.findall(c) for c in chunks]
+        if new := {w for ws in split for w in ws if w not in known}:
             self.encode_words(new)
-        for c, ws in split.items():
-            self.chunk_ids[c] = tuple(chain.from_iterable(map(self.word_ids.__getitem__, ws)))
+        for c, ws in zip(chunks, split, strict=True):
+            self.chunk_ids[c] = known[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(known.__getitem__, ws)))
 
-    def encode_plain(self, text: str) -> list[int]:
-        cs = self.chunks(text)
-        if cs == [""]:
-            return []
+    def encode_plain(self, texts: list[str]) -> list[list[int]]:
+        """Encodings of texts without special tokens; their unknown chunks go into one trie."""
+        own = [self.chunks(t) for t in texts]
         known = self.chunk_ids
-        if missing := {x for x in cs if x not in known}:
-            if len(self.chunk_ids) + len(missing) > self.WORD_LIMIT:
-                self.chunk_ids.clear()
-                missing = set(cs)
-            self._learn(missing)
-        return list(chain.from_iterable(map(self.chunk_ids.__getitem__, cs)))
+        if missing := {c for cs in own for c in cs if c not in known}:
+            if len(known) + len(missing) > self.WORD_LIMIT:
+                known.clear()
+                missing = {c for cs in own for c in cs}
+            self.learn(list(missing))
+        return [list(chain.from_iterable(map(known.__getitem__, cs))) for cs in own]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        if not self.cuts or not any(s in t for s in self.special for t in texts):
+            return self.encode_plain(texts)
+        out = []
+        for t in texts:
+            plain, marks = self.cuts.split(t), self.cuts.findall(t)
+            ids = self.encode_plain(plain)
+            out.append(list(chain(ids[0], *((self.special[m], *x) for m, x in zip(marks, ids[1:], strict=True)))))
+        return out
 
     def encode(self, text: str) -> list[int]:
-        if not self.cuts or not any(s in text for s in self.special):
-            return self.encode_plain(text)
-        out, at = [], 0
-        for m in self.cuts.finditer(text):
-            out += self.encode_plain(text[at : m.start()])
-            out.append(self.special[m[0]])
-            at = m.end()
-        return out + self.encode_plain(text[at:])
+        return self.encode_all([text])[0]
+
+    def stream(self, texts: list[str | None], room: int = 4_000_000):
+        """Encodings of texts, some million characters at a time; null counts as empty."""
+        some, size = [], 0
+        for t in texts:
+            some.append(t or "")
+            size += len(t or "")
+            if size > room:
+                yield from self.encode_all(some)
+                some, size = [], 0
+        yield from self.encode_all(some)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -204,7 +205,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         c = codec(path)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.encode(t or "") for t in b.column(1).to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(c.stream(b.column(1).to_pylist())), pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     d = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     return d.mapInArrow(run, "doc_id long, ids array<int>")
@@ -229,8 +230,7 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
         name = {i: str(i) for i in c.bytes}
         for b in batches:
             n, one, two = [], [], []
-            for t in b.column(1).to_pylist():
-                ids = c.encode(t or "")
+            for ids in c.stream(b.column(1).to_pylist()):
                 n.append(len(ids))
                 one.append(hashlib.sha256(",".join(map(name.__getitem__, ids)).encode()).hexdigest())
                 two.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())

@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegrain.llm.common import WordHash, docs_of, grams, save
 
@@ -305,22 +306,30 @@ def covered(n: int, late: list[int] | None) -> np.ndarray:
 
 
 def dedup(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, k, n_words, n_removed, text of every row: the kept words joined by one space, or the text as it was if none is removed."""
-    late = repeats(docs, heavy)
-    j = docs_of(docs).join(late, "k", "left").select("doc_id", "k", "text", "late")
+    """The columns of docs, and _n_words and _n_removed: texts are their kept words joined by one space, or as they were if
+    none is removed; n_chars, if there is such a column, follows the text."""
+    late = repeats(docs, heavy).select(F.col("k").alias("_fm_k"), F.col("late").alias("_fm_late"))
+    own = docs.withColumn("_fm_own", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
+    j = own.join(late, F.col("_fm_own") == F.col("_fm_k"), "left").select(*docs.columns, "_fm_late")
+    at, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    schema = docs.schema.jsonValue()
 
     def run(batches):
         for b in batches:
             n, gone, text = [], [], []
-            for t, x in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                words = t.encode("utf-8").split()
+            for t, x in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+                words = (t or "").encode("utf-8").split()
                 out = covered(len(words), x)
                 n.append(len(words))
                 gone.append(int(out.sum()))
                 text.append(b" ".join([w for w, o in zip(words, out.tolist(), strict=True) if not o]).decode("utf-8") if gone[-1] else t)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(text, pa.string())], names=["doc_id", "k", "n_words", "n_removed", "text"])
+            cols = b.columns[:-1]
+            cols[at] = pa.array(text, pa.string())
+            if chars is not None:
+                cols[chars] = pa.array([None if t is None and c is None else c if not g else len(t) for t, g, c in zip(text, gone, cols[chars].to_pylist(), strict=True)], pa.int64()).cast(cols[chars].type)
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*b.schema.names[:-1], "_n_words", "_n_removed"])
 
-    return j.mapInArrow(run, "doc_id long, k long, n_words long, n_removed long, text string")
+    return j.mapInArrow(run, StructType.fromJson(schema).add("_n_words", "long").add("_n_removed", "long"))
 
 
 def digest(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
@@ -328,7 +337,8 @@ def digest(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            sha = [hashlib.sha256(b" ".join(t.encode("utf-8").split())).hexdigest() for t in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(sha)], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+            sha = [hashlib.sha256(b" ".join((t or "").encode("utf-8").split())).hexdigest() for t in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return dedup(docs, heavy).select("doc_id", "n_words", "n_removed", "text").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return dedup(own, heavy).select("doc_id", "_n_words", "_n_removed", "text").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -260,13 +260,26 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, and k, kept (the row is its component's smallest id), of every row."""
+    """doc_id, n_shingles, component_id, and k (the row's name) and root (its component's, null without shingles), of every row."""
     named = save(named_sets(docs), "sets")
     edges = save(links(docs, named), "links")
     comp = components(edges).select(F.col("node").alias("sig"), "root")
     per = named.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(comp, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = per.groupBy("root").agg(F.min("least").alias("component_id"))
-    per = per.join(least, "root").select("sig", "component_id")
+    per = per.join(least, "root").select("sig", "root", "component_id")
     out = named.join(per, "sig", "left")
     comp_id = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp_id.alias("component_id"), "k")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), comp_id.alias("component_id"), "k", "root")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of each component, in all columns of docs: the smallest doc_id's (nulls last).
+
+    Rows without shingles stay; of rows that repeat an id and a text the least by their other columns stays.
+    """
+    j = join(docs)
+    best = j.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k")).alias("b")).select(F.col("b.k").alias("_jac_k"))
+    stay = best.union(j.where("root is null").select("k").distinct())
+    own = docs.withColumn("_jac_own", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
+    got = own.join(stay, F.col("_jac_own") == F.col("_jac_k")).groupBy("_jac_own").agg(F.min(F.struct(*docs.columns)).alias("_jac_doc"))
+    return got.select("_jac_doc.*")

@@ -30,10 +30,11 @@ def words(text: Column) -> Column:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and the shuffle key of every row."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"), F.col("text"))
+    """doc_id, source, size, the shuffle key and a 64-bit name (of id and text) of every row."""
+    id_, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
+    d = docs.select(id_.alias("doc_id"), F.col("source").cast("string").alias("source"), words(text).alias("size"), F.xxhash64(id_, text).alias("name"))
     key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
-    return d.select("doc_id", "source", "size", key.alias("h"), F.xxhash64("text").alias("th"))
+    return d.select("doc_id", "source", "size", key.alias("h"), "name")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -86,17 +87,17 @@ def streams(sizes: DataFrame, cells: int) -> DataFrame:
     """Each document's place [c0, c1) in its source's shuffled stream; hash ranges are summed apart, then put in a row."""
     d = sizes.withColumn("cell", F.floor(F.col("h") / F.lit(float(2**60)) * cells))
     per = d.groupBy("source", "cell").agg(F.sum("size").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    up = F.sum("size").over(Window.partitionBy("source", "cell").orderBy("h", "doc_id", "th").rowsBetween(Window.unboundedPreceding, 0))
-    d = d.withColumn("up", up).withColumn("row", F.row_number().over(Window.partitionBy("source", "cell").orderBy("h", "doc_id", "th")))
+    up = F.sum("size").over(Window.partitionBy("source", "cell").orderBy("h", "doc_id", "name").rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("up", up).withColumn("row", F.row_number().over(Window.partitionBy("source", "cell").orderBy("h", "doc_id", "name")))
     same = d["source"].eqNullSafe(per["source"]) & (d["cell"] == per["cell"])
     c1 = F.col("base") + F.col("up")
-    return d.join(per, same).select("doc_id", d["source"], "size", "h", "th", "row", (c1 - F.col("size")).alias("c0"), c1.alias("c1"))
+    return d.join(per, same).select("doc_id", d["source"], "size", "h", "name", "row", (c1 - F.col("size")).alias("c0"), c1.alias("c1"))
 
 
 def pieces(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
     """The mix: a row for each document that a taken block touches, with slot, epoch, and the words [w0, w1) that it gives.
 
-    Columns doc_id, th, row, source, size, source_size, target, epoch, slot, w0, w1. Documents that aren't taken have one
+    Columns doc_id, name, row, source, size, source_size, target, epoch, slot, w0, w1. Documents that aren't taken have one
     row with null slot and w0 = w1 = 0.
     """
     sizes = sized(docs)
@@ -110,13 +111,30 @@ def pieces(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
     cut = cut.withColumn("w0", F.greatest(F.lit(0), F.col("k") * F.col("block") - F.col("b0"))).withColumn("w1", F.least(F.col("size"), (F.col("k") + 1) * F.col("block") - F.col("b0")))
     plan = schedule(per, slots).select(F.col("source").alias("ps"), F.col("k").alias("pk"), "slot")
     got = cut.join(plan, F.col("source").eqNullSafe(F.col("ps")) & (F.col("k") == F.col("pk")), "inner")
-    names = ["doc_id", "th", "row", "source", "size", "source_size", "target", "epoch", "slot", "w0", "w1"]
-    rest = at.select("doc_id", "th", "row", "source", "size", "source_size", "target", F.lit(0).alias("epoch"), F.lit(None).cast("long").alias("slot"), F.lit(0).cast("long").alias("w0"), F.lit(0).cast("long").alias("w1"))
+    names = ["doc_id", "name", "row", "source", "size", "source_size", "target", "epoch", "slot", "w0", "w1"]
+    rest = at.select("doc_id", "name", "row", "source", "size", "source_size", "target", F.lit(0).alias("epoch"), F.lit(None).cast("long").alias("slot"), F.lit(0).cast("long").alias("w0"), F.lit(0).cast("long").alias("w1"))
     return got.select(*names).unionByName(rest)
 
 
 def taken(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
     """doc_id, size, source_size, target and taken (words the mix takes, repeats counted) of every row."""
     p = pieces(docs, slots, **goal)
-    out = p.groupBy("doc_id", "th", "source", "row", "size", "source_size", "target").agg(F.sum(F.col("w1") - F.col("w0")).alias("taken"))
+    out = p.groupBy("doc_id", "name", "source", "row", "size", "source_size", "target").agg(F.sum(F.col("w1") - F.col("w0")).alias("taken"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
+    """The mixed corpus in the columns of docs: a row for each time that a document is taken.
+
+    Where the last block of a source ends inside a document, that row's text is the words before the end, joined by one
+    space, and n_chars, if there is such a column, its length. Rows that repeat an id and a text stand for as many documents.
+    """
+    p = pieces(docs, slots, **goal).where("slot is not null")
+    takes = p.groupBy("name", "row", "epoch", "size").agg(F.min("w0").alias("w0"), F.max("w1").alias("w1")).select(*[F.col(c).alias(f"_mix_{c}") for c in ("name", "size", "w0", "w1")])
+    one = docs.groupBy(F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))).alias("_mix_own")).agg(F.min(F.struct(*docs.columns)).alias("_mix_doc"))
+    got = one.join(takes, F.col("_mix_own") == F.col("_mix_name"))
+    part = F.array_join(F.slice(F.regexp_extract_all(F.col("_mix_doc.text"), F.lit(WORD), F.lit(0)), (F.col("_mix_w0") + 1).cast("int"), (F.col("_mix_w1") - F.col("_mix_w0")).cast("int")), " ")
+    text = F.when(F.col("_mix_w1") - F.col("_mix_w0") == F.col("_mix_size"), F.col("_mix_doc.text")).otherwise(part)
+    out = got.withColumn("_mix_text", text)
+    made = {"text": F.col("_mix_text"), "n_chars": F.length("_mix_text").cast("long")}
+    return out.select(*[made.get(c, F.col(f"_mix_doc.`{c}`")).alias(c) for c in docs.columns])

@@ -198,22 +198,39 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     return fit(inputs(np.array([r[1] for r in own]), x).astype(np.float32), np.array([good[r[0]] for r in own]))
 
 
-def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5, keep_text: bool = False) -> DataFrame:
-    """doc_id, score (0 to 1, 1 is good) and kept of every row; k names the row's id and text."""
-    raw = weights.astype("<f8").tobytes()
+def scores(texts: list[str | None], r: Reader, w: np.ndarray) -> list[float]:
+    """0 to 1 for each text, 1 is good."""
+    out = []
+    for t in texts:
+        s, f = r.read(t or "")
+        out.append(float(1 / (1 + np.exp(-np.clip(inputs(s, f) @ w, -30, 30)))) if s[0] else 0.0)
+    return out
+
+
+def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataFrame:
+    """doc_id, score and kept of every row."""
 
     def run(batches):
-        r, w = Reader(), np.frombuffer(raw, "<f8")
+        r = Reader()
         for b in batches:
-            out = []
-            for t in b.column(2).to_pylist():
-                s, f = r.read(t)
-                out.append(float(1 / (1 + np.exp(-np.clip(inputs(s, f) @ w, -30, 30)))) if s[0] else 0.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.float64()), pa.array([x >= threshold for x in out], pa.bool_())], names=["doc_id", "k", "score", "kept"])
+            out = scores(b.column(1).to_pylist(), r, weights)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64()), pa.array([x >= threshold for x in out], pa.bool_())], names=["doc_id", "score", "kept"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, score double, kept boolean")
+
+
+def kept(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
+    """The rows of docs, in all their columns, that the classifier keeps."""
+    weights, at = train(docs, sample), docs.columns.index("text")
+
+    def run(batches):
+        r = Reader()
+        for b in batches:
+            yield b.filter(pa.array([x >= threshold for x in scores(b.column(at).to_pylist(), r, weights)], pa.bool_()))
 
-    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(run, "doc_id long, k long, score double, kept boolean")
+    return docs.mapInArrow(run, docs.schema)
 
 
 def classify(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
     """doc_id, score and kept of every row."""
-    return score(docs, train(docs, sample), threshold).select("doc_id", "score", "kept")
+    return score(docs, train(docs, sample), threshold)

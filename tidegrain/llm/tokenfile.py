@@ -301,13 +301,23 @@ class Encoder:
         return self.encode_all([text])[0]
 
 
+_HELD: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder, with what it has learnt, for each Python worker and file."""
+    if path not in _HELD:
+        _HELD[path] = Encoder(path)
+    return _HELD[path]
+
+
 def write(docs: DataFrame, path: str, end: int = 1) -> DataFrame:
     """Writes the files of docs (doc_id, text) and returns them as (part, seq, n_ids, payload); path: the vocabulary file."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        enc, part, seq = Encoder(path), TaskContext.get().partitionId(), 0
+        enc, part, seq = encoder(path), TaskContext.get().partitionId(), 0
         stop = np.array([end], "<u4").tobytes()
         ids, data, size = [], [], 0
 
