@@ -6,12 +6,16 @@ prefixes (as many first elements as can be missing, plus one), and two elements
   * Large sets, and small ones near the boundary, go into inverted lists, one per element of the prefix.
   * The boundary is where enumerating subsets costs more rows than posting to lists and scanning them, summed over the
     sizes that occur.
-Lists of up to LIGHT sets give all their pairs of fitting sizes. Elements with longer lists (passages that many texts
-share) move to the end of the global order, the longest first and at most DEMOTED of them, and the sets that had one in
-their prefix are posted anew. Lists that are long even then (groups of near copies) never give all pairs: each set is
-compared with the list's first, and by the triangle inequality of the Jaccard distance only those that aren't linked to
-it are compared further, with one another and with linked ones far enough from it. So no link that changes a component
-is lost, and no group is expanded.
+The global order puts elements that many sets hold (passages that many texts share) last: each task counts the
+elements of its own sets, and the DEMOTED ones with the largest sums of counts over two follow all others. Any one
+order gives the same result; this one keeps unlike texts from meeting.
+
+Lists of up to LIGHT sets give all their pairs of fitting sizes. Longer lists (groups of near copies) never do: all are
+compared with the member whose elements the most others share, then with the first of those that are in another
+component still; only pairs across components go on, and of these only the ones that the triangle inequality of the
+Jaccard distance doesn't rule out. So no link that changes a component is lost, and no group is expanded. Before two texts are compared, their sketches are: the elements whose hash
+lies in the lowest quarter, as 32 bits each. Two similar sets differ in a ninth of their sizes' sum at most, so a pair
+whose sketches alone differ more is none.
 
 Sets are compared as 64-bit hashes of whole shingles (two shingles of a pair collide once in 2^64). Words are
 [^\\x20\\x09-\\x0D]+ after lower-casing A-Z; a text of fewer than five words is one shingle; an empty or null text has no
@@ -31,8 +35,9 @@ from pyspark.sql import functions as F
 
 from tidegrain.llm.common import LOWER, WordHash, components, docs_of, grams, save
 
-WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 24, 2**17, 128
-SEEN = 1_000_000
+WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
+SEEN, COUNTED = 1_000_000, 3_000_000  # names and prefix elements that a task holds
+LOWEST = np.uint64(2**62)  # sketches hold the hashes below
 
 
 def shingles(text: bytes, h: WordHash, k: int = WORDS) -> np.ndarray:
@@ -72,24 +77,47 @@ def choose_boundary(sizes: dict[int, int], scan: float = 1.0, most: int = 200) -
 
 
 def named_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, k, sig (the set's name; null for no shingles) and n of every row."""
+    """doc_id, k, sig (the set's name; null for no shingles), n and sketch of every row; and rows with a null n, in which
+    sig is an element that k sets (three or more) of one task share."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["doc_id", "k", "sig", "n", "sketch"]
 
     def run(batches):
-        h = WordHash()
+        h, seen, held, room = WordHash(), set(), [], 0
+
+        def often():
+            key, c = np.unique(np.concatenate(held), return_counts=True)
+            key, c = key[c > 2], c[c > 2]
+            none = [None] * len(key)
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((none, c, key.view(np.int64), none, none), kinds, strict=True)], names=names)
+
         for b in batches:
-            sig, n = [], []
+            sig, n, sketch = [], [], []
             for t in b.column(2).cast(pa.binary()).to_pylist():
                 s = shingles(t, h)
                 sig.append(name(s) if len(s) else None)
                 n.append(len(s))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "k", "sig", "n"])
-
-    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(run, "doc_id long, k long, sig long, n long")
-
-
-def postings(docs: DataFrame, boundary: int, last: np.ndarray | None) -> DataFrame:
-    """Rows (key, sig, n). Without ``last``: subsets of small sets and prefixes of large ones. With it (sorted keys that move
-    to the end of the order): new prefixes of the sets whose prefix held one. Keys of single elements are odd."""
+                first = not len(s) or sig[-1] not in seen
+                sketch.append((s[: np.searchsorted(s, LOWEST)] >> np.uint64(30)).astype("<u4").tobytes() if first else None)
+                if first and len(s):
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(sig[-1])
+                    held.append(s | np.uint64(1))
+                    room += len(s)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, t) for x, t in zip((sig, n, sketch), kinds[2:], strict=True))], names=names)
+            if room > COUNTED:
+                yield often()
+                held, room = [], 0
+        if held:
+            yield often()
+
+    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(run, "doc_id long, k long, sig long, n long, sketch binary")
+
+
+def postings(docs: DataFrame, boundary: int, last: np.ndarray) -> DataFrame:
+    """Rows (key, sig, nr): subsets of small sets (even keys) and prefixes of large ones (odd keys). last: sorted odd keys of
+    the elements that come last in the order. nr: the set's size, shifted by 32 bits, and the element's rank in it."""
 
     def run(batches):
         h, seen = WordHash(), set()
@@ -107,51 +135,53 @@ def postings(docs: DataFrame, boundary: int, last: np.ndarray | None) -> DataFra
                     seen.clear()
                 seen.add(sig)
                 p, single = n - need(n) + 1, n > boundary or 100 * n >= LEAST * (boundary + 1)
-                parts = []
-                if last is None:
-                    if n <= boundary:
-                        i, j = np.triu_indices(p + 1, 1)
-                        parts.append((s[i] * np.uint64(0x9E3779B97F4A7C15) + s[j] * np.uint64(0xC2B2AE3D27D4EB4F)) & ~np.uint64(1))
-                    if single:
-                        parts.append(s[:p] | np.uint64(1))
-                elif single:
+                if len(last):
                     odd = (s | np.uint64(1)).view(np.int64)
-                    at = np.searchsorted(last, odd)
-                    late = last[np.minimum(at, len(last) - 1)] == odd
-                    if late[:p].any():
-                        parts.append(s[np.argsort(late, kind="stable")[:p]] | np.uint64(1))
-                for x in parts:
+                    s = s[np.argsort(last[np.minimum(np.searchsorted(last, odd), len(last) - 1)] == odd, kind="stable")[: p + 1]]
+                parts = []
+                if n <= boundary:
+                    i, j = np.triu_indices(p + 1, 1)
+                    lo, hi = np.minimum(s[i], s[j]), np.maximum(s[i], s[j])
+                    parts.append(((lo * np.uint64(0x9E3779B97F4A7C15) + hi * np.uint64(0xC2B2AE3D27D4EB4F)) & ~np.uint64(1), 0))
+                if single:
+                    parts.append((s[:p] | np.uint64(1), np.arange(p)))
+                for x, r in parts:
                     keys.append(x)
                     sigs.append(np.full(len(x), sig, np.int64))
-                    sizes.append(np.full(len(x), n, np.int64))
+                    sizes.append(np.full(len(x), n << 32, np.int64) + r)
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes))], names=["key", "sig", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes))], names=["key", "sig", "nr"])
 
-    return docs_of(docs).select("text").mapInArrow(run, "key long, sig long, n long")
+    return docs_of(docs).select("text").mapInArrow(run, "key long, sig long, nr long")
 
 
 def scan_lists(post: DataFrame, light: int = LIGHT) -> DataFrame:
-    """Rows (key, a, b, n): pairs a < b of light lists (key null), and the members a, n of longer ones (b null)."""
+    """Rows (key, a, b, nr): pairs a < b of light lists (key null), and the members a, nr of longer ones (b null).
 
-    def out(key, a, b, n):
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, a, b, n)], names=["key", "a", "b", "n"])
+    Pairs must fit by size, and by rank: what precedes the first element that two sets share is in one of them only, so
+    the ranks of that element add up to a ninth of the sizes' sum at most.
+    """
 
-    def pairs(key, sig, n):
-        """All pairs of fitting sizes of lists that end here, and the members of long lists."""
+    def out(key, a, b, nr):
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, a, b, nr)], names=["key", "a", "b", "nr"])
+
+    def pairs(key, sig, nr):
+        """All fitting pairs of whole lists, and the members of long ones."""
         edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
         size = np.repeat(np.diff(edge), np.diff(edge))
         big = size > light
         if big.any():
-            yield out(key[big], sig[big], [None] * int(big.sum()), n[big])
+            yield out(key[big], sig[big], [None] * int(big.sum()), nr[big])
         keep = (size > 1) & ~big
-        key, sig, n = key[keep], sig[keep], n[keep]
+        key, sig, n, r = key[keep], sig[keep], nr[keep] >> 32, nr[keep] & 0xFFFFFFFF
         a, b = [], []
         for d in range(1, light):
             if len(key) <= d:
                 break
-            i = np.flatnonzero((key[:-d] == key[d:]) & (100 * np.minimum(n[:-d], n[d:]) >= LEAST * np.maximum(n[:-d], n[d:])))
-            if not len(i) and not (key[:-d] == key[d:]).any():
+            same = key[:-d] == key[d:]
+            if not same.any():
                 break
+            i = np.flatnonzero(same & (100 * np.minimum(n[:-d], n[d:]) >= LEAST * np.maximum(n[:-d], n[d:])) & (9 * (r[:-d] + r[d:]) <= n[:-d] + n[d:]))
             a.append(sig[i])
             b.append(sig[i + d])
         if a:
@@ -163,14 +193,14 @@ def scan_lists(post: DataFrame, light: int = LIGHT) -> DataFrame:
         held, long = (np.zeros(0, np.int64),) * 3, None  # the list that the last rows belong to; its key if it is known to be long
         for b in batches:
             now = tuple(np.concatenate([x, b.column(i).to_numpy()]) for i, x in enumerate(held))
-            key, sig, n = now
+            key, sig, nr = now
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])])  # copies of other tasks
-            key, sig, n = key[new], sig[new], n[new]
+            key, sig, nr = key[new], sig[new], nr[new]
             if long is not None:
                 own = key == long
                 if own.any():
-                    yield out(key[own], sig[own], [None] * int(own.sum()), n[own])
-                    key, sig, n = key[~own], sig[~own], n[~own]
+                    yield out(key[own], sig[own], [None] * int(own.sum()), nr[own])
+                    key, sig, nr = key[~own], sig[~own], nr[~own]
                 if len(key):
                     long = None
             if not len(key):
@@ -178,15 +208,15 @@ def scan_lists(post: DataFrame, light: int = LIGHT) -> DataFrame:
                 continue
             cut = int(np.searchsorted(key, key[-1]))
             if cut:
-                yield from pairs(key[:cut], sig[:cut], n[:cut])
-            held = key[cut:], sig[cut:], n[cut:]
+                yield from pairs(key[:cut], sig[:cut], nr[:cut])
+            held = key[cut:], sig[cut:], nr[cut:]
             if len(held[0]) > light:
                 yield out(held[0], held[1], [None] * len(held[0]), held[2])
                 long, held = int(key[-1]), (np.zeros(0, np.int64),) * 3
         if len(held[0]):
             yield from pairs(*held)
 
-    return post.repartition("key").sortWithinPartitions("key", "sig").mapInArrow(run, "key long, a long, b long, n long")
+    return post.repartition("key").sortWithinPartitions("key", "sig").mapInArrow(run, "key long, a long, b long, nr long")
 
 
 def compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -221,48 +251,91 @@ def compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     return dealt.select("a", "b", "text").mapInArrow(run, "a long, b long, inter long, total long")
 
 
+def prune(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows (a, b, differ, size): pairs with the elements in which their sketches differ and the sum of their sizes."""
+    one = sketches.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    two = sketches.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+
+    def run(batches):
+        for x in batches:
+            out = []
+            for sa, sb in zip(x.column(3).to_pylist(), x.column(4).to_pylist(), strict=True):
+                p, q = np.frombuffer(sa, "<u4"), np.frombuffer(sb, "<u4")
+                both = np.concatenate([p, q])
+                both.sort()
+                out.append(len(both) - 2 * int((both[1:] == both[:-1]).sum()))
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(out, pa.int64()), x.column(2)], names=["a", "b", "differ", "size"])
+
+    j = pairs.join(one, "a").join(two, "b").select("a", "b", (F.col("na") + F.col("nb")).alias("size"), "sa", "sb")
+    return j.mapInArrow(run, "a long, b long, differ long, size long")
+
+
+def least_first(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     """Rows (a, b) of names of similar sets that span every component of the similarity graph."""
-    sizes = {r[0]: r[1] for r in named.where("n > 0").groupBy(F.least("n", F.lit(256)).cast("int")).agg(F.countDistinct("sig")).collect()}
-    reps = named.where("n > 0").groupBy("sig").agg(F.min("k").alias("rep_k"), F.first("n").alias("n"))
-    boundary = choose_boundary(sizes)
-    lists = save(scan_lists(postings(docs, boundary, None)), "lists")
-    long = lists.where("key is not null")
-    # the longest lists of single elements; a bounded number of 64-bit keys
-    top = [r[0] for r in long.where("key % 2 <> 0").groupBy("key").count().orderBy(F.desc("count"), "key").limit(DEMOTED).collect()]
-    pairs = lists.where("key is null").select("a", "b")
-    stars = long
-    if top:
-        last = np.sort(np.array(top, np.int64))
-        again = save(scan_lists(postings(docs, boundary, last)), "lists")
-        demoted = lists.sparkSession.createDataFrame([(x,) for x in last.tolist()], "key long")
-        pairs = pairs.union(again.where("key is null").select("a", "b"))
-        stars = long.join(demoted, "key", "left_anti").union(again.where("key is not null"))
-    stars = stars.select("key", F.col("a").alias("sig"), "n")
-    lead = stars.groupBy("key").agg(F.min("sig").alias("lead"))
-    stars = stars.join(lead, "key")
-    spokes = stars.where("sig <> lead").select(F.col("lead").alias("a"), F.col("sig").alias("b")).distinct()
-    seen = save(compare(pairs.distinct().unionByName(spokes).distinct(), docs, reps), "compared")
+    sizes = {r[0]: r[1] for r in named.where("n > 0").groupBy(F.least("n", F.lit(256)).cast("int")).agg(F.count("*")).collect()}
+    reps = named.where("n > 0").groupBy("sig").agg(F.min("k").alias("rep_k"))
+    sketches = named.where("n > 0 and sketch is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # a bounded number of 64-bit keys
+    often = named.where("n is null").groupBy("sig").agg(F.sum("k").alias("c")).orderBy(F.desc("c"), "sig").limit(DEMOTED).collect()
+    last = np.sort(np.array([r[0] for r in often], np.int64))
+    lists = save(scan_lists(postings(docs, choose_boundary(sizes), last)), "lists")
+    near = F.col("differ") * 9 <= F.col("size")
     similar = F.col("inter") * 100 >= F.col("total") * LEAST
-    out = seen.where(similar).select("a", "b")
-    # long lists: who isn't linked to the first of its list
-    far = seen.select(F.col("a").alias("lead"), F.col("b").alias("sig"), (1 - F.col("inter") / F.col("total")).alias("d"), (~similar).alias("rest"))
-    placed = stars.where("sig <> lead").join(far, ["lead", "sig"])
-    rest = save(placed.where("rest").select("key", "sig", "n", "d"), "rest")
-    if rest.isEmpty():
+
+    def tried(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What sketches and texts say of pairs, and the links."""
+        sketch = save(prune(least_first(pairs), sketches), "pruned")
+        exact = save(compare(sketch.where(near).select("a", "b"), docs, reps), "compared")
+        return sketch, exact, exact.where(similar).select("a", "b")
+
+    # members of long lists; the one whose elements the most others share stands for the list
+    stars = lists.where("key is not null").select("key", F.col("a").alias("sig"), F.shiftright("nr", 32).alias("n"), F.col("nr").bitwiseAND(0xFFFFFFFF).alias("r"))
+    score = stars.join(stars.groupBy("key").agg(F.count("*").alias("len")), "key").groupBy("sig").agg(F.sum("len").alias("score"))
+    stars = save(stars.join(score, "sig"), "stars")
+    lead = stars.groupBy("key").agg(F.max(F.struct("score", "sig"))["sig"].alias("lead"))
+    stars = stars.join(lead, "key")
+    spokes = stars.where("sig <> lead").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
+    sketch, exact, out = tried(lists.where("key is null").select("a", "b").union(spokes))
+    if stars.isEmpty():
         return out
-    other = placed.select("key", F.col("sig").alias("sig2"), F.col("n").alias("n2"), F.col("d").alias("d2"), F.col("rest").alias("rest2"))
-    fits = (100 * F.least("n", "n2") >= LEAST * F.greatest("n", "n2")) & (F.col("sig") != F.col("sig2")) & (F.abs(F.col("d") - F.col("d2")) <= 1 - LEAST / 100 + 1e-9)
-    more = rest.join(other, "key").where(fits).select(F.least("sig", "sig2").alias("a"), F.greatest("sig", "sig2").alias("b")).distinct()
-    known = seen.select("a", "b").union(seen.select("b", "a"))
-    more = save(more.join(known, ["a", "b"], "left_anti"), "more")
-    return out.union(compare(more, docs, reps).where(similar).select("a", "b"))
+
+    def placed(edges: DataFrame) -> DataFrame:
+        """Members with their components and that of their list's first."""
+        c = save(components(edges), "parts")
+        of = lambda col, name: c.select(F.col("node").alias(col), F.col("root").alias(name))
+        p = stars.join(of("sig", "root"), "sig", "left").join(of("lead", "lead_root"), "lead", "left")
+        return p.withColumn("root", F.coalesce("root", "sig")).withColumn("lead_root", F.coalesce("lead_root", "lead"))
+
+    # a second one for lists whose members aren't all in the first one's component
+    p = placed(out)
+    lead2 = p.where("root <> lead_root").groupBy("key").agg(F.max(F.struct("score", "sig", "root")).alias("x")).select("key", F.col("x.sig").alias("a"), F.col("x.root").alias("root_a"))
+    known = sketch.select("a", "b")
+    again = least_first(p.join(lead2, "key").where("root <> root_a").select("a", F.col("sig").alias("b"))).join(known, ["a", "b"], "left_anti")
+    sketch2, _, out2 = tried(again)
+    out = out.union(out2)
+    # what is left: pairs across components, unless their distances to the list's first rule a link out
+    p = placed(out)
+    lower = F.least(F.lit(1.0), F.col("differ") * 2 / (F.col("size") + F.col("differ")))
+    told = sketch.join(exact, ["a", "b"], "left").select("a", "b", F.coalesce(1 - F.col("inter") / F.col("total"), lower).alias("d"), F.col("inter").isNotNull().alias("sure"))
+    p = p.where("sig <> lead").withColumn("a", F.least("lead", "sig")).withColumn("b", F.greatest("lead", "sig")).join(told, ["a", "b"]).select("key", "sig", "n", "r", "root", "lead_root", "d", "sure")
+    away = save(p.where("root <> lead_root").drop("lead_root"), "away")
+    other = p.select("key", *[F.col(c).alias(f"{c}_") for c in ("sig", "n", "r", "root", "d", "sure")])
+    far, slack = F.lit(1 - LEAST / 100 + 1e-9), F.least("n", "n_") * 100 >= F.greatest("n", "n_") * LEAST
+    fits = slack & ((F.col("r") + F.col("r_")) * 9 <= F.col("n") + F.col("n_")) & (F.col("root") != F.col("root_")) & (~F.col("sure_") | (F.col("d") <= F.col("d_") + far)) & (~F.col("sure") | (F.col("d_") <= F.col("d") + far))
+    more = least_first(away.join(other, "key").where(fits).select(F.col("sig").alias("a"), F.col("sig_").alias("b")))
+    more = more.join(known.union(sketch2.select("a", "b")), ["a", "b"], "left_anti")
+    return out.union(tried(more)[2])
 
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, and k (the row's name) and root (its component's, null without shingles), of every row."""
-    named = save(named_sets(docs), "sets")
-    edges = save(links(docs, named), "links")
+    told = save(named_sets(docs), "sets")
+    edges = save(links(docs, told), "links")
+    named = told.where("n is not null").drop("sketch")
     comp = components(edges).select(F.col("node").alias("sig"), "root")
     per = named.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(comp, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = per.groupBy("root").agg(F.min("least").alias("component_id"))
