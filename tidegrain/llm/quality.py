@@ -33,47 +33,58 @@ ODD = frozenset(b"#$%&*+<=>@[\\]^_`{|}~")
 class Reader:
     """Statistics and hashed features of texts; what depends on a word alone is held per word, up to a limit."""
 
-    LIMIT = 300_000
+    LIMIT = 800_000
 
     def __init__(self):
         self.held: dict[bytes, tuple] = {}
+        self.kinds: dict[tuple, tuple] = {}  # words alike share one entry
 
     def word(self, w: bytes) -> tuple:
         """(capitals, letters, odd signs, ends a sentence, doubled end sign, shape's feature)"""
-        t = w.decode("utf-8", "replace")
-        letters = sum(map(str.isalpha, t))
-        caps = sum(map(str.isupper, t))
-        odd = sum(c in ODD for c in w)
-        tail = t[-1:] if not t[-1:].isalnum() else ""
-        doubled = len(t) > 1 and t[-1] == t[-2] and not t[-1].isalnum()
-        kind = "A" if letters and caps == letters and letters > 1 else "a" if letters and not caps else "Aa" if letters and t[:1].isupper() and caps == 1 else "mix" if letters else "0" if t.isdigit() else "-"
-        shape = f"{kind} {min(len(t), 24) // 4} {tail}{'x' if doubled else ''} {min(odd, 3)}"
-        return caps, letters, odd, t[-1:] in ".?!;:", doubled, xxhash.xxh3_64_intdigest(shape) >> (64 - BITS)
+        core = w[:-1] if w[-1:] in (b".", b",") else w
+        if core.isalpha() and core.islower():  # most words: plain letters, perhaps a comma or full stop
+            key = (0, len(core), 0, w[len(core) :] == b".", False, "a", len(w), w[len(core) :].decode())
+        else:
+            t = w.decode("utf-8", "replace")
+            letters, caps, odd = sum(map(str.isalpha, t)), sum(map(str.isupper, t)), sum(c in ODD for c in w)
+            tail = t[-1:] if not t[-1:].isalnum() else ""
+            doubled = len(t) > 1 and t[-1] == t[-2] and not t[-1].isalnum()
+            kind = "A" if letters and caps == letters and letters > 1 else "a" if letters and not caps else "Aa" if letters and t[:1].isupper() and caps == 1 else "mix" if letters else "0" if t.isdigit() else "-"
+            key = (caps, letters, odd, t[-1:] in (".", "?", "!", ";", ":"), doubled, kind, len(t), tail)
+        if key not in self.kinds:
+            caps, letters, odd, stop, doubled, kind, size, tail = key
+            shape = f"{kind} {min(size, 24) // 4} {tail}{'x' if doubled else ''} {min(odd, 3)}"
+            if len(self.kinds) > self.LIMIT // 8:
+                self.kinds.clear()
+            self.kinds[key] = (caps, letters, odd, stop, doubled, xxhash.xxh3_64_intdigest(shape) >> (64 - BITS))
+        return self.kinds[key]
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Statistics, and counts of hashed shapes."""
         raw = text.encode("utf-8", "replace")
         words = raw.split()
         n, held = len(words), self.held
-        counts = Counter(words)
+        if not n:
+            return np.zeros(9), np.zeros(1 << BITS, np.float32)
         if len(held) > self.LIMIT:
             held.clear()
-        for w in counts:
+        code = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        for w in code:
             if w not in held:
                 held[w] = self.word(w)
-        if not n:
-            return np.zeros(9), np.zeros(1 << BITS, np.float32)
-        k = np.fromiter(counts.values(), np.int64, len(counts))
-        per = np.array([held[w] for w in counts], np.int64).reshape(-1, 6)
+        seq = np.fromiter(map(code.__getitem__, words), np.int64, n)
+        k = np.bincount(seq)
+        per = np.array([held[w] for w in code], np.int64)
         caps, letters, odd, stops, doubled = (per[:, :5] * k[:, None]).sum(0)
         feats = np.bincount(per[:, 5], weights=k, minlength=1 << BITS).astype(np.float32) / n
-        same = sum(map(bytes.__eq__, words, words[1:]))
+        same = int((seq[1:] == seq[:-1]).sum())
         lines = Counter(x for x in raw.split(b"\n") if len(x) > 20)
         total = sum(len(x) * c for x, c in lines.items())
         again = sum(len(x) * (c - 1) for x, c in lines.items())
-        three = Counter(zip(words, words[1:], words[2:], strict=False)) if n < 200_000 else Counter()
-        top = sum(c for c in three.values() if c > 1) / max(n - 2, 1)
-        stats = np.array([n, caps / max(letters, 1), odd / max(len(raw), 1), doubled / n, same / n, again / max(total, 1), len(counts) / n, stops / n, top])
+        three = np.sort((seq[:-2] * len(k) + seq[1:-1]) * len(k) + seq[2:]) if n > 2 else seq[:0]
+        twin = three[1:] == three[:-1]
+        top = int(twin.sum() + (np.diff(np.concatenate([[0], twin.astype(np.int8)])) == 1).sum())
+        stats = np.array([n, caps / max(letters, 1), odd / max(len(raw), 1), doubled / n, same / n, again / max(total, 1), len(k) / n, stops / n, top / max(n - 2, 1)])
         return stats, feats
 
 
