@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrain.functions.time import date_key, exact_minutes, local, minutes, whole_second_minutes
+from tidegrain.functions.time import MICROS_A_MINUTE, date_key, exact_minutes, local, minutes, whole_second_minutes
 from tidegrain.schemas import AVAILABILITY, HOURLY, STALE_FACT, conform
 
 
@@ -69,18 +69,20 @@ def hourly(avail: DataFrame, periods: DataFrame, max_gap_minutes: float = 20, zo
     hours = F.sequence(F.date_trunc("HOUR", "valid_from"), F.date_trunc("HOUR", F.col("_to") - F.expr("interval 1 microsecond")), F.expr("interval 1 hour"))
     a = a.withColumn("hour_start", F.explode(hours))
     a = a.withColumns({"_a": F.greatest("valid_from", "hour_start"), "_b": F.least("_to", F.col("hour_start") + F.expr("interval 1 hour"))})
-    zero = F.lit(0.0)
-    overlap = F.when(F.col("_s0").isNotNull(), F.greatest(zero, exact_minutes(F.least("_b", "_s1"), F.greatest("_a", "_s0")))).otherwise(zero)
-    a = a.withColumns({"_min": exact_minutes(F.col("_b"), F.col("_a")), "_stale": overlap, "_counted": F.col("available_spaces").isNotNull() & ~F.col("is_source_glitch")})
+    # microseconds are summed as integers, so that sums don't depend on their order
+    micros = lambda x, y: F.unix_micros(x) - F.unix_micros(y)
+    zero, minute = F.lit(0).cast("long"), F.lit(float(MICROS_A_MINUTE))
+    overlap = F.when(F.col("_s0").isNotNull(), F.greatest(zero, micros(F.least("_b", "_s1"), F.greatest("_a", "_s0")))).otherwise(zero)
+    a = a.withColumns({"_us": micros(F.col("_b"), F.col("_a")), "_stale": overlap, "_counted": F.col("available_spaces").isNotNull() & ~F.col("is_source_glitch")})
     own = lambda c: F.when(F.col("_counted"), c)
     h = a.groupBy("facility_key", "hour_start").agg(
-        F.try_divide(F.sum(own(F.col("available_spaces") * F.col("_min"))), F.sum(own(F.col("_min")))).alias("avg_spaces"),
+        F.try_divide(F.sum(own(F.col("available_spaces") * F.col("_us"))), F.sum(own(F.col("_us")))).alias("avg_spaces"),
         F.min(own(F.col("available_spaces"))).alias("min_spaces"),
         F.max(own(F.col("available_spaces"))).alias("max_spaces"),
         F.count("*").alias("observation_count"),
-        F.sum("_min").alias("covered_minutes"),
-        F.coalesce(F.sum(own(F.col("_min"))), zero).alias("counted_minutes"),
-        F.sum("_stale").alias("stale_minutes"),
+        (F.sum("_us") / minute).alias("covered_minutes"),
+        (F.coalesce(F.sum(own(F.col("_us"))), zero) / minute).alias("counted_minutes"),
+        (F.sum("_stale") / minute).alias("stale_minutes"),
     )
     wall = local(F.col("hour_start"), zone)
     return conform(h.withColumns({"date_key": date_key(wall), "hour": F.hour(wall)}), HOURLY)
