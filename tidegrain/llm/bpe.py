@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+#: A space that no non-space follows, and one that a non-space follows.
+SPACED, CUT = regex.compile(r" (?!\S)"), regex.compile(r" (?=\S)")
+
+
 def byte_alphabet() -> dict[str, int]:
     """The printable character that stands for each byte in byte-level vocabularies, and back."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -36,7 +40,7 @@ def byte_alphabet() -> dict[str, int]:
 class TrieBPE:
     """Encoder and decoder of one vocabulary file; both directions agree with the file's own library."""
 
-    WORD_LIMIT = 600_000
+    WORD_LIMIT = 1_000_000
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
@@ -127,39 +131,37 @@ class TrieBPE:
     # --- texts
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
-        """Pieces that the word pattern never crosses: a cut stands before each space that a non-space follows."""
-        out = text.split(" ")
-        if all(out) and not any(map(str.isspace, {p[0] for p in out})):
-            return [out[0], *[" " + p for p in out[1:]]]
-        merged = [out[0]]
-        for p in out[1:]:
-            if p and not p[0].isspace():
-                merged.append(" " + p)
-            else:
-                merged[-1] += " " + p
-        return merged
-
-    def learn(self, chunks: list[str]) -> None:
+    def chunks(text: str) -> tuple[str, list[str]]:
+        """Pieces that the word pattern never crosses: a cut stands in place of each space that a non-space follows."""
+        if not SPACED.search(text):
+            first, *rest = text.split(" ")
+            return first, rest
+        first, *rest = CUT.split(text)
+        return first, rest
+
+    def learn(self, chunks: list[str], into: dict[str, tuple[int, ...]], before: str) -> None:
+        """Adds to into the encodings of chunks that stand behind before."""
         if len(self.word_ids) > self.WORD_LIMIT:
             self.word_ids.clear()
         known = self.word_ids
-        split = [WORDS.findall(c) for c in chunks]
+        split = [WORDS.findall(before + c) for c in chunks]
         if new := {w for ws in split for w in ws if w not in known}:
             self.encode_words(new)
         for c, ws in zip(chunks, split, strict=True):
-            self.chunk_ids[c] = known[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(known.__getitem__, ws)))
+            into[c] = known[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(known.__getitem__, ws)))
 
     def encode_plain(self, texts: list[str]) -> list[list[int]]:
         """Encodings of texts without special tokens; their unknown chunks go into one trie."""
         own = [self.chunks(t) for t in texts]
         known = self.chunk_ids
-        if missing := {c for cs in own for c in cs if c not in known}:
+        if missing := {c for _, cs in own for c in cs if c not in known}:
             if len(known) + len(missing) > self.WORD_LIMIT:
                 known.clear()
-                missing = {c for cs in own for c in cs}
-            self.learn(list(missing))
-        return [list(chain.from_iterable(map(known.__getitem__, cs))) for cs in own]
+                missing = {c for _, cs in own for c in cs}
+            self.learn(list(missing), known, " ")
+        first: dict[str, tuple[int, ...]] = {}
+        self.learn(list({f for f, _ in own}), first, "")
+        return [[*first[f], *chain.from_iterable(map(known.__getitem__, cs))] for f, cs in own]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         if not self.cuts or not any(s in t for s in self.special for t in texts):
