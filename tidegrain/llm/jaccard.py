@@ -13,9 +13,10 @@ order gives the same result; this one keeps unlike texts from meeting.
 Lists of up to LIGHT sets give all their pairs of fitting sizes. Longer lists (groups of near copies) never do: all are
 compared with the member whose elements the most others share, then with the first of those that are in another
 component still; only pairs across components go on, and of these only the ones that the triangle inequality of the
-Jaccard distance doesn't rule out. So no link that changes a component is lost, and no group is expanded. Before two texts are compared, their sketches are: the elements whose hash
-lies in the lowest quarter, as 32 bits each. Two similar sets differ in a ninth of their sizes' sum at most, so a pair
-whose sketches alone differ more is none.
+Jaccard distance doesn't rule out. So no link that changes a component is lost, and no group is expanded. Before two texts are compared, their odd sketches
+are: a bitmap in which each element flips one bit, so that the bits in which two sketches differ are at most the
+elements in which the sets do. Two similar sets differ in a ninth of their sizes' sum at most, so a pair whose sketches
+alone differ more is none; pairs across components are made under that condition.
 
 Sets are compared as 64-bit hashes of whole shingles (two shingles of a pair collide once in 2^64). Words are
 [^\\x20\\x09-\\x0D]+ after lower-casing A-Z; a text of fewer than five words is one shingle; an empty or null text has no
@@ -37,7 +38,7 @@ from tidegrain.llm.common import LOWER, WordHash, components, docs_of, grams, sa
 
 WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
 SEEN, COUNTED = 1_000_000, 3_000_000  # names and prefix elements that a task holds
-LOWEST = np.uint64(2**62)  # sketches hold the hashes below
+FOLD, MOST_BITS = 1024, 2**16  # bits of the sketch that joins compare, and of the largest
 
 
 def shingles(text: bytes, h: WordHash, k: int = WORDS) -> np.ndarray:
@@ -55,6 +56,21 @@ def name(s: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))))
 
 
+def odd_sketch(s: np.ndarray) -> np.ndarray:
+    """A bitmap of at least four bits an element (a power of two, FOLD to MOST_BITS), as 64-bit words."""
+    bits = min(MOST_BITS, max(FOLD, 1 << (4 * max(len(s), 1) - 1).bit_length()))
+    flips = np.bincount((s >> np.uint64(8)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def fold(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of the same set with fewer bits."""
+    while len(sketch) > words:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
+
+
 def need(n: int, least: int = LEAST) -> int:
     """Elements that a set of n shares with any similar set, at least."""
     return -(-least * n // 100)
@@ -77,10 +93,10 @@ def choose_boundary(sizes: dict[int, int], scan: float = 1.0, most: int = 200) -
 
 
 def named_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, k, sig (the set's name; null for no shingles), n and sketch of every row; and rows with a null n, in which
+    """doc_id, k, sig (the set's name; null for no shingles), n, sketch and its fold of every row; and rows with a null n, in which
     sig is an element that k sets (three or more) of one task share."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["doc_id", "k", "sig", "n", "sketch"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+    names = ["doc_id", "k", "sig", "n", "sketch", "fold"]
 
     def run(batches):
         h, seen, held, room = WordHash(), set(), [], 0
@@ -89,30 +105,32 @@ def named_sets(docs: DataFrame) -> DataFrame:
             key, c = np.unique(np.concatenate(held), return_counts=True)
             key, c = key[c > 2], c[c > 2]
             none = [None] * len(key)
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((none, c, key.view(np.int64), none, none), kinds, strict=True)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((none, c, key.view(np.int64), none, none, none), kinds, strict=True)], names=names)
 
         for b in batches:
-            sig, n, sketch = [], [], []
+            sig, n, sketch, folds = [], [], [], []
             for t in b.column(2).cast(pa.binary()).to_pylist():
                 s = shingles(t, h)
                 sig.append(name(s) if len(s) else None)
                 n.append(len(s))
                 first = not len(s) or sig[-1] not in seen
-                sketch.append((s[: np.searchsorted(s, LOWEST)] >> np.uint64(30)).astype("<u4").tobytes() if first else None)
+                bits = odd_sketch(s) if first else None
+                sketch.append(bits.tobytes() if first else None)
+                folds.append(fold(bits, FOLD // 64).tolist() if first else None)
                 if first and len(s):
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(sig[-1])
                     held.append(s | np.uint64(1))
                     room += len(s)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, t) for x, t in zip((sig, n, sketch), kinds[2:], strict=True))], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, t) for x, t in zip((sig, n, sketch, folds), kinds[2:], strict=True))], names=names)
             if room > COUNTED:
                 yield often()
                 held, room = [], 0
         if held:
             yield often()
 
-    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(run, "doc_id long, k long, sig long, n long, sketch binary")
+    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(run, "doc_id long, k long, sig long, n long, sketch binary, fold array<long>")
 
 
 def postings(docs: DataFrame, boundary: int, last: np.ndarray) -> DataFrame:
@@ -252,7 +270,7 @@ def compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def prune(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Rows (a, b, differ, size): pairs with the elements in which their sketches differ and the sum of their sizes."""
+    """Rows (a, b, differ, size): pairs with the bits in which their sketches differ and the sum of their sizes."""
     one = sketches.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = sketches.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
@@ -260,10 +278,9 @@ def prune(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
         for x in batches:
             out = []
             for sa, sb in zip(x.column(3).to_pylist(), x.column(4).to_pylist(), strict=True):
-                p, q = np.frombuffer(sa, "<u4"), np.frombuffer(sb, "<u4")
-                both = np.concatenate([p, q])
-                both.sort()
-                out.append(len(both) - 2 * int((both[1:] == both[:-1]).sum()))
+                p, q = np.frombuffer(sa, "<i8"), np.frombuffer(sb, "<i8")
+                words = min(len(p), len(q))
+                out.append(int(np.bitwise_count((fold(p, words) ^ fold(q, words)).view(np.uint64)).sum()))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(out, pa.int64()), x.column(2)], names=["a", "b", "differ", "size"])
 
     j = pairs.join(one, "a").join(two, "b").select("a", "b", (F.col("na") + F.col("nb")).alias("size"), "sa", "sb")
@@ -278,7 +295,7 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     """Rows (a, b) of names of similar sets that span every component of the similarity graph."""
     sizes = {r[0]: r[1] for r in named.where("n > 0").groupBy(F.least("n", F.lit(256)).cast("int")).agg(F.count("*")).collect()}
     reps = named.where("n > 0").groupBy("sig").agg(F.min("k").alias("rep_k"))
-    sketches = named.where("n > 0 and sketch is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sketches = named.where("n > 0 and sketch is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
     # a bounded number of 64-bit keys
     often = named.where("n is null").groupBy("sig").agg(F.sum("k").alias("c")).orderBy(F.desc("c"), "sig").limit(DEMOTED).collect()
     last = np.sort(np.array([r[0] for r in often], np.int64))
@@ -321,11 +338,13 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     p = placed(out)
     lower = F.least(F.lit(1.0), F.col("differ") * 2 / (F.col("size") + F.col("differ")))
     told = sketch.join(exact, ["a", "b"], "left").select("a", "b", F.coalesce(1 - F.col("inter") / F.col("total"), lower).alias("d"), F.col("inter").isNotNull().alias("sure"))
-    p = p.where("sig <> lead").withColumn("a", F.least("lead", "sig")).withColumn("b", F.greatest("lead", "sig")).join(told, ["a", "b"]).select("key", "sig", "n", "r", "root", "lead_root", "d", "sure")
+    p = p.where("sig <> lead").withColumn("a", F.least("lead", "sig")).withColumn("b", F.greatest("lead", "sig")).join(told, ["a", "b"]).join(sketches.select("sig", "fold"), "sig").select("key", "sig", "n", "r", "root", "lead_root", "d", "sure", "fold")
     away = save(p.where("root <> lead_root").drop("lead_root"), "away")
-    other = p.select("key", *[F.col(c).alias(f"{c}_") for c in ("sig", "n", "r", "root", "d", "sure")])
+    other = p.select("key", *[F.col(c).alias(f"{c}_") for c in ("sig", "n", "r", "root", "d", "sure", "fold")])
     far, slack = F.lit(1 - LEAST / 100 + 1e-9), F.least("n", "n_") * 100 >= F.greatest("n", "n_") * LEAST
     fits = slack & ((F.col("r") + F.col("r_")) * 9 <= F.col("n") + F.col("n_")) & (F.col("root") != F.col("root_")) & (~F.col("sure_") | (F.col("d") <= F.col("d_") + far)) & (~F.col("sure") | (F.col("d_") <= F.col("d") + far))
+    differ = F.aggregate(F.zip_with("fold", "fold_", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    fits = fits & (differ * 9 <= F.col("n") + F.col("n_"))
     more = least_first(away.join(other, "key").where(fits).select(F.col("sig").alias("a"), F.col("sig_").alias("b")))
     more = more.join(known.union(sketch2.select("a", "b")), ["a", "b"], "left_anti")
     return out.union(tried(more)[2])
@@ -335,7 +354,7 @@ def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, and k (the row's name) and root (its component's, null without shingles), of every row."""
     told = save(named_sets(docs), "sets")
     edges = save(links(docs, told), "links")
-    named = told.where("n is not null").drop("sketch")
+    named = told.where("n is not null").drop("sketch", "fold")
     comp = components(edges).select(F.col("node").alias("sig"), "root")
     per = named.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(comp, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = per.groupBy("root").agg(F.min("least").alias("component_id"))
