@@ -3,6 +3,7 @@ import json
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidegrain import config
 from tidegrain.plans import reports, run
@@ -109,7 +110,7 @@ def test_store(spark, tmp_path):
     assert st.append("t", df()) is None and st.versions("t") == [1]
     st.insert_if_new("t", df((1, "z"), (2, "b"), (2, "b")), ["k"])
     assert got() == [(1, "a"), (2, "b")]
-    st.replace_where("t", df().select("k").columns and (__import__("pyspark").sql.functions.col("k") == 1), df((3, "c")))
+    st.replace_where("t", F.col("k") == 1, df((3, "c")))
     assert got() == [(2, "b"), (3, "c")] and got(1) == [(1, "a")]
     st.append("t", spark.createDataFrame([(4, "d", 1.5)], "k int, v string, w double"))
     assert st.read("t").columns == ["k", "v", "w"] and st.read("t").where("w is null").count() == 2

@@ -10,6 +10,7 @@ import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ from tidegrain.operators import calendar, checks, facility, facts, pricing, read
 from tidegrain.sources import bronze
 from tidegrain.sources.store import TableStore
 
-CONFLICT = F.col("reason") == "conflicting_duplicate"
+STEP_ERRORS = (OSError, ValueError, RuntimeError, PySparkException)
+CONFLICT = "reason = 'conflicting_duplicate'"
 
 
 @dataclass
@@ -57,7 +59,7 @@ def run_silver(c: Setup, rebuild: bool = False) -> None:
     raw = bronze.widen(st.read(f"bronze_{c.feed}"), c.spec.fields)
     old = ["raw_file", "record_index"]
     if st.exists("silver_parking_fetch") and not rebuild:
-        quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where("source_id = '%s'" % c.feed).where(~CONFLICT).select(old)
+        quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where("source_id = '%s'" % c.feed).where(f"not ({CONFLICT})").select(old)
         raw = raw.join(st.read("silver_parking_fetch").select(old).union(quarantined).distinct(), old, "left_anti")
     fetched, bad = readings.parse_readings(raw, c.spec)
     st.insert_if_new("silver_quarantine", bad, ["raw_file", "record_index", "field", "reason"])
@@ -68,7 +70,7 @@ def run_silver(c: Setup, rebuild: bool = False) -> None:
     st.overwrite("silver_parking_reading", first)
     st.overwrite("silver_snapshot_freshness", fresh)
     st.overwrite("silver_stale_period", readings.stale_periods(st.read("silver_snapshot_freshness"), c.stale_after))
-    st.replace_where("silver_quarantine", CONFLICT, conflicts)
+    st.replace_where("silver_quarantine", F.expr(CONFLICT), conflicts)
     if c.register_root:
         areas, bad = register.parse_areas(bronze.widen(st.read(f"bronze_{c.register}"), REGISTER_FIELDS))
         st.overwrite("silver_parking_area", areas)
@@ -116,12 +118,12 @@ def run(c: Setup, say: Callable[[str], None] = print) -> int:
     for name, step in steps:
         try:
             step()
-        except (OSError, ValueError, RuntimeError) as e:
+        except STEP_ERRORS as e:
             say(f"{name} failed: {e}")
             return 1
     try:
         return 3 if run_quality(c) else 0
-    except (OSError, ValueError, RuntimeError) as e:
+    except STEP_ERRORS as e:
         say(f"quality failed: {e}")
         return 1
 

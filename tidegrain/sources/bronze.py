@@ -9,7 +9,7 @@ from tidegrain.schemas import LOAD_ISSUE, OUTAGE, conform
 from tidegrain.sources.store import TableStore
 
 META = ["source_id", "raw_file", "record_index", "ingested_at", "source_url", "resource_id", "run_id", "content_hash", "polling_mode", "next_due"]
-SIDECAR = "source_id string, ingested_at string, source_url string, resource_id string, run_id string, content_hash string, values_fingerprint string, polling_mode string, next_due string"
+SIDECAR = ["source_url", "resource_id", "run_id", "content_hash", "polling_mode", "next_due"]
 
 
 def text_files(spark: SparkSession, root: str) -> DataFrame:
@@ -25,7 +25,7 @@ def with_path(raw: DataFrame, root: str) -> DataFrame:
 
 
 def classify(files: DataFrame, source: str) -> DataFrame:
-    """raw_file, source_id, meta, records and reason (null: sound) of every raw file.
+    """raw_file, source_id, ingested_at, the sidecar's fields, records and reason (null: sound) of every raw file.
 
     A file lacks its sidecar, or has an unreadable one, or isn't a list of objects, or is an empty list: the first that
     holds is its reason.
@@ -33,16 +33,17 @@ def classify(files: DataFrame, source: str) -> DataFrame:
     side = F.col("path").endswith(".meta.json")
     raw = files.where(~side).select(F.col("path").alias("raw_file"), "value", F.regexp_replace("path", r"\.json$", "").alias("_stem"))
     meta = files.where(side).select(F.regexp_replace("path", r"\.meta\.json$", "").alias("_stem"), F.col("value").alias("_meta"))
-    j = raw.join(meta, "_stem", "left").withColumns({"meta": F.from_json("_meta", SIDECAR), "records": F.from_json("value", "array<map<string,string>>")})
-    at = F.try_to_timestamp("meta.ingested_at")
+    j = raw.join(meta, "_stem", "left").withColumn("records", F.from_json("value", "array<map<string,string>>"))
+    of = lambda n: F.get_json_object("_meta", f"$.{n}")
+    at = F.try_to_timestamp(of("ingested_at"))
     reason = F.when(F.col("_meta").isNull(), "missing_sidecar").when(at.isNull(), "unreadable_sidecar").when(F.col("records").isNull() | F.exists("records", lambda x: x.isNull()), "unreadable_payload").when(F.size("records") == 0, "no_records")
-    return j.select("raw_file", F.lit(source).alias("source_id"), at.alias("ingested_at"), "meta", "records", reason.alias("reason"))
+    return j.select("raw_file", F.lit(source).alias("source_id"), at.alias("ingested_at"), *[of(n).alias(n) for n in SIDECAR], "records", reason.alias("reason"))
 
 
 def rows(sound: DataFrame) -> DataFrame:
     """A row per record: the lineage columns and fields, a map of every source field as text."""
-    m = lambda n: F.col(f"meta.{n}").alias(n)
-    return sound.select("source_id", "raw_file", "ingested_at", m("source_url"), m("resource_id"), m("run_id"), m("content_hash"), m("polling_mode"), F.try_to_timestamp("meta.next_due").alias("next_due"), F.posexplode("records").alias("record_index", "fields"))
+    due = F.try_to_timestamp("next_due").alias("next_due")
+    return sound.select("source_id", "raw_file", "ingested_at", *SIDECAR[:-1], due, F.posexplode("records").alias("record_index", "fields"))
 
 
 def widen(bronze: DataFrame, fields: list[str]) -> DataFrame:
