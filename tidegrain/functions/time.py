@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICROS_A_MINUTE = 60_000_000
@@ -13,23 +13,21 @@ def as_utc(c: Column) -> Column:
     return c.cast("timestamp")
 
 
-def utc_candidates(local: Column, zone: str) -> tuple[Column, Column]:
-    """The earliest and latest instants at which clocks in zone show ``local``; null where they skip it.
+def with_instants(df: DataFrame, wall: str, zone: str, not_after: str, at: str, twice: str) -> DataFrame:
+    """df with the instant ``at`` of a wall clock column, null where clocks in zone skip it, and whether it had two.
 
-    The zone's offset is read two days before and after, so that shifts of any size resolve, not only of one hour.
+    Of two the later one counts unless it is after ``not_after``. The zone's offset is read two days before and after,
+    so that shifts of any size resolve, not only of one hour. Each step is a column of its own, which Catalyst keeps
+    apart as they are used more than once: as one expression the zone lookups would be repeated some thirty times a row.
     """
-    wall = local.cast("timestamp")  # the wall clock read as if it were UTC
-    shows = lambda u: F.from_utc_timestamp(u, zone) == wall
-    offset = lambda u: F.unix_micros(F.from_utc_timestamp(u, zone)) - F.unix_micros(u)
-    tries = [F.timestamp_micros(F.unix_micros(wall) - offset(wall + F.expr(f"interval {d} hours"))) for d in (-48, 48)]
-    sound = [F.when(shows(t), t) for t in tries]
-    return F.least(*sound), F.greatest(*sound)
-
-
-def resolve_local(local: Column, zone: str, not_after: Column) -> tuple[Column, Column]:
-    """The instant of a wall clock, and whether it had two: the later one unless that is after ``not_after``."""
-    first, last = utc_candidates(local, zone)
-    return F.when(last <= not_after, last).otherwise(first), first != last
+    utc, day = F.col("_utc"), 2 * 24 * 60 * MICROS_A_MINUTE
+    df = df.withColumn("_utc", F.unix_micros(F.col(wall).cast("timestamp")))
+    shown = lambda us: F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(us), zone))
+    df = df.withColumns({"_us0": utc - (shown(utc - day) - (utc - day)), "_us1": utc - (shown(utc + day) - (utc + day))})
+    df = df.withColumns({"_ok0": F.when(shown(F.col("_us0")) == utc, F.col("_us0")), "_ok1": F.when(F.col("_us1") == F.col("_us0"), F.lit(None)).when(shown(F.col("_us1")) == utc, F.col("_us1"))})
+    df = df.withColumns({"_first": F.timestamp_micros(F.least("_ok0", "_ok1")), "_last": F.timestamp_micros(F.greatest("_ok0", "_ok1"))})
+    df = df.withColumns({at: F.when(F.col("_last") <= F.col(not_after), F.col("_last")).otherwise(F.col("_first")), twice: F.col("_first") != F.col("_last")})
+    return df.drop("_utc", "_us0", "_us1", "_ok0", "_ok1", "_first", "_last")
 
 
 def local(at: Column, zone: str) -> Column:

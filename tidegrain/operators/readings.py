@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrain.functions.parse import count_of, decimal_of, missing
-from tidegrain.functions.time import MICROS_A_MINUTE, minutes, resolve_local, whole_second_minutes
+from tidegrain.functions.time import MICROS_A_MINUTE, minutes, whole_second_minutes, with_instants
 from tidegrain.schemas import QUARANTINE, READING, SNAPSHOT, STALE_PERIOD, conform
 
 
@@ -59,8 +59,7 @@ def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec()) -> tuple[Data
         F.when(count.isin(zero), F.lit(0)).otherwise(count_of(count)).alias("available_spaces"),
         F.coalesce(count.isin(open_), F.lit(False)).alias("_open"),
     )
-    at, twice = resolve_local(F.col("_wall"), spec.zone, F.col("ingested_at"))
-    typed = typed.withColumns({"reading_at": at, "dst_resolved": twice})
+    typed = with_instants(typed, "_wall", spec.zone, "ingested_at", "reading_at", "dst_resolved")
     typed = typed.withColumn("status", F.when(F.col("available_spaces").isNotNull(), "numeric").when(F.col("_open"), "open").otherwise("unknown"))
     sound = F.col("reading_at").isNotNull() & ~missing(F.col("facility"))
     readings = typed.where(sound).withColumns(

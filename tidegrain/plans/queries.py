@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrain.functions.parse import count_of, decimal_of
-from tidegrain.functions.time import date_key, local, resolve_local
+from tidegrain.functions.time import date_key, local, with_instants
 from tidegrain.operators import calendar, facility, facts, polling, pricing, readings
 from tidegrain.plans import measures
 
@@ -117,9 +117,9 @@ def parse_quarantine(spark, d):
 
 @query("SELECT event_id, CAST(strftime(ts + INTERVAL 1 HOUR, '%Y%m%d') AS INTEGER) AS date_key, CAST(hour(ts + INTERVAL 1 HOUR) AS INTEGER) AS hour, CAST(isodow(ts + INTERVAL 1 HOUR) AS INTEGER) AS weekday_number, ts AS back FROM events")
 def local_time_parts(spark, d):
-    e = t(spark, d, "events").withColumn("wall", local(F.col("ts").cast("timestamp"), "Europe/Oslo"))
-    back, _ = resolve_local(F.col("wall").cast("timestamp_ntz"), "Europe/Oslo", F.col("ts").cast("timestamp"))
-    return e.select("event_id", date_key(F.col("wall")).alias("date_key"), F.hour("wall").alias("hour"), (F.weekday("wall") + 1).alias("weekday_number"), ntz(back).alias("back"))
+    e = t(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp")).withColumn("wall", local(F.col("at"), "Europe/Oslo"))
+    e = with_instants(e, "wall", "Europe/Oslo", "at", "back", "twice")
+    return e.select("event_id", date_key(F.col("wall")).alias("date_key"), F.hour("wall").alias("hour"), (F.weekday("wall") + 1).alias("weekday_number"), ntz("back").alias("back"))
 
 
 def snapshots(spark: SparkSession, d: str) -> DataFrame:
