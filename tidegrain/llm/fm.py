@@ -12,8 +12,8 @@ window, whose first place is the interval's minimum. Matching statistics of at l
 as intervals of words.
 
 Anchors that very many places share (a passage in a third of all texts, a repeated word pair) would make one shard of
-one key: their segments are cut into single windows, dealt by the window's own hash, and equal ones meet in a map-side
-minimum, so no task gathers them. Equal segments collapse to their first place in the same way before they travel.
+one key: their segments are cut into single windows, dealt by the window's own hash. Equal segments come sorted by place
+and only the first is held, so a segment or window of any number of places is read in a stream.
 
 A word is removed if a window that covers it also starts earlier: in a smaller doc_id (nulls last, then by a hash of the
 text, for rows that share an id) or earlier in the same document. Windows are judged on the input. Equal rows (same id
@@ -28,13 +28,14 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidegrain.llm.common import WordHash, docs_of, grams, save
+from tidegrain.llm.common import WordHash, docs_of, grams, strings
 
-WINDOW, GRAM, HEAVY, SHARD = 20, 6, 256, 400_000
+WINDOW, GRAM, HEAVY, SHARD, SEEN = 20, 6, 1024, 400_000, 400_000
 NO_ID = 2**63 - 1
 
 
@@ -81,41 +82,95 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame, heavy: int) -> DataFrame:
-    """Rows (k, light, hard): for each document the numbers of its runs whose anchor is repeated, by how often."""
-    a = anchors(docs)
-    often = a.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    hit = a.join(often, "h").select("k", F.when(F.col("c") > heavy, -1 - F.col("at")).otherwise(F.col("at")).alias("at"))
-    return hit.groupBy("k").agg(F.collect_set("at").alias("at"))
+    """Rows (k, at): for each document the numbers of its runs whose anchor is repeated; -1 - number where it is in more than
+    ``heavy`` places. Places come sorted by anchor and are read once; at most ``heavy`` and a batch are held."""
+
+    def out(k, at, hard):
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.where(hard, -1 - at, at).astype(np.int32))], names=["k", "at"])
+
+    def run(batches):
+        none = np.zeros(0, np.int64)
+        held, hot = (none, none, none), None  # the anchor of the last rows; its hash once it is known to be heavy
+        for b in batches:
+            h, k, at = (np.concatenate([x, b.column(i).to_numpy().astype(np.int64)]) for i, x in enumerate(held))
+            if hot is not None:
+                n = int(np.searchsorted(h, hot, side="right"))
+                yield out(k[:n], at[:n], True)
+                h, k, at = h[n:], k[n:], at[n:]
+                hot = hot if not len(h) else None
+            if not len(h):
+                held = (none, none, none)
+                continue
+            cut = int(np.searchsorted(h, h[-1]))
+            yield from whole(h[:cut], k[:cut], at[:cut])
+            held = h[cut:], k[cut:], at[cut:]
+            if len(held[0]) > heavy:
+                yield out(held[1], held[2], True)
+                hot, held = int(h[-1]), (none, none, none)
+        yield from whole(*held)
+
+    def whole(h, k, at):
+        if len(h):
+            edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
+            size = np.repeat(np.diff(edge), np.diff(edge))
+            more = size > 1
+            yield out(k[more], at[more], size[more] > heavy)
+
+    dealt = anchors(docs).repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(run, "k long, at int").groupBy("k").agg(F.collect_set("at").alias("at"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """docs with the column text as zstd bytes, which halves what a shuffle moves."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        c = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            cols = list(b.columns)
+            cols[at] = pa.array([None if t is None else c.compress(t) for t in strings(cols[at])], pa.binary())
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+
+    schema = StructType([f if f.name != "text" else StructField("text", BinaryType()) for f in docs.schema])
+    return docs.mapInArrow(run, schema)
 
 
 def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows (key, name, text, doc, k, start): segments of documents' repeated anchors; name is a 128-bit hash of the text."""
-    j = docs.join(marks, "k").select("doc", "k", "text", "at")
-    names = ["key", "name", "text", "doc", "k", "start"]
-    kinds = [pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    """Rows (key, name, text, doc, k, start, n): segments of documents' repeated anchors, with n windows each; name is a
+    128-bit hash of the text, which comes with one of a task's equal segments at least."""
+    j = packed(docs).join(marks, "k").select("doc", "k", "text", "at")
+    names = ["key", "name", "text", "doc", "k", "start", "n"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches):
-        w = WordHash()
+        w, seen, unzip = WordHash(), set(), zstandard.ZstdDecompressor()
         for b in batches:
             rows, room = [], 0
-            for d, k, t, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), b.column(3).to_pylist(), strict=True):
-                words = t.split()
-                h, first, count = runs(w.of(words))
-                for i in sorted(at, key=lambda x: x if x >= 0 else -1 - x):
+            for d, k, t, at in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                words = unzip.decompress(t).split()
+                h, first, count = (x.tolist() for x in runs(w.of(words)))
+                for i in at:
                     hard, i = i < 0, i if i >= 0 else -1 - i
-                    s, c = int(first[i]), int(count[i])
+                    s, c = first[i], count[i]
                     for f, n in ((s + o, 1) for o in range(c)) if hard else ((s, c),):
                         text = b" ".join(words[f : f + n + WINDOW - 1])
                         name = xxhash.xxh3_128_digest(text)
-                        rows.append((int.from_bytes(name[:8], "little", signed=True) if hard else int(h[i]), name, text, d, k, f))
-                        room += len(text)
-                if room > 4_000_000:
+                        key = int.from_bytes(name[:8], "little", signed=True) if hard else h[i]
+                        if name in seen:
+                            text = None
+                        else:
+                            if len(seen) >= SEEN:
+                                seen.clear()
+                            seen.add(name)
+                            room += len(text)
+                        rows.append((key, name, text, d, k, f, n))
+                if room > 4_000_000 or len(rows) > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
                     rows, room = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return j.mapInArrow(run, "key long, name binary, text string, doc long, k long, start long")
+    return j.mapInArrow(run, "key long, name binary, text binary, doc long, k long, start long, n long")
 
 
 # --- the index
@@ -247,52 +302,60 @@ def spans(offsets: np.ndarray) -> list[int]:
     return np.stack([offsets[np.concatenate([[0], edge + 1])], offsets[np.concatenate([edge, [len(offsets) - 1]])]], axis=1).ravel().tolist()
 
 
-def judge(firsts: DataFrame, size: int = SHARD) -> DataFrame:
-    """Rows (name, late): for each distinct segment the spans of windows that start earlier elsewhere. firsts: (key, name, text, doc, k, start)."""
+def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
+    """Rows (k, a, b): spans of windows (first and last start) of document k that also start earlier.
+
+    Segments come sorted by key, name and place, so the first row of a name is its first place; every later one is late
+    as a whole, and goes out at once. Only distinct segments are held, up to ``size`` words of whole keys, and indexed.
+    """
+
+    def out(rows):
+        cols = list(zip(*rows, strict=True)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["k", "a", "b"])
 
-    def done(rows):
-        rows.sort(key=lambda r: r[1])
-        place = np.array([(r[3], r[5], r[4]) for r in rows], np.int64)
-        late = shard([r[2] for r in rows], place)
-        got = [(r[1], spans(x)) for r, x in zip(rows, late, strict=True) if len(x)]
-        return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.list_(pa.int64()))], names=["name", "late"])
+    def indexed(own):
+        """own: [doc, k, start, text] of distinct segments."""
+        late = shard([x[3] for x in own], np.array([(x[0], x[2], x[1]) for x in own], np.int64))
+        for (_, k, start, _), x in zip(own, late, strict=True):
+            at = spans(x)
+            yield from ((k, start + at[i], start + at[i + 1]) for i in range(0, len(at), 2))
 
     def run(batches):
-        rows, own, room, last = [], [], 0, None  # rows: of keys with several segments; own: of the present key
+        held, room, own, key, name, rows = [], 0, [], None, None, []
         for b in batches:
-            for r in zip(*(b.column(i).cast(pa.binary()).to_pylist() if i in (1, 2) else b.column(i).to_pylist() for i in range(6)), strict=True):
-                if r[0] != last:
+            for key_, name_, text, doc, k, start, n in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
+                if key_ != key:
                     if len(own) > 1:
-                        rows += own
-                        room += sum(x[2].count(b" ") + 2 for x in own)
+                        held += own
+                        room += sum(len(x[3]) for x in own) // 6
                         if room > size:
-                            yield done(rows)
-                            rows, room = [], 0
-                    own, last = [], r[0]
-                own.append(r)
+                            rows += indexed(held)
+                            held, room = [], 0
+                    own, key, name = [], key_, None
+                if name_ != name:
+                    own.append([doc, k, start, text])
+                    name = name_
+                    continue
+                if own[-1][3] is None:
+                    own[-1][3] = text
+                if (doc, k, start) != tuple(own[-1][:3]):
+                    rows.append((k, start, start + n - 1))
+            yield out(rows)
+            rows = []
         if len(own) > 1:
-            rows += own
-        if rows:
-            yield done(rows)
+            held += own
+        if held:
+            yield out(list(indexed(held)))
 
-    dealt = firsts.select("key", "name", "text", "doc", "k", "start").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "name binary, late array<long>")
+    dealt = segs.repartition("key").sortWithinPartitions("key", "name", "doc", "k", "start")
+    return dealt.mapInArrow(run, "k long, a long, b long")
 
 
 def repeats(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """Rows (k, late): for each document that has any, the spans (first, last, ...) of its windows that also start earlier."""
     d = docs_of(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "k", "text")
-    marks = repeated(d.select("k", "text"), heavy)
-    segs = save(segments(d, marks), "segments")
-    first = F.min(F.struct("doc", "k", "start")).alias("f")
-    firsts = save(segs.groupBy("name").agg(first, F.min("key").alias("key"), F.first("text").alias("text")).select("name", "key", "text", "f.*"), "firsts")
-    late = judge(firsts)
-    told = firsts.select("name", F.struct("doc", "k", "start").alias("f"), (F.length("text") - F.length(F.translate("text", " ", "")) + 2 - WINDOW).alias("n")).join(late, "name", "left")
-    # a segment's first place has the spans that the index found; in every other place all of its windows come late
-    place = segs.select("name", "doc", "k", "start").join(told, "name")
-    here = F.when(F.struct("doc", "k", "start") == F.col("f"), F.coalesce("late", F.array().cast("array<long>"))).otherwise(F.array(F.lit(0).cast("long"), (F.col("n") - 1).cast("long")))
-    got = place.select("k", F.transform(here, lambda x: x + F.col("start")).alias("late")).where(F.size("late") > 0)
-    return got.groupBy("k").agg(F.flatten(F.collect_set("late")).alias("late"))
+    late = judge(segments(d, repeated(d.select("k", "text"), heavy)))
+    return late.groupBy("k").agg(F.flatten(F.collect_set(F.array("a", "b"))).alias("late"))
 
 
 def covered(n: int, late: list[int] | None) -> np.ndarray:
@@ -310,19 +373,22 @@ def dedup(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     none is removed; n_chars, if there is such a column, follows the text."""
     late = repeats(docs, heavy).select(F.col("k").alias("_fm_k"), F.col("late").alias("_fm_late"))
     own = docs.withColumn("_fm_own", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
-    j = own.join(late, F.col("_fm_own") == F.col("_fm_k"), "left").select(*docs.columns, "_fm_late")
+    j = packed(own).join(late, F.col("_fm_own") == F.col("_fm_k"), "left").select(*docs.columns, "_fm_late")
     at, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     schema = docs.schema.jsonValue()
 
     def run(batches):
+        unzip = zstandard.ZstdDecompressor()
         for b in batches:
             n, gone, text = [], [], []
-            for t, x in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
-                words = (t or "").encode("utf-8").split()
+            for z, x in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+                t = None if z is None else unzip.decompress(z)
+                words = (t or b"").split()
                 out = covered(len(words), x)
                 n.append(len(words))
                 gone.append(int(out.sum()))
-                text.append(b" ".join([w for w, o in zip(words, out.tolist(), strict=True) if not o]).decode("utf-8") if gone[-1] else t)
+                left = b" ".join([w for w, o in zip(words, out.tolist(), strict=True) if not o]) if gone[-1] else t
+                text.append(None if left is None else left.decode("utf-8"))
             cols = b.columns[:-1]
             cols[at] = pa.array(text, pa.string())
             if chars is not None:
