@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegrain.llm import oracles
 from tidegrain.llm.common import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -80,4 +81,4 @@ def op10_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality, op10_fm)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_jaccard": oracles.JACCARD, "op5_mix": oracles.MIX, "op6_lattice": oracles.VECTORS, "op8_chat": oracles.CHAT, "op10_fm": oracles.SUBSTRINGS}
