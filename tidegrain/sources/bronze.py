@@ -15,11 +15,12 @@ SIDECAR = ["source_url", "resource_id", "run_id", "content_hash", "polling_mode"
 def text_files(spark: SparkSession, root: str) -> DataFrame:
     """path (below root) and value of every JSON file below root, each file one row."""
     raw = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root)
-    return with_path(raw, root)
+    return with_path(raw.select("value", F.col("_metadata.file_path").alias("file")), root)
 
 
 def with_path(raw: DataFrame, root: str) -> DataFrame:
-    tail = F.regexp_replace("_metadata.file_path", "^[a-z]+:/+", "/")
+    """path below root and value of rows (value, file)."""
+    tail = F.regexp_replace("file", "^[a-z]+:/+", "/")
     base = root.split(":", 1)[-1].rstrip("/")
     return raw.select(F.substring_index(tail, base + "/", -1).alias("path"), "value")
 

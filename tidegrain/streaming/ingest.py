@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegrain.schemas import LOAD_ISSUE, conform
 from tidegrain.sources import bronze
@@ -16,6 +17,7 @@ def ingest_available(spark: SparkSession, raw_root: str, store: TableStore, sour
     raw file whose sidecar comes later is an issue, as in batch loading.
     """
     stream = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(raw_root)
+    stream = stream.select("value", F.col("_metadata.file_path").alias("file"))
 
     def batch(df: DataFrame, _: int) -> None:
         new = bronze.with_path(df, raw_root).where("not endswith(path, '.meta.json')")
