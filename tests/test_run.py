@@ -166,3 +166,26 @@ def test_config_reports_all_problems(tmp_path):
     with pytest.raises(config.ConfigError) as e:
         config.load_mapping(str(m))
     assert len(e.value.problems) == 3
+
+
+def test_outages_and_run_history(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "unavailable"
+    snapshot(raw, 0)
+    out.mkdir()
+    (out / "a.json").write_text(json.dumps({"observed_at": T0.isoformat(), "source_url": "https://x", "run_id": "1", "http_status": 503}))
+    (out / "b.json").write_text("{}")
+    c = setup(spark, raw, tmp_path / "t")
+    c.outage_root = str(out)
+    c.pages = lambda n: {"workflow_runs": [{"id": 5, "run_attempt": 1, "run_started_at": T0.isoformat(), "html_url": "u"}]}
+    c.jobs = lambda i: {"jobs": [{"steps": [{"name": "fetch", "conclusion": "failure"}]}]}
+    for _ in range(2):
+        run.run_bronze(c)
+    assert [r["http_status"] for r in c.store.read("bronze_source_outages").collect()] == [503]
+    assert [r["failed_step"] for r in c.store.read("bronze_collect_runs").collect()] == ["fetch"]
+    c.pages = lambda n: 1 / 0
+    run.load_runs(c, say=lambda _: None)
+    assert c.store.read("bronze_collect_runs").count() == 1
+    c.pages = None
+    assert run.run(c) == 0
+    failed = {r["check"]: r["detail"] for r in c.store.read("quality_check_results").where("not passed").collect()}
+    assert failed["collect_failures"] == "fetch: 1" and failed["source_outages"].startswith("feed: 1 over 0")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidegrain import schemas as s
 from tidegrain.operators import calendar, checks, facility, facts, pricing, readings, register
-from tidegrain.sources import bronze
+from tidegrain.sources import bronze, collector
 from tidegrain.sources.store import TableStore
 
 STEP_ERRORS = (OSError, ValueError, RuntimeError, PySparkException)
@@ -29,6 +29,9 @@ class Setup:
     raw_root: str
     feed: str = "feed"
     register_root: str | None = None
+    outage_root: str | None = None
+    pages: Callable | None = None  # of the collector's run history: pages(number), jobs(run)
+    jobs: Callable | None = None
     register: str = "register"
     spec: readings.FeedSpec = readings.FeedSpec()
     mapping: list = field(default_factory=list)
@@ -51,6 +54,27 @@ def run_bronze(c: Setup) -> None:
     bronze.load(c.store, c.raw_root, c.feed, f"bronze_{c.feed}")
     if c.register_root:
         bronze.load(c.store, c.register_root, c.register, f"bronze_{c.register}")
+    if c.outage_root:
+        found, _ = bronze.outages(bronze.text_files(c.store.spark, c.outage_root), c.feed)
+        c.store.insert_if_new("bronze_source_outages", found, ["source_id", "raw_file"])
+    if c.pages:
+        load_runs(c)
+
+
+RUNS = s.schema("run_id bigint, run_attempt int, started_at timestamp, failed_step string, url string")
+
+
+def load_runs(c: Setup, say: Callable[[str], None] = print) -> None:
+    """The collector's failed runs. An error of the history's server keeps the table as it was and never ends the run."""
+    st = c.store
+    known = {r["run_id"]: r["failed_step"] for r in st.read_or_empty("bronze_collect_runs", RUNS).collect()}  # failed runs: a few a month
+    try:
+        rows = [(r["run_id"], r["run_attempt"], r["started_at"], r["failed_step"], r["url"]) for r in collector.failed_runs(c.pages, c.jobs, known)]
+    except Exception as e:  # whatever a transport raises
+        say(f"run history not read: {e}")
+        return
+    df = st.spark.createDataFrame(rows, "run_id long, run_attempt int, started_at string, failed_step string, url string")
+    st.overwrite("bronze_collect_runs", s.conform(df.withColumn("started_at", F.try_to_timestamp("started_at")), RUNS))
 
 
 def run_silver(c: Setup, rebuild: bool = False) -> None:
@@ -105,7 +129,7 @@ def run_quality(c: Setup) -> bool:
         "bronze": bronze.widen(raw, sorted(names)), "issues": st.read_or_empty(f"bronze_{c.feed}_load_issues", s.LOAD_ISSUE), "fetches": st.read("silver_parking_fetch"),
         "quarantine": st.read("silver_quarantine"), "snapshots": st.read("silver_snapshot_freshness"), "areas": st.read_or_empty("silver_parking_area", s.AREA), "mapping": c.mapping_frame(),
         "facilities": st.read("dim_parking_facility"), "availability": st.read("fact_parking_availability"), "hourly": st.read("fact_parking_hourly"),
-        "runs": st.read_or_empty("bronze_collect_runs", s.schema("failed_step string, started_at timestamp")), "outages": st.read_or_empty("bronze_source_outages", s.OUTAGE),
+        "runs": st.read_or_empty("bronze_collect_runs", RUNS), "outages": st.read_or_empty("bronze_source_outages", s.OUTAGE),
     }
     st.append("quality_check_results", checks.run_checks(t, c.spec.fields, bronze.META, c.spec.count, c.box))
     r = st.read("quality_check_results")
