@@ -12,8 +12,9 @@ window, whose first place is the interval's minimum. Matching statistics of at l
 as intervals of words.
 
 Anchors that very many places share (a passage in a third of all texts, a repeated word pair) would make one shard of
-one key: their segments are cut into single windows, dealt by the window's own hash. Equal segments come sorted by place
-and only the first is held, so a segment or window of any number of places is read in a stream.
+one key: their segments are cut into single windows, dealt by the window's own hash. Of equal segments or windows each
+task sends its first place only; they arrive sorted by place and only the first is held, so one that stands in any
+number of places makes a row for each task.
 
 A word is removed if a window that covers it also starts earlier: in a smaller doc_id (nulls last, then by a hash of the
 text, for rows that share an id) or earlier in the same document. Windows are judged on the input. Equal rows (same id
@@ -35,7 +36,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tidegrain.llm.common import WordHash, docs_of, grams, strings
 
-WINDOW, GRAM, HEAVY, SHARD, SEEN = 20, 6, 1024, 400_000, 400_000
+WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 400_000, 300_000
 NO_ID = 2**63 - 1
 
 
@@ -136,16 +137,39 @@ def packed(docs: DataFrame) -> DataFrame:
 
 
 def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows (key, name, text, doc, k, start, n): segments of documents' repeated anchors, with n windows each; name is a
-    128-bit hash of the text, which comes with one of a task's equal segments at least."""
+    """Rows (key, name, text, doc, k, start, n): segments of documents' repeated anchors, with n windows each.
+
+    name is a 128-bit hash of the text. Of equal segments that a task holds at one time (CHUNK at most) only the first place
+    goes on with its text. The others are late whatever comes: their windows go out as merged spans, with no name and
+    with a key that spreads them.
+    """
     j = packed(docs).join(marks, "k").select("doc", "k", "text", "at")
     names = ["key", "name", "text", "doc", "k", "start", "n"]
     kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches):
-        w, seen, unzip = WordHash(), set(), zstandard.ZstdDecompressor()
+        w, unzip = WordHash(), zstandard.ZstdDecompressor()
+        first_of: dict[bytes, tuple] = {}  # name: place, key, n, text
+        late: list[tuple] = []  # k, start, n
+
+        def out():
+            rows = [(key, name, text, *place, n) for name, (place, key, n, text) in first_of.items()]
+            late.sort()
+            now = None
+            for k, s, n in late:
+                if now and now[0] == k and s <= now[1] + now[2]:
+                    now[2] = max(now[2], s + n - now[1])
+                else:
+                    if now:
+                        rows.append((now[0], None, None, 0, *now))
+                    now = [k, s, n]
+            if now:
+                rows.append((now[0], None, None, 0, *now))
+            first_of.clear()
+            late.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True) if rows else [()] * 7, kinds, strict=True)], names=names)
+
         for b in batches:
-            rows, room = [], 0
             for d, k, t, at in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 words = unzip.decompress(t).split()
                 h, first, count = (x.tolist() for x in runs(w.of(words)))
@@ -155,20 +179,17 @@ def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
                     for f, n in ((s + o, 1) for o in range(c)) if hard else ((s, c),):
                         text = b" ".join(words[f : f + n + WINDOW - 1])
                         name = xxhash.xxh3_128_digest(text)
-                        key = int.from_bytes(name[:8], "little", signed=True) if hard else h[i]
-                        if name in seen:
-                            text = None
-                        else:
-                            if len(seen) >= SEEN:
-                                seen.clear()
-                            seen.add(name)
-                            room += len(text)
-                        rows.append((key, name, text, d, k, f, n))
-                if room > 4_000_000 or len(rows) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                    rows, room = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                        place, old = (d, k, f), first_of.get(name)
+                        if old is None:
+                            first_of[name] = (place, int.from_bytes(name[:8], "little", signed=True) if hard else h[i], n, text)
+                        elif place < old[0]:
+                            first_of[name] = (place, *old[1:])
+                            late.append((*old[0][1:], n))
+                        elif place != old[0]:
+                            late.append((k, f, n))
+                if len(first_of) + len(late) > CHUNK:
+                    yield out()
+        yield out()
 
     return j.mapInArrow(run, "key long, name binary, text binary, doc long, k long, start long, n long")
 
@@ -306,7 +327,7 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
     """Rows (k, a, b): spans of windows (first and last start) of document k that also start earlier.
 
     Segments come sorted by key, name and place, so the first row of a name is its first place; every later one is late
-    as a whole, and goes out at once. Only distinct segments are held, up to ``size`` words of whole keys, and indexed.
+    as a whole, and goes out at once, as do spans without a name. Only distinct segments are held, up to ``size`` words of whole keys, and indexed.
     """
 
     def out(rows):
@@ -324,6 +345,9 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
         held, room, own, key, name, rows = [], 0, [], None, None, []
         for b in batches:
             for key_, name_, text, doc, k, start, n in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
+                if name_ is None:
+                    rows.append((k, start, start + n - 1))
+                    continue
                 if key_ != key:
                     if len(own) > 1:
                         held += own
@@ -336,8 +360,6 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
                     own.append([doc, k, start, text])
                     name = name_
                     continue
-                if own[-1][3] is None:
-                    own[-1][3] = text
                 if (doc, k, start) != tuple(own[-1][:3]):
                     rows.append((k, start, start + n - 1))
             yield out(rows)
