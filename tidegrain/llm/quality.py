@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidegrain.llm.common import docs_of
 
-#: Documents that the scorer is fitted on, at most; a documented bound, everything else covers all documents.
+#: Documents that the scorer is fitted on, about so many and twice as many at most; everything else covers all documents.
 SAMPLE = 6000
 BITS, SEED = 12, 7
 #: Signs that running text hardly has.
@@ -33,7 +33,7 @@ ODD = frozenset(b"#$%&*+<=>@[\\]^_`{|}~")
 class Reader:
     """Statistics and hashed features of texts; what depends on a word alone is held per word, up to a limit."""
 
-    LIMIT = 800_000
+    LIMIT = 500_000
 
     def __init__(self):
         self.held: dict[bytes, tuple] = {}
@@ -95,16 +95,16 @@ def votes(s: np.ndarray) -> list[int]:
         return [0] * 9 + [-1]
     pick = lambda x, good, bad: 1 if x <= good else -1 if x >= bad else 0
     return [
-        pick(caps, 0.12, 0.4),  # shouting
+        pick(caps, 0.12, 0.4) if n > 4 else 0,  # shouting
         pick(odd, 0.006, 0.03),  # odd signs
         pick(doubled, 0.01, 0.15),  # words that end in a doubled sign
         pick(same, 0.03, 0.15),  # one word again and again
-        pick(again, 0.05, 0.3) if n > 30 else 0,  # lines again and again
+        pick(again, 0.05, 0.3) if n > 60 else 0,  # lines again and again
         pick(-distinct, -0.45, -0.2) if n < 2000 else pick(-distinct, -0.3, -0.05),  # few different words
         0 if n < 30 else pick(abs(stops - 0.09), 0.085, 0.3),  # sentences of usual length
-        pick(top, 0.15, 0.5),  # three words in a row again and again
-        pick(caps + 10 * odd + same + again, 0.15, 0.5),  # all of these together
-        pick(-n, -10, -3),  # too short
+        pick(top, 0.15, 0.5) if n > 60 else 0,  # three words in a row again and again
+        pick(caps + 10 * odd + same + (again if n > 60 else 0), 0.15, 0.5) if n > 4 else 0,  # all of these together
+        pick(-n, -10, 0),  # long enough to tell; a text without words is bad
     ]
 
 
@@ -162,10 +162,10 @@ def inputs(stats: np.ndarray, feats: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 2.0, ridge: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels by gradient descent with momentum."""
-    w, speed = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    w, speed = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        speed = 0.9 * speed - rate * (x.T @ (p - y) / len(y) + ridge * w)
+        speed = np.float32(0.9) * speed - np.float32(rate) * (x.T @ (p - y) / np.float32(len(y)) + np.float32(ridge) * w)
         w = w + speed
     return w
 
@@ -197,16 +197,20 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
 
     d = docs_of(docs)
     if n > sample:
-        # about twice as many as wanted pass the hash; the smallest hashes are kept
-        d = d.where(F.pmod(F.xxhash64(F.col("k"), F.lit(SEED)), F.lit(2**40)) < F.lit(int(2**40 * min(1.0, 1.2 * sample / n))))
+        d = d.where(F.pmod(F.xxhash64(F.col("k"), F.lit(SEED)), F.lit(2**40)) < F.lit(int(2**40 * min(1.0, sample / n))))
     own = d.select("text").mapInArrow(run, "p int, s array<double>, i array<int>, f array<float>").limit(2 * sample).collect()
     if not own:
         return np.zeros((1 << BITS) + 10)
     own = sorted(own, key=lambda r: (r[0], r[1], r[2]))  # one order, so that sums are the same on each run
-    x = np.zeros((len(own), 1 << BITS), np.float32)
+    cols = sorted({i for r in own for i in r[2]})  # shapes that occur, a few hundred
+    place = {c: j for j, c in enumerate(cols)}
+    x = np.zeros((len(own), len(cols)), np.float32)
     for k, r in enumerate(own):
-        x[k, r[2]] = r[3]
-    return fit(inputs(np.array([r[1] for r in own]), x).astype(np.float32), np.array([good[r[0]] for r in own]))
+        x[k, [place[i] for i in r[2]]] = r[3]
+    w = fit(inputs(np.array([r[1] for r in own], np.float32), x), np.array([good[r[0]] for r in own], np.float32))
+    out = np.zeros((1 << BITS) + 10)
+    out[cols], out[1 << BITS :] = w[: len(cols)], w[len(cols) :]
+    return out
 
 
 def scores(texts: list[str | None], r: Reader, w: np.ndarray) -> list[float]:
