@@ -40,7 +40,7 @@ def byte_alphabet() -> dict[str, int]:
 class TrieBPE:
     """Encoder and decoder of one vocabulary file; both directions agree with the file's own library."""
 
-    WORD_LIMIT = 1_000_000
+    HELD, SEAMS = 350_000, 200_000  # pieces whose encodings are held, pairs of tokens that are known to stand or not
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
@@ -63,7 +63,6 @@ class TrieBPE:
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.size = {i: len(b) for i, b in self.bytes.items()}
         self.beside: dict[int, bool] = {}
-        self.word_ids: dict[str, tuple[int, ...]] = {}
         self.chunk_ids: dict[str, tuple[int, ...]] = {}
 
     # --- last-token states
@@ -88,14 +87,16 @@ class TrieBPE:
             else:  # it starts left of the one that made b and wins a tie
                 until, tie, b = rb, True, parts[b][0]
 
-    def encode_words(self, words: list[str]) -> None:
-        """Adds the encodings of words to word_ids.
+    def encode_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+        """The encodings of words.
 
         The sorted words are the path-compressed trie in depth-first order: a word branches off the path to the word
         before it where the two first differ, and only the edge below the branch gets new states. A state is the last
         token of the path so far, with the length of the longest tail that begins some token.
         """
-        ids, heads, beside, stands, out = self.ids, self.heads, self.beside, self.stands, self.word_ids
+        ids, heads, beside, stands, out = self.ids, self.heads, self.beside, self.stands, {}
+        if len(beside) > self.SEAMS:
+            beside.clear()
         states, reaches, path = [0], [0], b""
         for raw, word in sorted((w.encode("utf-8", "surrogatepass"), w) for w in words):
             depth, most = 0, min(len(raw), len(path))
@@ -127,6 +128,7 @@ class TrieBPE:
                 tokens.append(states[n])
                 n -= size[states[n]]
             out[word] = tuple(reversed(tokens))
+        return out
 
     # --- texts
 
@@ -141,21 +143,17 @@ class TrieBPE:
 
     def learn(self, chunks: list[str], into: dict[str, tuple[int, ...]], before: str) -> None:
         """Adds to into the encodings of chunks that stand behind before."""
-        if len(self.word_ids) > self.WORD_LIMIT:
-            self.word_ids.clear()
-        known = self.word_ids
         split = [WORDS.findall(before + c) for c in chunks]
-        if new := {w for ws in split for w in ws if w not in known}:
-            self.encode_words(new)
+        of = self.encode_words({w for ws in split for w in ws})
         for c, ws in zip(chunks, split, strict=True):
-            into[c] = known[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(known.__getitem__, ws)))
+            into[c] = of[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(of.__getitem__, ws)))
 
     def encode_plain(self, texts: list[str]) -> list[list[int]]:
         """Encodings of texts without special tokens; their unknown chunks go into one trie."""
         own = [self.chunks(t) for t in texts]
         known = self.chunk_ids
         if missing := {c for _, cs in own for c in cs if c not in known}:
-            if len(known) + len(missing) > self.WORD_LIMIT:
+            if len(known) + len(missing) > self.HELD:
                 known.clear()
                 missing = {c for _, cs in own for c in cs}
             self.learn(list(missing), known, " ")
@@ -176,7 +174,7 @@ class TrieBPE:
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
-    def stream(self, texts: list[str | None], room: int = 4_000_000):
+    def stream(self, texts: list[str | None], room: int = 2_000_000):
         """Encodings of texts, some million characters at a time; null counts as empty."""
         some, size = [], 0
         for t in texts:

@@ -74,7 +74,7 @@ def docs_of(docs: DataFrame) -> DataFrame:
 class WordHash(dict):
     """64-bit hashes of words; starts anew when LIMIT words are held, so its memory is bounded."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, w: bytes) -> int:
         if len(self) >= self.LIMIT:

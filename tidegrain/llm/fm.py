@@ -36,7 +36,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tidegrain.llm.common import WordHash, docs_of, grams, strings
 
-WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 400_000, 300_000
+WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 400_000, 100_000
 NO_ID = 2**63 - 1
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tidegrain.llm.common import LOWER, WordHash, components, docs_of, grams, save
 
 WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
-SEEN, COUNTED = 1_000_000, 3_000_000  # names and prefix elements that a task holds
+SEEN, COUNTED = 300_000, 2_000_000  # names and prefix elements that a task holds
 FOLD, MOST_BITS = 1024, 2**16  # bits of the sketch that joins compare, and of the largest
 
 

@@ -33,7 +33,7 @@ ODD = frozenset(b"#$%&*+<=>@[\\]^_`{|}~")
 class Reader:
     """Statistics and hashed features of texts; what depends on a word alone is held per word, up to a limit."""
 
-    LIMIT = 500_000
+    LIMIT = 300_000
 
     def __init__(self):
         self.held: dict[bytes, tuple] = {}

@@ -254,7 +254,7 @@ class Encoder:
     of its pieces in a row.
     """
 
-    LIMIT = 500_000
+    LIMIT = 350_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
