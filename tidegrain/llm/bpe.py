@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrain.llm.common import tidied
+
 # Fixed value: the word pattern of byte-level BPE tokenizers.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -208,7 +210,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(c.stream(b.column(1).to_pylist())), pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     d = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return d.mapInArrow(run, "doc_id long, ids array<int>")
+    return d.mapInArrow(tidied(run), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -219,7 +221,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.decode(x or []) for x in b.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
-    return encoded.select(F.col("doc_id").cast("long"), F.col("ids")).mapInArrow(run, "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long"), F.col("ids")).mapInArrow(tidied(run), "doc_id long, text string")
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
@@ -237,4 +239,4 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(one), pa.array(two)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     d = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return d.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return d.mapInArrow(tidied(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

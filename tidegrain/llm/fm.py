@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidegrain.llm.common import WordHash, docs_of, grams, strings
+from tidegrain.llm.common import WordHash, docs_of, grams, strings, tidied
 
 WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 400_000, 100_000
 NO_ID = 2**63 - 1
@@ -79,7 +79,7 @@ def anchors(docs: DataFrame) -> DataFrame:
             if hs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hs, ks, at)], names=["h", "k", "at"])
 
-    return docs.select("k", "text").mapInArrow(run, "h long, k long, at int")
+    return docs.select("k", "text").mapInArrow(tidied(run), "h long, k long, at int")
 
 
 def repeated(docs: DataFrame, heavy: int) -> DataFrame:
@@ -118,7 +118,7 @@ def repeated(docs: DataFrame, heavy: int) -> DataFrame:
             yield out(k[more], at[more], size[more] > heavy)
 
     dealt = anchors(docs).repartition("h").sortWithinPartitions("h")
-    return dealt.mapInArrow(run, "k long, at int").groupBy("k").agg(F.collect_set("at").alias("at"))
+    return dealt.mapInArrow(tidied(run), "k long, at int").groupBy("k").agg(F.collect_set("at").alias("at"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
 
     schema = StructType([f if f.name != "text" else StructField("text", BinaryType()) for f in docs.schema])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
                     yield out()
         yield out()
 
-    return j.mapInArrow(run, "key long, name binary, text binary, doc long, k long, start long, n long")
+    return j.mapInArrow(tidied(run), "key long, name binary, text binary, doc long, k long, start long, n long")
 
 
 # --- the index
@@ -370,7 +370,7 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
             yield out(list(indexed(held)))
 
     dealt = segs.repartition("key").sortWithinPartitions("key", "name", "doc", "k", "start")
-    return dealt.mapInArrow(run, "k long, a long, b long")
+    return dealt.mapInArrow(tidied(run), "k long, a long, b long")
 
 
 def repeats(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
@@ -417,7 +417,7 @@ def dedup(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
                 cols[chars] = pa.array([None if t is None and c is None else c if not g else len(t) for t, g, c in zip(text, gone, cols[chars].to_pylist(), strict=True)], pa.int64()).cast(cols[chars].type)
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*b.schema.names[:-1], "_n_words", "_n_removed"])
 
-    return j.mapInArrow(run, StructType.fromJson(schema).add("_n_words", "long").add("_n_removed", "long"))
+    return j.mapInArrow(tidied(run), StructType.fromJson(schema).add("_n_words", "long").add("_n_removed", "long"))
 
 
 def digest(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
@@ -429,4 +429,4 @@ def digest(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return dedup(own, heavy).select("doc_id", "_n_words", "_n_removed", "text").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return dedup(own, heavy).select("doc_id", "_n_words", "_n_removed", "text").mapInArrow(tidied(run), "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import LOWER, WordHash, components, docs_of, grams, save
+from tidegrain.llm.common import LOWER, WordHash, components, docs_of, grams, save, tidied
 
 WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
 SEEN, COUNTED = 300_000, 2_000_000  # names and prefix elements that a task holds
@@ -130,7 +130,7 @@ def named_sets(docs: DataFrame) -> DataFrame:
         if held:
             yield often()
 
-    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(run, "doc_id long, k long, sig long, n long, sketch binary, fold array<long>")
+    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(tidied(run), "doc_id long, k long, sig long, n long, sketch binary, fold array<long>")
 
 
 def postings(docs: DataFrame, boundary: int, last: np.ndarray) -> DataFrame:
@@ -170,7 +170,7 @@ def postings(docs: DataFrame, boundary: int, last: np.ndarray) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes))], names=["key", "sig", "nr"])
 
-    return docs_of(docs).select("text").mapInArrow(run, "key long, sig long, nr long")
+    return docs_of(docs).select("text").mapInArrow(tidied(run), "key long, sig long, nr long")
 
 
 def scan_lists(post: DataFrame, light: int = LIGHT) -> DataFrame:
@@ -234,7 +234,7 @@ def scan_lists(post: DataFrame, light: int = LIGHT) -> DataFrame:
         if len(held[0]):
             yield from pairs(*held)
 
-    return post.repartition("key").sortWithinPartitions("key", "sig").mapInArrow(run, "key long, a long, b long, nr long")
+    return post.repartition("key").sortWithinPartitions("key", "sig").mapInArrow(tidied(run), "key long, a long, b long, nr long")
 
 
 def compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "inter", "total"])
 
     dealt = first.unionByName(second).repartition("a", "slot").sortWithinPartitions("a", "slot", F.col("b").asc_nulls_first())
-    return dealt.select("a", "b", "text").mapInArrow(run, "a long, b long, inter long, total long")
+    return dealt.select("a", "b", "text").mapInArrow(tidied(run), "a long, b long, inter long, total long")
 
 
 def prune(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -284,7 +284,7 @@ def prune(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(out, pa.int64()), x.column(2)], names=["a", "b", "differ", "size"])
 
     j = pairs.join(one, "a").join(two, "b").select("a", "b", (F.col("na") + F.col("nb")).alias("size"), "sa", "sb")
-    return j.mapInArrow(run, "a long, b long, differ long, size long")
+    return j.mapInArrow(tidied(run), "a long, b long, differ long, size long")
 
 
 def least_first(pairs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import docs_of
+from tidegrain.llm.common import docs_of, tidied
 
 #: Documents that the scorer is fitted on, about so many and twice as many at most; everything else covers all documents.
 SAMPLE = 6000
@@ -178,7 +178,7 @@ def posteriors(docs: DataFrame) -> tuple[dict[int, float], np.ndarray, int]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([pattern(votes(r.read(t)[0])) for t in b.column(0).to_pylist()], pa.int32())], names=["p"])
 
-    rows = docs_of(docs).select("text").mapInArrow(run, "p int").groupBy("p").count().collect()
+    rows = docs_of(docs).select("text").mapInArrow(tidied(run), "p int").groupBy("p").count().collect()
     counts = {r[0]: r[1] for r in rows}
     return *expectation_maximisation(counts), sum(counts.values())
 
@@ -198,7 +198,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     d = docs_of(docs)
     if n > sample:
         d = d.where(F.pmod(F.xxhash64(F.col("k"), F.lit(SEED)), F.lit(2**40)) < F.lit(int(2**40 * min(1.0, sample / n))))
-    own = d.select("text").mapInArrow(run, "p int, s array<double>, i array<int>, f array<float>").limit(2 * sample).collect()
+    own = d.select("text").mapInArrow(tidied(run), "p int, s array<double>, i array<int>, f array<float>").limit(2 * sample).collect()
     if not own:
         return np.zeros((1 << BITS) + 10)
     own = sorted(own, key=lambda r: (r[0], r[1], r[2]))  # one order, so that sums are the same on each run
@@ -231,7 +231,7 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataF
             out = scores(b.column(1).to_pylist(), r, weights)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64()), pa.array([x >= threshold for x in out], pa.bool_())], names=["doc_id", "score", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, score double, kept boolean")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(tidied(run), "doc_id long, score double, kept boolean")
 
 
 def kept(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
@@ -243,7 +243,7 @@ def kept(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataF
         for b in batches:
             yield b.filter(pa.array([x >= threshold for x in scores(b.column(at).to_pylist(), r, weights)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def classify(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
