@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import tidied
+from tidegrain.llm.common import HELD, tidied
 
 # Fixed value: the word pattern of byte-level BPE tokenizers.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -42,7 +42,7 @@ def byte_alphabet() -> dict[str, int]:
 class TrieBPE:
     """Encoder and decoder of one vocabulary file; both directions agree with the file's own library."""
 
-    HELD, SEAMS = 350_000, 200_000  # pieces whose encodings are held, pairs of tokens that are known to stand or not
+    WORD_LIMIT, SEAMS = 1_000_000, 300_000  # words, and pieces, whose encodings are held; pairs of tokens known to stand or not
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
@@ -65,6 +65,7 @@ class TrieBPE:
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.size = {i: len(b) for i, b in self.bytes.items()}
         self.beside: dict[int, bool] = {}
+        self.word_ids: dict[str, tuple[int, ...]] = {}
         self.chunk_ids: dict[str, tuple[int, ...]] = {}
 
     # --- last-token states
@@ -89,14 +90,14 @@ class TrieBPE:
             else:  # it starts left of the one that made b and wins a tie
                 until, tie, b = rb, True, parts[b][0]
 
-    def encode_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """The encodings of words.
+    def encode_words(self, words: list[str]) -> None:
+        """Adds the encodings of words to word_ids.
 
         The sorted words are the path-compressed trie in depth-first order: a word branches off the path to the word
         before it where the two first differ, and only the edge below the branch gets new states. A state is the last
         token of the path so far, with the length of the longest tail that begins some token.
         """
-        ids, heads, beside, stands, out = self.ids, self.heads, self.beside, self.stands, {}
+        ids, heads, beside, stands, out = self.ids, self.heads, self.beside, self.stands, self.word_ids
         if len(beside) > self.SEAMS:
             beside.clear()
         states, reaches, path = [0], [0], b""
@@ -130,7 +131,6 @@ class TrieBPE:
                 tokens.append(states[n])
                 n -= size[states[n]]
             out[word] = tuple(reversed(tokens))
-        return out
 
     # --- texts
 
@@ -145,17 +145,21 @@ class TrieBPE:
 
     def learn(self, chunks: list[str], into: dict[str, tuple[int, ...]], before: str) -> None:
         """Adds to into the encodings of chunks that stand behind before."""
+        if len(self.word_ids) > self.WORD_LIMIT:
+            self.word_ids.clear()
+        known = self.word_ids
         split = [WORDS.findall(before + c) for c in chunks]
-        of = self.encode_words({w for ws in split for w in ws})
+        if new := {w for ws in split for w in ws if w not in known}:
+            self.encode_words(new)
         for c, ws in zip(chunks, split, strict=True):
-            into[c] = of[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(of.__getitem__, ws)))
+            into[c] = known[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(known.__getitem__, ws)))
 
     def encode_plain(self, texts: list[str]) -> list[list[int]]:
         """Encodings of texts without special tokens; their unknown chunks go into one trie."""
         own = [self.chunks(t) for t in texts]
         known = self.chunk_ids
         if missing := {c for _, cs in own for c in cs if c not in known}:
-            if len(known) + len(missing) > self.HELD:
+            if len(known) + len(missing) > self.WORD_LIMIT:
                 known.clear()
                 missing = {c for _, cs in own for c in cs}
             self.learn(list(missing), known, " ")
@@ -176,7 +180,7 @@ class TrieBPE:
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
-    def stream(self, texts: list[str | None], room: int = 2_000_000):
+    def stream(self, texts: list[str | None], room: int = 4_000_000):
         """Encodings of texts, some million characters at a time; null counts as empty."""
         some, size = [], 0
         for t in texts:
@@ -191,14 +195,12 @@ class TrieBPE:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_HELD: dict[str, TrieBPE] = {}
-
-
 def codec(path: str) -> TrieBPE:
-    """One codec for each Python worker and file."""
-    if path not in _HELD:
-        _HELD[path] = TrieBPE(path)
-    return _HELD[path]
+    """One codec for each Python worker and file, held until a task of another operator comes."""
+    held = HELD.setdefault("bpe", {})
+    if path not in held:
+        held[path] = TrieBPE(path)
+    return held[path]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -210,7 +212,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(c.stream(b.column(1).to_pylist())), pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     d = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return d.mapInArrow(tidied(run), "doc_id long, ids array<int>")
+    return d.mapInArrow(tidied(run, "bpe"), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -221,7 +223,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.decode(x or []) for x in b.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
-    return encoded.select(F.col("doc_id").cast("long"), F.col("ids")).mapInArrow(tidied(run), "doc_id long, text string")
+    return encoded.select(F.col("doc_id").cast("long"), F.col("ids")).mapInArrow(tidied(run, "bpe"), "doc_id long, text string")
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
@@ -239,4 +241,4 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(one), pa.array(two)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     d = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    return d.mapInArrow(tidied(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return d.mapInArrow(tidied(run, "bpe"), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -110,16 +110,31 @@ def grams(a: np.ndarray, k: int) -> np.ndarray:
     return mix(s)
 
 
-def tidied(run):
-    """run, with the memory that it freed handed back to the system at the end of each task: workers live on between stages."""
+#: What a Python worker holds between tasks, by operator.
+HELD: dict[str, dict] = {}
+
+
+def forget(own: str) -> None:
+    for name in set(HELD) - {own}:
+        del HELD[name]
+
+
+def hand_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidied(run, own: str = ""):
+    """run, on a worker that holds nothing of other operators, and with the memory that it freed handed back at the end of
+    each task: workers live on between stages. (forget() is called by name: a nested function would get a copy of HELD.)"""
 
     def inner(batches):
+        forget(own)
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-        if trim:
-            trim(0)
+        hand_back()
 
     return inner
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import LOWER, parts, save
+from tidegrain.llm.common import HELD, LOWER, parts, save, tidied
 
 BLOCK, BUFFER, MAGIC = 2048, 2048 * 4096, b"TGTF1\0"
 SLOTS_BITS = 10  # of each long order's table
@@ -301,14 +301,12 @@ class Encoder:
         return self.encode_all([text])[0]
 
 
-_HELD: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder, with what it has learnt, for each Python worker and file."""
-    if path not in _HELD:
-        _HELD[path] = Encoder(path)
-    return _HELD[path]
+    held = HELD.setdefault("tokenfile", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 def write(docs: DataFrame, path: str, end: int = 1) -> DataFrame:
@@ -352,7 +350,7 @@ def write(docs: DataFrame, path: str, end: int = 1) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("th")]
     d = d.repartitionByRange(parts(docs.sparkSession), *order).sortWithinPartitions(*order).select("doc_id", "text")
-    return save(d.mapInArrow(run, "part int, seq long, n_ids long, payload binary"), "tokens")
+    return save(d.mapInArrow(tidied(run, "tokenfile"), "part int, seq long, n_ids long, payload binary"), "tokens")
 
 
 def read(files: DataFrame) -> DataFrame:
