@@ -154,6 +154,22 @@ def test_html():
     assert html.main_text("just text") == "just text"
 
 
+def test_html_density_chooses():
+    p = lambda word, n: f"<p>{word} " + "and more of the text, " * n + f"end{word}.</p>"
+    several = "<body><nav><a href=/>Home</a></nav><div>" + "".join(f"<article><h2>Title{i}</h2>{p(f'one{i}', 9)}{p(f'two{i}', 9 + i)}{p(f'three{i}', 5)}</article>" for i in range(4)) + "</div><div><a href=x>elsewhere</a> <a href=y>more</a></div></body>"
+    got = html.main_text(several)
+    assert all(f"{w}{i}" in got for i in range(4) for w in ("Title", "one", "two", "endthree"))
+    nested = html.main_text(several.replace("</h2>", "</h2><div>").replace("</article>", "</div></article>"))
+    assert nested.split() == got.split()
+    mixed = "<body><article>" + p("first", 40) * 8 + "</article><article>" + p("second", 3) + "</article><div><a href=x>elsewhere</a></div></body>"
+    assert "endsecond" in html.main_text(mixed) and "elsewhere" not in html.main_text(mixed)
+    cards = "".join(f"<article><a href=/{i}>Teaser {i} of another story</a></article>" for i in range(5))
+    story = html.main_text("<body><div id=story><h1>Head</h1>" + "".join(p(f"s{i}", 10) for i in range(8)) + f"</div><section>{cards}</section></body>")
+    assert story.startswith("Head s0") and story.endswith("ends7.") and "Teaser" not in story
+    parts = html.main_text("<body><main><h1>Head</h1><section>" + p("a", 9) * 5 + "</section><section>" + p("b", 9) * 4 + "</section></main><div><a href=x>elsewhere</a></div></body>")
+    assert parts.startswith("Head a") and parts.endswith("endb.")
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, None), (1, "u", "<p>a</p>"), (None, "v", "x" * 100000)], "page_id long, url string, html string")
     got = sorted(((r["page_id"] or 0, r["n_chars"], len(r["text"])) for r in html.extract(df.withColumn("text", F.lit(1))).collect()))

@@ -1,11 +1,13 @@
 """Main-text extraction by composite text density.
 
-Every DOM node gets a density: its characters per tag, scaled down by its share of link characters (all tags beneath
-a node count, link tags count as link characters' carriers). A node's density sum is the sum of its children's
-densities. The path from body to the node of the largest sum gives the threshold, the smallest density on that path;
-the subtree of the largest sum among nodes over the threshold is the article. Elements that cannot be article text
-(scripts, styles, forms, navigation, headers, footers, asides, and blocks whose class, id or role names a menu, notice,
-advert, sidebar or comments) are left out while the tree is built, so they add to no density.
+Every DOM node gets a density: its characters per tag, scaled down by its share of link characters (all tags beneath a
+node count, link tags count as link characters' carriers). A node's density sum is the sum of its children's densities;
+on every page the node of the largest sum is the article, and an article or main tag only breaks ties. The smallest
+density on the path from body to that node is the threshold: blocks beside the path that reach it belong to the text, as
+do headings among them and, where the path goes through an <article>, sibling articles that aren't mostly links.
+Elements that cannot be article text (scripts, styles, forms, navigation, headers, footers, asides, and blocks whose
+class, id or role names a menu, notice, advert, sidebar or comments) are left out while the tree is built, so they add
+to no density.
 
 Results: a null or empty page, or one without text, gives an empty string and 0 characters; long pages are read whole;
 unclosed and misnested tags are closed by their parents; repeated rows give repeated results; extra columns are left out.
@@ -36,6 +38,8 @@ FURNITURE = re.compile(
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOUNDS = frozenset("ul ol dl table tbody thead tfoot body article section div main".split())
 ENDS_P = BLOCK - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"}
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+INNER = HEADING | frozenset("p blockquote pre li ul ol td tr tbody table br".split())
 FORMATTING = frozenset("a b i em strong u s span small big font code tt sub sup mark q cite abbr".split())
 
 
@@ -175,29 +179,37 @@ def weigh(root: Node) -> list[Node]:
     return nodes
 
 
-def main_node(root: Node) -> Node:
+def main_nodes(root: Node) -> list[Node]:
+    """The subtree of the largest density sum, and what belongs to it beside it and its parents, in page order."""
     nodes = weigh(root)
     body = next((x for x in nodes if x.tag == "body"), root)
     inside = order(body)
-    named = [x for x in inside if x.tag in ("article", "main")]
-    # A page that names its article limits the search to the largest such element.
-    if named:
-        body = max(named, key=lambda x: (x.chars, -x.tags))
-        inside = order(body)
-    best = max(inside, key=lambda x: x.total)
+    # An article or main tag breaks ties only.
+    best = max(inside, key=lambda x: (x.total, x.tag in ("article", "main")))
     threshold, x = best.dens, best
     while x is not body and x is not None:
         x = x.parent
         if x is not None:
             threshold = min(threshold, x.dens)
-    over = [x for x in inside if x.dens >= threshold]
-    best = max(over, key=lambda x: x.total) if over else best
     # Inline and paragraph-level winners stand for the block that holds their siblings.
-    while best is not body and best.parent is not None and (best.tag in FORMATTING or best.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "li", "ul", "ol", "td", "tr", "tbody", "table", "br")):
+    while best is not body and best.parent is not None and (best.tag in FORMATTING or best.tag in INNER):
         best = best.parent
-    if named and best is not body:
-        best = body
-    return best
+    # A story may be dealt over several blocks: beside the winner, and beside each node that holds it.
+    parts = [best]
+    while best is not body and best.parent is not None:
+        beside = [k for k in best.parent.kids if isinstance(k, Node)]
+        at = beside.index(best)
+        keep = [i == at or belongs(k, best, threshold) for i, k in enumerate(beside)]
+        last = max(i for i, yes in enumerate(keep) if yes)
+        keep = [yes or i < last and k.tag in HEADING for i, (k, yes) in enumerate(zip(beside, keep, strict=True))]
+        parts = [k for k, yes in zip(beside[:at], keep, strict=False) if yes] + parts + [k for k, yes in zip(beside[at + 1 :], keep[at + 1 :], strict=True) if yes]
+        best = best.parent
+    return parts
+
+
+def belongs(x: Node, best: Node, threshold: float) -> bool:
+    """A block beside the text that is as dense, or an article beside an article that isn't mostly links."""
+    return x.chars > 0 and (x.dens >= threshold or x.tag == best.tag == "article" and 2 * x.links <= x.chars)
 
 
 def text_of(node: Node) -> str:
@@ -223,7 +235,7 @@ def text_of(node: Node) -> str:
 
 
 def main_text(page: str | None) -> str:
-    return text_of(main_node(parse(page))) if page else ""
+    return " ".join(t for x in main_nodes(parse(page)) if (t := text_of(x))) if page else ""
 
 
 def extract(pages: DataFrame) -> DataFrame:
