@@ -265,6 +265,27 @@ def test_mix(spark):
     assert "Python" not in mix.taken(df)._jdf.queryExecution().toString() and "Arrow" not in mix.mixed(df)._jdf.queryExecution().toString()
 
 
+def test_mix_small_sources_beside_a_huge_one(spark):
+    size = {"big": [4000] * 50, "mid": [300] * 10, "rare": [7, 5, 9], "one": [1], "tiny": [40, 20]}
+    rows = [(n, s) for s, sizes in size.items() for n in sizes]
+    df = frame(spark, [" ".join(["w"] * n) for n, _ in rows], [s for _, s in rows])
+    plan = {"big": "zz", "mid": "yy"}
+    for name in (lambda s: s, lambda s: plan.get(s, s), lambda s: s[::-1]):  # in several orders, so at several places
+        named = df.withColumn("source", F.create_map(*[F.lit(x) for s in size for x in (s, name(s))])[F.col("source")])
+        got = mix.taken(named, 2**9).collect()  # blocks of 597 words
+        per = {}
+        for r in got:
+            s = rows[r["doc_id"]][1]
+            per[s] = per.get(s, 0) + r["taken"]
+            assert 0 <= r["taken"] <= 2 * r["size"] and r["source_size"] == sum(size[s])
+        target = {rows[r["doc_id"]][1]: r["target"] for r in got}
+        assert [per[s] for s in ("rare", "one", "tiny", "mid")] == [round(target[s]) for s in ("rare", "one", "tiny", "mid")]
+        assert abs(per["big"] - target["big"]) <= 5 * 597
+        assert sum(len(WORD.findall(r["text"])) for r in mix.mixed(named, 2**9).collect()) == sum(per.values())
+    slots = [r["slot"] for r in mix.pieces(df, 2**9).where("source = 'mid' and slot is not null").select("slot").distinct().collect()]
+    assert len(slots) > 200 and min(slots) < 10 and max(slots) > 500
+
+
 # --- op7
 
 

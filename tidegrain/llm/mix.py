@@ -5,6 +5,10 @@ shares of the sources: each stretch of slots then holds every source in proporti
 within their source, and the k-th slot of a source takes the k-th block of that source's stream: its documents in a
 shuffled order (by a hash of the id), laid end to end twice and cut into blocks of equal numbers of words.
 
+A source whose target is under FINE blocks, so that a few points more or less would miss it, isn't dealt by the points: its
+own blocks are a part of 1/FINE of its target (a word at least), its last block is cut at the target, and its slots are
+evenly spread, from a golden-ratio phase by source. The other sources' slots and blocks are as without it.
+
 Targets: the total is ``share`` times all sizes; it is dealt out by weight, no source above ``most`` times its size, and
 what a full source leaves is dealt to the rest by weight until none is above. Sources are in order of code points, null
 last, with weights repeating. Sizes count words [^\\x20\\x09-\\x0D]+ of the whole text.
@@ -22,6 +26,8 @@ from pyspark.sql import functions as F
 GOLDEN = 0.6180339887498949
 #: Slots of the schedule: a target is met within a few parts of this many.
 SLOTS = 2**18
+#: Sources below this many blocks of the schedule get blocks of their own size.
+FINE = 256
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -64,23 +70,38 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     return per.select("source", "source_size", "target", "total", "lo", F.when(last, F.lit(1.0)).otherwise(F.col("hi")).alias("hi"))
 
 
+def sizing(per: DataFrame, slots: int) -> DataFrame:
+    """Adds step (words of a slot of the whole schedule), quota (a small source's words, else null) and block (words of a block)."""
+    step = F.greatest(F.lit(1), F.ceil(F.col("total") / slots)).cast("long")
+    # by its share, so that a small corpus, whose blocks are single words, is dealt by the points
+    small = F.col("target") * slots < F.col("total") * FINE
+    quota = F.when(small & (F.col("target") > 0), F.greatest(F.lit(1), F.round("target")).cast("long"))
+    own = F.when(quota.isNotNull(), F.greatest(F.lit(1), F.floor(quota / FINE)).cast("long"))
+    return per.withColumn("step", step).withColumn("quota", quota).withColumn("block", F.coalesce(own, F.col("step")))
+
+
 def schedule(per: DataFrame, slots: int = SLOTS) -> DataFrame:
     """slot, source, k (rank of the slot in its source) and block (words of a block): the mix's order."""
-    cells = 1024
+    cells, per = 1024, sizing(per, slots)
     points = per.sparkSession.range(slots).select(F.col("id").alias("slot"), (F.col("id") * F.lit(GOLDEN) % 1.0).alias("u"))
     points = points.withColumn("cell", F.floor(F.col("u") * cells))
     # a source's stretch as the cells it touches: an equi-join instead of a range join
-    spans = per.where("hi > lo").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * cells), F.least(F.floor(F.col("hi") * cells), F.lit(cells - 1)))))
+    spans = per.where("hi > lo and quota is null").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * cells), F.least(F.floor(F.col("hi") * cells), F.lit(cells - 1)))))
     hit = points.join(spans, "cell").where("u >= lo and u < hi")
     # ranks in pieces: counts by stretch of slots, then within a stretch, so that no source is ranked in one task
     piece = (F.col("slot") / (slots // 64 + 1)).cast("long")
-    hit = hit.select("slot", "source", piece.alias("piece"), F.greatest(F.lit(1), F.ceil(F.col("total") / slots)).cast("long").alias("block"), "total")
+    hit = hit.select("slot", "source", piece.alias("piece"), "block", "total")
     hit = hit.where(F.col("slot") * F.col("block") < F.col("total")).drop("total")  # blocks are whole words: fewer slots may do
     ahead = hit.groupBy("source", "piece").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rank = F.row_number().over(Window.partitionBy("source", "piece").orderBy("slot")) - 1
     hit = hit.withColumn("r", rank)
     same = (hit["source"].eqNullSafe(ahead["source"])) & (hit["piece"] == ahead["piece"])
-    return hit.join(ahead, same).select("slot", hit["source"], (F.col("base") + F.col("r")).alias("k"), "block")
+    dealt = hit.join(ahead, same).select("slot", hit["source"], (F.col("base") + F.col("r")).alias("k"), "block")
+    phase = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) * F.lit(GOLDEN) % 1.0
+    n, used = F.ceil(F.col("quota") / F.col("block")), F.ceil(F.col("total") / F.col("step"))
+    small = per.where("quota is not null").withColumn("phase", phase).withColumn("n", n).withColumn("used", used)
+    small = small.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return dealt.unionByName(small.select(F.floor((F.col("k") + F.col("phase")) / F.col("n") * F.col("used")).alias("slot"), "source", "k", "block"))
 
 
 def streams(sizes: DataFrame, cells: int) -> DataFrame:
@@ -104,11 +125,12 @@ def pieces(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
     per = targets(sizes, **goal)
     n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     s = streams(sizes, 64 * int(n)).alias("s")
-    p = per.alias("p")
-    at = s.join(p, F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "source_size", "target", F.greatest(F.lit(1), F.ceil(F.col("total") / slots)).cast("long").alias("block"))
+    p = sizing(per, slots).alias("p")
+    at = s.join(p, F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "source_size", "target", "quota", "block")
     twice = at.withColumn("epoch", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("b0", F.col("c0") + F.col("epoch") * F.col("source_size"))
-    cut = twice.where("size > 0").withColumn("k", F.explode(F.sequence(F.expr("b0 div block"), F.expr("(b0 + size - 1) div block"))))
-    cut = cut.withColumn("w0", F.greatest(F.lit(0), F.col("k") * F.col("block") - F.col("b0"))).withColumn("w1", F.least(F.col("size"), (F.col("k") + 1) * F.col("block") - F.col("b0")))
+    twice = twice.where("size > 0 and (quota is null or b0 < quota)").withColumn("b1", F.least(F.col("b0") + F.col("size"), F.col("quota")))
+    cut = twice.withColumn("k", F.explode(F.sequence(F.expr("b0 div block"), F.expr("(b1 - 1) div block"))))
+    cut = cut.withColumn("w0", F.greatest(F.lit(0), F.col("k") * F.col("block") - F.col("b0"))).withColumn("w1", F.least(F.col("b1"), (F.col("k") + 1) * F.col("block")) - F.col("b0"))
     plan = schedule(per, slots).select(F.col("source").alias("ps"), F.col("k").alias("pk"), "slot")
     got = cut.join(plan, F.col("source").eqNullSafe(F.col("ps")) & (F.col("k") == F.col("pk")), "inner")
     names = ["doc_id", "name", "row", "source", "size", "source_size", "target", "epoch", "slot", "w0", "w1"]
