@@ -170,6 +170,18 @@ def test_html_density_chooses():
     assert parts.startswith("Head a") and parts.endswith("endb.")
 
 
+def test_html_layout_classes():
+    story = "<h1>Head</h1>" + "".join(f"<p>s{i} " + "and more of the text, " * 9 + f"end{i}.</p>" for i in range(6))
+    whole = html.main_text(f"<body>{story}</body>")
+    for attrs in ("class='content has-sidebar'", "class='site with-sidebar'", "id='no-header'", "class='job-search results'", "class=hidden", "style='display:none'", "class='page menu'"):
+        assert html.main_text(f"<body><div {attrs}><article>{story}</article></div></body>") == whole, attrs
+        assert html.main_text(f"<body><div {attrs}>{story}</div><div><a href=x>next</a></div></body>") == whole, attrs
+    assert html.main_text(f"<body><article><div class='entry-header'>{story[:13]}</div>{story[13:]}</article></body>") == whole
+    for attrs in ("class=sidebar", "class='left sidebar'", "id=comments", "role=navigation", "class='x ads'", "hidden"):
+        assert html.main_text(f"<body><article>{story}</article><div {attrs}><p>aside from it</p></div></body>") == whole, attrs
+    assert html.main_text("<body><div class=ad>" + "buy more " * 20 + "</div><article><p>Short.</p></article></body>") == "Short."
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, None), (1, "u", "<p>a</p>"), (None, "v", "x" * 100000)], "page_id long, url string, html string")
     got = sorted(((r["page_id"] or 0, r["n_chars"], len(r["text"])) for r in html.extract(df.withColumn("text", F.lit(1))).collect()))

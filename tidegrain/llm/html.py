@@ -5,9 +5,10 @@ node count, link tags count as link characters' carriers). A node's density sum
 on every page the node of the largest sum is the article, and an article or main tag only breaks ties. The smallest
 density on the path from body to that node is the threshold: blocks beside the path that reach it belong to the text, as
 do headings among them and, where the path goes through an <article>, sibling articles that aren't mostly links.
-Elements that cannot be article text (scripts, styles, forms, navigation, headers, footers, asides, and blocks whose
-class, id or role names a menu, notice, advert, sidebar or comments) are left out while the tree is built, so they add
-to no density.
+Elements that cannot be article text (scripts, styles, forms, navigation, headers, footers, asides) are left out while
+the tree is built. Blocks with a whole token of class, id or role that names a menu, notice, advert, sidebar or
+comments, and hidden ones, are taken out before any density is taken, unless they hold an article or main tag or most of
+the body's text.
 
 Results: a null or empty page, or one without text, gives an empty string and 0 characters; long pages are read whole;
 unclosed and misnested tags are closed by their parents; repeated rows give repeated results; extra columns are left out.
@@ -29,9 +30,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe template svg math noembed noframes xmp".split())
 DROP = frozenset("script style noscript iframe template svg math form button select option input textarea label fieldset nav header footer aside menu dialog object embed canvas video audio title head noembed noframes".split())
 BLOCK = frozenset("address article blockquote body br center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
-#: Words in class, id or role that name page furniture.
+#: Whole tokens of class, id or role that name page furniture.
 FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|side-?bar|aside|widget\w*|footer|header|masthead|notice|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|signup|social|share|sharing|related|recommend\w*|comments?|disqus|replies|reply|respond|pagination|pager|skip|toolbar|navigation|contentinfo|complementary|search|alert|hidden)(?=$|[\s_-])",
+    r"(?:^|\s)(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|side-?bar|aside|widget\w*|footer|header|masthead|notice|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|signup|social|share|sharing|related|recommend\w*|comments?|disqus|replies|reply|respond|pagination|pager|skip|toolbar|navigation|contentinfo|complementary|search|alert|hidden)(?=$|\s)",
     re.I,
 )
 #: Start tags that end an open element of the named kinds, up to the nearest of the bounds.
@@ -44,17 +45,16 @@ FORMATTING = frozenset("a b i em strong u s span small big font code tt sub sup
 
 
 class Node:
-    __slots__ = ("chars", "dens", "kids", "links", "ltags", "parent", "tag", "tags", "total")
+    __slots__ = ("chars", "dens", "kids", "links", "ltags", "marked", "parent", "tag", "tags", "total")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.kids = tag, parent, []  # kids: nodes and texts
         self.chars = self.tags = self.links = self.ltags = 0
         self.dens = self.total = 0.0
+        self.marked = False  # by its attributes it looks like furniture
 
 
 def furniture(tag: str, attrs: str) -> bool:
-    if tag in DROP:
-        return True
     if not attrs or tag in ("body", "html", "article", "main"):
         return False
     for name, a, b, c in ATTR.findall(attrs):
@@ -70,7 +70,7 @@ def holds(node: Node, tag: str) -> bool:
 
 
 def parse(page: str) -> Node:
-    """The DOM without furniture; text nodes hold decoded text."""
+    """The DOM without the elements of DROP, and with furniture marked; text nodes hold decoded text."""
     root = Node("#root", None)
     at, here, skip = 0, root, []  # skip: open tags inside a dropped element
     n, find = len(page), TOKEN.search
@@ -129,11 +129,12 @@ def parse(page: str) -> Node:
         if tag in ("html", "body"):
             if any(k.tag == tag for k in here.kids if isinstance(k, Node)):
                 continue
-        if furniture(tag, m[3]):
+        if tag in DROP:
             if tag not in VOID and not m[3].rstrip().endswith("/"):
                 skip.append(tag)
             continue
         node = Node(tag, here)
+        node.marked = furniture(tag, m[3])
         here.kids.append(node)
         if tag not in VOID and not (m[3].endswith("/") and tag in ("path", "use")):
             here = node
@@ -150,6 +151,32 @@ def order(root: Node) -> list[Node]:
     return out
 
 
+def prune(root: Node) -> None:
+    """Takes out what is marked, but for elements that hold an article or main tag or most of the body's text.
+
+    Most of the text doesn't count for a single block, such as an advert, beside an article tag that has text (a short one).
+    """
+    nodes = order(root)
+    if not any(x.marked for x in nodes):
+        return
+    body = next((x for x in nodes if x.tag == "body"), root)
+    held, chars, blocks, named = set(), {}, {}, False
+    for x in reversed(nodes):
+        kids = [k for k in x.kids if isinstance(k, Node)]
+        chars[x] = sum(chars[k] for k in kids) + sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
+        blocks[x] = sum(blocks[k] + (k.tag in BLOCK and chars[k] > 0) for k in kids)
+        if x.tag in ("article", "main"):
+            named = named or chars[x] > 0
+        if x.tag in ("article", "main") or any(k in held for k in kids):
+            held.add(x)
+
+    def stays(x: Node) -> bool:
+        return not x.marked or x in held or 2 * chars[x] > chars[body] and (blocks[x] > 1 or not named)
+
+    for x in nodes:
+        x.kids = [k for k in x.kids if isinstance(k, str) or stays(k)]
+
+
 def weigh(root: Node) -> list[Node]:
     nodes = order(root)
     for x in reversed(nodes):
@@ -181,6 +208,7 @@ def weigh(root: Node) -> list[Node]:
 
 def main_nodes(root: Node) -> list[Node]:
     """The subtree of the largest density sum, and what belongs to it beside it and its parents, in page order."""
+    prune(root)
     nodes = weigh(root)
     body = next((x for x in nodes if x.tag == "body"), root)
     inside = order(body)
