@@ -27,7 +27,7 @@ QUERY_BLOCK, CANDIDATE_BLOCK, GROUP = 1024, 4096, 8
 
 
 def matrix(col) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a list column that are whole, and their vectors (double): those of the most usual length when several are mixed."""
+    """Rows of a list column that are whole and not zero, and their vectors (double): those of the most usual length when several are mixed."""
     col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
     n = len(col)
     if n == 0:
@@ -35,18 +35,17 @@ def matrix(col) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.diff(col.offsets.to_numpy())
     ok = col.is_valid().to_numpy(zero_copy_only=False) & (sizes > 0)
     flat = col.values.cast(pa.float64())
-    bad = ~np.isfinite(flat.to_numpy(zero_copy_only=False)) | ~flat.is_valid().to_numpy(zero_copy_only=False)
+    whole = flat.is_valid().to_numpy(zero_copy_only=False)
+    flat = flat.to_numpy(zero_copy_only=False)
     start = col.offsets.to_numpy()[:-1]
-    total = np.concatenate([[0], np.cumsum(bad)])
-    ok &= total[start + sizes] == total[start]
+    total, full = (np.concatenate([[0], np.cumsum(x)]) for x in (~np.isfinite(flat) | ~whole, flat != 0))
+    ok &= (total[start + sizes] == total[start]) & (full[start + sizes] > full[start])
     if not ok.any():
         return np.zeros(0, int), np.zeros((0, 0))
     d = np.bincount(sizes[ok]).argmax()
     ok &= sizes == d
     rows = np.flatnonzero(ok)
-    x = flat.to_numpy(zero_copy_only=False)[start[rows][:, None] + np.arange(d)]
-    keep = (x != 0).any(1)
-    return rows[keep], x[keep]
+    return rows, flat[start[rows][:, None] + np.arange(d)]
 
 
 def unit(x: np.ndarray) -> np.ndarray:
