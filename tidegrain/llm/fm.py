@@ -4,15 +4,16 @@ A window is WINDOW consecutive words of one document. Windows that could repeat
 anchor is the least hash among its GRAM-word runs, so equal windows have equal anchors, and neighbouring windows with
 one anchor travel as one segment of text. Only segments whose anchor occurs more than once travel at all.
 
-A shard is a stretch of anchors. Its distinct segments, each with its first place (document, then position), are indexed:
-suffix array, Burrows-Wheeler transform over word ids, and a wavelet matrix for rank queries. All segments are then
-streamed through by backward search, all windows of the shard side by side; a search that narrows to one occurrence ends,
-as that is the window itself, and one that still has several after WINDOW words gives the suffix interval of a repeated
-window, whose first place is the interval's minimum. Matching statistics of at least WINDOW are those windows, reported
-as intervals of words.
+A shard is a stretch of anchors. Of equal segments, by their 128-bit names, all but the first place are late without a
+search. The distinct segments of anchors that have several, each with its first place (document, then position), are
+indexed: suffix array, Burrows-Wheeler transform over word ids, and a wavelet matrix for rank queries. They are then
+searched backward, all windows of the shard side by side; a search that narrows to one occurrence ends, as that is the
+window itself, and one that still has several after WINDOW words gives the suffix interval of a repeated window, whose
+first place is the interval's minimum. Searches stop at WINDOW words: match lengths (matching statistics) aren't computed.
+Repeated windows are reported as intervals of words.
 
 Anchors that very many places share (a passage in a third of all texts, a repeated word pair) would make one shard of
-one key: their segments are cut into single windows, dealt by the window's own hash. Of equal segments or windows each
+one key: their segments are cut into single windows, dealt by the window's own hash, so names alone decide these. Of equal segments or windows each
 task sends its first place only; they arrive sorted by place and only the first is held, so one that stands in any
 number of places makes a row for each task.
 
