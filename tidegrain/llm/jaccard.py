@@ -351,7 +351,10 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, and k (the row's name) and root (its component's, null without shingles), of every row."""
+    """doc_id, n_shingles, component_id, and k (the row's name) and root (its component's, null without shingles), of every row.
+
+    The components are exact; not all links are formed (those of long lists span their components), so none are counted.
+    """
     told = save(named_sets(docs), "sets")
     edges = save(links(docs, told), "links")
     named = told.where("n is not null").drop("sketch", "fold")
