@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +214,75 @@ def test_html_layout_classes():
     assert html.main_text("<body><div class=ad>" + "buy more " * 20 + "</div><article><p>Short.</p></article></body>") == "Short."
 
 
+def _naive_choice(root):
+    """The node of the largest density sum, with every count taken anew for every node."""
+    import math
+
+    def texts(x):
+        return [(k, x.tag) for k in x.kids if isinstance(k, str)] + [t for k in x.kids if not isinstance(k, str) for t in texts(k)]
+
+    def tags(x):
+        return [k for k in x.kids if not isinstance(k, str)] + [t for k in x.kids if not isinstance(k, str) for t in tags(k)]
+
+    def size(x):
+        return sum(len("".join(t.split())) for t, _ in texts(x))
+
+    def linked(x):
+        return size(x) if x.tag == "a" else sum(linked(k) for k in x.kids if not isinstance(k, str))
+
+    def dens(c, t, lc, lt):
+        if not c:
+            return 0.0
+        base = max(math.log(c / max(c - lc, 1) * lc + share * c + math.e), 1.0001)
+        arg = (c / lc) * (max(t, 1) / max(lt, 1)) if lc else max(c * max(t, 1), 2)
+        return c / max(t, 1) * max(math.log(max(arg, 1.0)) / math.log(base), 0.0)
+
+    def own(x):
+        below = tags(x)
+        return dens(size(x), len(below), linked(x), sum(k.tag == "a" for k in below))
+
+    body = next(x for x in [root, *tags(root)] if x.tag == "body")
+    share = linked(body) / max(size(body), 1)
+    sums = {x: sum(dens(len("".join(k.split())), 0, 0, 0) if isinstance(k, str) else own(k) for k in x.kids) for x in [body, *tags(body)] if x is body or html.container(x)}
+    return max(sums, key=lambda x: (round(sums[x], 6), x.tag in ("article", "main"))), sums
+
+
+def test_html_choice_equals_naive_density():
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").slice(0, 200).to_pylist()]
+    story = "".join(f"<p>word {i} {'more words of it ' * i}</p>" for i in range(6))
+    pages += [f"<body><div>{story}</div><div>{'<p>teaser <a href=x>go</a></p>' * 9}</div></body>", f"<body><section><article>{story}</article></section><article><a href=x>{'card ' * 30}</a></article></body>"]
+    for page in pages:
+        root = html.parse(page)
+        html.main_nodes(root)
+        best, sums = _naive_choice(root)
+        top = max((x for x in sums), key=lambda x: (round(x.total, 6), x.tag in ("article", "main")))
+        assert top is best and abs(top.total - sums[best]) <= 1e-6 * max(1, sums[best])
+
+
+def test_html_threshold_decides_on_blocks_beside():
+    long_ = "<p>" + "plenty of words in here, one after another, for a while. " * 4 + "</p>"
+    page = "<body><div>{}</div><section>{}</section><section><p>{}</p></section></body>"
+    inside = html.main_text(page.format(long_ * 4, long_, "ok"))
+    assert inside.count("plenty") == 20 and "ok" not in inside.split()
+
+
+def test_html_odd_markup_takes_linear_time():
+    import time
+
+    for odd in ('<a "', "<b c='", "<!", "<textarea>", "<b><li>", "</x>", "<!--", "<a b=", "<"):
+        now = time.perf_counter()
+        html.main_text(odd * (1_000_000 // len(odd)))
+        assert time.perf_counter() - now < 5, odd  # with steps back it is minutes
+    assert html.main_text('<body><p title="a > b">one</p><p title="open>two</p><p>three</p></body>') == "one two three"
+    assert html.main_text("<body><p it's>one</p><p>two</p></body>") == "one two"
+
+
+def test_html_ties_and_empty_table(spark):
+    same = "<div><p>alike words here</p><p>alike words here</p></div>"
+    assert html.main_text(f"<body>{same}{same}</body>") == " ".join(["alike words here"] * 4)
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, None), (1, "u", "<p>a</p>"), (None, "v", "x" * 100000)], "page_id long, url string, html string")
     got = sorted(((r["page_id"] or 0, r["n_chars"], len(r["text"])) for r in html.extract(df.withColumn("text", F.lit(1))).collect()))

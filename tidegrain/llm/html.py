@@ -1,17 +1,22 @@
 """Main-text extraction by composite text density.
 
-Every DOM node gets a density: its characters per tag, scaled down by its share of link characters (all tags beneath a
-node count, link tags count as link characters' carriers). A node's density sum is the sum of its children's densities;
-on every page the node of the largest sum is the article, and an article or main tag only breaks ties. The smallest
-density on the path from body to that node is the threshold: blocks beside the path that reach it belong to the text, as
-do headings among them and, where the path goes through an <article>, sibling articles that aren't mostly links.
-Elements that cannot be article text (scripts, styles, forms, navigation, headers, footers, asides) are left out while
-the tree is built. Blocks with a whole token of class, id or role that names a menu, notice, advert, sidebar or
-comments, and hidden ones, are taken out before any density is taken, unless they hold an article or main tag or most of
-the body's text.
-
-Results: a null or empty page, or one without text, gives an empty string and 0 characters; long pages are read whole;
-unclosed and misnested tags are closed by their parents; repeated rows give repeated results; extra columns are left out.
+Every DOM node, runs of text included, gets a density: its characters per tag, scaled down by its share of link
+characters (all tags beneath a node count, link tags count as link characters' carriers). A node's density sum is the sum
+of its children's densities; on every page the container (no paragraph, heading, list or inline element) of the largest
+sum is the article, and an article or main tag only breaks ties. The smallest density among the nodes above it, up to
+body, is the threshold: blocks beside the path that reach it belong to the text, and those that don't are left out, but
+for headings among them and, where the path goes through an <article>, sibling articles that aren't mostly links.
+Elements that cannot be article text (scripts, styles, forms, navigation, headers, footers, asides) are taken out before
+any density is taken, as are blocks with a whole token of class, id or role that names a menu, notice, advert, sidebar or
+comments, and hidden ones, unless such a block holds an article or main tag or most of the body's text.
+
+Pages are read in one pass whose steps don't go back, so time grows with the length of any markup, however odd: a quote
+counts only after =, as in browsers; one that never closes ends that rule for the rest of the page.
+
+Results: a null or empty page, or one without text, gives an empty string and 0 characters; an empty table gives an empty
+result; long pages are read whole; of equal density sums the first in page order counts, after tags; unclosed and
+misnested tags are closed by their parents; repeated rows give repeated results; extra columns, whatever their names, are
+left out.
 """
 
 from __future__ import annotations
@@ -24,7 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])))*+)>", re.S)
+#: For the rest of a page in which a quote never closes.
+PLAIN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+START = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
 ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math noembed noframes xmp".split())
@@ -35,7 +43,7 @@ FURNITURE = re.compile(
     r"(?:^|\s)(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|side-?bar|aside|widget\w*|footer|header|masthead|notice|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|signup|social|share|sharing|related|recommend\w*|comments?|disqus|replies|reply|respond|pagination|pager|skip|toolbar|navigation|contentinfo|complementary|search|alert|hidden)(?=$|\s)",
     re.I,
 )
-#: Start tags that end an open element of the named kinds, up to the nearest of the bounds.
+#: Start tags that end an open element of the named kinds, but not beyond the nearest of the bounds.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOUNDS = frozenset("ul ol dl table tbody thead tfoot body article section div main".split())
 ENDS_P = BLOCK - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"}
@@ -63,99 +71,133 @@ def furniture(tag: str, attrs: str) -> bool:
     return bool(re.search(r"\shidden(?=[\s/=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", attrs, re.I))
 
 
-def holds(node: Node, tag: str) -> bool:
-    while node is not None and node.tag != tag:
-        node = node.parent
-    return node is not None
+class Open:
+    """The open elements, innermost last, with the places of each tag's, so that no step searches the stack."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.of: dict[str, list[int]] = {}
+        self.bounds, self.plain = [0], [0]
+
+    def push(self, x: Node) -> None:
+        at = len(self.stack)
+        self.stack.append(x)
+        self.of.setdefault(x.tag, []).append(at)
+        if x.tag in BOUNDS:
+            self.bounds.append(at)
+        if x.tag not in FORMATTING:
+            self.plain.append(at)
+
+    def last(self, tag: str) -> int:
+        at = self.of.get(tag)
+        return at[-1] if at else 0
+
+    def close(self, at: int) -> None:
+        """Ends the element at a place of the stack and all within it."""
+        while len(self.stack) > at:
+            x = self.stack.pop()
+            self.of[x.tag].pop()
+            if x.tag in BOUNDS:
+                self.bounds.pop()
+            if x.tag not in FORMATTING:
+                self.plain.pop()
+
+
+def tokens(page: str):
+    """(text before, match) of every tag, comment and declaration in order, the last with no match."""
+    at, n, token, last = 0, len(page), TOKEN, page.rfind(">")
+    while True:
+        seek = at
+        while m := START.search(page, seek):
+            if m.start() > last and not page.startswith("<!--", m.start()):
+                m = None  # nothing after this ends
+                break
+            found = token.match(page, m.start())
+            if not found and token is TOKEN:
+                token = PLAIN
+                found = token.match(page, m.start())
+            if found:
+                m = found
+                break
+            seek = m.end()
+        if not m:
+            yield page[at:], None
+            return
+        skip = yield page[at : m.start()], m
+        at = skip or m.end()
+        if skip:
+            yield None
+        if at >= n:
+            return
 
 
 def parse(page: str) -> Node:
-    """The DOM without the elements of DROP, and with furniture marked; text nodes hold decoded text."""
+    """The DOM, with furniture marked and elements of DROP in it; text nodes hold decoded text."""
     root = Node("#root", None)
-    at, here, skip = 0, root, []  # skip: open tags inside a dropped element
-    n, find = len(page), TOKEN.search
-    while at < n:
-        m = find(page, at)
-        end = m.start() if m else n
-        if end > at and not skip:
-            here.kids.append(unescape(page[at:end]))
-        if not m:
-            break
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
-            continue
-        if tag in RAW and not m[1]:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = close.end() if close else (n if tag in ("script", "style") else at)
-            if close or tag in ("script", "style"):
-                continue
-        if skip and not m[1] and (tag == "body" or skip == ["p"] and tag in ENDS_P):
-            skip = []  # an unclosed head or paragraph ends here
-        if skip and m[1] and tag not in skip and tag in BOUNDS and holds(here, tag):
-            skip = []  # the parent of an unclosed element ends
-        if skip:
-            if m[1]:
-                if tag in skip:
-                    while skip.pop() != tag:
-                        pass
-            elif tag not in VOID:
-                skip.append(tag)
+    open_, missing, seen = Open(root), set(), set()  # missing: raw elements that have no end any more
+    walk = tokens(page)
+    for text, m in walk:
+        if text:
+            open_.stack[-1].kids.append(unescape(text))
+        if m is None or not m[2]:
             continue
+        tag = m[2].lower()
         if m[1]:
-            up = here
-            while up and up.tag != tag:
-                if up.tag in BOUNDS and tag in FORMATTING:
-                    up = None
-                    break
-                up = up.parent
-            if up and up.parent:
-                here = up.parent
+            at = open_.last(tag)
+            if at and not (tag in FORMATTING and open_.bounds[-1] > at):
+                open_.close(at)
             elif tag == "p":
-                here.kids.append(Node("p", here))
+                open_.stack[-1].kids.append(Node("p", open_.stack[-1]))
             continue
-        if tag in ENDS_P:
-            up = here
-            while up and up.tag in FORMATTING:
-                up = up.parent
-            if up and up.tag == "p" and up.parent:
-                here = up.parent
-        if tag in CLOSES:
-            up = here
-            while up and up.tag not in CLOSES[tag] and up.tag not in BOUNDS:
-                up = up.parent
-            if up and up.tag in CLOSES[tag] and up.parent:
-                here = up.parent
+        if tag in RAW:
+            close = None if tag in missing else re.compile(rf"</{tag}\s*+>", re.I).search(page, m.end())
+            if close:
+                walk.send(close.end())
+                continue
+            missing.add(tag)
+            if tag in ("script", "style"):
+                break
+        if tag in ENDS_P and (p := open_.last("p")) and open_.plain[-1] == p:
+            open_.close(p)
+        if tag in CLOSES and (at := max(open_.last(t) for t in CLOSES[tag])) > open_.bounds[-1]:
+            open_.close(at)
         if tag in ("html", "body"):
-            if any(k.tag == tag for k in here.kids if isinstance(k, Node)):
+            if tag in seen:
                 continue
-        if tag in DROP:
-            if tag not in VOID and not m[3].rstrip().endswith("/"):
-                skip.append(tag)
-            continue
+            seen.add(tag)
+            if tag == "body" and (head := open_.last("head")):
+                open_.close(head)
+        here = open_.stack[-1]
         node = Node(tag, here)
         node.marked = furniture(tag, m[3])
         here.kids.append(node)
-        if tag not in VOID and not (m[3].endswith("/") and tag in ("path", "use")):
-            here = node
+        if tag not in VOID and not (m[3].rstrip().endswith("/") and tag in DROP):
+            open_.push(node)
     return root
 
 
 def order(root: Node) -> list[Node]:
-    """Parents before children; without recursion, as pages may nest deeply."""
+    """In page order, parents before children; without recursion, as pages may nest deeply."""
     out, todo = [], [root]
     while todo:
         x = todo.pop()
         out.append(x)
-        todo += [k for k in x.kids if isinstance(k, Node)]
+        todo += [k for k in reversed(x.kids) if isinstance(k, Node)]
     return out
 
 
+def length(text: str) -> int:
+    return len("".join(text.split()))
+
+
 def prune(root: Node) -> None:
-    """Takes out what is marked, but for elements that hold an article or main tag or most of the body's text.
+    """Takes out elements of DROP, and what is marked, but for elements that hold an article or main tag or most of the
+    body's text.
 
     Most of the text doesn't count for a single block, such as an advert, beside an article tag that has text (a short one).
     """
+    for x in order(root):
+        x.kids = [k for k in x.kids if isinstance(k, str) or k.tag not in DROP]
     nodes = order(root)
     if not any(x.marked for x in nodes):
         return
@@ -163,7 +205,7 @@ def prune(root: Node) -> None:
     held, chars, blocks, named = set(), {}, {}, False
     for x in reversed(nodes):
         kids = [k for k in x.kids if isinstance(k, Node)]
-        chars[x] = sum(chars[k] for k in kids) + sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
+        chars[x] = sum(chars[k] for k in kids) + sum(length(k) for k in x.kids if isinstance(k, str))
         blocks[x] = sum(blocks[k] + (k.tag in BLOCK and chars[k] > 0) for k in kids)
         if x.tag in ("article", "main"):
             named = named or chars[x] > 0
@@ -177,7 +219,18 @@ def prune(root: Node) -> None:
         x.kids = [k for k in x.kids if isinstance(k, str) or stays(k)]
 
 
+def density(chars: int, tags: int, links: int, ltags: int, share: float) -> float:
+    """Characters per tag, times a logarithm that falls with the share of link characters; share: that of the whole body."""
+    if not chars:
+        return 0.0
+    tags = max(tags, 1)
+    base = max(math.log(chars / max(chars - links, 1) * links + share * chars + math.e), 1.0001)
+    arg = (chars / links) * (tags / max(ltags, 1)) if links else max(chars * tags, 2)
+    return chars / tags * max(math.log(max(arg, 1.0), base), 0.0)
+
+
 def weigh(root: Node) -> list[Node]:
+    """Counts, densities and density sums of all nodes; a run of text is a child without tags."""
     nodes = order(root)
     for x in reversed(nodes):
         for k in x.kids:
@@ -187,60 +240,58 @@ def weigh(root: Node) -> list[Node]:
                 x.links += k.links
                 x.ltags += k.ltags + (k.tag == "a")
             else:
-                x.chars += len("".join(k.split()))
+                x.chars += length(k)
         if x.tag == "a":
             x.links = x.chars
     body = next((x for x in nodes if x.tag == "body"), root)
-    share, e = body.links / max(body.chars, 1), math.e
+    share = body.links / max(body.chars, 1)
     for x in nodes:
-        c, t, lc, lt = x.chars, max(x.tags, 1), x.links, x.ltags
-        if not c:
-            continue
-        plain = c / t
-        base = math.log(c / max(c - lc, 1) * lc + share * c + e)
-        arg = (c / max(lc, 1)) * (t / max(lt, 1))
-        x.dens = plain * max(math.log(max(arg, 1.0), max(base, 1.0001)), 0.0) if lc else plain * math.log(max(c * t, 2), max(base, 1.0001))
+        x.dens = density(x.chars, x.tags, x.links, x.ltags, share)
     for x in nodes:
-        own = x.chars > sum(k.chars for k in x.kids if isinstance(k, Node))
-        x.total = sum(k.dens for k in x.kids if isinstance(k, Node)) + (x.dens if own else 0.0)
+        for k in x.kids:
+            if isinstance(k, Node):
+                x.total += k.dens
+            else:
+                c = length(k)
+                x.total += density(c, 0, c if x.tag == "a" else 0, x.tag == "a", share)
     return nodes
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The subtree of the largest density sum, and what belongs to it beside it and its parents, in page order."""
+def container(x: Node) -> bool:
+    return x.tag not in FORMATTING and x.tag not in INNER
+
+
+def main_nodes(root: Node) -> list[Node | str]:
+    """The container of the largest density sum, and what belongs to it beside it and its parents, in page order."""
     prune(root)
     nodes = weigh(root)
     body = next((x for x in nodes if x.tag == "body"), root)
-    inside = order(body)
-    # An article or main tag breaks ties only.
-    best = max(inside, key=lambda x: (x.total, x.tag in ("article", "main")))
-    threshold, x = best.dens, best
-    while x is not body and x is not None:
+    best = max((x for x in order(body) if x is body or container(x)), key=lambda x: (x.total, x.tag in ("article", "main")))
+    threshold, x = math.inf, best
+    while x is not body:
         x = x.parent
-        if x is not None:
-            threshold = min(threshold, x.dens)
-    # Inline and paragraph-level winners stand for the block that holds their siblings.
-    while best is not body and best.parent is not None and (best.tag in FORMATTING or best.tag in INNER):
-        best = best.parent
+        threshold = min(threshold, x.dens)
     # A story may be dealt over several blocks: beside the winner, and beside each node that holds it.
     parts = [best]
-    while best is not body and best.parent is not None:
-        beside = [k for k in best.parent.kids if isinstance(k, Node)]
+    while best is not body:
+        beside = best.parent.kids
         at = beside.index(best)
-        keep = [i == at or belongs(k, best, threshold) for i, k in enumerate(beside)]
+        keep = [i == at or belongs(k, best, threshold, body) for i, k in enumerate(beside)]
         last = max(i for i, yes in enumerate(keep) if yes)
-        keep = [yes or i < last and k.tag in HEADING for i, (k, yes) in enumerate(zip(beside, keep, strict=True))]
+        keep = [yes or i < last and isinstance(k, Node) and k.tag in HEADING for i, (k, yes) in enumerate(zip(beside, keep, strict=True))]
         parts = [k for k, yes in zip(beside[:at], keep, strict=False) if yes] + parts + [k for k, yes in zip(beside[at + 1 :], keep[at + 1 :], strict=True) if yes]
         best = best.parent
     return parts
 
 
-def belongs(x: Node, best: Node, threshold: float) -> bool:
-    """A block beside the text that is as dense, or an article beside an article that isn't mostly links."""
+def belongs(x: Node | str, best: Node, threshold: float, body: Node) -> bool:
+    """A block or run of text beside the text that is as dense, or an article beside an article that isn't mostly links."""
+    if isinstance(x, str):
+        return (c := length(x)) > 0 and density(c, 0, 0, 0, body.links / max(body.chars, 1)) >= threshold
     return x.chars > 0 and (x.dens >= threshold or x.tag == best.tag == "article" and 2 * x.links <= x.chars)
 
 
-def text_of(node: Node) -> str:
+def text_of(node: Node | str) -> str:
     """The blocks of a subtree in page order: white space turned into one space, trimmed, joined by one space."""
     blocks, now = [], []
     todo: list = [node]
