@@ -405,7 +405,7 @@ def test_mix_small_sources_beside_a_huge_one(spark):
 def test_token_file_round_trip(spark):
     from tokenizers import Tokenizer
 
-    lib, texts = Tokenizer.from_file(tokenizer(WORD_BPE)), corpus(4) + ["É İ ΑΣ b́ \x1c!\x1c! c", "x,, y.. z.,"]
+    lib, texts = Tokenizer.from_file(tokenizer(WORD_BPE)), corpus(4) + ["É İ ΑΣ b́ \x1c!\x1c! c", "x,, y.. z.,", "<|endoftext|> a<|startoftext|>B <|ENDOFTEXT|> <|StartOfText|>x <|", "x" * 100_000, "x" * 100_000]
     got = {r["doc_id"]: r for r in tokenfile.read(tokenfile.write(clash(frame(spark, texts)), tokenizer(WORD_BPE))).collect()}
     start = 0
     for i, t in enumerate(texts):
@@ -415,18 +415,41 @@ def test_token_file_round_trip(spark):
     assert tokenfile.read(tokenfile.write(frame(spark, []), tokenizer(WORD_BPE))).count() == 0
 
 
+def test_token_ids_of_odd_texts():
+    from tokenizers import Tokenizer
+
+    lib, enc, rng = Tokenizer.from_file(tokenizer(WORD_BPE)), tokenfile.Encoder(tokenizer(WORD_BPE)), random.Random(3)
+    bits = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|StartOfText|>", "<|", "|>", "A", "b", "É", "İ", "ß", "'S", "'re", "12", " ", "  ", "\n", "\t", "\u00a0", "!", "中", "\u0301", "😀", "&&&"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(1, 12))) for _ in range(5000)]
+    for t, got in zip(texts, enc.encode_all(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
+
+
+def test_coder_beats_order_0():
+    enc = tokenfile.Encoder(tokenizer(WORD_BPE))
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()]
+    ids = np.frombuffer(b"".join(enc.encode_all(texts)), "<u4")
+    p = np.bincount(ids)
+    p = p[p > 0] / len(ids)
+    assert 8 * len(tokenfile.pack([1], [len(ids)], ids)) / len(ids) < -(p * np.log2(p)).sum()
+
+
 def test_blocks_and_damage():
     g = np.random.default_rng(0)
-    for n in (0, 1, 7, 2047, 2048, 2049, 9000):
+    for n in (0, 1, 7, tokenfile.BLOCK - 1, tokenfile.BLOCK, tokenfile.BLOCK + 1, 9000):
         ids = np.where(g.random(n) < 0.5, g.integers(0, 50, n), g.integers(0, 49408, n)).astype("<u4")
         data = tokenfile.pack([3, None], [n, 0], ids)
         docs, lengths, back = tokenfile.unpack(data)
         assert docs == [3, None] and lengths == [n, 0] and (back == ids).all()
+    wide = g.integers(0, 2**32, 20000, dtype=np.uint64).astype("<u4")  # as many distinct ids as there are
+    assert (tokenfile.unpack(tokenfile.pack([1], [len(wide)], wide))[2] == wide).all()
     same = np.tile(np.arange(100, dtype="<u4"), 100)
     data = tokenfile.pack([1], [len(same)], same)
     assert len(data) < len(same)  # under a byte an id where ids are predictable
     with pytest.raises(ValueError, match="block"):
         tokenfile.unpack(data[:-40] + bytes(40))
+    with pytest.raises(ValueError, match="head"):
+        tokenfile.unpack(data[:40] + bytes([data[40] ^ 1]) + data[41:])
 
 
 # --- op8

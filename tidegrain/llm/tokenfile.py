@@ -1,18 +1,20 @@
 """Token-id files: an adaptive context-mixing range coder over independent blocks.
 
-An id is predicted by three orders: the id last seen after the two ids before it, the id last seen after the one before
-it, and the frequencies of ids in the block so far (by ranges of 64 ids). Adaptive weights, chosen by how often the two
-long orders were right, mix the three into one distribution, which a range coder codes. Each block of BLOCK ids
-starts from nothing and has a checksum, so a damaged or lost block costs no other. All blocks of a buffer are coded side
-by side, one numpy lane each, in integers only, so that writing and reading agree on any machine.
+An id is predicted by three orders, each a distribution over ids: order 0 is the frequencies of the buffer's ids, which its
+head holds; order 1 is the two ids that a block last saw after the id before, order 2 the one that it last saw after the
+two before. Weights that adapt to how often the long orders were right mix the three: an id's share of the coder's range
+is the weighted sum of its shares in all of them, in the order of ids. Each block of BLOCK ids starts anew from what the
+head says and has a checksum, so a damaged or lost block costs no other. All blocks of a buffer are coded side by side,
+one numpy lane each. Whatever the coder's range depends on is an integer, so that writing and reading agree on any machine.
 
 File format: a folder of Parquet files whose rows (part, seq, n_ids, payload) hold one buffer of whole documents each;
-payload: magic, counts, document ids and lengths, block lengths and checksums, then the blocks' bytes. Rows are in
-document order by (part, seq). A damaged block raises ValueError on reading.
+payload: magic, counts, document ids and lengths, the distinct ids with their shares of order 0 and the ids that most often
+follow them, block lengths and checksums, then the blocks' bytes. Rows are in document order by (part, seq). A damaged
+block or head raises ValueError on reading.
 
 Defined cases: a null text has no ids of its own, only the end id; documents are in order of doc_id, nulls last, ties
 by a hash of the text; equal rows are documents of their own; a document longer than a buffer is a buffer of its own;
-an empty table gives files without rows.
+an empty table gives files without rows; extra columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -28,69 +30,110 @@ from pyspark.sql import functions as F
 
 from tidegrain.llm.common import HELD, LOWER, parts, save, tidied
 
-BLOCK, BUFFER, MAGIC = 2048, 2048 * 4096, b"TGTF1\0"
-SLOTS_BITS = 10  # of each long order's table
-SPAN_BITS, STEP, FRESH = 6, 8, 64  # ids of a range (as bits), weight of a seen id, ids between renewals of the sums
+BLOCK, BUFFER, MAGIC = 4096, 4096 * 2048, b"TGTF2\0"
+SLOTS_BITS = 11  # of each long order's table
+SURE = 3  # the highest confidence of an entry
 U32, U64, I64 = np.uint32, np.uint64, np.int64
 LEAST = U64(1 << 32)  # the coder's range after a settled step
+WEIGHTS = 12  # bits of a weight
+SPECIAL = b"<|"  # how the vocabulary's special tokens begin
+
+
+class Start:
+    """What every block starts from: the distinct ids in order, their shares of order 0, and what most often follows each.
+
+    Ids are coded by their places among the distinct ones. Shares sum to 2^bits, each at least one.
+    """
+
+    def __init__(self, ids: np.ndarray, share: np.ndarray, follow: np.ndarray):
+        self.ids, self.share, self.follow = ids, share, follow
+        self.bits = 16 if len(ids) <= 1 << 13 else 20
+        cum = np.concatenate([[0], np.cumsum(share, dtype=np.int64)])
+        self.cum, self.size = cum[:-1].astype(U64), share.astype(U64)
+        self.place = np.repeat(np.arange(len(ids), dtype=U32), share)  # of each point of the order-0 range
+
+    @staticmethod
+    def of(ids: np.ndarray) -> tuple[Start, np.ndarray]:
+        """The start of a buffer, and its ids as places."""
+        top = int(ids.max())
+        if top < 1 << 24:
+            n = np.bincount(ids)
+            distinct = np.flatnonzero(n)
+            n = n[distinct]
+            place = np.zeros(top + 1, U32)
+            place[distinct] = np.arange(len(distinct), dtype=U32)
+            at = place[ids]
+        else:
+            distinct, at, n = np.unique(ids, return_inverse=True, return_counts=True)
+        k, total = len(distinct), 1 << (16 if len(distinct) <= 1 << 13 else 20)
+        if 2 * k > 1 << 20:
+            raise ValueError(f"{k} distinct ids in a buffer: the file format is for vocabularies of up to 2^19")
+        share = 1 + (n * (total - k) // n.sum())
+        share[np.argmax(share)] += total - share.sum()
+        # the two ids that follow each id most often
+        kind = U32 if k * k < 1 << 32 else U64
+        pairs = np.sort(at[:-1].astype(kind) * kind(k) + at[1:])
+        edge = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, I64)
+        m, pairs = np.diff(np.append(edge, len(pairs))), pairs[edge].astype(I64)
+        own, order = pairs // k, np.lexsort((-m, pairs // k))
+        own, then = own[order], pairs[order] % k
+        head = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
+        next_ = np.concatenate([[False], head[:-1]]) & ~head if len(own) else head
+        follow = np.zeros((k, 2), U32)
+        follow[own[head]] = then[head, None]
+        follow[own[next_], 1] = then[next_]
+        return Start(distinct.astype(U32), share.astype(U32), follow), at.astype(U32)
 
 
 class Model:
     """The predictions of one lane per block; encoder and decoder take the same steps."""
 
-    def __init__(self, lanes: int, spans: int):
-        self.n, self.spans = lanes, spans
-        self.t1 = np.zeros(lanes << SLOTS_BITS, U32)  # id << 2 | confidence
-        self.t2 = np.zeros(lanes << SLOTS_BITS, U32)
-        self.w2 = np.full(lanes * 32, 1024, np.int32)  # chance of order 2 in 4096ths
-        self.w1 = np.full(lanes * 32, 1024, np.int32)  # chance of order 1 if order 2 is wrong
-        self.count = np.ones(lanes * spans, np.float32)
-        self.every = np.arange(lanes, dtype=I64)
-        self.base, self.base_w, self.base_c, self.row = self.every << SLOTS_BITS, self.every << 5, self.every * spans, self.every * (spans + 1)
-        self.sums = np.zeros((lanes, spans + 1), U32)
-        self.flat = self.sums.ravel()
+    def __init__(self, lanes: int, start: Start):
+        self.s, slots = start, 1 << SLOTS_BITS
+        one = np.zeros((slots, 2), U32)
+        k = min(len(start.ids), slots)
+        one[:k] = start.follow[:k] << U32(2) | U32(1)
+        self.first, self.second = np.tile(one[:, 0], lanes), np.tile(one[:, 1], lanes)  # order 1: place << 2 | confidence
+        self.long = np.zeros(lanes * slots, U32)  # order 2
+        self.w = [np.full(lanes * 64, at, np.int32) for at in (1024, 1024, 512)]  # chances in 4096ths of each entry, if those before it are wrong
+        every = np.arange(lanes, dtype=I64)
+        self.base, self.base_w = every << SLOTS_BITS, every << 6
         self.prev, self.key = np.zeros(lanes, U32), np.zeros(lanes, U32)
-        self.renew()
-
-    def renew(self) -> None:
-        """Cumulative chances of the ranges in 65536ths, each at least one."""
-        c = np.cumsum(self.count.reshape(self.n, self.spans), axis=1, dtype=np.float64)
-        c *= (65536 - self.spans) / c[:, -1:]
-        self.sums[:, 1:] = c.astype(U32) + np.arange(1, self.spans + 1, dtype=U32)
-        self.sums[:, -1] = 65536
 
     def predict(self, a: int):
-        """For the first a lanes: both long orders' ids, and chances in 4096ths of the two."""
-        one = self.prev[:a] * U32(0x9E3779B1)
-        self.i1 = self.base[:a] + (one >> U32(32 - SLOTS_BITS))
-        self.i2 = self.base[:a] + ((one ^ self.key[:a]) * U32(0x27D4EB2F) >> U32(32 - SLOTS_BITS))
-        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        c1, c2 = self.e1 >> U32(2), self.e2 >> U32(2)
-        same = c1 == c2
-        self.iw = self.base_w[:a] + (((self.e2 & U32(3)) << U32(3)) | ((self.e1 & U32(3)) << U32(1)) | same)
-        self.v2, self.v1 = self.w2.take(self.iw), self.w1.take(self.iw)
-        f1 = ((4096 - self.v2) * self.v1) >> 12
-        f1[same] = 0
-        self.one = one
-        return c1, c2, self.v2.astype(U64), f1.astype(U64)
-
-    def learn(self, a: int, x: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
-        self.w2[self.iw] = self.v2 + ((right2 * np.int32(3968) + np.int32(64) - self.v2) >> 4)
-        self.w1[self.iw] = self.v1 + np.where(right2, 0, (right1 * np.int32(3968) + np.int32(64) - self.v1) >> 4)
-        fresh = x << U32(2) | U32(1)
-        for t, i, e in ((self.t1, self.i1, self.e1), (self.t2, self.i2, self.e2)):
-            c = e & U32(3)
-            hit = (e >> U32(2)) == x
-            t[i] = np.where(hit, e + (c < 3), np.where(c > 1, e - U32(1), fresh))
-        self.count[self.base_c[:a] + (x >> U32(SPAN_BITS))] += STEP
-        self.key[:a] = (self.one >> U32(7)) * U32(0x85EBCA6B)
+        """For the first a lanes: the long orders' places and weights, and the weight of order 0, of 4096 in all."""
+        prev = self.prev[:a]
+        self.i1 = self.base[:a] + (prev & U32((1 << SLOTS_BITS) - 1))
+        self.i2 = self.base[:a] + ((prev * U32(0x9E3779B1) ^ self.key[:a]) * U32(0x27D4EB2F) >> U32(32 - SLOTS_BITS))
+        self.e = self.long.take(self.i2), self.first.take(self.i1), self.second.take(self.i1)
+        c = [e >> U32(2) for e in self.e]
+        same1, same2 = c[0] == c[1], c[0] == c[2]
+        self.iw = self.base_w[:a] + (((self.e[0] & U32(3)) << U32(4)) | ((self.e[1] & U32(3)) << U32(2)) | (same1 | (same2 << 1)))
+        self.v = [w.take(self.iw) for w in self.w]
+        m, left = [], np.int32(4096)
+        for v in self.v:
+            part = (left * v) >> 12
+            m.append(part)
+            left = left - part
+        return c, [x.astype(U64) for x in m], left.astype(U64)
+
+    def learn(self, a: int, x: np.ndarray, hit: list[np.ndarray]) -> None:
+        """hit: which of the three places were x."""
+        done = np.zeros(a, bool)
+        for w, v, h in zip(self.w, self.v, hit, strict=True):
+            right = h & ~done
+            w[self.iw] = np.where(done, v, v + ((right * np.int32(3840) + np.int32(64) - v) >> 4))
+            done |= h
+        for t, i, e, h in ((self.long, self.i2, self.e[0], hit[0]), (self.first, self.i1, self.e[1], hit[1])):
+            sure = e & U32(3)
+            fresh = x << U32(2) | U32(1)
+            t[i] = np.where(h, e + (sure < SURE), np.where(sure > 1, e - U32(1), fresh))
+            if t is self.first:
+                self.second[i] = np.where(h, self.e[2], np.where(sure > 1, fresh, e))
+        self.key[:a] = (self.prev[:a] + U32(1)) * U32(0x85EBCA6B)
         self.prev[:a] = x
 
 
-def spans_of(top: int) -> int:
-    return (int(top) >> SPAN_BITS) + 1
-
-
 class Coder:
     """The range coder's lanes: 64-bit registers that shed 32 bits whenever the upper half is settled."""
 
@@ -115,53 +158,49 @@ class Coder:
             self.low[sel], self.rng[sel] = lo, r
 
 
-def encode_blocks(ids: np.ndarray, top: int) -> list[bytes]:
-    """The coded blocks of ids (each at most top)."""
-    n = len(ids)
+def encode_blocks(at: np.ndarray, start: Start) -> list[bytes]:
+    """The coded blocks of ids, given as places."""
+    n = len(at)
     lanes = -(-n // BLOCK)
     if not lanes:
         return []
     grid = np.zeros(lanes * BLOCK, U32)
-    grid[:n] = ids
+    grid[:n] = at
     grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)
     last = n - (lanes - 1) * BLOCK
-    m, c = Model(lanes, spans_of(top)), Coder(lanes)
-    out = np.zeros((lanes, BLOCK * 2 + 4), "<u4")
+    m, c = Model(lanes, start), Coder(lanes)
+    out = np.zeros((lanes, 2 * BLOCK + 4), "<u4")  # an id takes 32 bits at most, and what the range loses by rounding
 
     def emit(sel, lo):
         out[sel, c.pos[sel]] = lo >> U64(32)
 
+    bits = U64(start.bits)
     for t in range(min(BLOCK, n)):
         a = lanes if t < last else lanes - 1
         if not a:
             break
-        if t % FRESH == 0 and t:
-            m.renew()
         x = grid[t, :a]
-        c1, c2, f2, f1 = m.predict(a)
-        right2 = x == c2
-        right1 = (x == c1) & ~right2
-        r = c.rng[:a] >> U64(12)
-        f0 = f1 + f2
-        c.low[:a] += r * np.where(right2, U64(0), np.where(right1, f2, f0))
-        c.rng[:a] = r * np.where(right2, f2, np.where(right1, f1, U64(4096) - f0))
-        li = np.flatnonzero(~(right2 | right1))
-        y = x[li]
-        at = m.row[li] + (y >> U32(SPAN_BITS))
-        lo = m.flat[at].astype(U64)
-        f = m.flat[at + 1] - lo
-        r = c.rng[li] >> U64(16 + SPAN_BITS)
-        c.low[li] += r * ((lo << U64(SPAN_BITS)) + (y & U32((1 << SPAN_BITS) - 1)) * f)
-        c.rng[li] = r * f
+        place, weight, w0 = m.predict(a)
+        hit = [p == x for p in place]
+        below, own = w0 * start.cum.take(x), w0 * start.size.take(x)
+        less = more = U64(0)
+        for p, w, h in zip(place, weight, hit, strict=True):
+            less = less + w * (p < x)
+            more = more + w * h
+        r = c.rng[:a] >> (bits + U64(WEIGHTS))
+        c.low[:a] += r * (below + (less << bits))
+        c.rng[:a] = r * (own + (more << bits))
         c.settle(a, emit)
-        m.learn(a, x, right2, right1)
+        m.learn(a, x, hit)
+    every = np.arange(lanes)
     for s in (32, 0):
-        out[m.every, c.pos] = (c.low >> U64(s)) & U64(2**32 - 1)
+        out[every, c.pos] = (c.low >> U64(s)) & U64(2**32 - 1)
         c.pos += 1
     return [out[i, : c.pos[i]].tobytes() for i in range(lanes)]
 
 
-def decode_blocks(blocks: list[bytes], n: int, top: int) -> np.ndarray:
+def decode_blocks(blocks: list[bytes], n: int, start: Start) -> np.ndarray:
+    """The places of all ids."""
     lanes = len(blocks)
     if not lanes:
         return np.zeros(0, U32)
@@ -171,76 +210,84 @@ def decode_blocks(blocks: list[bytes], n: int, top: int) -> np.ndarray:
         data[i, : len(b) // 4] = np.frombuffer(b, "<u4", len(b) // 4)
     last = n - (lanes - 1) * BLOCK
     grid = np.zeros((BLOCK, lanes), U32)
-    m, c = Model(lanes, spans_of(top)), Coder(lanes)
+    m, c = Model(lanes, start), Coder(lanes)
     code = data[:, 0].astype(U64) << U64(32) | data[:, 1]
 
     def shift(sel, lo):
         code[sel] = code[sel] << U64(32) | data[sel, np.minimum(c.pos[sel] + 2, width - 1)]
 
-    steps = [1 << k for k in reversed(range(m.spans.bit_length()))]
+    bits = U64(start.bits)
+    top = U64(len(start.place) - 1)
     for t in range(min(BLOCK, n)):
         a = lanes if t < last else lanes - 1
         if not a:
             break
-        if t % FRESH == 0 and t:
-            m.renew()
-        c1, c2, f2, f1 = m.predict(a)
-        r = c.rng[:a] >> U64(12)
+        place, weight, w0 = m.predict(a)
+        r = c.rng[:a] >> (bits + U64(WEIGHTS))
         v = (code[:a] - c.low[:a]) // r
-        f0 = f1 + f2
-        right2 = v < f2
-        right1 = (v < f0) & ~right2
-        x = np.where(right2, c2, c1)
-        c.low[:a] += r * np.where(right2, U64(0), np.where(right1, f2, f0))
-        c.rng[:a] = r * np.where(right2, f2, np.where(right1, f1, U64(4096) - f0))
-        li = np.flatnonzero(~(right2 | right1))
-        r = c.rng[li] >> U64(16 + SPAN_BITS)
-        v = np.minimum((code[li] - c.low[li]) // r, U64((1 << 16 + SPAN_BITS) - 1))
-        high, row = (v >> U64(SPAN_BITS)).astype(U32), m.row[li]
-        at, end = row.copy(), row + (m.spans - 1)
-        for step in steps:  # the last sum that is at most v
-            nxt = np.minimum(at + step, end)
-            at = np.where(m.flat.take(nxt) <= high, nxt, at)
-        lo = m.flat[at].astype(U64)
-        f = m.flat[at + 1] - lo
-        y = (v - (lo << U64(SPAN_BITS))) // f
-        c.low[li] += r * ((lo << U64(SPAN_BITS)) + y * f)
-        c.rng[li] = r * f
-        x[li] = ((at - row).astype(U32) << U32(SPAN_BITS)) | y.astype(U32)
+        # the long orders' places whose whole share lies below v; what is left of v falls into order 0, or is one of them
+        past, x = U64(0), None
+        for j, p in enumerate(place):
+            less = more = U64(0)
+            for q, w in zip(place, weight, strict=True):
+                less = less + w * (q < p)
+                more = more + w * (q == p)
+            begin = w0 * start.cum.take(p, mode="clip") + (less << bits)
+            end = begin + w0 * start.size.take(p, mode="clip") + (more << bits)
+            past = past + weight[j] * (end <= v)
+            here = (begin <= v) & (v < end)
+            x = np.where(here, p, x) if x is not None else np.where(here, p, U32(0xFFFFFFFF))
+        rest = np.flatnonzero(x == U32(0xFFFFFFFF))
+        point = np.minimum((v[rest] - ((past[rest]) << bits)) // w0[rest], top)
+        x[rest] = start.place.take(point.astype(I64))
+        hit = [p == x for p in place]
+        below, own = w0 * start.cum.take(x), w0 * start.size.take(x)
+        less = more = U64(0)
+        for p, w, h in zip(place, weight, hit, strict=True):
+            less = less + w * (p < x)
+            more = more + w * h
+        c.low[:a] += r * (below + (less << bits))
+        c.rng[:a] = r * (own + (more << bits))
         c.settle(a, shift)
         grid[t, :a] = x
-        m.learn(a, x, right2, right1)
+        m.learn(a, x, hit)
     return np.ascontiguousarray(grid.T).ravel()[:n]
 
 
 def pack(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
     """One buffer of whole documents as bytes."""
-    top = int(ids.max()) if len(ids) else 0
-    blocks = encode_blocks(ids, top)
+    start, at = Start.of(ids) if len(ids) else (None, ids)
+    blocks = encode_blocks(at, start)
     sums = [zlib.crc32(ids[i : i + BLOCK].astype("<u4").tobytes()) for i in range(0, len(ids), BLOCK)]
     known = np.array([d is not None for d in doc_ids], "u1")
-    head = MAGIC + struct.pack("<QIII", len(ids), len(doc_ids), len(blocks), top)
-    return b"".join([head, known.tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array(lengths, "<u8").tobytes(), np.array([len(b) for b in blocks], "<u4").tobytes(), np.array(sums, "<u4").tobytes(), *blocks])
+    model = zlib.compress(b"".join(x.astype("<u4").tobytes() for x in (start.ids, start.share, start.follow)) if start else b"")
+    head = struct.pack("<QIIII", len(ids), len(doc_ids), len(blocks), len(start.ids) if start else 0, len(model))
+    head = b"".join([head, known.tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array(lengths, "<u8").tobytes(), np.array([len(b) for b in blocks], "<u4").tobytes(), np.array(sums, "<u4").tobytes(), model])
+    return b"".join([MAGIC, struct.pack("<QI", len(head), zlib.crc32(head)), head, *blocks])
 
 
 def unpack(data: bytes) -> tuple[list, list[int], np.ndarray]:
     if data[: len(MAGIC)] != MAGIC:
         raise ValueError("not a token file")
-    n, docs, count, top = struct.unpack_from("<QIII", data, len(MAGIC))
-    at = len(MAGIC) + 20
-    take = lambda kind, k: np.frombuffer(data, kind, k, at)
-    known = take("u1", docs)
-    at += docs
-    ids = take("<i8", docs)
-    at += 8 * docs
-    lengths = take("<u8", docs)
-    at += 8 * docs
-    sizes = take("<u4", count)
-    at += 4 * count
-    sums = take("<u4", count)
-    at += 4 * count
-    ends = at + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    out = decode_blocks([data[ends[i] : ends[i + 1]] for i in range(count)], n, top)
+    room, check = struct.unpack_from("<QI", data, len(MAGIC))
+    at = len(MAGIC) + 12
+    if zlib.crc32(data[at : at + room]) != check:
+        raise ValueError("the head is damaged")
+    n, docs, count, k, model_size = struct.unpack_from("<QIIII", data, at)
+    at += 24
+
+    def take(kind: str, many: int) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(data, kind, many, at)
+        at += out.nbytes
+        return out
+
+    known, ids, lengths, sizes, sums = take("u1", docs), take("<i8", docs), take("<u8", docs), take("<u4", count), take("<u4", count)
+    flat = np.frombuffer(zlib.decompress(data[at : at + model_size]), "<u4")
+    start = Start(flat[:k], flat[k : 2 * k], flat[2 * k :].reshape(k, 2)) if k else None
+    ends = at + model_size + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    out = decode_blocks([data[ends[i] : ends[i + 1]] for i in range(count)], n, start)
+    out = start.ids[out] if k else out
     for i in range(count):
         if zlib.crc32(out[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) != sums[i]:
             raise ValueError(f"block {i} is damaged")
@@ -251,10 +298,11 @@ class Encoder:
     """Whole texts to ids with the tokenizers library; pieces between spaces are encoded once and held.
 
     The vocabulary's rules turn white space into one space and never join what a space parts, so a text's ids are those
-    of its pieces in a row.
+    of its pieces in a row. Pieces are held in lower case, as the vocabulary's rules take them, but for those that may hold
+    one of its special tokens, which the library finds in the text as it is.
     """
 
-    LIMIT = 350_000
+    LIMIT = 800_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -286,17 +334,24 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """ids of each text as little-endian 32-bit integers."""
-        own = [t.encode("utf-8").translate(LOWER).replace(b"\n", b" ").split(b" ") for t in texts]
+        own = [self.pieces(t.encode("utf-8")) for t in texts]
         held = self.held
-        missing = {p for ps in own for p in ps if p not in held}
+        pieces = set().union(*own)
+        missing = pieces - held.keys()
         if missing:
             if len(held) + len(missing) > self.LIMIT:
                 held.clear()
-                missing = {p for ps in own for p in ps}
+                missing = pieces
             self.learn([p for p in missing if p])
             held[b""] = b""
         return [b"".join(map(held.__getitem__, ps)) for ps in own]
 
+    @staticmethod
+    def pieces(text: bytes) -> list[bytes]:
+        if SPECIAL not in text:
+            return text.translate(LOWER).replace(b"\n", b" ").split(b" ")
+        return [p if SPECIAL in p else p.translate(LOWER) for p in text.replace(b"\n", b" ").split(b" ")]
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
