@@ -1,3 +1,5 @@
+import hashlib
+import json
 import datetime as dt
 
 import pytest
@@ -156,8 +158,18 @@ def test_register(spark):
 def test_polling():
     assert polling.mode(["a"] * 5) == "slow" and polling.mode(["a"] * 4) == "fast" == polling.mode(["a"] * 4 + [None]) == polling.mode(["a"] * 4 + ["b"])
     assert polling.is_due(None, T0, 5) and polling.is_due(T0, at(2.5), 5) and not polling.is_due(T0, at(2.4), 5)
-    assert polling.fingerprint([{"a": 1, "b": 2}, {"a": 3}]) == polling.fingerprint([{"a": 3}, {"b": 2, "a": 1}]) != polling.fingerprint([{"a": 3}])
-    assert polling.fingerprint([{"a": 1, "t": 5}], ("t",)) == polling.fingerprint([{"a": 1, "t": 6}], ("t",))
+    of = lambda rows, *skip: polling.fingerprint(json.dumps(rows), skip)
+    assert of([{"a": 1, "b": 2}, {"a": 3}]) == of([{"a": 3}, {"b": 2, "a": 1}]) != of([{"a": 3}])
+    assert of([{"a": 1, "t": 5}], "t") == of([{"a": 1, "t": 6}], "t")
+    # the stored form
+    assert of([{"b": "Ø", "a": {"d": 1, "c": None}}]) == "sha256:" + hashlib.sha256(b'{"a": {"c": null, "d": 1}, "b": "\\u00d8"}').hexdigest()
+    assert [polling.fingerprint(x) for x in ("x", "{}", "[1]", '[{"a":1},[]]')] == [None] * 4 and polling.fingerprint("[]") == polling.content_hash(b"")
+
+
+def test_outage_throttle(spark):
+    o = spark.createDataFrame([("s", at(m)) for m in (0, 30, 60, 65, 119, 121)] + [("u", at(5)), ("u", None)], "source_id string, observed_at timestamp")
+    got = sorted((r["source_id"], r["m"]) for r in polling.throttled(o).select("source_id", ((F.unix_micros("observed_at") - F.unix_micros(F.lit(at(0)))) / 60_000_000).cast("int").alias("m")).collect())
+    assert got == [("s", 0), ("s", 60), ("s", 121), ("u", 5)]
 
 
 def test_gaps(spark):

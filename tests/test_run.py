@@ -116,7 +116,11 @@ def test_store(spark, tmp_path):
     assert st.read("t").columns == ["k", "v", "w"] and st.read("t").where("w is null").count() == 2
     with pytest.raises(TypeError):
         st.append("t", spark.createDataFrame([("x", "y")], "k string, v string"))
+    st.replace_tagged("t", "x", spark.createDataFrame([(5, "e", 0.5)], "k int, v string, w double"))
+    st.replace_tagged("t", "x", spark.createDataFrame([(6, "f", 0.5)], "k int, v string, w double"))
     st.compact("t")
+    assert sorted(r[0] for r in st.read("t").collect()) == [2, 3, 4, 6]
+    st.replace_tagged("t", "x", spark.createDataFrame([], "k int, v string, w double"))
     n = len(st.versions("t"))
     with pytest.raises(ValueError):
         st.vacuum("t", 1)
@@ -128,44 +132,162 @@ def test_store(spark, tmp_path):
     spark.sql("drop table e")
 
 
+SOURCE = {"id": "a", "http": {"url": "https://x"}, "raw_path": "b/{yyyy}/{mm}/{dd}/{HHmmss}.json", "bronze_table": "t", "polling": {}}
+
+
+class Net:
+    """Answers by address; an exception is raised."""
+
+    def __init__(self, answers):
+        self.answers, self.asked = answers, []
+
+    def get(self, url, params=None):
+        self.asked.append((url, params))
+        got = self.answers[url] if not callable(self.answers) else self.answers(url, params)
+        if isinstance(got, Exception):
+            raise got
+        return collector.Answer(*got)
+
+
+def source(tmp_path, **own):
+    p = tmp_path / "one.json"
+    p.write_text(json.dumps({"sources": [SOURCE | own]}))
+    return config.load_sources(str(p))[0]
+
+
 def test_collector(tmp_path):
     body = json.dumps([{"Sted": "A", "n": "1"}, {"Sted": "Z", "n": "2"}]).encode()
-    do = lambda m, status=200, data=body, **k: collector.collect(tmp_path, "s", "https://x", lambda _: (status, data), T0 + dt.timedelta(minutes=m), **k)
-    assert do(0, keep=("Sted", {"A", "Q"})) == "stored" and do(1) == "not_due"
-    side = collector.sidecars(tmp_path)[0]
+    own, home = source(tmp_path, filter={"field": "Sted", "mapping_field": "facility"}), tmp_path / "raw"
+    do = lambda m, status=200, s=own, wanted=frozenset("AQ"): collector.Poll(home, s, Net({"https://x": (status, body)}), T0 + dt.timedelta(minutes=m), "r", wanted).run()
+    assert do(0) == "stored" and do(1) == "not_due"
+    side = collector.sidecars(home)[0]
     assert side["filter"]["missing"] == ["Q"] and side["filter"]["kept_records"] == 1 and side["polling_mode"] == "fast"
-    for i in range(1, 6):
+    assert side["content_hash"].startswith("sha256:") and side["values_fingerprint"].startswith("sha256:") and (home / "b/2026/09/28/120300.json").exists()
+    for i in range(1, 5):
         assert do(5 * i) == "stored"
-    assert collector.sidecars(tmp_path)[-1]["polling_mode"] == "slow" and do(30) == "not_due" and do(45) == "stored"
-    assert do(90, 503) == "outage" == do(100, 503) and len(list((tmp_path / "unavailable").iterdir())) == 1
-    with pytest.raises(collector.CollectError):
+    assert collector.sidecars(home)[-1]["polling_mode"] == "slow" and do(30) == "not_due" and do(45) == "stored"
+    assert [s["ingested_at"][14:16] for s in collector.sidecars(home, 2)] == ["23", "48"]
+    assert do(90, 503) == "outage" == do(100, 503) and len(list((home / "b/unavailable").iterdir())) == 1
+    with pytest.raises(collector.CollectError, match="404"):
         do(120, 404)
+    with pytest.raises(collector.CollectError, match="no values to keep"):
+        do(120, wanted=None)
+    demand = config.Source("a", own.raw_path, "t", http=own.http)
     with pytest.raises(FileExistsError):
-        do(45, on_demand=True)
-    ok = {"success": True, "result": {"resources": [{"format": " JSON ", "url": "https://a"}, {"format": "csv", "url": "https://b"}]}}
-    assert collector.resolve_resource(json.dumps(ok).encode(), "json") == "https://a"
-    for bad in (b"x", b"[]", b'{"success":false}', b'{"success":true,"result":{"resources":[]}}', json.dumps(ok).replace("https://a", "http://a").encode()):
-        with pytest.raises(collector.CollectError):
-            collector.resolve_resource(bad, "json")
-    pages = {1: {"workflow_runs": [{"id": 1}, {"id": 2}]}, 2: {"workflow_runs": [{"id": 3}]}}
-    jobs = lambda i: {"jobs": [{"steps": [{"name": f"s{i}", "conclusion": "failure"}]}]}
-    assert [r["failed_step"] for r in collector.failed_runs(pages.get, jobs, {1: "known"}, size=2)] == ["known", "s2", "s3"]
+        do(45, s=demand)
+    assert do(200, s=demand) == "stored" and collector.sidecars(home, 1)[0]["next_due"] is None
+
+
+def test_catalogue_errors():
+    one = {"id": "i", "name": "n", "format": " JSON ", "url": "https://a/x"}
+    at = "https://c/api/3/action/package_show"
+    show = lambda r: json.dumps({"success": True, "result": {"name": "p", "resources": r}}).encode()
+
+    def find(answer):
+        return collector.only_resource(collector.package(Net({at: answer}), "https://c/", "p"), "json")
+
+    assert find((200, show([one, {"format": "csv"}]))) == collector.Resource("i", "n", "JSON", "https://a/x")
+    cases = [
+        ((503, b""), "HTTP 503"), ((200, b"<html>"), "not JSON"), ((200, b'{"success": false, "error": "Not found"}'), "package_show failed.*Not found"), ((200, b"[]"), "package_show failed"),
+        ((200, b'{"success": true, "result": []}'), "no result object"), ((200, show(None)), "no resource list"), ((200, show([{"format": "CSV"}])), r"no JSON resource \(available formats: CSV\)"),
+        ((200, show([one, one | {"name": "second"}])), "2 JSON resources, expected exactly one.*second"), ((200, show([one | {"url": "http://a"}])), "no https download URL"), (collector.CollectError("request timed out"), "timed out"),
+    ]
+    for answer, message in cases:
+        with pytest.raises(collector.CollectError, match=message):
+            find(answer)
+
+
+def test_transport(monkeypatch):
+    import urllib.error
+
+    def fails(e):
+        def run(*_, **__):
+            raise e
+
+        monkeypatch.setattr("urllib.request.urlopen", run)
+
+    for e, message in ((TimeoutError(), "timed out"), (urllib.error.URLError(TimeoutError()), "timed out"), (urllib.error.URLError("refused"), "request failed"), (ConnectionError("x"), "request failed")):
+        fails(e)
+        with pytest.raises(collector.CollectError, match=message):
+            collector.Https().get("https://x", {"a": 1})
 
 
 def test_config_reports_all_problems(tmp_path):
     p = tmp_path / "s.json"
-    good = {"id": "a", "url": "https://x", "raw_path": "b/{yyyy}/{mm}/{dd}/{HHmmss}.json", "bronze_table": "t"}
-    p.write_text(json.dumps({"sources": [good]}))
-    assert config.load_sources(str(p))[0].numbers["slow_interval_minutes"] == 20
-    p.write_text(json.dumps({"sources": [good | {"zz": 1, "url": "http://x", "raw_path": "{mm}{yyyy}", "min_jump": 5}, good, 3]}))
+    assert source(tmp_path).polling["slow_interval_minutes"] == 20 and source(tmp_path).folder == "b"
+    bad = SOURCE | {"zz": 1, "http": {"url": "http://x", "y": 1}, "raw_path": "{mm}{yyyy}", "glitch": {"min_jump": 5}, "polling": {"fast_interval_minutes": 30}, "freshness": {"stale_after_minutes": True}}
+    p.write_text(json.dumps({"sources": [bad, SOURCE, SOURCE | {"ckan": {}}, 3]}))
     with pytest.raises(config.ConfigError) as e:
         config.load_sources(str(p))
-    assert len(e.value.problems) >= 6
+    assert len(e.value.problems) >= 12
     m = tmp_path / "m.json"
     m.write_text(json.dumps({"facilities": [{"facility": "A", "register_id": 1}, {"facility": "A", "register_id": 1, "reserved_spaces": 2}]}))
     with pytest.raises(config.ConfigError) as e:
         config.load_mapping(str(m))
     assert len(e.value.problems) == 3
+    c = tmp_path / "c.json"
+    c.write_text(json.dumps({"github_actions": {"repository": "a/b", "workflow": "w.yml"}}))
+    assert config.load_collector(str(c)) == config.Collector("a/b", "w.yml")
+    for text in ("{}", "[]", '{"github_actions": {"repository": 1}}', "x"):
+        c.write_text(text)
+        with pytest.raises(config.ConfigError):
+            config.load_collector(str(c))
+
+
+def test_tariff_and_rule_files(spark, tmp_path):
+    from tidegrain.operators import pricing
+
+    t, r = tmp_path / "t.json", tmp_path / "r.json"
+    t.write_text(json.dumps({"unit": "half_hour", "facilities": [{"facility": "A", "periods": [{"from": "00:00", "to": "24:00", "price": 20}, {"weekdays": ["sat"], "from": "10:00", "to": "12:00", "price": 30}]}]}))
+    grid = pricing.tariffs(spark, config.load_tariffs(str(t)))
+    assert grid.count() == 168 and [x[0] for x in grid.where("weekday_number = 6 and hour = 11").select("base_price").collect()] == [60.0]
+    t.write_text(json.dumps({"unit": "half_hour", "facilities": [{"periods": [{"from": 3, "to": "24:00", "price": -1, "weekdays": ["x"]}]}]}))
+    with pytest.raises(config.ConfigError) as e:
+        config.load_tariffs(str(t))
+    assert len(e.value.problems) == 4
+    good = {"occupancy_bands": [{"name": "a", "below": 0.5, "multiplier": 1}, {"name": "b", "below": None, "multiplier": 2}], "rush_hours": [{"name": "r", "weekdays": ["mon"], "from": "07:00", "to": "09:00", "multiplier": 1.1}], "limits": {"min_multiplier": 0.5, "max_multiplier": 1.5, "facilities": {"A": {"max": 30}}}, "data": {"max_stale_share": 0.5, "min_covered_minutes": 30}}
+    r.write_text(json.dumps(good))
+    rules = config.load_rules(str(r))
+    assert rules.limits == {"A": (None, 30)} and rules.rush == (("r", (1,), 7, 9, 1.1),) and rules.bands[-1] == ("b", None, 2.0)
+    for bad in (good | {"limits": {}}, good | {"occupancy_bands": []}, good | {"rush_hours": good["rush_hours"] * 2}):
+        r.write_text(json.dumps(bad))
+        with pytest.raises(config.ConfigError):
+            config.load_rules(str(r))
+
+
+def test_two_feeds_with_files_of_one_time(spark, tmp_path):
+    st, out = TableStore(spark, str(tmp_path / "t")), []
+    for feed in "ab":
+        snapshot(tmp_path / feed, 0)
+        out.append(run.Setup(st, str(tmp_path / feed), feed))
+    assert run.run(out, say=out.append) in (0, 3)
+    assert {(r[0], r[1]) for r in st.read("silver_parking_fetch").groupBy("source_id").count().collect()} == {("a", 2), ("b", 2)}
+    snapshot(tmp_path / "b", 1)
+    assert run.run(out[:2]) in (0, 3) and st.read("silver_parking_fetch").count() == 6
+    assert {r[0] for r in st.read("fact_parking_availability").select("source_id").distinct().collect()} == {"a", "b"}
+
+
+def test_command_line(spark, tmp_path):
+    from tidegrain import cli
+
+    raw, tables, said = tmp_path / "raw", str(tmp_path / "tables"), []
+    p = tmp_path / "s.json"
+    p.write_text(json.dumps({"sources": [SOURCE]}))
+    local = dt.datetime(2026, 9, 28, 14, 0)
+    body = json.dumps([record("A", local, "7")]).encode()
+    a = cli.arguments().parse_args(["collect", "--config", str(p), "--storage", str(raw), "--run-id", "1"])
+    assert cli.collect(a, Net({"https://x": (200, body)}), T0, said.append) == 0 and said == ["a: stored"]
+    assert cli.collect(a, Net({"https://x": (404, b"")}), T0 + dt.timedelta(hours=1), said.append) == 1
+    m = tmp_path / "m.json"
+    m.write_text(json.dumps({"facilities": [{"facility": "A"}]}))
+    go = lambda *x: cli.main([*x, "--tables-root", tables], spark, said.append)
+    files = ["--config", str(p), "--raw-root", str(raw), "--mapping", str(m)]
+    assert go("run", *files) == 0 and go("silver", *files, "--rebuild") == 0 and go("check", *files) == 0
+    st = TableStore(spark, tables)
+    assert st.read("silver_parking_fetch").count() == 1 and st.read("t").select("raw_file").first()[0] == "b/2026/09/28/120300.json"
+    assert go("maintain", "--dry-run") == 0 == go("maintain") and st.read("silver_parking_fetch").count() == 1
+    assert cli.main(["gaps", "--config", str(p), "--storage", str(raw)], spark, said.append) == 0 and "none since" in said[-1]
+    assert cli.main(["run", "--config", str(m), "--raw-root", "x", "--tables-root", "y"], spark, said.append) == 2
 
 
 def test_outages_and_run_history(spark, tmp_path):
@@ -176,16 +298,28 @@ def test_outages_and_run_history(spark, tmp_path):
     (out / "b.json").write_text("{}")
     c = setup(spark, raw, tmp_path / "t")
     c.outage_root = str(out)
-    c.pages = lambda n: {"workflow_runs": [{"id": 5, "run_attempt": 1, "run_started_at": T0.isoformat(), "html_url": "u"}]}
-    c.jobs = lambda i: {"jobs": [{"steps": [{"name": "fetch", "conclusion": "failure"}]}]}
+    attempts = [1]
+
+    def answer(url, params):
+        if url.endswith("jobs"):
+            return 200, json.dumps({"jobs": [{"steps": [{"name": f"fetch{url.split('/')[-2]}", "conclusion": "failure"}]}]}).encode()
+        if params["page"] == 2:
+            return 200, b'{"workflow_runs": []}'
+        return 200, json.dumps({"workflow_runs": [{"id": 5, "run_attempt": attempts[0], "run_started_at": T0.isoformat(), "html_url": "u"}]}).encode()
+
+    net = Net(answer)
+    c.history = collector.History(net, config.Collector("a/b", "w"), size=1)
     for _ in range(2):
         run.run_bronze(c)
+    assert sum(u.endswith("jobs") for u, _ in net.asked) == 1  # a known attempt isn't asked for again
+    attempts[0] = 2
+    run.run_bronze(c)
     assert [r["http_status"] for r in c.store.read("bronze_source_outages").collect()] == [503]
-    assert [r["failed_step"] for r in c.store.read("bronze_collect_runs").collect()] == ["fetch"]
-    c.pages = lambda n: 1 / 0
+    assert [r["failed_step"] for r in c.store.read("bronze_collect_runs").collect()] == ["fetch2"]
+    c.history = collector.History(Net(lambda *_: (500, b"")), config.Collector("a/b", "w"))
     run.load_runs(c, say=lambda _: None)
     assert c.store.read("bronze_collect_runs").count() == 1
-    c.pages = None
+    c.history = None
     assert run.run(c) == 0
     failed = {r["check"]: r["detail"] for r in c.store.read("quality_check_results").where("not passed").collect()}
-    assert failed["collect_failures"] == "fetch: 1" and failed["source_outages"].startswith("feed: 1 over 0")
+    assert failed["collect_failures"] == "fetch2: 1" and failed["source_outages"].startswith("feed: 1 over 0")

@@ -32,15 +32,18 @@ def glitch_flag(g: Glitch | None, by: Window) -> Column:
 def availability(readings: DataFrame, fetches: DataFrame, facilities: DataFrame, periods: DataFrame, glitch: Glitch | None = Glitch()) -> DataFrame:
     """Readings as validity intervals, with facility key, last fetch, staleness and glitch flag.
 
-    Facilities are the small side; an unknown one gets key -1. The stale flag is an existence test on distinct source
+    Facilities are the small side; an unknown one gets key -1. The last fetch comes with the readings of deduplicate(), or
+    from fetches where readings lack it. The stale flag is an existence test on distinct source
     times, so periods never multiply readings.
     """
     by = Window.partitionBy("source_id", "facility").orderBy("reading_at")
-    last = fetches.groupBy("source_id", "facility", "reading_at").agg(F.max("ingested_at").alias("last_fetched_at"))
     stale = periods.select("source_id", F.col("source_reading_at").alias("reading_at")).distinct().withColumn("_stale", F.lit(True))
     dim = facilities.select(F.col("facility_name").alias("facility"), "facility_key", "capacity")
     r = readings.withColumns({"valid_to": F.lead("reading_at").over(by), "is_source_glitch": glitch_flag(glitch, by)})
-    r = r.join(last, ["source_id", "facility", "reading_at"], "left").join(stale, ["source_id", "reading_at"], "left").join(dim, "facility", "left")
+    if "last_fetched_at" not in readings.columns:
+        last = fetches.groupBy("source_id", "facility", "reading_at").agg(F.max("ingested_at").alias("last_fetched_at"))
+        r = r.join(last, ["source_id", "facility", "reading_at"], "left")
+    r = r.join(stale, ["source_id", "reading_at"], "left").join(dim, "facility", "left")
     m = F.col("reading_minute_of_day").cast("int")
     r = r.withColumns(
         {

@@ -19,7 +19,7 @@ class PricingError(ValueError):
 
 @dataclass(frozen=True)
 class Rules:
-    """bands: (name, below or None, multiplier); rush: (name, weekdays, from hour, to hour, multiplier); limits: facility to (min, max)."""
+    """bands: (name, below or None, multiplier); rush: (name, weekdays, from hour, to hour, multiplier); limits: facility to (min or None, max or None)."""
 
     bands: tuple = (("low", 0.5, 0.8), ("normal", 0.85, 1.0), ("high", None, 1.25))
     rush: tuple = (("morning", (1, 2, 3, 4, 5), 7, 9, 1.1), ("afternoon", (1, 2, 3, 4, 5), 15, 17, 1.1))
@@ -37,7 +37,7 @@ class Rules:
             wrong.append("bands rise")
         if any(m <= 0 for *_, m in (*self.bands, *self.rush)) or self.min_multiplier <= 0:
             wrong.append("multipliers are positive")
-        if self.min_multiplier > self.max_multiplier or any(lo > hi for lo, hi in self.limits.values()):
+        if self.min_multiplier > self.max_multiplier or any(lo is not None and hi is not None and lo > hi for lo, hi in self.limits.values()):
             wrong.append("a minimum is at most its maximum")
         cells = [(d, h) for _, days, a, b, _ in self.rush for d in days for h in range(a, b)]
         if len(cells) != len(set(cells)):
@@ -46,7 +46,7 @@ class Rules:
             raise PricingError("; ".join(wrong))
 
 
-def _hour(text: str) -> int:
+def whole_hour(text: str) -> int:
     h, _, m = str(text).partition(":")
     if not h.isdigit() or m not in ("", "00") or int(h) > 24:
         raise PricingError(f"not a whole hour: {text}")
@@ -64,7 +64,7 @@ def tariffs(spark: SparkSession, facilities: list[dict]) -> DataFrame:
         seen: list[tuple[int, int]] = []
         for p in sorted(f["periods"], key=lambda p: "weekdays" in p):
             days = [DAYS.index(d) + 1 for d in p["weekdays"]] if "weekdays" in p else list(range(1, 8))
-            cells = [(d, h) for d in days for h in range(_hour(p["from"]), _hour(p["to"]))]
+            cells = [(d, h) for d in days for h in range(whole_hour(p["from"]), whole_hour(p["to"]))]
             if "weekdays" not in p:
                 seen += cells
             week.update(dict.fromkeys(cells, float(p["price"])))
@@ -84,7 +84,7 @@ def suggested_prices(hourly: DataFrame, facilities: DataFrame, tariff: DataFrame
     """
     spark = hourly.sparkSession
     rush = spark.createDataFrame([(n, d, h, float(m)) for n, days, a, b, m in rules.rush for d in days for h in range(a, b)] or [], "rush_window string, weekday_number int, hour int, rush double")
-    limits = spark.createDataFrame([(f, float(a), float(b)) for f, (a, b) in rules.limits.items()] or [], "facility string, low double, high double")
+    limits = spark.createDataFrame([(f, *(None if x is None else float(x) for x in pair)) for f, pair in rules.limits.items()] or [], "facility string, low double, high double")
     seen = hourly.groupBy("facility_key").agg(F.max("max_spaces").alias("_seen"))
     dim = facilities.select("facility_key", F.col("facility_name").alias("facility"), F.col("capacity").alias("_capacity"))
     wall = local(F.col("hour_start"), zone)

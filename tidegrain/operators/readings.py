@@ -6,6 +6,7 @@ for freshness, whose window is per source over snapshots (one row per fetch).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegrain.functions.parse import count_of, decimal_of, missing
 from tidegrain.functions.time import MICROS_A_MINUTE, minutes, whole_second_minutes, with_instants
-from tidegrain.schemas import QUARANTINE, READING, SNAPSHOT, STALE_PERIOD, conform
+from tidegrain.schemas import FIRST, QUARANTINE, READING, SNAPSHOT, STALE_PERIOD, conform
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,12 @@ class FeedSpec:
 
 
 LINEAGE = ["source_id", "raw_file", "record_index", "ingested_at"]
+#: Writes a frame that two results come from and reads it back; without one, each result is a plan of its own.
+Keep = Callable[[DataFrame], DataFrame]
 
 
-def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec()) -> tuple[DataFrame, DataFrame]:
-    """Typed readings, and a quarantine row for each bad value, in one pass over bronze each.
+def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
+    """Typed readings, and a quarantine row for each bad value, in one pass over bronze each, or one in all with keep.
 
     A row without a usable time or entity is no reading, but all of its bad values are quarantined. A field that bronze
     lacks is null everywhere.
@@ -61,6 +64,7 @@ def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec()) -> tuple[Data
     )
     typed = with_instants(typed, "_wall", spec.zone, "ingested_at", "reading_at", "dst_resolved")
     typed = typed.withColumn("status", F.when(F.col("available_spaces").isNotNull(), "numeric").when(F.col("_open"), "open").otherwise("unknown"))
+    typed = keep(typed) if keep else typed
     sound = F.col("reading_at").isNotNull() & ~missing(F.col("facility"))
     readings = typed.where(sound).withColumns(
         {
@@ -90,17 +94,27 @@ def compared_values(spec: FeedSpec) -> Column:
     return F.array(pair(spec.latitude, F.col("latitude").cast("string")), pair(spec.longitude, F.col("longitude").cast("string")), pair(spec.count, shown))
 
 
-def deduplicate(fetches: DataFrame, spec: FeedSpec = FeedSpec()) -> tuple[DataFrame, DataFrame]:
-    """The first fetched record of each (source, facility, reading_at), and a conflict row for each value in which a later one differs.
+def by_entity(fetches: DataFrame) -> DataFrame:
+    """fetches dealt by source and facility: one shuffle that serves the windows of deduplicate() and availability()."""
+    return fetches.repartition("source_id", "facility")
 
-    One window gives both: the rank, and the winner's values beside every loser, so there is no self-join.
+
+def deduplicate(fetches: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
+    """The first fetched record of each (source, facility, reading_at), with the time of the last fetch of that reading, and a
+    conflict row for each value in which a later one differs.
+
+    One window gives all: the rank, the last fetch, and the winner's values beside every loser, so there is no self-join.
     """
     order = Window.partitionBy("source_id", "facility", "reading_at").orderBy(F.col("ingested_at").asc_nulls_first(), F.col("raw_file").asc_nulls_first(), F.col("record_index").asc_nulls_first())
-    readings = fetches.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
-    seen = fetches.withColumns({"_rank": F.row_number().over(order), "_own": compared_values(spec)}).withColumn("_won", F.first("_own").over(order)).where("_rank > 1")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = fetches.withColumns({"_rank": F.row_number().over(order), "last_fetched_at": F.max("ingested_at").over(whole)})
+    beside = lambda df: df.withColumn("_own", compared_values(spec)).withColumn("_won", F.first("_own").over(order))
+    ranked = keep(beside(ranked)) if keep else ranked
+    readings = ranked.where("_rank = 1")
+    seen = (ranked if keep else beside(ranked)).where("_rank > 1")
     differ = F.filter(F.zip_with("_own", "_won", lambda a, b: F.when(~a["raw_value"].eqNullSafe(b["raw_value"]), a)), lambda x: x.isNotNull())
     conflicts = seen.select(*LINEAGE, F.explode(differ).alias("q")).select(*LINEAGE, "q.*", F.lit("conflicting_duplicate").alias("reason"))
-    return conform(readings, READING), conform(conflicts, QUARANTINE)
+    return conform(readings, FIRST), conform(conflicts, QUARANTINE)
 
 
 def freshness(fetches: DataFrame, stale_after_minutes: float = 15) -> DataFrame:

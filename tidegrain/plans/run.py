@@ -5,22 +5,21 @@ Exit codes: 0 fine, 1 a step failed (later steps don't run), 2 wrong arguments,
 
 from __future__ import annotations
 
-import argparse
-import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrain import schemas as s
+from tidegrain.config import Source
 from tidegrain.operators import calendar, checks, facility, facts, pricing, readings, register
 from tidegrain.sources import bronze, collector
 from tidegrain.sources.store import TableStore
 
 STEP_ERRORS = (OSError, ValueError, RuntimeError, PySparkException)
-CONFLICT = "reason = 'conflicting_duplicate'"
+CONFLICT = "conflicting_duplicate"
 
 
 @dataclass
@@ -28,11 +27,13 @@ class Setup:
     store: TableStore
     raw_root: str
     feed: str = "feed"
+    feed_table: str | None = None  # bronze_<feed> where none is named
+    base: str | None = None  # the root that raw_file paths start from, if it isn't raw_root
     register_root: str | None = None
     outage_root: str | None = None
-    pages: Callable | None = None  # of the collector's run history: pages(number), jobs(run)
-    jobs: Callable | None = None
+    history: collector.History | None = None
     register: str = "register"
+    register_table: str | None = None
     spec: readings.FeedSpec = readings.FeedSpec()
     mapping: list = field(default_factory=list)
     tariff_list: list = field(default_factory=list)
@@ -45,60 +46,93 @@ class Setup:
     def mapping_frame(self) -> DataFrame:
         return self.store.spark.createDataFrame(self.mapping, "facility string, register_id long, reserved_spaces int")
 
+    @property
+    def bronze(self) -> str:
+        return self.feed_table or f"bronze_{self.feed}"
+
+    @property
+    def bronze_register(self) -> str:
+        return self.register_table or f"bronze_{self.register}"
+
+
+def setups(store: TableStore, raw_root: str, sources: list[Source], **own) -> list[Setup]:
+    """A setup for each feed of a source file (those without a filter), with its intervals, glitch limits and paths; the
+    source with a filter is the register."""
+    register = next((s for s in sources if s.filter), None)
+    out = []
+    for s in sources:
+        if s.filter:
+            continue
+        c = Setup(store, f"{raw_root}/{s.folder}", s.id, s.bronze_table, raw_root, **own)
+        unavailable = f"{raw_root}/{s.folder}/unavailable"
+        p = store.spark._jvm.org.apache.hadoop.fs.Path(unavailable)
+        c.outage_root = unavailable if p.getFileSystem(store.spark._jsc.hadoopConfiguration()).exists(p) else None
+        c.stale_after = s.freshness.get("stale_after_minutes", c.stale_after)
+        c.glitch = facts.Glitch(**s.glitch) if s.glitch else None
+        c.max_gap = s.polling.get("slow_interval_minutes", c.max_gap)
+        if register:
+            c.register, c.register_table, c.register_root = register.id, register.bronze_table, f"{raw_root}/{register.folder}"
+        out.append(c)
+    return out
+
 
 REGISTER_FIELDS = ["id", register.VERSION, register.DEACTIVATED]
-LINEAGE = ["source_id", "raw_file", "record_index", "ingested_at"]
+#: What names a row of bronze; raw files of two sources may have one path.
+ROW = ["source_id", "raw_file", "record_index"]
 
 
 def run_bronze(c: Setup) -> None:
-    bronze.load(c.store, c.raw_root, c.feed, f"bronze_{c.feed}")
+    bronze.load(c.store, c.raw_root, c.feed, c.bronze, c.base)
     if c.register_root:
-        bronze.load(c.store, c.register_root, c.register, f"bronze_{c.register}")
+        bronze.load(c.store, c.register_root, c.register, c.bronze_register, c.base)
     if c.outage_root:
-        found, _ = bronze.outages(bronze.text_files(c.store.spark, c.outage_root), c.feed)
+        found, _ = bronze.outages(bronze.text_files(c.store.spark, c.outage_root, c.base), c.feed)
         c.store.insert_if_new("bronze_source_outages", found, ["source_id", "raw_file"])
-    if c.pages:
+    if c.history:
         load_runs(c)
 
 
-RUNS = s.schema("run_id bigint, run_attempt int, started_at timestamp, failed_step string, url string")
-
-
 def load_runs(c: Setup, say: Callable[[str], None] = print) -> None:
     """The collector's failed runs. An error of the history's server keeps the table as it was and never ends the run."""
     st = c.store
-    known = {r["run_id"]: r["failed_step"] for r in st.read_or_empty("bronze_collect_runs", RUNS).collect()}  # failed runs: a few a month
+    known = {(r["run_id"], r["run_attempt"]): r["failed_step"] for r in st.read_or_empty("bronze_collect_runs", s.RUNS).collect()}  # failed runs: a few a month
     try:
-        rows = [(r["run_id"], r["run_attempt"], r["started_at"], r["failed_step"], r["url"]) for r in collector.failed_runs(c.pages, c.jobs, known)]
+        rows = [(r["run_id"], r["run_attempt"], r["started_at"], r["failed_step"], r["url"]) for r in c.history.failed(known)]
     except Exception as e:  # whatever a transport raises
         say(f"run history not read: {e}")
         return
     df = st.spark.createDataFrame(rows, "run_id long, run_attempt int, started_at string, failed_step string, url string")
-    st.overwrite("bronze_collect_runs", s.conform(df.withColumn("started_at", F.try_to_timestamp("started_at")), RUNS))
+    st.overwrite("bronze_collect_runs", s.conform(df.withColumn("started_at", F.try_to_timestamp("started_at")), s.RUNS))
 
 
 def run_silver(c: Setup, rebuild: bool = False) -> None:
-    """Parses what is new, quarantine before fetches so that a crash between the two repeats and doesn't lose; derives the rest from all fetches."""
+    """Parses what is new, quarantine before fetches so that a crash between the two repeats and doesn't lose; derives the rest
+    from all fetches. What two results come from is written once. Conflicts and the register's quarantine are written under
+    tags of their own, so that replacing them leaves all other rows of the quarantine where they are."""
     st = c.store
-    raw = bronze.widen(st.read(f"bronze_{c.feed}"), c.spec.fields)
-    old = ["raw_file", "record_index"]
+    raw = bronze.widen(st.read(c.bronze), c.spec.fields)
+    own = F.col("source_id") == c.feed
     if st.exists("silver_parking_fetch") and not rebuild:
-        quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where("source_id = '%s'" % c.feed).where(f"not ({CONFLICT})").select(old)
-        raw = raw.join(st.read("silver_parking_fetch").select(old).union(quarantined).distinct(), old, "left_anti")
-    fetched, bad = readings.parse_readings(raw, c.spec)
-    st.insert_if_new("silver_quarantine", bad, ["raw_file", "record_index", "field", "reason"])
-    st.overwrite("silver_parking_fetch", fetched) if rebuild else st.append("silver_parking_fetch", fetched)
+        quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where(own & (F.col("reason") != CONFLICT)).select(ROW)
+        raw = bronze.unhandled(raw, st.read("silver_parking_fetch").where(own).select(ROW).union(quarantined), ROW)
+    fetched, bad = readings.parse_readings(raw, c.spec, st.staged)
+    st.insert_if_new("silver_quarantine", bad, [*ROW, "field", "reason"])
+    if rebuild and st.exists("silver_parking_fetch"):
+        st.replace_where("silver_parking_fetch", own, fetched)
+    else:
+        st.append("silver_parking_fetch", fetched)
+    st.unstage()
     fetches = st.read("silver_parking_fetch")
-    first, conflicts = readings.deduplicate(fetches, c.spec)
-    fresh = readings.freshness(fetches, c.stale_after)
+    first, conflicts = readings.deduplicate(fetches, c.spec, st.staged)
     st.overwrite("silver_parking_reading", first)
-    st.overwrite("silver_snapshot_freshness", fresh)
+    st.replace_tagged("silver_quarantine", CONFLICT, conflicts)
+    st.unstage()
+    st.overwrite("silver_snapshot_freshness", readings.freshness(fetches, c.stale_after))
     st.overwrite("silver_stale_period", readings.stale_periods(st.read("silver_snapshot_freshness"), c.stale_after))
-    st.replace_where("silver_quarantine", F.expr(CONFLICT), conflicts)
     if c.register_root:
-        areas, bad = register.parse_areas(bronze.widen(st.read(f"bronze_{c.register}"), REGISTER_FIELDS))
+        areas, bad = register.parse_areas(bronze.widen(st.read(c.bronze_register), REGISTER_FIELDS))
         st.overwrite("silver_parking_area", areas)
-        st.replace_where("silver_quarantine", F.col("source_id") == c.register, bad)
+        st.replace_tagged("silver_quarantine", c.register, bad)
 
 
 def run_gold(c: Setup) -> None:
@@ -123,13 +157,13 @@ def run_gold(c: Setup) -> None:
 def run_quality(c: Setup) -> bool:
     """Stores the results, then says whether a critical check failed."""
     st = c.store
-    raw = st.read(f"bronze_{c.feed}")
+    raw = st.read(c.bronze)
     names = [r[0] for r in raw.select(F.explode(F.map_keys("fields")).alias("k")).distinct().collect()]  # field names, not rows
     t = {
-        "bronze": bronze.widen(raw, sorted(names)), "issues": st.read_or_empty(f"bronze_{c.feed}_load_issues", s.LOAD_ISSUE), "fetches": st.read("silver_parking_fetch"),
+        "bronze": bronze.widen(raw, sorted(names)), "issues": st.read_or_empty(f"{c.bronze}_load_issues", s.LOAD_ISSUE), "fetches": st.read("silver_parking_fetch"),
         "quarantine": st.read("silver_quarantine"), "snapshots": st.read("silver_snapshot_freshness"), "areas": st.read_or_empty("silver_parking_area", s.AREA), "mapping": c.mapping_frame(),
         "facilities": st.read("dim_parking_facility"), "availability": st.read("fact_parking_availability"), "hourly": st.read("fact_parking_hourly"),
-        "runs": st.read_or_empty("bronze_collect_runs", RUNS), "outages": st.read_or_empty("bronze_source_outages", s.OUTAGE),
+        "runs": st.read_or_empty("bronze_collect_runs", s.RUNS), "outages": st.read_or_empty("bronze_source_outages", s.OUTAGE),
     }
     st.append("quality_check_results", checks.run_checks(t, c.spec.fields, bronze.META, c.spec.count, c.box))
     r = st.read("quality_check_results")
@@ -137,33 +171,18 @@ def run_quality(c: Setup) -> bool:
     return not r.where((F.col("checked_at") == last) & ~F.col("passed") & (F.col("severity") == checks.CRITICAL)).isEmpty()
 
 
-def run(c: Setup, say: Callable[[str], None] = print) -> int:
-    steps = [("bronze", lambda: run_bronze(c)), ("silver", lambda: run_silver(c)), ("gold", lambda: run_gold(c))]
-    for name, step in steps:
+def run(c: Setup | list[Setup], say: Callable[[str], None] = print) -> int:
+    """All steps in order, bronze and silver for each feed, the rest once over all of them."""
+    feeds = c if isinstance(c, list) else [c]
+    steps: list[tuple[str, Callable]] = [(f"{name} {f.feed}", lambda step=step, f=f: step(f)) for f in feeds for name, step in (("bronze", run_bronze), ("silver", run_silver))]
+    for name, step in [*steps, ("gold", lambda: run_gold(feeds[0]))]:
         try:
             step()
         except STEP_ERRORS as e:
             say(f"{name} failed: {e}")
             return 1
     try:
-        return 3 if run_quality(c) else 0
+        return 3 if any([run_quality(f) for f in feeds]) else 0
     except STEP_ERRORS as e:
         say(f"quality failed: {e}")
         return 1
-
-
-def main(argv: list[str] | None = None) -> int:
-    p = argparse.ArgumentParser(prog="tidegrain")
-    p.add_argument("raw_root")
-    p.add_argument("tables_root")
-    p.add_argument("--register-root")
-    p.add_argument("--mapping")
-    a = p.parse_args(argv)
-    from tidegrain.config import load_mapping
-
-    spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    return run(Setup(TableStore(spark, a.tables_root), a.raw_root, register_root=a.register_root, mapping=load_mapping(a.mapping) if a.mapping else []))
-
-
-if __name__ == "__main__":
-    sys.exit(main())

@@ -17,6 +17,8 @@ def schema(ddl: str) -> StructType:
 
 LINEAGE = "source_id string, raw_file string, record_index int, ingested_at timestamp"
 READING = schema(f"{LINEAGE}, facility string, reading_at timestamp, reading_date date, reading_minute_of_day smallint, utc_offset_minutes smallint, dst_resolved boolean, latitude decimal(10,7), longitude decimal(10,7), available_spaces int, status string")
+#: A reading with the last fetch that showed it.
+FIRST = StructType([*READING, T.StructField("last_fetched_at", T.TimestampType())])
 QUARANTINE = schema(f"{LINEAGE}, field string, raw_value string, reason string")
 SNAPSHOT = schema("source_id string, raw_file string, ingested_at timestamp, source_reading_at timestamp, age_minutes double, is_stale boolean")
 STALE_PERIOD = schema("source_id string, source_reading_at timestamp, stale_from timestamp, first_stale_fetch_at timestamp, last_stale_fetch_at timestamp, fetch_count int, ongoing boolean")
@@ -30,6 +32,7 @@ PRICE = schema("facility_key int, hour_start timestamp, date_key int, hour tinyi
 STALE_FACT = schema("source_id string, source_reading_at timestamp, stale_from timestamp, stale_until timestamp, date_key int, duration_minutes double, fetch_count int, ongoing boolean")
 CHECK = schema("check string, severity string, subject string, passed boolean, detail string, checked_at timestamp")
 LOAD_ISSUE = schema("source_id string, raw_file string, reason string")
+RUNS = schema("run_id bigint, run_attempt int, started_at timestamp, failed_step string, url string")
 OUTAGE = schema("source_id string, raw_file string, observed_at timestamp, source_url string, run_id string, http_status int")
 
 

@@ -12,17 +12,45 @@ META = ["source_id", "raw_file", "record_index", "ingested_at", "source_url", "r
 SIDECAR = ["source_url", "resource_id", "run_id", "content_hash", "polling_mode", "next_due"]
 
 
-def text_files(spark: SparkSession, root: str) -> DataFrame:
-    """path (below root) and value of every JSON file below root, each file one row."""
+#: Raw files that one step of a load reads and commits.
+STEP = 20_000
+
+
+def text_files(spark: SparkSession, root: str, base: str | None = None) -> DataFrame:
+    """path (below base, or root) and value of every JSON file below root, each file one row."""
     raw = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root)
-    return with_path(raw.select("value", F.col("_metadata.file_path").alias("file")), root)
+    return with_path(raw.select("value", F.col("_metadata.file_path").alias("file")), base or root)
 
 
 def with_path(raw: DataFrame, root: str) -> DataFrame:
-    """path below root and value of rows (value, file)."""
+    """The column file as path below root; other columns stay."""
     tail = F.regexp_replace("file", "^[a-z]+:/+", "/")
     base = root.split(":", 1)[-1].rstrip("/")
-    return raw.select(F.substring_index(tail, base + "/", -1).alias("path"), "value")
+    return raw.select(F.substring_index(tail, base + "/", -1).alias("path"), *raw.columns)
+
+
+def listed(spark: SparkSession, root: str, base: str | None = None) -> DataFrame:
+    """path and file of every JSON file below root; the files aren't opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root)
+    return with_path(found.select(F.col("path").alias("file")), base or root)
+
+
+def unhandled(rows: DataFrame, handled: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key (source included, where there are several) isn't among the handled ones."""
+    return rows.join(handled.select(keys).distinct(), keys, "left_anti")
+
+
+def sidecars_of(spark: SparkSession, files: list[str]) -> list[str]:
+    """The sidecars that are there of a few raw files, each looked up by its path."""
+    fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    meta = [f.removesuffix(".json") + ".meta.json" for f in files]
+    return [m for m in meta if (p := fs.Path(m)).getFileSystem(conf).exists(p)]
+
+
+def read_files(spark: SparkSession, files: list[str], base: str) -> DataFrame:
+    """path and value of these files."""
+    raw = spark.read.format("text").option("wholetext", True).load(files)
+    return with_path(raw.select("value", F.col("_metadata.file_path").alias("file")), base).select("path", "value")
 
 
 def classify(files: DataFrame, source: str) -> DataFrame:
@@ -54,17 +82,51 @@ def widen(bronze: DataFrame, fields: list[str]) -> DataFrame:
     return bronze.select("*", *[F.try_element_at("fields", F.lit(f)).alias(f) for f in fields]).drop("fields")
 
 
-def load(store: TableStore, raw_root: str, source: str, table: str) -> tuple[int, int]:
-    """Loads the files that neither bronze nor its issues hold yet: rows first, then issues. Returns their numbers."""
-    spark, issues = store.spark, f"{table}_load_issues"
-    files = classify(text_files(spark, raw_root), source)
-    for done in (table, issues):
+def store_files(store: TableStore, files: DataFrame, source: str, table: str) -> tuple[int, int]:
+    """Appends the rows and then the issues of raw files; each file is parsed once."""
+    parsed = store.staged(classify(files, source))
+    n = store.append_counted(table, rows(parsed.where("reason is null")))
+    m = store.append_counted(f"{table}_load_issues", conform(parsed.where("reason is not null"), LOAD_ISSUE))
+    store.unstage()
+    return n, m
+
+
+def handled_files(store: TableStore, source: str, table: str) -> DataFrame:
+    """raw_file of this source's files that bronze or its issues hold."""
+    have = store.spark.createDataFrame([], "raw_file string")
+    for done in (table, f"{table}_load_issues"):
         if store.exists(done):
-            files = files.join(store.read(done).select("raw_file").distinct(), "raw_file", "left_anti")
-    new, bad = rows(files.where("reason is null")), conform(files.where("reason is not null"), LOAD_ISSUE)
-    n, m = new.count(), bad.count()
-    store.append(table, new)
-    store.append(issues, bad)
+            have = have.union(store.read(done).where(F.col("source_id") == source).select("raw_file"))
+    return have
+
+
+def load(store: TableStore, raw_root: str, source: str, table: str, base: str | None = None) -> tuple[int, int]:
+    """Loads the files that neither bronze nor its issues hold yet: rows first, then issues. Returns their numbers.
+
+    Files are listed first, without opening them; only new ones are read, once, in steps of STEP files in path order, so the
+    driver holds the paths of one step. A load that dies goes on with the step that it was at.
+    """
+    found = listed(store.spark, raw_root, base)
+    side = F.col("path").endswith(".meta.json")
+    meta = found.where(side).select(F.regexp_replace("path", r"\.meta\.json$", ".json").alias("raw_file"), F.col("file").alias("meta"))
+    new = found.where(~side & ~F.col("path").contains("unavailable/")).withColumnRenamed("path", "raw_file")
+    new = unhandled(new, handled_files(store, source, table), ["raw_file"]).join(meta, "raw_file", "left").orderBy("raw_file")
+    n = m = 0
+    step: list[str] = []
+
+    def flush() -> None:
+        nonlocal n, m
+        if step or not (n + m or store.exists(table)):
+            files = read_files(store.spark, step, base or raw_root) if step else store.spark.createDataFrame([], "path string, value string")
+            a, b = store_files(store, files, source, table)
+            n, m = n + a, m + b
+            step.clear()
+
+    for r in new.select("file", "meta").toLocalIterator():
+        step += [f for f in r if f]
+        if len(step) >= 2 * STEP:
+            flush()
+    flush()
     return n, m
 
 

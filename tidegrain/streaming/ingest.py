@@ -5,28 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrain.schemas import LOAD_ISSUE, conform
 from tidegrain.sources import bronze
 from tidegrain.sources.store import TableStore
 
 
-def ingest_available(spark: SparkSession, raw_root: str, store: TableStore, source: str, table: str, checkpoint: str) -> None:
+def ingest_available(spark: SparkSession, raw_root: str, store: TableStore, source: str, table: str, checkpoint: str, files_a_batch: int = bronze.STEP) -> None:
     """Loads what is new and stops. A batch that ran before a crash is found by its files, so a rerun adds nothing twice.
 
-    Raw file and sidecar are two files and may fall in two batches: sidecars are looked up when the raw file comes, so a
-    raw file whose sidecar comes later is an issue, as in batch loading.
+    Raw file and sidecar are two files and may fall in two batches: a batch's sidecars are looked up by the paths of its raw
+    files (files_a_batch at most), so a raw file whose sidecar comes later is an issue, as in batch loading.
     """
-    stream = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(raw_root)
-    stream = stream.select("value", F.col("_metadata.file_path").alias("file"))
+    stream = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_a_batch).load(raw_root)
+    stream = stream.select(F.col("_metadata.file_path").alias("file"))
 
     def batch(df: DataFrame, _: int) -> None:
-        new = bronze.with_path(df, raw_root).where("not endswith(path, '.meta.json')")
-        side = bronze.text_files(spark, raw_root).where("endswith(path, '.meta.json')")
-        files = bronze.classify(new.union(side), source)
-        for done in (table, f"{table}_load_issues"):
-            if store.exists(done):
-                files = files.join(store.read(done).select("raw_file").distinct(), "raw_file", "left_anti")
-        store.append(table, bronze.rows(files.where("reason is null")))
-        store.append(f"{table}_load_issues", conform(files.where("reason is not null"), LOAD_ISSUE))
-
-    stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        own = bronze.with_path(df, raw_root).where("not endswith(path, '.meta.json')").withColumnRenamed("path", "raw_file")
+        own = bronze.unhandled(own, bronze.handled_files(store, source, table), ["raw_file"])
+        files = [r["file"] for r in own.select("file").collect()]  # of one batch
+        if files:
+            bronze.store_files(store, bronze.read_files(spark, files + bronze.sidecars_of(spark, files), raw_root), source, table)
+
+    stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
