@@ -40,12 +40,16 @@ def holidays(spark: SparkSession, first: int, last: int) -> DataFrame:
     return a.union(b).groupBy("date").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "name"))), lambda x: x["name"]), ", ").alias("holiday_name"))
 
 
+#: What a report's model has to know of columns (fixed values): the key, the kind, and the column that a label is sorted by.
+MODEL = {"date_key": {"isKey": True}, "date": {"dataCategory": "PaddedDateTableDates"}, "month_name": {"sortByColumn": "month"}, "weekday": {"sortByColumn": "weekday_number"}}
+
+
 def dim_date(spark: SparkSession, first: dt.date = dt.date(2020, 1, 1), last: dt.date = dt.date(2035, 12, 31)) -> DataFrame:
     d = spark.sql(f"select explode(sequence(date'{first}', date'{last}', interval 1 day)) as date")
     d = d.join(F.broadcast(holidays(spark, first.year, last.year)), "date", "left")
     day = F.col("date")
     number = F.weekday(day) + 1
-    return conform(
+    out = conform(
         d.withColumns(
             {
                 "date_key": date_key(day), "year": F.year(day), "quarter": F.quarter(day), "month": F.month(day), "month_name": F.date_format(day, "MMMM"),
@@ -55,6 +59,7 @@ def dim_date(spark: SparkSession, first: dt.date = dt.date(2020, 1, 1), last: dt
         ),
         DIM_DATE,
     )
+    return out.select(*[F.col(c).alias(c, metadata=MODEL[c]) if c in MODEL else F.col(c) for c in out.columns])
 
 
 def dim_time(spark: SparkSession) -> DataFrame:

@@ -93,12 +93,20 @@ def source_stale(snapshots: DataFrame, newest: DataFrame) -> DataFrame:
     return one(s, "source_stale", WARNING, ~F.coalesce("stale", F.lit(False)), F.concat(F.round("age", 1).cast("string"), F.lit(" minutes old")))
 
 
+def coverage_grid(hourly: DataFrame, facilities: DataFrame, span: DataFrame) -> DataFrame:
+    """covered_minutes of every facility in every hour of a span, a row of (first, last); 0 where hourly has none."""
+    each = F.explode(F.sequence("first", "last", F.expr("interval 1 hour")))
+    grid = facilities.join(F.broadcast(span)).select(*facilities.columns, each.alias("hour_start"))  # each facility with its hours; the span is one row
+    g = grid.join(hourly.select("facility_key", "hour_start", "covered_minutes"), ["facility_key", "hour_start"], "left")
+    return g.withColumn("covered_minutes", F.coalesce("covered_minutes", F.lit(0.0)))
+
+
 def low_coverage(hourly: DataFrame, facilities: DataFrame, until: DataFrame, least: float = 30) -> DataFrame:
     """Active facilities with an hour of under ``least`` covered minutes among the last 24 full hours; a missing hour has 0."""
-    hours = until.select(F.explode(F.sequence(F.date_trunc("HOUR", "until") - F.expr("interval 24 hours"), F.date_trunc("HOUR", "until") - F.expr("interval 1 hour"), F.expr("interval 1 hour"))).alias("hour_start"))
-    grid = facilities.where("is_active and facility_key <> -1").select("facility_key", "facility_name").crossJoin(F.broadcast(hours))  # 24 hours
-    g = grid.join(hourly.select("facility_key", "hour_start", "covered_minutes"), ["facility_key", "hour_start"], "left")
-    low = g.where(F.coalesce("covered_minutes", F.lit(0.0)) < least).groupBy("facility_name").agg(F.count("*").alias("n"))
+    now = F.date_trunc("HOUR", "until")
+    day = until.select((now - F.expr("interval 24 hours")).alias("first"), (now - F.expr("interval 1 hour")).alias("last"))
+    g = coverage_grid(hourly, facilities.where("is_active and facility_key <> -1").select("facility_key", "facility_name"), day)
+    low = g.where(F.col("covered_minutes") < least).groupBy("facility_name").agg(F.count("*").alias("n"))
     return counted(low, "facility_name", "low_coverage")
 
 

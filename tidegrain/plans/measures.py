@@ -69,8 +69,9 @@ def coverage(hourly: DataFrame, by: list[str]) -> DataFrame:
     return hourly.groupBy(*by).agg(F.sum("covered_minutes").alias("covered_minutes"), F.sum("stale_minutes").alias("stale_minutes"), F.try_divide(F.sum("stale_minutes"), F.sum("covered_minutes")).alias("stale_share"))
 
 
-def incidents(stale: DataFrame, by: list[str]) -> DataFrame:
-    return stale.groupBy(*by).agg(F.count("*").alias("incidents"), (F.sum("duration_minutes") / 1440).alias("stale_days"), (F.max("duration_minutes") / 1440).alias("longest_days"))
+def incidents(stale: DataFrame, by: list[str], totals: bool = False) -> DataFrame:
+    """Number and days of stale periods; totals adds a row over all, and subtotals of the leading columns."""
+    return (stale.rollup(*by) if totals else stale.groupBy(*by)).agg(F.count("*").alias("incidents"), (F.sum("duration_minutes") / 1440).alias("stale_days"), (F.max("duration_minutes") / 1440).alias("longest_days"))
 
 
 def incidents_with_total(stale: DataFrame) -> DataFrame:

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 from tidegrain.functions.parse import count_of, decimal_of
 from tidegrain.functions.time import date_key, local, with_instants
-from tidegrain.operators import calendar, facility, facts, polling, pricing, readings
+from tidegrain import scratch
+from tidegrain.operators import calendar, checks, facility, facts, polling, pricing, readings
 from tidegrain.plans import measures
+from tidegrain.schemas import AREA, STALE_PERIOD
+from tidegrain.sources import bronze
+from tidegrain.sources.store import TableStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +39,11 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def store(spark: SparkSession) -> TableStore:
+    """An empty table store in the shared scratch folder."""
+    return TableStore(spark, scratch.new(spark, "store"))
+
+
 def ntz(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
@@ -174,8 +183,6 @@ def fact(spark: SparkSession, d: str, glitch: facts.Glitch | None = facts.Glitch
 
 
 def no_periods(spark: SparkSession) -> DataFrame:
-    from tidegrain.schemas import STALE_PERIOD
-
     return spark.createDataFrame([], STALE_PERIOD)
 
 
@@ -251,22 +258,22 @@ def data_age_and_readings(spark, d):
 @query(f"WITH {STALE}, f AS (SELECT source_id, (epoch_us(last_stale_fetch_at) - epoch_us(stale_from)) / 60e6 AS m FROM period) SELECT source_id, count(*) AS incidents, round(sum(m) / 1440, 6) AS stale_days, round(max(m) / 1440, 6) AS longest_days FROM f GROUP BY ROLLUP (source_id)")
 def measure_totals(spark, d):
     f = facts.stale_fact(readings.stale_periods(readings.freshness(snapshots(spark, d))))
-    r = f.rollup("source_id").agg(F.count("*").alias("incidents"), F.round(F.sum("duration_minutes") / 1440, 6).alias("stale_days"), F.round(F.max("duration_minutes") / 1440, 6).alias("longest_days"))
-    return r
+    r = measures.incidents(f, ["source_id"], totals=True)
+    return r.select("source_id", "incidents", F.round("stale_days", 6).alias("stale_days"), F.round("longest_days", 6).alias("longest_days"))
 
 
 @query("SELECT user_id, arg_max(value, struct_pack(t := ts, i := event_id)) FILTER (WHERE event_type = 'click' OR event_type IS NOT NULL) AS latest_value, min(ts) AS first_seen, max(ts) AS last_seen, bool_or(ts::DATE = (SELECT max(ts)::DATE FROM events)) AS is_active FROM events GROUP BY 1")
 def entity_attributes(spark, d):
-    e = t(spark, d, "events")
-    newest = e.agg(F.to_date(F.max("ts")).alias("newest"))
-    order = F.when(F.col("event_type").isNotNull(), F.struct("ts", "event_id"))
-    return e.join(F.broadcast(newest)).groupBy("user_id").agg(F.max_by("value", order).alias("latest_value"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.bool_or(F.to_date("ts") == F.col("newest")).alias("is_active"))
+    e = t(spark, d, "events").select(F.col("user_id").alias("facility"), F.col("ts").alias("ingested_at"), F.date_format("ts", "yyyy-MM-dd").alias("raw_file"), F.col("event_id").alias("record_index"), F.col("value").alias("latitude"), F.col("value").alias("longitude"))
+    areas = spark.createDataFrame([], AREA)
+    mapping = spark.createDataFrame([], "facility long, register_id long, reserved_spaces int")
+    return facility.attributes(e, areas, mapping).select(F.col("facility_name").alias("user_id"), F.col("latitude").alias("latest_value"), "first_seen", "last_seen", "is_active")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_shipdate < TIMESTAMP '1996-01-01')")
 def incremental_new_rows(spark, d):
     handled = t(spark, d, "lineitem").where("l_shipdate < timestamp_ntz'1996-01-01'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return t(spark, d, "orders").join(handled, "o_orderkey", "left_anti").select("o_orderkey", "o_custkey")
+    return bronze.unhandled(t(spark, d, "orders"), handled, ["o_orderkey"]).select("o_orderkey", "o_custkey")
 
 
 def _old_new(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -295,16 +302,22 @@ def merge_type1(spark, d):
 
 @query("SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name FROM nation WHERE n_regionkey <> 1 UNION ALL SELECT CAST(n_nationkey + 100 AS INTEGER), upper(n_name) FROM nation WHERE n_regionkey = 1")
 def replace_where(spark, d):
-    n = t(spark, d, "nation")
+    n, st = t(spark, d, "nation"), store(spark)
     new = n.where("n_regionkey = 1").select((F.col("n_nationkey") + 100).cast("int").alias("n_nationkey"), F.upper("n_name").alias("n_name"))
-    return n.where(~F.coalesce(F.col("n_regionkey") == 1, F.lit(False))).select("n_nationkey", "n_name").unionByName(new, allowMissingColumns=True)
+    st.overwrite("nation", n)
+    st.replace_where("nation", F.col("n_regionkey") == 1, new)
+    return st.read("nation").select("n_nationkey", "n_name")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0")
+@query("SELECT o_orderkey, o_orderstatus, o_custkey + CASE WHEN o_orderdate < TIMESTAMP '1995-01-01' THEN 0 ELSE 1000000 END AS customer FROM orders")
 def insert_if_new(spark, d):
-    o = t(spark, d, "orders").select("o_orderkey", "o_custkey")
-    have, come = o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0")
-    return have.union(come.join(have, ["o_orderkey", "o_custkey"], "left_anti"))
+    """Orders of before 1995 are there; all orders come, each twice and with another customer, and only the others go in."""
+    o, st = t(spark, d, "orders"), store(spark)
+    st.append("orders", o.where("o_orderdate < timestamp_ntz'1995-01-01'").select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("customer")))
+    come = o.select("o_orderkey", "o_orderstatus", (F.col("o_custkey") + 1_000_000).alias("customer"))
+    for _ in range(2):
+        st.insert_if_new("orders", come.union(come), ["o_orderkey", "o_orderstatus"])
+    return st.read("orders")
 
 
 EASTER = """y AS (SELECT CAST(y AS BIGINT) AS y FROM range(2020, 2036) r(y)), g AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM y),
@@ -334,15 +347,19 @@ def dim_time(spark, d):
 
 def prices(spark: SparkSession, d: str) -> DataFrame:
     week = [{"from": "07:00", "to": "24:00", "price": 20}, {"from": "00:00", "to": "07:00", "price": 10}, {"weekdays": ["fri", "sat"], "from": "11:00", "to": "21:00", "price": 30}]
-    names = [f"u{i}" for i in range(0, 60)]
-    tariff = pricing.tariffs(spark, [{"facility": n, "periods": week} for n in names])
-    return pricing.suggested_prices(hours(spark, d), dim(spark, d), tariff, pricing.Rules(min_covered_minutes=5))
+    return pricing.suggested_prices(hours(spark, d), dim(spark, d), tariff_of_all(spark, d, week), pricing.Rules(min_covered_minutes=5))
+
+
+def tariff_of_all(spark: SparkSession, d: str, week: list[dict]) -> DataFrame:
+    """The week's tariff for every user but each eleventh."""
+    grid = pricing.tariffs(spark, [{"facility": "any", "periods": week}]).drop("facility")
+    return dim(spark, d).where("(facility_key - 1) % 11 <> 0").select(F.col("facility_name").alias("facility")).crossJoin(F.broadcast(grid))  # 168 rows
 
 
 @query(
     f"""WITH {HOURLY}, w AS (SELECT h.*, hour_start + INTERVAL 1 HOUR AS wall, max(max_spaces) OVER (PARTITION BY facility_key) AS seen, facility_key - 1 AS u FROM hourly h),
  j AS (SELECT *, CAST(hour(wall) AS TINYINT) AS hour, isodow(wall) AS wd, coalesce(CASE WHEN u % 7 <> 0 THEN 100 + u % 50 END, seen) AS capacity,
- CASE WHEN u < 60 THEN CASE WHEN isodow(wall) IN (5, 6) AND hour(wall) BETWEEN 11 AND 20 THEN 60.0 WHEN hour(wall) >= 7 THEN 40.0 ELSE 20.0 END END AS base, CASE WHEN isodow(wall) <= 5 AND hour(wall) IN (7, 8) THEN 'morning' WHEN isodow(wall) <= 5 AND hour(wall) IN (15, 16) THEN 'afternoon' END AS rush FROM w),
+ CASE WHEN u % 11 <> 0 THEN CASE WHEN isodow(wall) IN (5, 6) AND hour(wall) BETWEEN 11 AND 20 THEN 60.0 WHEN hour(wall) >= 7 THEN 40.0 ELSE 20.0 END END AS base, CASE WHEN isodow(wall) <= 5 AND hour(wall) IN (7, 8) THEN 'morning' WHEN isodow(wall) <= 5 AND hour(wall) IN (15, 16) THEN 'afternoon' END AS rush FROM w),
  o AS (SELECT *, CASE WHEN capacity <> 0 THEN 1 - avg_spaces / capacity END AS occ FROM j), b AS (SELECT *, CASE WHEN occ < 0.5 THEN 'low' WHEN occ < 0.85 THEN 'normal' ELSE 'high' END AS band, (CASE WHEN occ < 0.5 THEN 0.8::DOUBLE WHEN occ < 0.85 THEN 1.0::DOUBLE ELSE 1.25::DOUBLE END) * CASE WHEN rush IS NULL THEN 1.0::DOUBLE ELSE 1.1::DOUBLE END AS mult,
  CASE WHEN avg_spaces IS NULL OR capacity IS NULL OR occ IS NULL OR covered_minutes < 5 THEN 'no_data' WHEN base IS NULL THEN 'no_tariff' ELSE 'priced' END AS status FROM o)
  SELECT facility_key, hour_start, hour, round(occ, 6) AS occupancy, capacity, band, round(mult, 6) AS multiplier, status, CASE WHEN status = 'priced' THEN round_even(greatest(least(base * mult, base * 1.5), base * 0.5), 0) END AS suggested_price, CASE WHEN status = 'priced' THEN 'occupancy:' || band || CASE WHEN rush IS NULL THEN '' ELSE ' rush:' || rush END ELSE status END AS applied_rule FROM b"""
@@ -352,12 +369,12 @@ def tiered_price(spark, d):
     return p.select("facility_key", ntz("hour_start").alias("hour_start"), "hour", F.round("occupancy", 6).alias("occupancy"), "capacity", "band", F.round("multiplier", 6).alias("multiplier"), "status", "suggested_price", "applied_rule")
 
 
-@query(f"WITH {HOURLY}, grid AS (SELECT f.facility_key, h.hour_start FROM (SELECT DISTINCT facility_key FROM hourly) f, (SELECT unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-02 23:00:00', INTERVAL 1 HOUR)) AS hour_start) h) SELECT grid.facility_key, grid.hour_start, CAST(round(coalesce(covered_minutes, 0) * 60e6) AS BIGINT) AS covered_us FROM grid LEFT JOIN hourly USING (facility_key, hour_start)")
+@query(f"WITH {HOURLY}, grid AS (SELECT f.facility_key, h.hour_start FROM (SELECT DISTINCT facility_key FROM hourly) f, (SELECT unnest(generate_series((SELECT min(hour_start) FROM hourly), (SELECT max(hour_start) FROM hourly), INTERVAL 1 HOUR)) AS hour_start) h) SELECT grid.facility_key, grid.hour_start, CAST(round(coalesce(covered_minutes, 0) * 60e6) AS BIGINT) AS covered_us FROM grid LEFT JOIN hourly USING (facility_key, hour_start)")
 def coverage_grid(spark, d):
     h = hours(spark, d)
-    slots = spark.sql("select explode(sequence(timestamp'2024-01-02 00:00:00', timestamp'2024-01-02 23:00:00', interval 1 hour)) as hour_start")
-    grid = h.select("facility_key").distinct().crossJoin(F.broadcast(slots))  # 24 hours
-    return grid.join(h, ["facility_key", "hour_start"], "left").select("facility_key", ntz("hour_start").alias("hour_start"), F.round(F.coalesce("covered_minutes", F.lit(0.0)) * 60e6).cast("long").alias("covered_us"))
+    span = h.agg(F.min("hour_start").alias("first"), F.max("hour_start").alias("last"))
+    grid = checks.coverage_grid(h, h.select("facility_key").distinct(), span)
+    return grid.select("facility_key", ntz("hour_start").alias("hour_start"), F.round(F.col("covered_minutes") * 60e6).cast("long").alias("covered_us"))
 
 
 @query("SELECT event_type, ts AS gap_from, nxt AS gap_to FROM (SELECT event_type, ts + INTERVAL 5 MINUTE AS ts, lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nxt FROM events) WHERE nxt > ts + INTERVAL 150 SECOND")
@@ -372,25 +389,27 @@ def polling_mode_replay(spark, d):
     return polling.replay(e, unchanged=3).select("event_id", "polling_mode")
 
 
-@query("SELECT user_id, sha256(string_agg(event_type || ':' || CAST(event_id AS VARCHAR), ',' ORDER BY event_id)) AS fingerprint FROM events GROUP BY 1")
+@query(f"""WITH r AS (SELECT event_type, date_trunc('hour', ts) AS h, '{{"id": ' || CAST(event_id AS VARCHAR) || ', "type": "' || event_type || '"}}' AS line FROM events)
+ SELECT event_type, h, 'sha256:' || sha256(string_agg(line, chr(10) ORDER BY line)) AS fingerprint FROM r GROUP BY ALL""")
 def values_fingerprint(spark, d):
-    e = t(spark, d, "events")
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: F.concat(x["event_type"], F.lit(":"), x["event_id"].cast("string")))
-    return e.groupBy("user_id").agg(F.sha2(F.array_join(parts, ","), 256).alias("fingerprint"))
+    """A payload for each event type and hour, as a feed would send it, with a field that doesn't count."""
+    e = t(spark, d, "events").withColumn("h", F.date_trunc("HOUR", "ts"))
+    payload = F.to_json(F.collect_list(F.struct(F.col("event_type").alias("type"), F.col("event_id").alias("id"), F.col("value").alias("Klokkeslett"))))
+    return e.groupBy("event_type", "h").agg(payload.alias("payload")).select("event_type", ntz("h").alias("h"), polling.fingerprints(F.col("payload"), ("Klokkeslett",)).alias("fingerprint"))
 
 
 @query("SELECT CASE WHEN o_totalprice > 100000 THEN 'over' ELSE 'within' END AS result, o_orderstatus AS subject, count(*) AS n FROM orders GROUP BY ALL")
 def quality_free_exceeds_capacity(spark, d):
-    o = t(spark, d, "orders")
-    return o.groupBy(F.when(F.col("o_totalprice") > 100000, "over").otherwise("within").alias("result"), F.col("o_orderstatus").alias("subject")).agg(F.count("*").alias("n"))
+    o = t(spark, d, "orders").select(F.col("o_orderstatus").alias("facility"), F.ceil("o_totalprice").cast("int").alias("available_spaces"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"))
+    names = o.select(F.col("facility").alias("facility_name")).distinct()
+    r = checks.per_facility(o, names.withColumn("capacity", F.lit(100_000)), names.withColumnRenamed("facility_name", "facility")).where("check = 'free_exceeds_capacity'")
+    return r.groupBy(F.when(F.col("passed"), "within").otherwise("over").alias("result"), "subject").agg(F.count("*").alias("n"))
 
 
 @query("SELECT event_type, count(*) AS n, (epoch_us(max(ts)) - epoch_us(min(ts))) // 60000000 AS span_minutes FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 24 HOUR GROUP BY 1")
 def quality_last_day_counts(spark, d):
     e = t(spark, d, "events")
-    until = e.agg(F.max("ts").alias("until"))
-    r = e.join(F.broadcast(until), F.col("ts") > F.col("until") - F.expr("interval 24 hours"))
-
+    r = checks.recent(e, "ts", e.agg(F.max("ts").alias("until")))
     return r.groupBy("event_type").agg(F.count("*").alias("n"), F.expr("(unix_micros(cast(max(ts) as timestamp)) - unix_micros(cast(min(ts) as timestamp))) div 60000000").alias("span_minutes"))
 
 
@@ -398,7 +417,10 @@ def quality_last_day_counts(spark, d):
 def quality_negative_counts(spark, d):
     i = F.col("event_id")
     n = F.when(i % 19 == 0, F.concat(F.lit("-"), i.cast("string"))).when(i % 23 == 0, "x").otherwise(i.cast("string"))
-    return t(spark, d, "events").select(n.alias("n")).agg(F.count_if(F.col("n").rlike(r"^-[0-9]+\z")).alias("negative"), F.count_if(~F.col("n").rlike(r"^-?[0-9]+\z")).alias("other"))
+    q = t(spark, d, "events").select(n.alias("raw_value"), F.lit("f").alias("raw_file"), F.lit("n").alias("field")).where(count_of(F.col("raw_value")).isNull())
+    r = checks.quarantined(q, spark.range(1).select(F.lit("f").alias("newest")), "n")
+    of = lambda name: F.max(F.when(F.col("check") == name, F.col("detail").cast("bigint")))
+    return r.agg(of("negative_available_spaces").alias("negative"), of("quarantined_values").alias("other"))
 
 
 @query("SELECT p_partkey, CASE WHEN regexp_full_match(s, '[0-9]+') THEN TRY_CAST(s AS INTEGER) END AS as_count, CASE WHEN regexp_full_match(s, '[+-]?[0-9]+([.][0-9]+)?') THEN TRY_CAST(s AS DECIMAL(10,7)) END AS as_decimal FROM (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN ' 12' WHEN 1 THEN '12.5' WHEN 2 THEN '99999999999' WHEN 3 THEN '-3' WHEN 4 THEN CAST(p_size AS VARCHAR) END AS s FROM part)")
