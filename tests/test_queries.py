@@ -4,6 +4,7 @@ import os
 import duckdb
 import pytest
 
+from tidegrain.plans import queries_reports, queries_tables  # noqa: F401
 from tidegrain.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +37,15 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_core_queries_stay_without_what_llm_needs(monkeypatch):
+    import sys
+
+    import __spark_entry__ as e
+
+    for name in [n for n in sys.modules if n.startswith("tidegrain.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)  # importing it fails
+    monkeypatch.setitem(sys.modules, "tidegrain.llm", None)
+    assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) == set(ORACLES)
