@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,9 +62,10 @@ def merge_type1(target: DataFrame, source: DataFrame, on: str = "facility_name",
     return both.where(there | here).select(*cols)
 
 
-def dim_facility(attrs: DataFrame, existing: DataFrame) -> DataFrame:
-    """The whole step: keys, merge, and the unknown member -1."""
-    spark = attrs.sparkSession
+def dim_facility(attrs: DataFrame, existing: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """The whole step: keys, merge, and the unknown member -1. keep writes the attributes, which are read more than once, and
+    reads them back, so that the fetches behind them are aggregated once."""
+    spark, attrs = attrs.sparkSession, keep(attrs)
     unknown = spark.createDataFrame([(-1, UNKNOWN, True)], "facility_key int, facility_name string, is_active boolean")
     base = conform(existing, FACILITY)
     new = conform(assign_keys(attrs, base.where("facility_key <> -1")), FACILITY).unionByName(unknown, allowMissingColumns=True)

@@ -66,7 +66,9 @@ def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep |
     typed = typed.withColumn("status", F.when(F.col("available_spaces").isNotNull(), "numeric").when(F.col("_open"), "open").otherwise("unknown"))
     typed = keep(typed) if keep else typed
     sound = F.col("reading_at").isNotNull() & ~missing(F.col("facility"))
-    readings = typed.where(sound).withColumns(
+    # explode drops the rows that aren't sound: as a filter the condition would be pushed below the projections, which repeats
+    # their zone lookups some forty times a row
+    readings = typed.select("*", F.explode(F.when(sound, F.array(F.lit(0)))).alias("_one")).withColumns(
         {
             "reading_date": F.to_date("_wall"),
             "reading_minute_of_day": F.hour("_wall") * 60 + F.minute("_wall"),

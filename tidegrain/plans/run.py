@@ -141,7 +141,8 @@ def run_gold(c: Setup) -> None:
     st.overwrite("dim_time", calendar.dim_time(spark))
     fetches, areas = st.read("silver_parking_fetch"), st.read_or_empty("silver_parking_area", s.AREA)
     attrs = facility.attributes(fetches, areas, c.mapping_frame())
-    st.overwrite("dim_parking_facility", facility.dim_facility(attrs, st.read_or_empty("dim_parking_facility", s.FACILITY)))
+    st.overwrite("dim_parking_facility", facility.dim_facility(attrs, st.read_or_empty("dim_parking_facility", s.FACILITY), st.staged))
+    st.unstage()
     dim, periods = st.read("dim_parking_facility"), st.read("silver_stale_period")
     st.overwrite("fact_parking_availability", facts.availability(st.read("silver_parking_reading"), fetches, dim, periods, c.glitch))
     avail = st.read("fact_parking_availability")
