@@ -105,7 +105,7 @@ def test_ann_mixed_lengths_beside_zero_vectors(spark):
     sound = [(i, [1.0, float(i), 2.0]) for i in range(5)] + [(i, [1.0, float(i)]) for i in range(5, 9)]
     unsound = [(i, [0.0] * 4) for i in range(20, 40)] + [(50, None), (51, []), (52, [1.0, float("nan")]), (53, [1.0, None, 2.0])]
     df = spark.createDataFrame(sound + unsound, "vec_id long, embedding array<double>").coalesce(1)
-    ids = [i for b in ann.blocks(df, 16, "mixed").collect() for i in np.frombuffer(b["ids"], "<i8").tolist()]
+    ids = [i for b in ann.blocks(df.withColumn("name", F.xxhash64("embedding")), 16, "mixed").collect() for i in np.frombuffer(b["ids"], "<i8").tolist()]
     assert sorted(ids) == list(range(9))
     got = {}
     for r in ann.nearest(df, df, 8).collect():

@@ -1,14 +1,16 @@
 """Exact nearest neighbours of a query set by a block matrix join.
 
-Vectors are scaled to length one and quantised to int8 with one scale per vector. Both sides are packed in blocks; a
-tile is one query block against one candidate block. Its int8 product gives every cosine with a bound on the
-quantisation error, and only pairs whose upper bound reaches the k-th lower bound of their query are computed again
-from the original vectors in double precision. Each tile keeps a heap of k per query, and heaps are merged per query.
+Vectors are scaled to length one and quantised to int8 with one scale per vector, once, and packed in blocks; only int8
+vectors, scales and error bounds travel. A tile is one query block against one candidate block: its int8 product gives
+every cosine with a bound on the quantisation error. A tile passes on the pairs whose upper bound reaches its k-th lower
+bound of their query, and of all tiles together those go on that reach the k-th of all. Their original vectors are fetched,
+once each, their cosines computed again in double precision, and a heap per query keeps the k best.
 
 Vectors that are null, of zero length, hold null or non-finite components or have another number of components than
 the first block of their side take no part (a mixture of lengths is compared within equal lengths only). A query's own
 row is never its neighbour; equal cosines go to the smaller vec_id; rows that repeat a vec_id and vector count once;
-an empty table gives an empty result; fewer candidates than k give as many rows as there are.
+an empty table gives an empty result; fewer candidates than k give as many rows as there are; extra columns, whatever their
+names, are left out.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,8 +65,15 @@ def quantise(u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q, scale, lost
 
 
+PARTS = ("ids", "names", "q8", "scale", "lost")
+KINDS = {"ids": "<i8", "names": "<i8", "q8": "i1", "scale": "<f8", "lost": "<f8"}
+
+
 def blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows (block, dim, ids, data) of up to size vectors of one dimension, packed where they lie."""
+    """Rows (block, dim, ids, names, q8, scale, lost) of up to size quantised vectors of one dimension, packed where they lie.
+
+    vectors: vec_id, embedding and name, which together with the id names a vector.
+    """
 
     def run(batches):
         from pyspark import TaskContext
@@ -71,103 +81,125 @@ def blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
         held: dict[int, list] = {}
         number = [0]
 
-        def emit(d, ids, x):
+        def emit(d, own):
             block = TaskContext.get().partitionId() << 33 | number[0]
             number[0] += 1
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([d], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([x.astype("<f8").tobytes()], pa.binary())], names=["block", "dim", "ids", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([d], pa.int32()), *(pa.array([x.astype(KINDS[p]).tobytes()], pa.binary()) for p, x in zip(PARTS, own, strict=True))], names=["block", "dim", *PARTS])
+
+        def joined(own):
+            return [np.concatenate(x) for x in zip(*own, strict=True)]
 
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+            ids, names = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             rest = np.arange(len(ids))
             while len(rest):
                 rows, x = matrix(b.column(1).take(pa.array(rest)))
                 if not len(rows):
                     break
-                held.setdefault(x.shape[1], []).append((ids[rest[rows]].astype("<i8"), x))
+                at = rest[rows]
+                held.setdefault(x.shape[1], []).append((ids[at], names[at], *quantise(unit(x))))
                 rest = np.delete(rest, rows)
             for d, own in held.items():
-                while sum(len(i) for i, _ in own) >= size:
-                    i, x = np.concatenate([a for a, _ in own]), np.concatenate([a for _, a in own])
-                    yield emit(d, i[:size], x[:size])
-                    own[:] = [(i[size:], x[size:])]
+                while sum(len(x[0]) for x in own) >= size:
+                    all_ = joined(own)
+                    yield emit(d, [x[:size] for x in all_])
+                    own[:] = [tuple(x[size:] for x in all_)]
         for d, own in held.items():
-            i, x = np.concatenate([a for a, _ in own]), np.concatenate([a for _, a in own])
-            if len(i):
-                yield emit(d, i, x)
+            if sum(len(x[0]) for x in own):
+                yield emit(d, joined(own))
 
-    return save(vectors.mapInArrow(run, "block long, dim int, ids binary, data binary"), name)
+    return save(vectors.mapInArrow(run, "block long, dim int, ids binary, names binary, q8 binary, scale binary, lost binary"), name)
 
 
-def tile(qi: np.ndarray, q: np.ndarray, ci: np.ndarray, c: np.ndarray, k: int):
-    """For each query its k nearest of one tile: lists of (-score, vec_id)."""
-    uq, uc = unit(q), unit(c)
-    (q8, qs, ql), (c8, cs, cl) = quantise(uq), quantise(uc)
+def tile(q: dict, c: dict, k: int):
+    """Rows and columns of the pairs of a tile that may be among the k nearest of their query, and the cosines' bounds."""
     # products of int8 values in float32 are exact while they stay below 2^24
-    exact = q.shape[1] * 127 * 127 < 2**24
-    prod = q8.astype(np.float32 if exact else np.float64) @ c8.astype(np.float32 if exact else np.float64).T
-    near = prod * np.outer(qs, cs)
+    kind = np.float32 if q["q8"].shape[1] * 127 * 127 < 2**24 else np.float64
+    near = (q["q8"].astype(kind) @ c["q8"].astype(kind).T) * np.outer(q["scale"], c["scale"])
     # |uq.uc - near| <= |uq - q'| |uc| + |q'| |uc - c'|
-    err = ql[:, None] + (1 + ql[:, None]) * cl[None, :] + 1e-9
-    near[qi[:, None] == ci[None, :]] = -np.inf
+    err = q["lost"][:, None] + (1 + q["lost"][:, None]) * c["lost"][None, :] + 1e-9
+    near[q["ids"][:, None] == c["ids"][None, :]] = -np.inf
     low = near - err
-    cut = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(qi), -np.inf)
+    cut = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(low), -np.inf)
     rows, cols = np.nonzero((near + err >= cut[:, None]) & (near > -np.inf))
-    score = np.empty(len(rows))
-    for s in range(0, len(rows), 1 << 16):
-        r, x = rows[s : s + (1 << 16)], cols[s : s + (1 << 16)]
-        a, b = q[r], c[x]
-        score[s : s + (1 << 16)] = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-    order = np.lexsort((ci[cols], -score, rows))
-    rows, cols, score = rows[order], cols[order], score[order]
-    first = np.searchsorted(rows, np.arange(len(qi)))
-    last = np.searchsorted(rows, np.arange(len(qi)), side="right")
-    for j in range(len(qi)):
-        yield j, [(-score[i], int(ci[cols[i]])) for i in range(first[j], min(last[j], first[j] + k))]
+    return rows, cols, low[rows, cols], (near + err)[rows, cols]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score for the k nearest rows of vectors (vec_id, embedding) to each row of queries (same columns)."""
-    own = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding")).where("vec_id is not null")
+    own = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"), F.xxhash64("embedding").alias("name")).where("vec_id is not null")
     # Of rows with one vector only the k + 1 smallest ids can be among anyone's k nearest, so that a much repeated vector stays small.
     whole = own(vectors).where(F.col("embedding").isNotNull()).dropDuplicates(["vec_id", "embedding"])
     alike = Window.partitionBy("embedding").orderBy("vec_id")
-    few = whole.withColumn("rn", F.row_number().over(alike)).where(F.col("rn") <= k + 1).drop("rn")
-    cand = blocks(few, candidate_block, "candidates")
-    ask = blocks(own(queries).dropDuplicates(["vec_id", "embedding"]), query_block, "queries")
-    return merged(tiles(ask, cand, k), k)
-
-
-def numbered(side: DataFrame, col: str) -> tuple[DataFrame, int]:
-    """The blocks with dense numbers; their names come to the driver, one for some thousand rows."""
-    names = sorted(r[0] for r in side.select("block").collect())
-    spark = side.sparkSession
-    n = spark.createDataFrame(list(enumerate(names)), f"{col} long, block long")
-    return side.join(n, "block"), len(names)
+    few = save(whole.withColumn("rn", F.row_number().over(alike)).where(F.col("rn") <= k + 1).drop("rn"), "vectors")
+    asked = save(own(queries).dropDuplicates(["vec_id", "embedding"]), "asked")
+    cand, ask = blocks(few, candidate_block, "candidates"), blocks(asked, query_block, "queries")
+    found = save(survivors(tiles(ask, cand, k), k), "found")
+    return merged(scored(found, asked, few), k)
 
 
 def tiles(ask: DataFrame, cand: DataFrame, k: int) -> DataFrame:
-    """The grid of all query blocks by all candidate blocks: an equi-join on (query block, slot), with GROUP candidate blocks to a slot."""
-    a, na = numbered(ask, "qn")
-    c, nc = numbered(cand, "cn")
-    slots = max(1, -(-nc // GROUP))
-    left = a.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long")))).select("qn", "slot", "dim", "ids", "data")
-    right = c.withColumn("slot", F.col("cn") % slots).withColumn("qn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(na - 1, 0)).cast("long")))).select("qn", "slot", "dim", "ids", "data")
+    """Rows (query_id, query, vec_id, name, low, high) of the grid of all query blocks by all candidate blocks.
+
+    An equi-join on (group of query blocks, group of candidate blocks): blocks fall into groups by a hash of their name, as
+    many groups as there are query blocks, and one for GROUP candidate blocks.
+    """
+    na, slots = max(1, ask.count()), max(1, -(-cand.count() // GROUP))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    left = ask.withColumn("slot", every(slots)).withColumn("qn", F.pmod(F.xxhash64("block"), F.lit(na))).select("qn", "slot", "dim", *PARTS)
+    right = cand.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots))).withColumn("qn", every(na)).select("qn", "slot", "dim", *PARTS)
+
+    def open_(t: pa.Table) -> list[dict]:
+        out = []
+        for d, *own in zip(*(t[f].to_pylist() for f in ("dim", *PARTS)), strict=True):
+            x = {p: np.frombuffer(v, KINDS[p]) for p, v in zip(PARTS, own, strict=True)}
+            out.append(x | {"q8": x["q8"].reshape(-1, d)})
+        return out
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        best: dict[int, list] = {}
-        open_ = lambda t: [(np.frombuffer(i, "<i8"), np.frombuffer(x, "<f8").reshape(-1, d)) for d, i, x in zip(*(t[f].to_pylist() for f in ("dim", "ids", "data")), strict=True)]
-        sides = open_(right)
-        for qi, q in open_(left):
-            for ci, c_ in sides:
-                if q.shape[1] == c_.shape[1]:
-                    for j, own in tile(qi, q, ci, c_, k):
-                        best[j] = list(heapq.merge(best.get(j, []), own))[:k]
-            rows = [(int(qi[j]), v, -s) for j, own in best.items() for s, v in own]
-        q_, v_, s_ = zip(*rows, strict=True) if left.num_rows and rows else ((), (), ())
-        return pa.table({"query_id": pa.array(q_, pa.int64()), "vec_id": pa.array(v_, pa.int64()), "score": pa.array(s_, pa.float64())})
+        out, sides = [], open_(right)
+        for q in open_(left):
+            for c in sides:
+                if q["q8"].shape[1] == c["q8"].shape[1]:
+                    r, x, low, high = tile(q, c, k)
+                    out.append((q["ids"][r], q["names"][r], c["ids"][x], c["names"][x], low, high))
+        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4 + [np.zeros(0)] * 2
+        return pa.table(cols, names=["query_id", "query", "vec_id", "name", "low", "high"])
 
     by = ("qn", "slot")
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(run, "query_id long, vec_id long, score double")
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(run, "query_id long, query long, vec_id long, name long, low double, high double")
+
+
+def survivors(found: DataFrame, k: int) -> DataFrame:
+    """Of each query's pairs those whose upper bound reaches its k-th lower bound of all tiles; each tile gives k and a few."""
+    best = Window.partitionBy("query_id", "query").orderBy(F.desc("low"), "vec_id", "name")
+    whole = best.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cut = F.coalesce(F.nth_value("low", k).over(whole), F.lit(float("-inf")))
+    return found.withColumn("cut", cut).where("high >= cut").select("query_id", "query", "vec_id", "name")
+
+
+def scored(found: DataFrame, asked: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Rows (query_id, vec_id, score): the cosines of pairs, in double precision from the original vectors."""
+    q = asked.select(F.col("vec_id").alias("query_id"), F.col("name").alias("query"), F.col("embedding").alias("q"))
+    c = vectors.select("vec_id", "name", F.col("embedding").alias("c"))
+    return cosines(found.join(q, ["query_id", "query"]).join(c, ["vec_id", "name"]).select("query_id", "vec_id", "q", "c"))
+
+
+def cosines(pairs: DataFrame) -> DataFrame:
+    """The first two columns of pairs (both long), and score: the cosine of their vectors q and c, summed in one fixed order."""
+    names = pairs.columns[:2]
+
+    def run(batches):
+        for b in batches:
+            out = np.zeros(b.num_rows)
+            sizes = pa.compute.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
+            for d in np.unique(sizes):
+                at = np.flatnonzero(sizes == d)
+                x, y = (b.column(i).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, d) for i in (2, 3))
+                out[at] = np.einsum("ij,ij->i", x, y) / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out)], names=[*names, "score"])
+
+    return pairs.mapInArrow(run, f"{names[0]} long, {names[1]} long, score double")
 
 
 def merged(found: DataFrame, k: int) -> DataFrame:

@@ -5,9 +5,14 @@ mapping (where the turns lie, which fields hold role and text, which roles mean
 instruction/input/output and message-list layouts all become the same canonical turns. A template then marks the turns;
 control strings inside texts are escaped reversibly, and the spans of assistant text form the loss mask.
 
+format_json() takes records of any layout, rows_as_records() makes such of rows by turn: a conversation whose turns fit a
+prompt, instruction or question layout is written in one of these (by its id, so that all occur), any other as a list.
+
 Defined cases: a null text is an empty text; a null role becomes the role "null"; rows of one conversation are ordered
 by turn (nulls first), ties by role and then text; a conversation without rows doesn't appear; rows with a null
-conv_id form one conversation of null id; unknown layouts raise an error that names their field paths.
+conv_id form one conversation of null id; repeated rows are turns of their own; a text of any length is one turn; an
+empty list of turns gives an empty text and mask; a record that is null, no JSON object, or of an unknown layout has a null
+text and mask and a problem that names its field paths; an empty table gives an empty result; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -52,15 +57,19 @@ MAPPINGS = [
 BY_PRINT = {fingerprint(set(m["fields"])): m for m in MAPPINGS}
 
 
+EMPTY = {fingerprint({m["list"] + "[]"}): m for m in MAPPINGS if "list" in m}
+
+
 def canonical(record: dict) -> list[tuple[str, str]]:
     """Canonical turns (role, text) of a record of any known layout."""
     fields = paths(record)
-    m = BY_PRINT.get(fingerprint(fields))
+    print_ = fingerprint(fields)
+    m = BY_PRINT.get(print_) or EMPTY.get(print_)
     if m is None:
         raise ValueError(f"unknown layout: {sorted(fields)}")
     if "list" in m:
         name = str if m.get("verbatim") else lambda r: ROLES.get(str(r).lower(), str(r).lower())
-        return [(name(t.get(m["role"])), t.get(m["text"]) or "") for t in record[m["list"]]]
+        return [(name(t.get(m["role"])), str(t.get(m["text"]) or "")) for t in record[m["list"]]]
     return [(role, "\n\n".join(str(record[f]) for f in names if record.get(f))) for role, names in m["steps"]]
 
 
@@ -112,38 +121,68 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def format_rows(rows: DataFrame) -> DataFrame:
-    """conv_id, formatted and mask (array of start, stop) for rows (conv_id, turn, role, text)."""
+#: Layouts in which a conversation of these roles can be written, each a mapping's fields in the order of the turns.
+FITTING = {
+    ("user", "assistant"): [["prompt", "response"], ["prompt", "completion"], ["question", "answer"], ["instruction", "output"]],
+    ("system", "user", "assistant"): [["system", "prompt", "response"]],
+}
+
+
+def record_of(conv_id: int | None, turns: list[tuple[str, str]]) -> dict:
+    """A conversation's record in one of the layouts that fit its roles."""
+    fitting = FITTING.get(tuple(r for r, _ in turns), [])
+    at = (conv_id or 0) % (len(fitting) + 1)
+    if at < len(fitting):
+        return dict(zip(fitting[at], (t for _, t in turns), strict=True))
+    return {"turns": [{"role": r, "text": t} for r, t in turns]}
+
+
+def rows_as_records(rows: DataFrame) -> DataFrame:
+    """conv_id and record (JSON text) of rows (conv_id, turn, role, text)."""
 
     def run(batches):
         for b in batches:
-            ids, text, mask = [], [], []
+            out = []
             for cid, turns in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                record = {"turns": [{"role": "null" if t["role"] is None else t["role"], "text": t["text"] or ""} for t in turns]}
-                f, spans = render(canonical(record))
-                ids.append(cid)
-                text.append(f)
-                mask.append([x for s in spans for x in s])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(text, pa.string()), pa.array(mask, pa.list_(pa.int64()))], names=["conv_id", "formatted", "mask"])
+                own = [("null" if t["role"] is None else t["role"], t["text"] or "") for t in turns]
+                out.append(json.dumps(record_of(cid, own), ensure_ascii=False))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["conv_id", "record"])
 
     own = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")).alias("t"))
     packed = own.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    return packed.mapInArrow(run, "conv_id long, formatted string, mask array<long>")
+    return packed.mapInArrow(run, "conv_id long, record string")
+
+
+def format_rows(rows: DataFrame) -> DataFrame:
+    """conv_id, formatted, mask (array of start, stop) and problem (null) for rows (conv_id, turn, role, text)."""
+    return format_json(rows_as_records(rows))
+
+
+def formatted_record(record: str | None) -> tuple[str | None, list[int] | None, str | None]:
+    """The text, the mask and the problem of a record."""
+    try:
+        value = json.loads(record) if record is not None else None
+        if not isinstance(value, dict):
+            return None, None, "no record" if record is None else "not an object"
+        text, mask = render(canonical(value))
+    except ValueError as e:  # not JSON, or an unknown layout
+        return None, None, str(e)
+    return text, [x for s in mask for x in s], None
 
 
 def format_json(records: DataFrame) -> DataFrame:
-    """The same of rows (conv_id, record), record a JSON text of any known layout."""
+    """The same of rows (conv_id, record), record a JSON text of any layout."""
 
     def run(batches):
         for b in batches:
-            made = [render(canonical(json.loads(r))) for r in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f for f, _ in made], pa.string()), pa.array([[x for s in m for x in s] for _, m in made], pa.list_(pa.int64()))], names=["conv_id", "formatted", "mask"])
+            text, mask, problem = zip(*map(formatted_record, b.column(1).to_pylist()), strict=True) if b.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string()), pa.array(mask, pa.list_(pa.int64())), pa.array(problem, pa.string())], names=["conv_id", "formatted", "mask", "problem"])
 
-    return records.select(F.col("conv_id").cast("long"), F.col("record")).mapInArrow(run, "conv_id long, formatted string, mask array<long>")
+    return records.select(F.col("conv_id").cast("long"), F.col("record").cast("string")).mapInArrow(run, "conv_id long, formatted string, mask array<long>, problem string")
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """The digest columns, from the formatted texts and masks alone."""
+    """The digest columns, from the formatted texts and masks alone, of records without a problem."""
 
     def run(batches):
         for b in batches:
@@ -157,4 +196,4 @@ def digest(formatted: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.select("conv_id", "formatted", "mask").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.where("formatted is not null").select("conv_id", "formatted", "mask").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -1,12 +1,9 @@
-"""What several operators share: scratch tables, column access, word hashing, connected components."""
+"""What several operators share: column access, word hashing, connected components; scratch tables are the package's own."""
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrain.scratch import done, save
+
+__all__ = ["done", "save"]
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -21,48 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names; a folder of this machine only where none is named (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="tidegrain-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tidegrain-{spark.sparkContext.applicationId}"
-
-
-_MADE: dict[str, SparkSession] = {}
-
-
-def _clean() -> None:
-    for path, spark in _MADE.items():
-        try:
-            jvm = spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session is gone: the cluster's own clean-up of its checkpoint folder is left
-            return
-
-
-atexit.register(_clean)
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes df as Parquet in the shared folder and reads it back, so that lost executors cost no earlier step."""
-    spark = df.sparkSession
-    home = scratch_dir(spark)
-    _MADE[home] = spark
-    path = f"{home}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tidegrain_path = path
-    return out
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -73,6 +31,13 @@ def docs_of(docs: DataFrame) -> DataFrame:
     return d.withColumn("k", F.xxhash64("doc_id", "text"))
 
 
+def least_of(df: DataFrame, alias: str):
+    """One of some rows, the least by its columns, as a struct in the columns' order, whatever their names; those of a kind
+    that has no order (maps) are compared as JSON text."""
+    ordered = F.struct(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or f.dataType.simpleString() == "variant" else F.col(f"`{f.name}`") for f in df.schema])
+    return F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), ordered).alias(alias)
+
+
 class WordHash(dict):
     """64-bit hashes of words; starts anew when LIMIT words are held, so its memory is bounded."""
 
@@ -143,11 +108,28 @@ def strings(col: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return col.cast(pa.binary()).to_pylist()
 
 
+#: Nodes that so many edges or more meet, and how many of them, by number of edges, are joined by broadcast (16 bytes each).
+HUB, HUBS = 1000, 2**16
+
+
+def pointed(rows: DataFrame, low: DataFrame) -> DataFrame:
+    """rows (u, v) with m, the least of u's neighbourhood. low: u, m, deg.
+
+    The rows of a hub would meet in one task: the HUBS largest go by broadcast, whose size that bounds, and each smaller one has
+    at most a HUBS-th of the rows.
+    """
+    hubs = low.where(F.col("deg") >= HUB).orderBy(F.desc("deg"), "u").limit(HUBS).collect()
+    if not hubs:
+        return rows.join(low.select("u", "m"), "u")
+    few = F.broadcast(rows.sparkSession.createDataFrame([(r["u"], r["m"]) for r in hubs], "u long, m long"))
+    return rows.join(few, "u").unionByName(rows.join(few, "u", "left_anti").join(low.select("u", "m"), "u"))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a long, b long): rows (node, root) with the smallest node reachable, for nodes with an edge.
 
     Alternates large-star and small-star steps, each a groupBy whose map-side minimum comes first, until nothing
-    changes; a hub of any degree only ever contributes its minimum, no list of neighbours is gathered.
+    changes; no list of neighbours is gathered, and a hub of any degree is spread over all tasks.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = save(e, "edges")
@@ -155,13 +137,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         # large star: each larger neighbour of u points to the least of u's neighbourhood
         both = e.select("u", "v").union(e.select(F.col("v"), F.col("u"))).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        big = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg")).select("u", F.least("u", "m").alias("m"), "deg")
+        big = save(pointed(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")), "stars")
         # small star: each smaller neighbour of u, and u, points to the least of them
-        low2 = big.groupBy("u").agg(F.min("v").alias("m"))
-        small = big.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low2 = big.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg"))
+        small = pointed(big, low2).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = save(small.union(low2.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
-        drop(e.sparkSession, e._tidegrain_path)
+        done(e, big)
         e = new
         sign = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if sign == last:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import LOWER, WordHash, components, docs_of, grams, save, tidied
+from tidegrain.llm.common import LOWER, WordHash, components, docs_of, done, grams, least_of, save, tidied
 
 WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
 SEEN, COUNTED = 300_000, 2_000_000  # names and prefix elements that a task holds
@@ -376,5 +376,5 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     best = j.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k")).alias("b")).select(F.col("b.k").alias("_jac_k"))
     stay = best.union(j.where("root is null").select("k").distinct())
     own = docs.withColumn("_jac_own", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
-    got = own.join(stay, F.col("_jac_own") == F.col("_jac_k")).groupBy("_jac_own").agg(F.min(F.struct(*docs.columns)).alias("_jac_doc"))
+    got = own.join(stay, F.col("_jac_own") == F.col("_jac_k")).groupBy("_jac_own").agg(least_of(docs, "_jac_doc"))
     return got.select("_jac_doc.*")

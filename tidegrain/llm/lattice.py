@@ -6,9 +6,14 @@ are compared by cosine. Vectors that are equal count as one with a multiplicity
 pairs. A lattice cell of any size is compared whole: it is cut into blocks, and every pair of blocks is a group of its
 own, so no group is larger than two blocks.
 
+To a cell goes a vector's int8 form with its scale and the bound of what that loses. The int8 product settles nearly all
+pairs, as their cosine's bounds lie on one side of the limit; for the few others the original vectors are fetched and the
+cosine is taken in double precision.
+
 Vectors that are null, zero or hold null or non-finite components link with nothing: n_links 0, their own component.
 Vectors of different lengths never link. Rows that repeat a vec_id and vector are one vector, with a result row for
-each; a null vec_id is compared with nothing; an empty table gives an empty result.
+each; a null vec_id is compared with nothing; an empty table gives an empty result; extra columns, whatever their names,
+are left out.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.ann import matrix, unit
+from tidegrain.llm.ann import cosines, matrix, quantise, unit
 from tidegrain.llm.common import components, mix, save
 
 TABLES, CELLS, WIDTH, BLOCK, SEED = 8, 4, 1.2, 512, 20240501
@@ -68,13 +73,8 @@ def keys(u: np.ndarray, tables: int, cells: int, width: float) -> np.ndarray:
     return np.concatenate(out, axis=1).view(np.int64)
 
 
-def kind_of(df: DataFrame, col: str) -> str:
-    return "<f4" if df.schema[col].dataType.elementType.typeName() == "float" else "<f8"
-
-
 def cells_of(vectors: DataFrame, tables: int, cells: int, width: float) -> DataFrame:
-    """Rows (key, id, v): every vector with the name of each of its cells; v: the vector's bytes in the column's own type."""
-    kind = kind_of(vectors, "embedding")
+    """Rows (key, id, v): every vector with the name of each of its cells; v: scale, loss and the int8 vector, as bytes."""
 
     def run(batches):
         for b in batches:
@@ -88,38 +88,38 @@ def cells_of(vectors: DataFrame, tables: int, cells: int, width: float) -> DataF
                     u = unit(x[s : s + 1024])
                     k = keys(u, tables, cells, width)
                     n = k.shape[1]
-                    raw = [r.tobytes() for r in x[s : s + 1024].astype(kind)]
-                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(ids[rest[rows[s : s + 1024]]], n), pa.int64()), pa.array([r for r in raw for _ in range(n)], pa.binary())], names=["key", "id", "v"])
+                    q, scale, lost = quantise(u)
+                    raw = np.concatenate([scale[:, None].view("u1"), lost[:, None].view("u1"), q.view("u1")], axis=1)
+                    size = raw.shape[1]
+                    v = pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(raw) * n, [None, pa.py_buffer(np.repeat(raw, n, axis=0).tobytes())])
+                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(ids[rest[rows[s : s + 1024]]], n), pa.int64()), v.cast(pa.binary())], names=["key", "id", "v"])
                 rest = np.delete(rest, rows)
 
     return vectors.mapInArrow(run, "key long, id long, v binary")
 
 
-def close_pairs(rows: DataFrame, least: float, block: int, kind: str) -> DataFrame:
-    """Pairs (a < b) of ids that share a key and have cosine of at least ``least``; each pair once."""
+def near_pairs(rows: DataFrame, least: float, block: int) -> DataFrame:
+    """Rows (a, b, sure), a < b, of ids that share a key and may have a cosine of at least ``least``; sure: they have."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     cut = rows.join(sizes, "key").withColumn("nb", F.ceil(F.col("n") / block)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")))
     pairs = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
     pairs = pairs.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own"), "id", "v")
 
     def compare(ids, own, i, j, vs):
-        out = []
-        by_len: dict[int, list[int]] = {}
-        for n, v in enumerate(vs):
-            by_len.setdefault(len(v), []).append(n)
-        for size, at in by_len.items():
-            x = np.frombuffer(b"".join(vs[n] for n in at), kind).reshape(len(at), size // int(kind[-1])).astype(float)
-            who, side = ids[at], own[at]
-            norm = np.sqrt((x * x).sum(1))
-            left, right = (np.flatnonzero(side == i), np.flatnonzero(side == j))
-            score = (x[left] @ x[right].T) / norm[left][:, None] / norm[right][None]
-            r, c = np.nonzero(score >= least - 1e-9)
-            a, b = left[r], right[c]
-            # near the limit the products are summed again in one fixed order
-            s = np.einsum("ij,ij->i", x[a], x[b]) / (norm[a] * norm[b])
-            ok = (s >= least) & (who[a] != who[b])
-            out.append(np.stack([np.minimum(who[a], who[b])[ok], np.maximum(who[a], who[b])[ok]], axis=1))
-        return np.unique(np.concatenate(out), axis=0)
+        size = np.array([len(v) for v in vs])
+        for s in np.unique(size):  # vectors of one length
+            at = np.flatnonzero(size == s)
+            raw = np.frombuffer(b"".join(vs[n] for n in at), "u1").reshape(len(at), s)
+            scale, lost = (np.ascontiguousarray(raw[:, k : k + 8]).view("<f8")[:, 0] for k in (0, 8))
+            kind = np.float32 if (s - 16) * 127 * 127 < 2**24 else np.float64
+            q = np.ascontiguousarray(raw[:, 16:]).view("i1").astype(kind)
+            left, right = (np.flatnonzero(own[at] == x) for x in (i, j))
+            near = (q[left] @ q[right].T) * np.outer(scale[left], scale[right])
+            err = lost[left][:, None] + (1 + lost[left][:, None]) * lost[right][None] + 1e-9
+            r, c = np.nonzero(near + err >= least)
+            a, b = ids[at][left[r]], ids[at][right[c]]
+            ok = a != b
+            yield np.minimum(a, b)[ok], np.maximum(a, b)[ok], ((near - err)[r, c] >= least)[ok]
 
     def run(batches):
         held = None
@@ -137,13 +137,25 @@ def close_pairs(rows: DataFrame, least: float, block: int, kind: str) -> DataFra
     def groups(t, edge):
         ids, own, i, j = (t.column(n).to_numpy() for n in ("id", "own", "i", "j"))
         vs = t.column("v").to_pylist()
-        found = [compare(ids[s:e], own[s:e], i[s], j[s], vs[s:e]) for s, e in zip(edge[:-1], edge[1:], strict=True) if e - s > 1]
+        found = [x for s, e in zip(edge[:-1], edge[1:], strict=True) if e - s > 1 for x in compare(ids[s:e], own[s:e], i[s], j[s], vs[s:e])]
         if found:
-            p = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["a", "b"])
+            a, b, sure = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((~sure, b, a))  # of a pair that several cells show, a sure row first
+            a, b, sure = a[order], b[order], sure[order]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (a, b, sure)], names=["a", "b", "sure"])
 
     dealt = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long, sure boolean").groupBy("a", "b").agg(F.bool_or("sure").alias("sure"))
+
+
+def close_pairs(vectors: DataFrame, least: float, tables: int, cells: int, width: float, block: int) -> DataFrame:
+    """Pairs (a < b) of ids of vectors (rep, embedding) that share a cell and have a cosine of at least ``least``; each once."""
+    near = save(near_pairs(cells_of(vectors, tables, cells, width), least, block), "near")
+    side = lambda id_, v: vectors.select(F.col("rep").alias(id_), F.col("embedding").alias(v))
+    open_ = near.where("not sure").join(side("a", "q"), "a").join(side("b", "c"), "b").select("a", "b", "q", "c")
+    exact = cosines(open_).where(F.col("score") >= least).select("a", "b")
+    return near.where("sure").select("a", "b").union(exact)
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = TABLES, cells: int = CELLS, width: float = WIDTH, block: int = BLOCK) -> DataFrame:
@@ -153,7 +165,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, tables: int = TABLES
     ok = own.where(F.coalesce(sound, F.lit(False)) & F.col("vec_id").isNotNull()).distinct()
     # equal vectors: one stands for all, the smallest id
     reps = save(ok.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "reps")
-    edges = save(close_pairs(cells_of(reps.select("rep", "embedding"), tables, cells, width), least, block, kind_of(reps, "embedding")), "links")
+    edges = save(close_pairs(reps.select("rep", "embedding"), least, tables, cells, width, block), "links")
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).toDF("rep", "other")
     far = both.join(reps.select(F.col("rep").alias("other"), "n"), "other").groupBy("rep").agg(F.sum("n").alias("far"))
     comp = components(edges).select(F.col("node").alias("rep"), "root")

@@ -23,6 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrain.llm.common import least_of
+from tidegrain.scratch import save
+
 GOLDEN = 0.6180339887498949
 #: Slots of the schedule: a target is met within a few parts of this many.
 SLOTS = 2**18
@@ -121,8 +124,8 @@ def pieces(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
     Columns doc_id, name, row, source, size, source_size, target, epoch, slot, w0, w1. Documents that aren't taken have one
     row with null slot and w0 = w1 = 0.
     """
-    sizes = sized(docs)
-    per = targets(sizes, **goal)
+    sizes = save(sized(docs), "sizes")  # some 40 bytes a document: texts are read once
+    per = save(targets(sizes, **goal), "targets")
     n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     s = streams(sizes, 64 * int(n)).alias("s")
     p = sizing(per, slots).alias("p")
@@ -153,7 +156,7 @@ def mixed(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
     """
     p = pieces(docs, slots, **goal).where("slot is not null")
     takes = p.groupBy("name", "row", "epoch", "size").agg(F.min("w0").alias("w0"), F.max("w1").alias("w1")).select(*[F.col(c).alias(f"_mix_{c}") for c in ("name", "size", "w0", "w1")])
-    one = docs.groupBy(F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))).alias("_mix_own")).agg(F.min(F.struct(*docs.columns)).alias("_mix_doc"))
+    one = docs.groupBy(F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))).alias("_mix_own")).agg(least_of(docs, "_mix_doc"))
     got = one.join(takes, F.col("_mix_own") == F.col("_mix_name"))
     part = F.array_join(F.slice(F.regexp_extract_all(F.col("_mix_doc.text"), F.lit(WORD), F.lit(0)), (F.col("_mix_w0") + 1).cast("int"), (F.col("_mix_w1") - F.col("_mix_w0")).cast("int")), " ")
     text = F.when(F.col("_mix_w1") - F.col("_mix_w0") == F.col("_mix_size"), F.col("_mix_doc.text")).otherwise(part)

@@ -3,11 +3,11 @@
 Ten overlapping labellers look at a whole text and vote good (1), bad (-1) or nothing (0). All documents' votes are
 counted by pattern (at most 3^10 patterns, whatever the table's size); expectation-maximisation over these counts gives
 each labeller's chances of its votes for good and bad documents, and so each pattern's posterior. A logistic scorer over
-hashed word shapes and text statistics is then fitted to the posteriors of a bounded sample (``SAMPLE`` documents, taken
-by a hash of the id) and scores every document.
+hashed word shapes and text statistics is then fitted to the posteriors of a bounded sample (``SAMPLE`` distinct texts, taken
+by a hash of the text, each weighed by its copies) and scores every document.
 
 Given labels play no part in the fit; they serve to measure it. A null or empty text has no votes but "too short" and is
-rejected; texts are read whole; repeated rows get equal results; an empty table gives an empty result; extra columns are
+rejected; texts are read whole, however long; repeated rows get equal results, and count as often as they are there; an empty table gives an empty result; extra columns are
 left out.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidegrain.llm.common import docs_of, tidied
 
-#: Documents that the scorer is fitted on, about so many and twice as many at most; everything else covers all documents.
+#: Distinct texts that the scorer is fitted on, about so many and twice as many at most; everything else covers all documents.
 SAMPLE = 6000
 BITS, SEED = 12, 7
 #: Signs that running text hardly has.
@@ -160,12 +160,13 @@ def inputs(stats: np.ndarray, feats: np.ndarray) -> np.ndarray:
     return np.concatenate([np.sqrt(feats), np.minimum(rest, 1.0), np.log1p(n) / 10, np.ones_like(n)], axis=-1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 2.0, ridge: float = 1e-4) -> np.ndarray:
-    """Logistic regression on soft labels by gradient descent with momentum."""
+def fit(x: np.ndarray, y: np.ndarray, c: np.ndarray, rounds: int = 300, rate: float = 2.0, ridge: float = 1e-4) -> np.ndarray:
+    """Logistic regression on soft labels y of rows that count c times, by gradient descent with momentum."""
+    c = (c / c.sum()).astype(np.float32)
     w, speed = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        speed = np.float32(0.9) * speed - np.float32(rate) * (x.T @ (p - y) / np.float32(len(y)) + np.float32(ridge) * w)
+        speed = np.float32(0.9) * speed - np.float32(rate) * (x.T @ ((p - y) * c) + np.float32(ridge) * w)
         w = w + speed
     return w
 
@@ -190,15 +191,18 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     def run(batches):
         r = Reader()
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t, c, h in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 s, f = r.read(t)
                 i = np.flatnonzero(f)
-                yield pa.RecordBatch.from_arrays([pa.array([pattern(votes(s))], pa.int32()), pa.array([s.tolist()], pa.list_(pa.float64())), pa.array([i.tolist()], pa.list_(pa.int32())), pa.array([f[i].tolist()], pa.list_(pa.float32()))], names=["p", "s", "i", "f"])
+                yield pa.RecordBatch.from_arrays([pa.array([h], pa.int64()), pa.array([c], pa.int64()), pa.array([pattern(votes(s))], pa.int32()), pa.array([s.tolist()], pa.list_(pa.float64())), pa.array([i.tolist()], pa.list_(pa.int32())), pa.array([f[i].tolist()], pa.list_(pa.float32()))], names=["h", "c", "p", "s", "i", "f"])
 
-    d = docs_of(docs)
+    d = docs_of(docs).withColumn("h", F.xxhash64(F.col("text"), F.lit(SEED)))
     if n > sample:
-        d = d.where(F.pmod(F.xxhash64(F.col("k"), F.lit(SEED)), F.lit(2**40)) < F.lit(int(2**40 * min(1.0, sample / n))))
-    own = d.select("text").mapInArrow(tidied(run), "p int, s array<double>, i array<int>, f array<float>").limit(2 * sample).collect()
+        d = d.where(F.pmod("h", F.lit(2**40)) < F.lit(int(2**40 * min(1.0, sample / n))))
+    # copies of a text become one row where they lie; the order makes the limit's choice the same on each run
+    d = d.groupBy("text", "h").agg(F.count("*").alias("c")).select("text", "c", "h")
+    read = d.mapInArrow(tidied(run), "h long, c long, p int, s array<double>, i array<int>, f array<float>")
+    own = [(*r[2:], r[1]) for r in read.orderBy("h", "c", "p").limit(2 * sample).collect()]
     if not own:
         return np.zeros((1 << BITS) + 10)
     own = sorted(own, key=lambda r: (r[0], r[1], r[2]))  # one order, so that sums are the same on each run
@@ -207,7 +211,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     x = np.zeros((len(own), len(cols)), np.float32)
     for k, r in enumerate(own):
         x[k, [place[i] for i in r[2]]] = r[3]
-    w = fit(inputs(np.array([r[1] for r in own], np.float32), x), np.array([good[r[0]] for r in own], np.float32))
+    w = fit(inputs(np.array([r[1] for r in own], np.float32), x), np.array([good[r[0]] for r in own], np.float32), np.array([r[4] for r in own], np.float32))
     out = np.zeros((1 << BITS) + 10)
     out[cols], out[1 << BITS :] = w[: len(cols)], w[len(cols) :]
     return out
