@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegrain.llm import bpe, fm, jaccard, mix
 from tidegrain.llm import quality as labels
-from tidegrain.llm.common import save, table
+from tidegrain.llm.common import done, save, table
 from tidegrain.llm.queries import BYTE_BPE, tokenizer
 
 
@@ -56,5 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = save(stage(spark, docs, sf_dir), name)
+        last, docs = docs, save(stage(spark, docs, sf_dir), name)
+        if hasattr(last, "_tidegrain_path"):
+            done(last)
     return STAGES[-1][1](spark, docs, sf_dir)
