@@ -532,7 +532,7 @@ def test_substring_dedup_edges(spark):
 def test_index_counts():
     g = np.random.default_rng(0)
     seq = np.concatenate([np.append(g.integers(1, 6, 30), 0) for _ in range(40)]).astype(np.int64)
-    index = fm.FMIndex(seq, 31)
+    index = fm.FMIndex(seq)
     text = seq.tolist()
     for _ in range(50):
         at = int(g.integers(0, len(seq) - 4))
@@ -543,3 +543,55 @@ def test_index_counts():
         for c in reversed(want):
             lo, hi = index.step(np.array([c]), lo, hi)
         assert hi[0] - lo[0] == sum(text[i : i + 4] == want for i in range(len(text) - 3))
+
+
+def test_matching_statistics_equal_brute_force():
+    g = np.random.default_rng(4)
+    parts = [g.integers(1, 4, 40) for _ in range(12)]
+    parts += [parts[0][5:38], parts[3]]
+    texts = [b" ".join(b"w%d" % x for x in p) for p in parts[:-1]]
+    copies = [1] * len(texts)
+    copies[3] = 2  # the last part is a copy of the fourth
+    place = np.array([(i, 0, i) for i in range(len(texts))], np.int64)
+    late, length = fm.shard(texts, place, copies)
+    runs = [p.tolist() for p in parts]
+
+    def stands(run):
+        return sum(p[i : i + len(run)] == run for p in runs for i in range(len(p) - len(run) + 1))
+
+    want = [max([n for n in range(1, 21) if stands(p[e - n : e]) > 1], default=0) for p in runs[:-1] for e in range(20, len(p) + 1)]
+    assert length.tolist() == want
+    first = {}
+    for i, p in enumerate(runs[:-1]):
+        for s in range(len(p) - 19):
+            first.setdefault(tuple(p[s : s + 20]), (i, s))
+    assert [x.tolist() for x in late] == [[s for s in range(len(p) - 19) if first[tuple(p[s : s + 20])] != (i, s)] for i, p in enumerate(runs[:-1])]
+
+
+def test_index_finds_the_repeated_windows(spark, monkeypatch):
+    """Every late window's text reaches the full matching statistic in some shard, copies and heavy anchors included."""
+    texts, found = corpus(6), {}
+    docs = fm.docs_of(frame(spark, texts)).select(F.coalesce("doc_id", F.lit(fm.NO_ID)).alias("doc"), "k", "text")
+    for heavy in (256, 3):
+        rows = fm.segments(docs, fm.repeated(docs.select("k", "text"), heavy)).where("name is not null").collect()
+        whole = {}
+        for r in rows:
+            now = whole.setdefault((r["key"], bytes(r["name"])), [bytes(r["text"]), 0])
+            now[1] += r["copies"]
+        own = [x for x in whole.values()]
+        _, length = fm.shard([x[0] for x in own], np.array([(i, 0, i) for i in range(len(own))], np.int64), [x[1] for x in own])
+        at, got = 0, set()
+        for text, _ in own:
+            w = text.split()
+            for s in range(len(w) - 19):
+                if length[at] == 20:
+                    got.add(tuple(w[s : s + 20]))
+                at += 1
+        found[heavy] = got
+    count = {}
+    for t in {(i, t) for i, t in enumerate(texts)}:
+        w = (t[1] or "").encode().split()
+        for s in range(len(w) - 19):
+            count[tuple(w[s : s + 20])] = count.get(tuple(w[s : s + 20]), 0) + 1
+    late = {x for x, n in count.items() if n > 1}
+    assert late and found[256] == found[3] == late

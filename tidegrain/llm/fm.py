@@ -4,18 +4,20 @@ A window is WINDOW consecutive words of one document. Windows that could repeat
 anchor is the least hash among its GRAM-word runs, so equal windows have equal anchors, and neighbouring windows with
 one anchor travel as one segment of text. Only segments whose anchor occurs more than once travel at all.
 
-A shard is a stretch of anchors. Of equal segments, by their 128-bit names, all but the first place are late without a
-search. The distinct segments of anchors that have several, each with its first place (document, then position), are
-indexed: suffix array, Burrows-Wheeler transform over word ids, and a wavelet matrix for rank queries. They are then
-searched backward, all windows of the shard side by side; a search that narrows to one occurrence ends, as that is the
-window itself, and one that still has several after WINDOW words gives the suffix interval of a repeated window, whose
-first place is the interval's minimum. Searches stop at WINDOW words: match lengths (matching statistics) aren't computed.
-Repeated windows are reported as intervals of words.
+A shard is a stretch of anchors, with all distinct segments of them: a segment that stands in several places is held once,
+with its first place (document, then position) and how many there are. Its index is a Burrows-Wheeler transform over word
+ids in a wavelet matrix for rank queries, the places of suffixes in 32 bits, and running sums of the numbers of places; the
+suffix array that these come from isn't kept. The segments are then streamed through the index: backward search gives for
+each word that a whole window ends at its matching statistic, the length (up to WINDOW) of the longest run of words that
+ends there and stands in more than one place. Runs that reach WINDOW are repeated windows; a window's first place is the
+least in its suffix interval. What the search says of a segment holds for all of its places, so it is searched once; of
+equal segments a task sends the first place and their number, and the later places are late as wholes, as the search of
+the first finds (it stands in more places). Repeated windows are reported as intervals of words.
 
 Anchors that very many places share (a passage in a third of all texts, a repeated word pair) would make one shard of
-one key: their segments are cut into single windows, dealt by the window's own hash, so names alone decide these. Of equal segments or windows each
-task sends its first place only; they arrive sorted by place and only the first is held, so one that stands in any
-number of places makes a row for each task.
+one key: their segments are cut into single windows, dealt by the window's own hash, which is indexed and searched like
+any other segment. Of equal segments or windows each task sends its first place only; they arrive sorted by place and
+only the first is held, so one that stands in any number of places makes a row for each task.
 
 A word is removed if a window that covers it also starts earlier: in a smaller doc_id (nulls last, then by a hash of the
 text, for rows that share an id) or earlier in the same document. Windows are judged on the input. Equal rows (same id
@@ -138,23 +140,23 @@ def packed(docs: DataFrame) -> DataFrame:
 
 
 def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows (key, name, text, doc, k, start, n): segments of documents' repeated anchors, with n windows each.
+    """Rows (key, name, text, doc, k, start, n, copies): segments of documents' repeated anchors, with n windows each.
 
     name is a 128-bit hash of the text. Of equal segments that a task holds at one time (CHUNK at most) only the first place
-    goes on with its text. The others are late whatever comes: their windows go out as merged spans, with no name and
-    with a key that spreads them.
+    goes on with its text, and their number. The others are late whatever comes: their windows go out as merged spans, with
+    no name and with a key that spreads them.
     """
     j = packed(docs).join(marks, "k").select("doc", "k", "text", "at")
-    names = ["key", "name", "text", "doc", "k", "start", "n"]
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["key", "name", "text", "doc", "k", "start", "n", "copies"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 5]
 
     def run(batches):
         w, unzip = WordHash(), zstandard.ZstdDecompressor()
-        first_of: dict[bytes, tuple] = {}  # name: place, key, n, text
+        first_of: dict[bytes, tuple] = {}  # name: place, key, n, text, copies
         late: list[tuple] = []  # k, start, n
 
         def out():
-            rows = [(key, name, text, *place, n) for name, (place, key, n, text) in first_of.items()]
+            rows = [(key, name, text, *place, n, copies) for name, (place, key, n, text, copies) in first_of.items()]
             late.sort()
             now = None
             for k, s, n in late:
@@ -162,13 +164,13 @@ def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
                     now[2] = max(now[2], s + n - now[1])
                 else:
                     if now:
-                        rows.append((now[0], None, None, 0, *now))
+                        rows.append((now[0], None, None, 0, *now, 0))
                     now = [k, s, n]
             if now:
-                rows.append((now[0], None, None, 0, *now))
+                rows.append((now[0], None, None, 0, *now, 0))
             first_of.clear()
             late.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True) if rows else [()] * 7, kinds, strict=True)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True) if rows else [()] * 8, kinds, strict=True)], names=names)
 
         for b in batches:
             for d, k, t, at in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
@@ -182,17 +184,16 @@ def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
                         name = xxhash.xxh3_128_digest(text)
                         place, old = (d, k, f), first_of.get(name)
                         if old is None:
-                            first_of[name] = (place, int.from_bytes(name[:8], "little", signed=True) if hard else h[i], n, text)
-                        elif place < old[0]:
-                            first_of[name] = (place, *old[1:])
-                            late.append((*old[0][1:], n))
+                            first_of[name] = (place, int.from_bytes(name[:8], "little", signed=True) if hard else h[i], n, text, 1)
                         elif place != old[0]:
-                            late.append((k, f, n))
+                            least, other = min(place, old[0]), max(place, old[0])
+                            first_of[name] = (least, *old[1:4], old[4] + 1)
+                            late.append((*other[1:], n))
                 if len(first_of) + len(late) > CHUNK:
                     yield out()
         yield out()
 
-    return j.mapInArrow(tidied(run), "key long, name binary, text binary, doc long, k long, start long, n long")
+    return j.mapInArrow(tidied(run), "key long, name binary, text binary, doc long, k long, start long, n long, copies long")
 
 
 # --- the index
@@ -233,46 +234,63 @@ class Wavelet:
 
 
 class FMIndex:
-    """Of a sequence of positive word ids in which 0 parts the segments."""
+    """Of a sequence of positive word ids in which 0 parts the segments; copies: in how many places each position stands."""
 
-    def __init__(self, seq: np.ndarray, longest: int):
-        n = len(seq)
-        self.sa = suffix_array(seq, longest)
-        bwt = seq[self.sa - 1]
+    def __init__(self, seq: np.ndarray, copies: np.ndarray | None = None, depth: int = WINDOW):
+        order = suffix_order(seq, depth + 1)
         top = int(seq.max())
         self.bits = max(1, top.bit_length())
-        self.tree = Wavelet(bwt, self.bits)
+        self.tree = Wavelet(seq[order - 1], self.bits)
         self.less = np.concatenate([[0], np.cumsum(np.bincount(seq, minlength=top + 1))])
         every = np.arange(top + 1)
         self.begin = self.tree.rank(every, np.zeros(top + 1, np.int64))  # where each id's block starts in the last level
-        self.n = n
+        self.at = order.astype(np.int32)  # the position of each suffix
+        self.places = np.concatenate([[0], np.cumsum((seq > 0 if copies is None else copies)[order], dtype=np.int64)])
 
     def step(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals of strings, one word longer at their front."""
         base = self.less[c] - self.begin[c]
-        return base + self.tree.rank(c, lo), base + self.tree.rank(c, hi)
-
-
-def suffix_array(seq: np.ndarray, longest: int) -> np.ndarray:
-    """Positions in order of what follows them, up to ``longest`` words, by doubling."""
-    n = len(seq)
-    rank, width = np.unique(seq, return_inverse=True)[1].astype(np.int64), 1
+        both = self.tree.rank(np.concatenate([c, c]), np.concatenate([lo, hi]))
+        return base + both[: len(c)], base + both[len(c) :]
+
+    def matching_statistics(self, seq: np.ndarray, ends: np.ndarray, most: int = WINDOW):
+        """For each position of seq among ends the length, up to ``most``, of the longest run of words that ends there and
+        stands in more than one place of the index; and which reach ``most``, with their suffix intervals."""
+        length, live = np.zeros(len(ends), np.int64), np.arange(len(ends))
+        c = seq[ends]
+        lo, hi = self.less[c], self.less[c + 1]
+        for k in range(most):
+            if k:
+                lo, hi = self.step(seq[ends[live] - k], lo, hi)
+            more = self.places[hi] - self.places[lo] > 1
+            live, lo, hi = live[more], lo[more], hi[more]
+            length[live] = k + 1
+        return length, live, lo, hi
+
+
+def suffix_order(seq: np.ndarray, depth: int) -> np.ndarray:
+    """Positions in order of the ``depth`` words that follow them, at least: several words to a key, then doubling."""
+    n, bits = len(seq), max(1, int(seq.max()).bit_length())
+    width = max(1, 62 // bits)
+    padded = np.concatenate([seq, np.zeros(width, seq.dtype)])
+    key = np.zeros(n, np.int64)
+    for i in range(width):
+        key = key << bits | padded[i : i + n]
     while True:
-        key = rank * (n + 1)
-        key[: n - width if width < n else 0] += rank[width:] + 1
-        order = np.argsort(key, kind="stable")
-        if width >= longest:
+        order = np.argsort(key)
+        if width >= depth:
             return order
         k = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(k[1:] != k[:-1])])
+        rank[order] = np.cumsum(np.concatenate([[1], k[1:] != k[:-1]]))
+        key = rank * (n + 2)
+        key[: max(n - width, 0)] += rank[width:]
         width *= 2
 
 
-def shard(texts: list[bytes], place: np.ndarray) -> list[np.ndarray]:
-    """For each distinct segment, the offsets of its windows that have an earlier place; place: ranks of first places.
-
-    A window's place is its segment's rank of (document, start + offset) among all windows of the shard.
+def shard(texts: list[bytes], place: np.ndarray, copies: list[int] | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each distinct segment, the offsets of its windows that have an earlier place; place: (document, start, k) of its
+    first place; copies: its number of places. And the matching statistics of all windows' ends, segment after segment.
     """
     words = [t.split() for t in texts]
     ids: dict[bytes, int] = {}
@@ -283,37 +301,34 @@ def shard(texts: list[bytes], place: np.ndarray) -> list[np.ndarray]:
     seq = np.array(flat, np.int64)
     size = np.array([len(w) for w in words])
     begin = np.concatenate([[0], np.cumsum(size + 1)])[:-1]
-    index = FMIndex(seq, int(size.max()) + 1)
+    many = np.repeat(np.ones(len(words), np.int64) if copies is None else np.array(copies, np.int64), size + 1)
+    many[begin + size] = 0  # what parts segments stands nowhere
+    index = FMIndex(seq, many)
     count = size - WINDOW + 1
     seg = np.repeat(np.arange(len(words)), count)
     off = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     at = begin[seg] + off
-    lo, hi = np.zeros(len(at), np.int64), np.full(len(at), len(seq), np.int64)
-    live = np.arange(len(at))
-    for k in reversed(range(WINDOW)):
-        lo, hi = index.step(seq[at[live] + k], lo, hi)
-        more = hi - lo > 1
-        live, lo, hi = live[more], lo[more], hi[more]
+    length, live, lo, hi = index.matching_statistics(seq, at + WINDOW - 1)
     out = [np.zeros(0, np.int64)] * len(words)
     if not len(live):
-        return out
-    # the first place of each interval: windows' order keys along the suffix array
+        return out, length
+    # the first place of each interval: windows' order keys along the suffixes
     doc, start = place[seg, 0], place[seg, 1] + off
     k2 = place[seg, 2]
     order = np.lexsort((start, k2, doc))
-    key = np.empty(len(order), np.int64)
+    key = np.empty(len(order), np.int32)
     d, k_, s = doc[order], k2[order], start[order]
     key[order] = np.concatenate([[0], np.cumsum((d[1:] != d[:-1]) | (k_[1:] != k_[:-1]) | (s[1:] != s[:-1]))])
-    by_pos = np.full(len(seq), np.iinfo(np.int64).max)
+    by_pos = np.full(len(seq), np.iinfo(np.int32).max, np.int32)
     by_pos[at] = key
-    along = np.append(by_pos[index.sa], np.iinfo(np.int64).max)
+    along = np.append(by_pos[index.at], np.int32(np.iinfo(np.int32).max))
     uniq, inv = np.unique(lo, return_inverse=True)
     last = np.empty(len(uniq), np.int64)
     last[inv] = hi
     least = np.minimum.reduceat(along, np.stack([uniq, last], axis=1).ravel())[::2]
     late = live[key[live] > least[inv]]
     cut = np.searchsorted(seg[late], np.arange(len(words) + 1))
-    return [off[late[cut[i] : cut[i + 1]]] for i in range(len(words))]
+    return [off[late[cut[i] : cut[i + 1]]] for i in range(len(words))], length
 
 
 def spans(offsets: np.ndarray) -> list[int]:
@@ -328,7 +343,8 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
     """Rows (k, a, b): spans of windows (first and last start) of document k that also start earlier.
 
     Segments come sorted by key, name and place, so the first row of a name is its first place; every later one is late
-    as a whole, and goes out at once, as do spans without a name. Only distinct segments are held, up to ``size`` words of whole keys, and indexed.
+    as a whole (its text stands in more places than one), and goes out at once, as do spans without a name. Only distinct
+    segments are held, up to ``size`` words of whole keys, and indexed: all but those that stand alone with their key.
     """
 
     def out(rows):
@@ -336,39 +352,46 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["k", "a", "b"])
 
     def indexed(own):
-        """own: [doc, k, start, text] of distinct segments."""
-        late = shard([x[3] for x in own], np.array([(x[0], x[2], x[1]) for x in own], np.int64))
-        for (_, k, start, _), x in zip(own, late, strict=True):
+        """own: [doc, k, start, text, copies] of distinct segments."""
+        late, _ = shard([x[3] for x in own], np.array([(x[0], x[2], x[1]) for x in own], np.int64), [x[4] for x in own])
+        for (_, k, start, *_), x in zip(own, late, strict=True):
             at = spans(x)
             yield from ((k, start + at[i], start + at[i + 1]) for i in range(0, len(at), 2))
 
     def run(batches):
         held, room, own, key, name, rows = [], 0, [], None, None, []
+
+        def close():
+            nonlocal room
+            if len(own) > 1 or own and own[0][4] > 1:
+                held.extend(own)
+                room += sum(len(x[3]) for x in own) // 6
+            if room > size:
+                rows.extend(indexed(held))
+                held.clear()
+                room = 0
+
         for b in batches:
-            for key_, name_, text, doc, k, start, n in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
+            for key_, name_, text, doc, k, start, n, copies in zip(*(b.column(i).to_pylist() for i in range(8)), strict=True):
                 if name_ is None:
                     rows.append((k, start, start + n - 1))
                     continue
                 if key_ != key:
-                    if len(own) > 1:
-                        held += own
-                        room += sum(len(x[3]) for x in own) // 6
-                        if room > size:
-                            rows += indexed(held)
-                            held, room = [], 0
+                    close()
                     own, key, name = [], key_, None
                 if name_ != name:
-                    own.append([doc, k, start, text])
+                    own.append([doc, k, start, text, copies])
                     name = name_
                     continue
                 if (doc, k, start) != tuple(own[-1][:3]):
+                    own[-1][4] += copies
                     rows.append((k, start, start + n - 1))
             yield out(rows)
             rows = []
-        if len(own) > 1:
-            held += own
+        close()
         if held:
-            yield out(list(indexed(held)))
+            rows.extend(indexed(held))
+        yield out(rows)
 
     dealt = segs.repartition("key").sortWithinPartitions("key", "name", "doc", "k", "start")
     return dealt.mapInArrow(tidied(run), "k long, a long, b long")
