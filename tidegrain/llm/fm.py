@@ -6,10 +6,10 @@ one anchor travel as one segment of text. Only segments whose anchor occurs more
 
 A shard is a stretch of anchors, with all distinct segments of them: a segment that stands in several places is held once,
 with its first place (document, then position) and how many there are. Its index is a Burrows-Wheeler transform over word
-ids in a wavelet matrix for rank queries, the places of suffixes in 32 bits, and running sums of the numbers of places; the
-suffix array that these come from isn't kept. The segments are then streamed through the index: backward search gives for
-each word that a whole window ends at its matching statistic, the length (up to WINDOW) of the longest run of words that
-ends there and stands in more than one place. Runs that reach WINDOW are repeated windows; a window's first place is the
+ids in a wavelet matrix for rank queries, suffix positions in 32 bits, and running sums of the numbers of places. The
+segments are then streamed through the index: backward search, from the interval of the last SEED words on, gives for each
+word that a whole window ends at its matching statistic, the length (up to WINDOW) of the longest run of words that ends
+there and stands in more than one place. Runs that reach WINDOW are repeated windows; a window's first place is the
 least in its suffix interval. What the search says of a segment holds for all of its places, so it is searched once; of
 equal segments a task sends the first place and their number, and the later places are late as wholes, as the search of
 the first finds (it stands in more places). Repeated windows are reported as intervals of words.
@@ -39,7 +39,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tidegrain.llm.common import WordHash, docs_of, grams, strings, tidied
 
-WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 400_000, 100_000
+WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 100_000, 100_000
+SEED, LANES = 4, 8192  # words of a run whose interval is looked up; searches side by side, so many that they stay in a cache
 NO_ID = 2**63 - 1
 
 
@@ -199,6 +200,10 @@ def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
 # --- the index
 
 
+#: Masks of the bits below each of 64.
+BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class Wavelet:
     """A wavelet matrix over ids below 2^bits: rank queries in bits steps, each two lookups and a count of bits."""
 
@@ -217,19 +222,13 @@ class Wavelet:
             self.zeros.append(len(now) - int(bit.sum()))
             now = now[order]
 
-    def ones(self, level: int, i: np.ndarray) -> np.ndarray:
-        """Ones before position i of a level."""
-        word, ahead = self.words[level], self.ahead[level]
-        at = i >> 6
-        low = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return ahead[at] + np.bitwise_count(word[at] & low)
-
     def rank(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
-        """Occurrences of each c before position i, counted from the start of c's block: add the block's start by first()."""
+        """Occurrences of each c before position i, counted from the start of c's block; i may have several rows."""
         for level in range(self.bits):
-            one = self.ones(level, i)
-            bit = ((c >> (self.bits - 1 - level)) & 1).astype(bool)
-            i = np.where(bit, self.zeros[level] + one, i - one)
+            at = i >> 6
+            one = self.ahead[level].take(at)
+            one += np.bitwise_count(self.words[level].take(at) & BELOW.take(i & 63))
+            i = np.where(c & (1 << (self.bits - 1 - level)), self.zeros[level] + one, i - one)
         return i
 
 
@@ -237,9 +236,11 @@ class FMIndex:
     """Of a sequence of positive word ids in which 0 parts the segments; copies: in how many places each position stands."""
 
     def __init__(self, seq: np.ndarray, copies: np.ndarray | None = None, depth: int = WINDOW):
-        order = suffix_order(seq, depth + 1)
         top = int(seq.max())
         self.bits = max(1, top.bit_length())
+        self.seed = min(SEED, 62 // self.bits)
+        order = suffix_order(seq, depth + 1)
+        self.seeds = packed_words(seq, np.arange(len(seq)), self.seed, self.bits)[order]  # sorted, as suffixes are
         self.tree = Wavelet(seq[order - 1], self.bits)
         self.less = np.concatenate([[0], np.cumsum(np.bincount(seq, minlength=top + 1))])
         every = np.arange(top + 1)
@@ -250,32 +251,48 @@ class FMIndex:
     def step(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals of strings, one word longer at their front."""
         base = self.less[c] - self.begin[c]
-        both = self.tree.rank(np.concatenate([c, c]), np.concatenate([lo, hi]))
-        return base + both[: len(c)], base + both[len(c) :]
-
-    def matching_statistics(self, seq: np.ndarray, ends: np.ndarray, most: int = WINDOW):
-        """For each position of seq among ends the length, up to ``most``, of the longest run of words that ends there and
-        stands in more than one place of the index; and which reach ``most``, with their suffix intervals."""
-        length, live = np.zeros(len(ends), np.int64), np.arange(len(ends))
-        c = seq[ends]
-        lo, hi = self.less[c], self.less[c + 1]
-        for k in range(most):
-            if k:
-                lo, hi = self.step(seq[ends[live] - k], lo, hi)
-            more = self.places[hi] - self.places[lo] > 1
-            live, lo, hi = live[more], lo[more], hi[more]
-            length[live] = k + 1
-        return length, live, lo, hi
+        lo, hi = base + self.tree.rank(c, np.stack([lo, hi]))
+        return lo, hi
+
+    def matching_statistics(self, seq: np.ndarray, ends: np.ndarray, most: np.ndarray):
+        """For each position of seq among ends the length, up to its ``most``, of the longest run of words that ends there and
+        stands in more than one place of the index (0 where it is under ``seed`` words, whose suffix interval is looked up among
+        the sorted runs of so many words); and which reach ``most``, with their suffix intervals."""
+        length, found = np.zeros(len(ends), np.int64), [(np.zeros(0, np.int64),) * 3]
+        for first in range(0, len(ends), LANES):
+            own = ends[first : first + LANES]
+            live, key = np.arange(len(own)), packed_words(seq, own - self.seed + 1, self.seed, self.bits)
+            lo, hi = np.searchsorted(self.seeds, key), np.searchsorted(self.seeds, key, side="right")
+            upto = most[first : first + LANES]
+            for k in range(self.seed - 1, int(upto.max())):
+                if k >= self.seed:
+                    if (done := upto[live] == k).any():
+                        found.append((first + live[done], lo[done], hi[done]))
+                        live, lo, hi = live[~done], lo[~done], hi[~done]
+                    lo, hi = self.step(seq[own[live] - k], lo, hi)
+                more = self.places[hi] - self.places[lo] > 1
+                live, lo, hi = live[more], lo[more], hi[more]
+                length[first + live] = k + 1
+            found.append((first + live, lo, hi))
+        return length, *(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def packed_words(seq: np.ndarray, at: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """The n words from each position on as one integer; beyond the end there are zeros."""
+    key = np.zeros(len(at), np.int64)
+    if len(at) and at[-1] + n > len(seq):
+        seq = np.concatenate([seq, np.zeros(n, seq.dtype)])
+    for i in range(n):
+        key <<= bits
+        key |= seq.take(at + i)
+    return key
 
 
 def suffix_order(seq: np.ndarray, depth: int) -> np.ndarray:
     """Positions in order of the ``depth`` words that follow them, at least: several words to a key, then doubling."""
     n, bits = len(seq), max(1, int(seq.max()).bit_length())
     width = max(1, 62 // bits)
-    padded = np.concatenate([seq, np.zeros(width, seq.dtype)])
-    key = np.zeros(n, np.int64)
-    for i in range(width):
-        key = key << bits | padded[i : i + n]
+    key = packed_words(seq, np.arange(n), width, bits)
     while True:
         order = np.argsort(key)
         if width >= depth:
@@ -288,9 +305,13 @@ def suffix_order(seq: np.ndarray, depth: int) -> np.ndarray:
         width *= 2
 
 
-def shard(texts: list[bytes], place: np.ndarray, copies: list[int] | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+def shard(texts: list[bytes], place: np.ndarray, copies: list[int] | None = None, alone: list[bool] | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """For each distinct segment, the offsets of its windows that have an earlier place; place: (document, start, k) of its
-    first place; copies: its number of places. And the matching statistics of all windows' ends, segment after segment.
+    first place; copies: its number of places; alone: whether it is the only one with its anchor, so that its windows can
+    stand in no other. And the matching statistics of all windows' ends, segment after segment.
+
+    A segment that is alone is searched as one run, from its last word to its first: if all of it stands in more than one
+    place, so do its windows. Of the others each window is searched.
     """
     words = [t.split() for t in texts]
     ids: dict[bytes, int] = {}
@@ -303,12 +324,20 @@ def shard(texts: list[bytes], place: np.ndarray, copies: list[int] | None = None
     begin = np.concatenate([[0], np.cumsum(size + 1)])[:-1]
     many = np.repeat(np.ones(len(words), np.int64) if copies is None else np.array(copies, np.int64), size + 1)
     many[begin + size] = 0  # what parts segments stands nowhere
-    index = FMIndex(seq, many)
+    one = np.zeros(len(words), bool) if alone is None else np.array(alone)
+    index = FMIndex(seq, many, int(size[one].max()) if one.any() else WINDOW)
+    whole = np.zeros(len(words), bool)
+    at = np.flatnonzero(one)
+    run = index.matching_statistics(seq, begin[at] + size[at] - 1, size[at])[0]
+    whole[at] = run == size[at]
     count = size - WINDOW + 1
     seg = np.repeat(np.arange(len(words)), count)
     off = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     at = begin[seg] + off
-    length, live, lo, hi = index.matching_statistics(seq, at + WINDOW - 1)
+    length = np.where(whole[seg], WINDOW, 0)
+    ask = np.flatnonzero(~whole[seg])
+    length[ask], live, lo, hi = index.matching_statistics(seq, at[ask] + WINDOW - 1, np.full(len(ask), WINDOW))
+    live = ask[live]
     out = [np.zeros(0, np.int64)] * len(words)
     if not len(live):
         return out, length
@@ -352,8 +381,8 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["k", "a", "b"])
 
     def indexed(own):
-        """own: [doc, k, start, text, copies] of distinct segments."""
-        late, _ = shard([x[3] for x in own], np.array([(x[0], x[2], x[1]) for x in own], np.int64), [x[4] for x in own])
+        """own: [doc, k, start, text, copies, alone] of distinct segments."""
+        late, _ = shard([x[3] for x in own], np.array([(x[0], x[2], x[1]) for x in own], np.int64), [x[4] for x in own], [x[5] for x in own])
         for (_, k, start, *_), x in zip(own, late, strict=True):
             at = spans(x)
             yield from ((k, start + at[i], start + at[i + 1]) for i in range(0, len(at), 2))
@@ -364,7 +393,7 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
         def close():
             nonlocal room
             if len(own) > 1 or own and own[0][4] > 1:
-                held.extend(own)
+                held.extend([*x, len(own) == 1] for x in own)
                 room += sum(len(x[3]) for x in own) // 6
             if room > size:
                 rows.extend(indexed(held))
