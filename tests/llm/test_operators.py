@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tidegrain.llm import ann, bpe, chat, fm, html, jaccard, lattice, mix, quality, tokenfile
+from tidegrain.llm import ann, bpe, chat, common, fm, html, jaccard, lattice, mix, quality, tokenfile
 from tidegrain.llm.common import components
 from tidegrain.llm.queries import BYTE_BPE, WORD_BPE, tokenizer
 
@@ -338,6 +338,26 @@ def test_jaccard_edges(spark):
     assert jaccard.choose_boundary({5: 10, 200: 10}) < 200
 
 
+def test_names_that_collide_are_given_anew(spark, monkeypatch):
+    texts = corpus(4)
+    df = frame(spark, texts)
+    want = sorted((r["doc_id"], r["component_id"]) for r in jaccard.join(df).collect())
+    tried, alone = [], jaccard.alone
+    monkeypatch.setattr(jaccard, "alone", lambda *a: bool(tried.append(1)) or len(tried) > 1 and alone(*a))  # the first seed is refused
+    assert sorted((r["doc_id"], r["component_id"]) for r in jaccard.join(df).collect()) == want and len(tried) == 2
+    twice = df.union(df.where("doc_id = 3"))
+    assert common.names(df)._jc.toString() == F.col("doc_id").cast("long")._jc.toString()
+    k = twice.select(common.names(twice).alias("k"))
+    assert k.distinct().count() == df.count() == k.count() - 1
+
+
+def test_components_of_hubs(spark, monkeypatch):
+    monkeypatch.setattr(common, "HUB", 5)
+    edges = [(1, i) for i in range(2, 40)] + [(40, i) for i in range(41, 60)] + [(59, 30), (70, 71), (72, 71)]
+    got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {i: 1 for i in range(1, 60)} | {70: 70, 71: 70, 72: 70}
+
+
 def test_components(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 200), (300, 200), (7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(e).collect()}
@@ -514,8 +534,9 @@ def brute_dedup(texts):
     return out
 
 
-@pytest.mark.parametrize("heavy", [256, 3])
-def test_substring_dedup_equals_brute_force(spark, heavy):
+@pytest.mark.parametrize(("heavy", "probed"), [(256, 32), (3, 32), (3, 1)])
+def test_substring_dedup_equals_brute_force(spark, monkeypatch, heavy, probed):
+    monkeypatch.setattr(fm, "PROBED", probed)  # with 1, hot anchors are known beforehand
     texts = corpus(6)
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in fm.digest(clash(frame(spark, texts)), heavy).collect()}
     assert [got[i] for i in range(len(texts))] == brute_dedup(texts)
@@ -571,7 +592,8 @@ def test_matching_statistics_equal_brute_force():
 def test_index_finds_the_repeated_windows(spark, monkeypatch):
     """Every late window's text reaches the full matching statistic in some shard, copies and heavy anchors included."""
     texts, found = corpus(6), {}
-    docs = fm.docs_of(frame(spark, texts)).select(F.coalesce("doc_id", F.lit(fm.NO_ID)).alias("doc"), "k", "text")
+    src = frame(spark, texts)
+    docs = fm.docs_of(src, fm.names(src)).select(F.coalesce("doc_id", F.lit(fm.NO_ID)).alias("doc"), "k", "text")
     for heavy in (256, 3):
         rows = fm.segments(docs, fm.repeated(docs.select("k", "text"), heavy)).where("name is not null").collect()
         whole = {}

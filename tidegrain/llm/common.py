@@ -8,7 +8,7 @@ import gc
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrain.scratch import done, save
@@ -25,10 +25,31 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def docs_of(docs: DataFrame) -> DataFrame:
-    """doc_id (long), text (null: empty) and k, a 64-bit name of the row's id and text; other columns, whatever their names, are left out."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return d.withColumn("k", F.xxhash64("doc_id", "text"))
+def names(docs: DataFrame) -> Column:
+    """A long that names a row's id and text: rows that share both have one name, and no others do.
+
+    It is the id itself where no two rows share one and none is null, for which only ids are read. Otherwise it is a 64-bit
+    hash with the first seed under which no two rows of one name differ in a second hash (128 bits in all).
+    """
+    id_, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
+    if docs.select(id_.alias("id")).groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").isEmpty():
+        return id_
+    for seed in range(1, 9):
+        name = F.xxhash64(id_, text, F.lit(seed))
+        if alone(docs.select(name.alias("name"), F.xxhash64(text, id_, F.lit(-seed)).alias("second")), "name", "second"):
+            return name
+    raise RuntimeError("no seed gives rows names of their own")
+
+
+def alone(df: DataFrame, name: str, second: str) -> bool:
+    """Whether all rows of a name have one second hash."""
+    return df.groupBy(name).agg(F.min(second).alias("a"), F.max(second).alias("b")).where("a <> b").isEmpty()
+
+
+def docs_of(docs: DataFrame, name: Column | None = None) -> DataFrame:
+    """doc_id (long), text (null: empty) and k, the row's name, if one is given; other columns, whatever their names, are left out."""
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")]
+    return docs.select(*own, *([name.alias("k")] if name is not None else []))
 
 
 def least_of(df: DataFrame, alias: str):

@@ -15,7 +15,7 @@ equal segments a task sends the first place and their number, and the later plac
 the first finds (it stands in more places). Repeated windows are reported as intervals of words.
 
 Anchors that very many places share (a passage in a third of all texts, a repeated word pair) would make one shard of
-one key: their segments are cut into single windows, dealt by the window's own hash, which is indexed and searched like
+one key: their segments are cut into single windows (hot anchors are found beforehand, on one document in PROBED), dealt by the window's own hash, which is indexed and searched like
 any other segment. Of equal segments or windows each task sends its first place only; they arrive sorted by place and
 only the first is held, so one that stands in any number of places makes a row for each task.
 
@@ -33,13 +33,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidegrain.llm.common import WordHash, docs_of, grams, strings, tidied
+from tidegrain.llm.common import WordHash, docs_of, grams, mix, names, strings, tidied
 
 WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 100_000, 100_000
+#: One document in PROBED is looked at to find the anchors, HOT at most, that very many places share.
+PROBED, HOT = 32, 2**16
 SEED, LANES = 4, 8192  # words of a run whose interval is looked up; searches side by side, so many that they stay in a cache
 NO_ID = 2**63 - 1
 
@@ -47,12 +49,15 @@ NO_ID = 2**63 - 1
 # --- routing
 
 
-def runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of a document's windows (word hashes a): hash, first window and number of windows of each run of one anchor place."""
+def runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of a document's windows (word hashes a): hash and place of each run of windows with one anchor.
+
+    A place holds the run's first window, from which word of it the anchor starts (4 bits), and its number of windows (4 bits).
+    """
     g = grams(a, GRAM)
     n, span = len(a) - WINDOW + 1, WINDOW - GRAM + 1
     if n <= 0:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 2
     # leftmost least of each stretch of ``span`` hashes, by doubling
     best = np.arange(len(g))
     width = 1
@@ -63,11 +68,12 @@ def runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         width += step
     first = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
     count = np.diff(np.concatenate([first, [n]]))
-    return g[best[first]].view(np.int64), first, count
+    return g[best[first]].view(np.int64), first << 8 | (best[first] - first) << 4 | count
 
 
-def anchors(docs: DataFrame) -> DataFrame:
-    """Rows (h, k, at): anchors of all runs; k names the document, at is the run's number in it."""
+def anchors(docs: DataFrame, hot: np.ndarray) -> DataFrame:
+    """Rows (h, k, at): anchors of all runs; k names the document, at is the run's place in it. Runs of the sorted anchors
+    ``hot`` have -1 - place, and for h a number that spreads them."""
 
     def run(batches):
         w = WordHash()
@@ -76,28 +82,47 @@ def anchors(docs: DataFrame) -> DataFrame:
             for k, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 words = t.split()
                 if len(words) >= WINDOW:
-                    h = runs(w.of(words))[0]
+                    h, place = runs(w.of(words))
+                    if len(hot):
+                        known = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
+                        h = np.where(known, mix(place.astype(np.uint64) + np.uint64(k & (2**64 - 1))).view(np.int64), h)
+                        place = np.where(known, -1 - place, place)
                     hs.append(h)
                     ks.append(np.full(len(h), k, np.int64))
-                    at.append(np.arange(len(h), dtype=np.int32))
+                    at.append(place)
             if hs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hs, ks, at)], names=["h", "k", "at"])
 
-    return docs.select("k", "text").mapInArrow(tidied(run), "h long, k long, at int")
+    return docs.select("k", "text").mapInArrow(tidied(run), "h long, k long, at long")
+
+
+def hot_anchors(docs: DataFrame, heavy: int) -> np.ndarray:
+    """Anchors that more than about ``heavy`` places share, by one document in PROBED; the HOT of them that most share, sorted.
+
+    They only choose a way: any set gives the same windows, as long as all places of an anchor go the same way.
+    """
+    some = docs.where(F.pmod(F.xxhash64(F.col("k"), F.lit(1)), F.lit(PROBED)) == 0)
+    many = anchors(some, np.zeros(0, np.int64)).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") * PROBED > heavy).where("n > 8")
+    return np.sort(np.array([r["h"] for r in many.orderBy(F.desc("n"), "h").limit(HOT).collect()], np.int64))
 
 
 def repeated(docs: DataFrame, heavy: int) -> DataFrame:
-    """Rows (k, at): for each document the numbers of its runs whose anchor is repeated; -1 - number where it is in more than
-    ``heavy`` places. Places come sorted by anchor and are read once; at most ``heavy`` and a batch are held."""
+    """Rows (k, at): for each document the places of its runs whose anchor is repeated; -1 - place where it is in more than
+    ``heavy`` places. Places come sorted by anchor and are read once; at most ``heavy`` and a batch are held. Places of hot
+    anchors are known to be such where they are made, and spread over all tasks."""
 
     def out(k, at, hard):
-        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.where(hard, -1 - at, at).astype(np.int32))], names=["k", "at"])
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.where(hard, -1 - at, at))], names=["k", "at"])
 
     def run(batches):
         none = np.zeros(0, np.int64)
         held, hot = (none, none, none), None  # the anchor of the last rows; its hash once it is known to be heavy
         for b in batches:
-            h, k, at = (np.concatenate([x, b.column(i).to_numpy().astype(np.int64)]) for i, x in enumerate(held))
+            new = [b.column(i).to_numpy() for i in range(3)]
+            if (known := new[2] < 0).any():
+                yield pa.RecordBatch.from_arrays([pa.array(new[1][known]), pa.array(new[2][known])], names=["k", "at"])
+                new = [x[~known] for x in new]
+            h, k, at = (np.concatenate(x) for x in zip(held, new, strict=True))
             if hot is not None:
                 n = int(np.searchsorted(h, hot, side="right"))
                 yield out(k[:n], at[:n], True)
@@ -121,8 +146,8 @@ def repeated(docs: DataFrame, heavy: int) -> DataFrame:
             more = size > 1
             yield out(k[more], at[more], size[more] > heavy)
 
-    dealt = anchors(docs).repartition("h").sortWithinPartitions("h")
-    return dealt.mapInArrow(tidied(run), "k long, at int").groupBy("k").agg(F.collect_set("at").alias("at"))
+    dealt = anchors(docs, hot_anchors(docs, heavy)).repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(tidied(run), "k long, at long").groupBy("k").agg(F.collect_set("at").alias("at"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -148,11 +173,11 @@ def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
     no name and with a key that spreads them.
     """
     j = packed(docs).join(marks, "k").select("doc", "k", "text", "at")
-    names = ["key", "name", "text", "doc", "k", "start", "n", "copies"]
+    columns = ["key", "name", "text", "doc", "k", "start", "n", "copies"]
     kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 5]
 
     def run(batches):
-        w, unzip = WordHash(), zstandard.ZstdDecompressor()
+        unzip = zstandard.ZstdDecompressor()
         first_of: dict[bytes, tuple] = {}  # name: place, key, n, text, copies
         late: list[tuple] = []  # k, start, n
 
@@ -171,21 +196,21 @@ def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
                 rows.append((now[0], None, None, 0, *now, 0))
             first_of.clear()
             late.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True) if rows else [()] * 8, kinds, strict=True)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t_) for c, t_ in zip(zip(*rows, strict=True) if rows else [()] * 8, kinds, strict=True)], names=columns)
 
         for b in batches:
             for d, k, t, at in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 words = unzip.decompress(t).split()
-                h, first, count = (x.tolist() for x in runs(w.of(words)))
-                for i in at:
-                    hard, i = i < 0, i if i >= 0 else -1 - i
-                    s, c = first[i], count[i]
+                for code in at:
+                    hard, code = code < 0, code if code >= 0 else -1 - code
+                    s, c, anchor = code >> 8, code & 15, (code >> 8) + (code >> 4 & 15)
+                    own = 0 if hard else xxhash.xxh3_64_intdigest(b" ".join(words[anchor : anchor + GRAM])) - 2**63
                     for f, n in ((s + o, 1) for o in range(c)) if hard else ((s, c),):
                         text = b" ".join(words[f : f + n + WINDOW - 1])
                         name = xxhash.xxh3_128_digest(text)
                         place, old = (d, k, f), first_of.get(name)
                         if old is None:
-                            first_of[name] = (place, int.from_bytes(name[:8], "little", signed=True) if hard else h[i], n, text, 1)
+                            first_of[name] = (place, int.from_bytes(name[:8], "little", signed=True) if hard else own, n, text, 1)
                         elif place != old[0]:
                             least, other = min(place, old[0]), max(place, old[0])
                             first_of[name] = (least, *old[1:4], old[4] + 1)
@@ -426,9 +451,9 @@ def judge(segs: DataFrame, size: int = SHARD) -> DataFrame:
     return dealt.mapInArrow(tidied(run), "k long, a long, b long")
 
 
-def repeats(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
+def repeats(docs: DataFrame, name: Column, heavy: int = HEAVY) -> DataFrame:
     """Rows (k, late): for each document that has any, the spans (first, last, ...) of its windows that also start earlier."""
-    d = docs_of(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "k", "text")
+    d = docs_of(docs, name).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "k", "text")
     late = judge(segments(d, repeated(d.select("k", "text"), heavy)))
     return late.groupBy("k").agg(F.flatten(F.collect_set(F.array("a", "b"))).alias("late"))
 
@@ -446,9 +471,10 @@ def covered(n: int, late: list[int] | None) -> np.ndarray:
 def dedup(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """The columns of docs, and _n_words and _n_removed: texts are their kept words joined by one space, or as they were if
     none is removed; n_chars, if there is such a column, follows the text."""
-    late = repeats(docs, heavy).select(F.col("k").alias("_fm_k"), F.col("late").alias("_fm_late"))
-    own = docs.withColumn("_fm_own", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
-    j = packed(own).join(late, F.col("_fm_own") == F.col("_fm_k"), "left").select(*docs.columns, "_fm_late")
+    name = names(docs)
+    late = repeats(docs, name, heavy).select(F.col("k").alias("_fm_k"), F.col("late").alias("_fm_late"))
+    own = docs.withColumn("_fm_own", name)
+    j = packed(own).join(late, F.col("_fm_own") == F.col("_fm_k"), "left").select(*[f"`{c}`" for c in docs.columns], "_fm_late")
     at, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     schema = docs.schema.jsonValue()
 

@@ -18,10 +18,12 @@ are: a bitmap in which each element flips one bit, so that the bits in which two
 elements in which the sets do. Two similar sets differ in a ninth of their sizes' sum at most, so a pair whose sketches
 alone differ more is none; pairs across components are made under that condition.
 
-Sets are compared as 64-bit hashes of whole shingles (two shingles of a pair collide once in 2^64). Words are
+Sets are compared as 64-bit hashes of whole shingles (two shingles of a pair collide once in 2^64); sets are named by 64
+bits, and if a second hash tells that two of a name differ, all are named anew. Words are
 [^\\x20\\x09-\\x0D]+ after lower-casing A-Z; a text of fewer than five words is one shingle; an empty or null text has no
 shingle and links with nothing. Equal sets, of copies or repeated rows, count as one until the end. A null doc_id takes
-part, but only names a component that has no other id. An empty table gives an empty result.
+part, but only names a component that has no other id. An empty table gives an empty result; extra columns, whatever their names, are left
+out of the join and carried along by deduplicated().
 """
 
 from __future__ import annotations
@@ -31,10 +33,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import LOWER, WordHash, components, docs_of, done, grams, least_of, save, tidied
+from tidegrain.llm.common import LOWER, WordHash, components, alone, docs_of, done, grams, least_of, names, save, tidied
 
 WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
 SEEN, COUNTED = 300_000, 2_000_000  # names and prefix elements that a task holds
@@ -51,9 +53,9 @@ def shingles(text: bytes, h: WordHash, k: int = WORDS) -> np.ndarray:
     return np.unique(grams(h.of(w), k))
 
 
-def name(s: np.ndarray) -> int:
+def name(s: np.ndarray, seed: int = 0) -> int:
     """A set's name: a signed 64-bit hash of its elements (and so of its size)."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))))
+    return xxhash.xxh3_64_intdigest(s.tobytes(), seed) - 2**63
 
 
 def odd_sketch(s: np.ndarray) -> np.ndarray:
@@ -92,11 +94,11 @@ def choose_boundary(sizes: dict[int, int], scan: float = 1.0, most: int = 200) -
     return min(range(1, most + 1), key=lambda x: (cost(x), x))
 
 
-def named_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, k, sig (the set's name; null for no shingles), n, sketch and its fold of every row; and rows with a null n, in which
-    sig is an element that k sets (three or more) of one task share."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-    names = ["doc_id", "k", "sig", "n", "sketch", "fold"]
+def named_sets(docs: DataFrame, key: Column, seed: int) -> DataFrame:
+    """doc_id, k, sig (the set's name; null for no shingles), n, sketch and its fold, and twin (a second hash of the set) of every
+    row; and rows with a null n, in which sig is an element that k sets (three or more) of one task share."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
+    columns = ["doc_id", "k", "sig", "n", "sketch", "fold", "twin"]
 
     def run(batches):
         h, seen, held, room = WordHash(), set(), [], 0
@@ -105,13 +107,14 @@ def named_sets(docs: DataFrame) -> DataFrame:
             key, c = np.unique(np.concatenate(held), return_counts=True)
             key, c = key[c > 2], c[c > 2]
             none = [None] * len(key)
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((none, c, key.view(np.int64), none, none, none), kinds, strict=True)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((none, c, key.view(np.int64), none, none, none, none), kinds, strict=True)], names=columns)
 
         for b in batches:
-            sig, n, sketch, folds = [], [], [], []
+            sig, n, sketch, folds, twin = [], [], [], [], []
             for t in b.column(2).cast(pa.binary()).to_pylist():
                 s = shingles(t, h)
-                sig.append(name(s) if len(s) else None)
+                sig.append(name(s, seed) if len(s) else None)
+                twin.append(name(s, seed + 1) if len(s) else None)
                 n.append(len(s))
                 first = not len(s) or sig[-1] not in seen
                 bits = odd_sketch(s) if first else None
@@ -123,17 +126,17 @@ def named_sets(docs: DataFrame) -> DataFrame:
                     seen.add(sig[-1])
                     held.append(s | np.uint64(1))
                     room += len(s)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, t) for x, t in zip((sig, n, sketch, folds), kinds[2:], strict=True))], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, t) for x, t in zip((sig, n, sketch, folds, twin), kinds[2:], strict=True))], names=columns)
             if room > COUNTED:
                 yield often()
                 held, room = [], 0
         if held:
             yield often()
 
-    return docs_of(docs).select("doc_id", "k", "text").mapInArrow(tidied(run), "doc_id long, k long, sig long, n long, sketch binary, fold array<long>")
+    return docs_of(docs, key).select("doc_id", "k", "text").mapInArrow(tidied(run), "doc_id long, k long, sig long, n long, sketch binary, fold array<long>, twin long")
 
 
-def postings(docs: DataFrame, boundary: int, last: np.ndarray) -> DataFrame:
+def postings(docs: DataFrame, boundary: int, last: np.ndarray, seed: int) -> DataFrame:
     """Rows (key, sig, nr): subsets of small sets (even keys) and prefixes of large ones (odd keys). last: sorted odd keys of
     the elements that come last in the order. nr: the set's size, shifted by 32 bits, and the element's rank in it."""
 
@@ -146,7 +149,7 @@ def postings(docs: DataFrame, boundary: int, last: np.ndarray) -> DataFrame:
                 n = len(s)
                 if n < 2:
                     continue
-                sig = name(s)
+                sig = name(s, seed)
                 if sig in seen:  # copies within a task post once
                     continue
                 if len(seen) >= SEEN:
@@ -237,14 +240,14 @@ def scan_lists(post: DataFrame, light: int = LIGHT) -> DataFrame:
     return post.repartition("key").sortWithinPartitions("key", "sig").mapInArrow(tidied(run), "key long, a long, b long, nr long")
 
 
-def compare(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def compare(pairs: DataFrame, docs: DataFrame, key: Column, reps: DataFrame) -> DataFrame:
     """Rows (a, b, inter, total): shared and all shingles of each pair, from the texts.
 
     Each pair's second text goes to its first one's group; a first text with many partners is copied to one group per
     FAN of them.
     """
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b"))).distinct().join(reps.select("sig", "rep_k"), "sig")
-    texts = docs_of(docs).select("k", "text").join(wanted.select(F.col("rep_k").alias("k"), "sig"), "k").groupBy("k").agg(F.first("sig").alias("sig"), F.first("text").alias("text")).select("sig", "text")
+    texts = docs_of(docs, key).select("k", "text").join(wanted.select(F.col("rep_k").alias("k"), "sig"), "k").groupBy("k").agg(F.first("sig").alias("sig"), F.first("text").alias("text")).select("sig", "text")
     fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("fan"))
     first = texts.join(fan, texts["sig"] == fan["a"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fan") - 1)).alias("slot"), F.lit(None).cast("long").alias("b"), "text")
     second = pairs.join(fan, "a").select("a", F.pmod(F.xxhash64("b"), "fan").alias("slot"), "b").join(texts, F.col("b") == texts["sig"]).select("a", "slot", "b", "text")
@@ -291,7 +294,7 @@ def least_first(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def links(docs: DataFrame, named: DataFrame) -> DataFrame:
+def links(docs: DataFrame, key: Column, named: DataFrame, seed: int) -> DataFrame:
     """Rows (a, b) of names of similar sets that span every component of the similarity graph."""
     sizes = {r[0]: r[1] for r in named.where("n > 0").groupBy(F.least("n", F.lit(256)).cast("int")).agg(F.count("*")).collect()}
     reps = named.where("n > 0").groupBy("sig").agg(F.min("k").alias("rep_k"))
@@ -299,14 +302,14 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     # a bounded number of 64-bit keys
     often = named.where("n is null").groupBy("sig").agg(F.sum("k").alias("c")).orderBy(F.desc("c"), "sig").limit(DEMOTED).collect()
     last = np.sort(np.array([r[0] for r in often], np.int64))
-    lists = save(scan_lists(postings(docs, choose_boundary(sizes), last)), "lists")
+    lists = save(scan_lists(postings(docs, choose_boundary(sizes), last, seed)), "lists")
     near = F.col("differ") * 9 <= F.col("size")
     similar = F.col("inter") * 100 >= F.col("total") * LEAST
 
     def tried(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """What sketches and texts say of pairs, and the links."""
         sketch = save(prune(least_first(pairs), sketches), "pruned")
-        exact = save(compare(sketch.where(near).select("a", "b"), docs, reps), "compared")
+        exact = save(compare(sketch.where(near).select("a", "b"), docs, key, reps), "compared")
         return sketch, exact, exact.where(similar).select("a", "b")
 
     # members of long lists; the one whose elements the most others share stands for the list
@@ -350,14 +353,19 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     return out.union(tried(more)[2])
 
 
-def join(docs: DataFrame) -> DataFrame:
+def join(docs: DataFrame, key: Column | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, and k (the row's name) and root (its component's, null without shingles), of every row.
 
     The components are exact; not all links are formed (those of long lists span their components), so none are counted.
     """
-    told = save(named_sets(docs), "sets")
-    edges = save(links(docs, told), "links")
-    named = told.where("n is not null").drop("sketch", "fold")
+    key, seed = names(docs) if key is None else key, 0
+    told = save(named_sets(docs, key, seed), "sets")
+    while not alone(told.where("n > 0"), "sig", "twin"):  # once in very many runs: two sets have one 64-bit name
+        done(told)
+        seed += 2
+        told = save(named_sets(docs, key, seed), "sets")
+    edges = save(links(docs, key, told, seed), "links")
+    named = told.where("n is not null").drop("sketch", "fold", "twin")
     comp = components(edges).select(F.col("node").alias("sig"), "root")
     per = named.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(comp, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = per.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -372,9 +380,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     Rows without shingles stay; of rows that repeat an id and a text the least by their other columns stays.
     """
-    j = join(docs)
+    key = names(docs)
+    j = join(docs, key)
     best = j.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k")).alias("b")).select(F.col("b.k").alias("_jac_k"))
     stay = best.union(j.where("root is null").select("k").distinct())
-    own = docs.withColumn("_jac_own", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))))
+    own = docs.withColumn("_jac_own", key)
     got = own.join(stay, F.col("_jac_own") == F.col("_jac_k")).groupBy("_jac_own").agg(least_of(docs, "_jac_doc"))
     return got.select("_jac_doc.*")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import least_of
+from tidegrain.llm.common import least_of, names
 from tidegrain.scratch import save
 
 GOLDEN = 0.6180339887498949
@@ -38,10 +38,10 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, the shuffle key and a 64-bit name (of id and text) of every row."""
-    id_, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select(id_.alias("doc_id"), F.col("source").cast("string").alias("source"), words(text).alias("size"), F.xxhash64(id_, text).alias("name"))
+def sized(docs: DataFrame, name: Column | None = None) -> DataFrame:
+    """doc_id, source, size, the shuffle key and the name (of id and text) of every row."""
+    name = names(docs) if name is None else name
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"), name.alias("name"))
     key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
     return d.select("doc_id", "source", "size", key.alias("h"), "name")
 
@@ -118,13 +118,13 @@ def streams(sizes: DataFrame, cells: int) -> DataFrame:
     return d.join(per, same).select("doc_id", d["source"], "size", "h", "name", "row", (c1 - F.col("size")).alias("c0"), c1.alias("c1"))
 
 
-def pieces(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
+def pieces(docs: DataFrame, slots: int = SLOTS, name: Column | None = None, **goal) -> DataFrame:
     """The mix: a row for each document that a taken block touches, with slot, epoch, and the words [w0, w1) that it gives.
 
     Columns doc_id, name, row, source, size, source_size, target, epoch, slot, w0, w1. Documents that aren't taken have one
     row with null slot and w0 = w1 = 0.
     """
-    sizes = save(sized(docs), "sizes")  # some 40 bytes a document: texts are read once
+    sizes = save(sized(docs, name), "sizes")  # some 40 bytes a document: texts are read once
     per = save(targets(sizes, **goal), "targets")
     n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     s = streams(sizes, 64 * int(n)).alias("s")
@@ -154,9 +154,10 @@ def mixed(docs: DataFrame, slots: int = SLOTS, **goal) -> DataFrame:
     Where the last block of a source ends inside a document, that row's text is the words before the end, joined by one
     space, and n_chars, if there is such a column, its length. Rows that repeat an id and a text stand for as many documents.
     """
-    p = pieces(docs, slots, **goal).where("slot is not null")
+    name = names(docs)
+    p = pieces(docs, slots, name, **goal).where("slot is not null")
     takes = p.groupBy("name", "row", "epoch", "size").agg(F.min("w0").alias("w0"), F.max("w1").alias("w1")).select(*[F.col(c).alias(f"_mix_{c}") for c in ("name", "size", "w0", "w1")])
-    one = docs.groupBy(F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))).alias("_mix_own")).agg(least_of(docs, "_mix_doc"))
+    one = docs.groupBy(name.alias("_mix_own")).agg(least_of(docs, "_mix_doc"))
     got = one.join(takes, F.col("_mix_own") == F.col("_mix_name"))
     part = F.array_join(F.slice(F.regexp_extract_all(F.col("_mix_doc.text"), F.lit(WORD), F.lit(0)), (F.col("_mix_w0") + 1).cast("int"), (F.col("_mix_w1") - F.col("_mix_w0")).cast("int")), " ")
     text = F.when(F.col("_mix_w1") - F.col("_mix_w0") == F.col("_mix_size"), F.col("_mix_doc.text")).otherwise(part)
