@@ -42,9 +42,10 @@ def byte_alphabet() -> dict[str, int]:
 class TrieBPE:
     """Encoder and decoder of one vocabulary file; both directions agree with the file's own library."""
 
-    WORD_LIMIT, SEAMS = 1_000_000, 300_000  # words, and pieces, whose encodings are held; pairs of tokens known to stand or not
+    HELD_WORDS, SEAMS = 1_000_000, 300_000  # words, and pieces, whose encodings are held; pairs of tokens known to stand or not
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, held: int = HELD_WORDS):
+        self.most = held
         spec = json.load(open(path, encoding="utf-8"))
         alphabet = byte_alphabet()
         raw = lambda s: bytes(alphabet[c] for c in s)
@@ -145,7 +146,7 @@ class TrieBPE:
 
     def learn(self, chunks: list[str], into: dict[str, tuple[int, ...]], before: str) -> None:
         """Adds to into the encodings of chunks that stand behind before."""
-        if len(self.word_ids) > self.WORD_LIMIT:
+        if len(self.word_ids) > self.most:
             self.word_ids.clear()
         known = self.word_ids
         split = [WORDS.findall(before + c) for c in chunks]
@@ -159,7 +160,7 @@ class TrieBPE:
         own = [self.chunks(t) for t in texts]
         known = self.chunk_ids
         if missing := {c for _, cs in own for c in cs if c not in known}:
-            if len(known) + len(missing) > self.WORD_LIMIT:
+            if len(known) + len(missing) > self.most:
                 known.clear()
                 missing = {c for _, cs in own for c in cs}
             self.learn(list(missing), known, " ")
@@ -195,11 +196,12 @@ class TrieBPE:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def codec(path: str) -> TrieBPE:
+def codec(path: str, most: int = TrieBPE.HELD_WORDS) -> TrieBPE:
     """One codec for each Python worker and file, held until a task of another operator comes."""
     held = HELD.setdefault("bpe", {})
     if path not in held:
         held[path] = TrieBPE(path)
+    held[path].most = most
     return held[path]
 
 
@@ -226,11 +228,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), F.col("ids")).mapInArrow(tidied(run, "bpe"), "doc_id long, text string")
 
 
-def digest(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded, and its ids decoded again, in one pass."""
+def digest(docs: DataFrame, path: str, held: int = TrieBPE.HELD_WORDS) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded, and its ids decoded again, in one pass.
+
+    held: words whose encodings a Python worker holds; fewer take less memory and more time, with the same results.
+    """
 
     def run(batches):
-        c = codec(path)
+        c = codec(path, held)
         name = {i: str(i) for i in c.bytes}
         for b in batches:
             n, one, two = [], [], []
