@@ -512,6 +512,51 @@ def test_quality_against_given_labels(spark):
     assert quality.classify(odd.where("false")).count() == 0 and quality.kept(odd).count() == 0
 
 
+def test_em_equals_a_version_document_by_document():
+    import math
+
+    g = random.Random(5)
+    docs = [[g.choice((-1, 0, 1)) if g.random() < 0.4 else (1 if g.random() < 0.8 else 0) for _ in range(10)] for _ in range(120)]
+    docs += docs[:30]
+    counts = {}
+    for v in docs:
+        counts[quality.pattern(v)] = counts.get(quality.pattern(v), 0) + 1
+    got, _ = quality.expectation_maximisation(counts, rounds=25)
+    good = [0.1 if -1 in v else 0.95 for v in docs]
+    for _ in range(25):
+        mass = [sum(1 - p for p in good), sum(good)]
+        prior = [(m + 1) / (len(docs) + 2) for m in mass]
+        chance = []
+        for j in range(10):
+            p = [[0.5 + sum(w for w, v in zip(([1 - x for x in good], good)[k], docs, strict=True) if v[j] == x) for x in (-1, 0, 1)] for k in (0, 1)]
+            p = [[x / sum(row) for x in row] for row in p]
+            for x, low, high in ((0, 1, 0), (2, 0, 1)):
+                if p[low][x] > p[high][x]:
+                    p[0][x] = p[1][x] = p[0][x] * prior[0] + p[1][x] * prior[1]
+            chance.append([[x / sum(row) for x in row] for row in p])
+        new = []
+        for v in docs:
+            bad_, good_ = (math.log(prior[k]) + sum(math.log(chance[j][k][v[j] + 1]) for j in range(10)) for k in (0, 1))
+            new.append(1 / (1 + math.exp(max(-50, min(50, bad_ - good_)))))
+        if max(abs(a - b) for a, b in zip(good, new, strict=True)) < 1e-9:
+            break
+        good = new
+    for v, p in zip(docs, good, strict=True):
+        assert abs(got[quality.pattern(v)] - p) < 1e-6
+
+
+def test_chat_layouts(spark):
+    records = ['{"prompt": "a", "response": "b"}', '{"messages": [{"role": "User", "content": "x"}, {"role": "gpt", "content": null}]}', '{"instruction": "i", "input": "", "output": "o"}', '{"messages": []}', '{"prompt": "a", "response": "b", "more": 1}', "[1]", "x", None]
+    df = spark.createDataFrame(list(enumerate(records)), "conv_id long, record string")
+    got = {r["conv_id"]: r for r in chat.format_json(df).collect()}
+    turns = {i: chat.read_back(r["formatted"]) for i, r in got.items() if r["formatted"] is not None}
+    assert turns == {0: [("user", "a"), ("assistant", "b")], 1: [("user", "x"), ("assistant", "")], 2: [("user", "i"), ("assistant", "o")], 3: []}
+    assert all(got[i]["problem"] and got[i]["mask"] is None for i in range(4, 8)) and "more" in got[4]["problem"]
+    rows = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    prints = {chat.fingerprint(chat.paths(json.loads(r["record"]))) for r in chat.rows_as_records(rows).collect()}
+    assert len(prints) > 1 and chat.format_rows(rows.where("false")).count() == 0
+
+
 def test_votes_pack():
     for v in ([0] * 10, [1, -1] * 5, [-1] * 10):
         assert quality.votes_of(quality.pattern(v)) == v

@@ -45,3 +45,15 @@ def test_run_equals_plain_stages(spark, tmp_path):
 def test_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "substring_dedup", "mix", "bpe"]
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_odd_tables(spark, tmp_path):
+    prose = "The first sentence has some plain words in it. Another one follows, with other words again. " * 3
+    rows = [(1, prose, "en", "a", None), (1, prose, "en", "a", None), (None, prose + "Tail.", None, None, 3), (2, None, None, None, None), (3, "", "en", "b", 0), (4, "y" * 300_000, "en", "b", 1), (5, prose, "en", None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df = df.selectExpr("*", "map('k', doc_id) as `a.b`", "1 as k", "'x' as sig", "2 as _late")
+    df.write.parquet(str(tmp_path / "odd/documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    assert {r["doc_id"] for r in got} <= {1, None, 4, 5} and 1 in {r["doc_id"] for r in got} and all(r["n_tokens"] > 0 for r in got)
+    df.where("false").write.parquet(str(tmp_path / "none/documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0

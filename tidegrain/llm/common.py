@@ -10,10 +10,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tidegrain.scratch import done, save
+from tidegrain.scratch import done, save, sweep
 
-__all__ = ["done", "save"]
+__all__ = ["done", "save", "sweep"]
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -125,6 +126,18 @@ def tidied(run, own: str = ""):
     return inner
 
 
+def mapped(df: DataFrame, run, schema: StructType) -> DataFrame:
+    """df.mapInArrow(run, schema) for frames whose columns may have any names, such as ones with a dot: inside, all are numbered."""
+
+    def numbered(batches):
+        for b in run(batches):
+            yield pa.RecordBatch.from_arrays(b.columns, names=[f"c{i}" for i in range(b.num_columns)])
+
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    out = plain.mapInArrow(tidied(numbered), StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)]))
+    return out.toDF(*schema.names)
+
+
 def strings(col: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return col.cast(pa.binary()).to_pylist()
 
@@ -172,6 +185,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         last = sign
     else:
         raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
+    sweep(e.sparkSession)
     roots = e.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     own = e.select(F.col("v").alias("node")).distinct().join(roots.select("node"), "node", "left_anti").select("node", F.col("node").alias("root"))
     return roots.union(own)

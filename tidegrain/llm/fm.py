@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidegrain.llm.common import WordHash, docs_of, grams, mix, names, strings, tidied
+from tidegrain.llm.common import WordHash, docs_of, grams, mapped, mix, names, strings, tidied
 
 WINDOW, GRAM, HEAVY, SHARD, CHUNK = 20, 6, 1024, 100_000, 100_000
 #: One document in PROBED is looked at to find the anchors, HOT at most, that very many places share.
@@ -162,7 +162,7 @@ def packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
 
     schema = StructType([f if f.name != "text" else StructField("text", BinaryType()) for f in docs.schema])
-    return docs.mapInArrow(tidied(run), schema)
+    return mapped(docs, run, schema)
 
 
 def segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -496,7 +496,7 @@ def dedup(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
                 cols[chars] = pa.array([None if t is None and c is None else c if not g else len(t) for t, g, c in zip(text, gone, cols[chars].to_pylist(), strict=True)], pa.int64()).cast(cols[chars].type)
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*b.schema.names[:-1], "_n_words", "_n_removed"])
 
-    return j.mapInArrow(tidied(run), StructType.fromJson(schema).add("_n_words", "long").add("_n_removed", "long"))
+    return mapped(j, run, StructType.fromJson(schema).add("_n_words", "long").add("_n_removed", "long"))
 
 
 def digest(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:

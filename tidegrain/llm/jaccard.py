@@ -28,6 +28,7 @@ out of the join and carried along by deduplicated().
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import comb
 
 import numpy as np
@@ -36,7 +37,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import LOWER, WordHash, components, alone, docs_of, done, grams, least_of, names, save, tidied
+from tidegrain import scratch
+from tidegrain.llm.common import LOWER, WordHash, components, alone, docs_of, done, grams, least_of, names, save, sweep, tidied
 
 WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
 SEEN, COUNTED = 300_000, 2_000_000  # names and prefix elements that a task holds
@@ -295,7 +297,21 @@ def least_first(pairs: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, key: Column, named: DataFrame, seed: int) -> DataFrame:
-    """Rows (a, b) of names of similar sets that span every component of the similarity graph."""
+    """Rows (a, b) of names of similar sets that span every component of the similarity graph, written to a table."""
+    made: list[DataFrame] = []
+
+    def save(df: DataFrame, name: str) -> DataFrame:
+        made.append(scratch.save(df, name))
+        return made[-1]
+
+    out = scratch.save(spanning(docs, key, named, seed, save), "links")
+    scratch.done(*made)
+    sweep(docs.sparkSession)
+    return out
+
+
+def spanning(docs: DataFrame, key: Column, named: DataFrame, seed: int, save: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """links(), from intermediate tables that save() writes."""
     sizes = {r[0]: r[1] for r in named.where("n > 0").groupBy(F.least("n", F.lit(256)).cast("int")).agg(F.count("*")).collect()}
     reps = named.where("n > 0").groupBy("sig").agg(F.min("k").alias("rep_k"))
     sketches = named.where("n > 0 and sketch is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
@@ -310,6 +326,7 @@ def links(docs: DataFrame, key: Column, named: DataFrame, seed: int) -> DataFram
         """What sketches and texts say of pairs, and the links."""
         sketch = save(prune(least_first(pairs), sketches), "pruned")
         exact = save(compare(sketch.where(near).select("a", "b"), docs, key, reps), "compared")
+        sweep(docs.sparkSession)
         return sketch, exact, exact.where(similar).select("a", "b")
 
     # members of long lists; the one whose elements the most others share stands for the list
@@ -364,7 +381,7 @@ def join(docs: DataFrame, key: Column | None = None) -> DataFrame:
         done(told)
         seed += 2
         told = save(named_sets(docs, key, seed), "sets")
-    edges = save(links(docs, key, told, seed), "links")
+    edges = links(docs, key, told, seed)
     named = told.where("n is not null").drop("sketch", "fold", "twin")
     comp = components(edges).select(F.col("node").alias("sig"), "root")
     per = named.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(comp, "sig", "left").withColumn("root", F.coalesce("root", "sig"))

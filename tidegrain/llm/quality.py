@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import docs_of, tidied
+from tidegrain.llm.common import docs_of, mapped, tidied
 
 #: Distinct texts that the scorer is fitted on, about so many and twice as many at most; everything else covers all documents.
 SAMPLE = 6000
@@ -247,7 +247,7 @@ def kept(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataF
         for b in batches:
             yield b.filter(pa.array([x >= threshold for x in scores(b.column(at).to_pylist(), r, weights)], pa.bool_()))
 
-    return docs.mapInArrow(tidied(run), docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def classify(docs: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
