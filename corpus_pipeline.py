@@ -9,6 +9,11 @@ stage works on all rows that the one before it returned.
   mix              takes documents by the low-discrepancy schedule, so sources meet their target weights: a row each
                    time that a document is taken
   bpe              encodes and decodes every text
+
+A null text counts as empty: the quality stage rejects it, and any other text without words. A null doc_id or source is
+kept and sorted last. Texts of any length are read whole. Of rows that repeat an id and a text, or share 0.8 of their
+shingles, one stays, ties going to the smallest id and then the least by the other columns. An empty table gives an empty
+result. Further columns, of any kind and name, are carried along up to the mix.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return fm.dedup(docs).select(*docs.columns)
+    return fm.dedup(docs).select(*[f"`{c}`" for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

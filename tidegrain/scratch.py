@@ -49,6 +49,11 @@ def done(*saved: DataFrame) -> None:
         drop(df.sparkSession, df._tidegrain_path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets the driver forget shuffles that nothing refers to any more, so that executors delete their files now."""
+    spark._jvm.System.gc()
+
+
 def _clean() -> None:
     for path, (jvm, conf) in _MADE.items():
         try:
