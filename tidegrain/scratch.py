@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,7 @@ def done(*saved: DataFrame) -> None:
 
 def sweep(spark: SparkSession) -> None:
     """Lets the driver forget shuffles that nothing refers to any more, so that executors delete their files now."""
+    gc.collect()  # what Python still refers to stays
     spark._jvm.System.gc()
 
 
