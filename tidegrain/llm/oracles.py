@@ -27,6 +27,18 @@ SUBSTRINGS = f"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, '')
  kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.i) AS t FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.i = word.i WHERE gone.i IS NULL GROUP BY 1), n AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY 1)
  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+PHRASES = f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '{ALNUM}') AS w FROM documents),
+ b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '{ALNUM}') AS w FROM benchmark),
+ q AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS t FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ win AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM q) WHERE len(w) >= n)),
+ hit AS (SELECT doc_id, i, item_id, win.n AS n FROM win JOIN q ON win.t = q.t AND win.n = q.n),
+ word AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY 1),
+ item AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS items_sha256 FROM (SELECT DISTINCT doc_id, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY 1)
+ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+ FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)"""
+
 MIX = f"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents),
  p AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1), w AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, 2.0::DOUBLE * source_size AS cap, CAST(1.5::DOUBLE * sum(source_size) OVER () AS DOUBLE) AS total FROM p),
  l AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
