@@ -198,7 +198,10 @@ def contamination(docs: DataFrame, tests: DataFrame, n: int = 10) -> DataFrame:
     rows = docs_of(docs, name)
     own = save(windows(tests.select(F.col("item_id").cast("string").alias("item_id"), "text"), n), "windows")
     wanted = save(hashed(own.select("words").distinct(), "words", "win"), "phrases")
-    index = build(rows.select("k", "text"), vocabulary(wanted.select(F.explode("words").alias("word"))))
+    texts = rows.select("k", "text")
+    if not rows.groupBy("k").count().where("count > 1").isEmpty():  # rows that repeat an id and a text are indexed once
+        texts = texts.dropDuplicates(["k"])
+    index = build(texts, vocabulary(wanted.select(F.explode("words").alias("word"))))
     places = phrases(index, wanted)
     of = own.join(wanted, "words").select("win", "item_id").where("item_id is not null").distinct()
     items = looked_up(places.select("win", "k").distinct(), of, "win", ["k"]).select("k", "item_id").distinct()
