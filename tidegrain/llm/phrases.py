@@ -36,7 +36,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What lies between words, and words, before A-Z are lower-cased.
 BETWEEN, WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[0-9A-Za-z\x80-\x{10FFFF}]+"
 #: Rows of the tests' side that may be broadcast, salts of a larger one, and numbers for places still possible (of BLOCK words each).
-BROADCAST, SALTS, NEAR, BLOCK = 200_000, 16, 2**18, 64
+BROADCAST, SALTS, NEAR, BLOCK = 200_000, 16, 2**20, 64
 
 
 def plain(word: Column) -> Column:
