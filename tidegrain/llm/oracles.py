@@ -39,6 +39,15 @@ PHRASES = f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(te
  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
  FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)"""
 
+_HEX = lambda i: f"CAST('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), {8 * i + 1}, 8) AS BIGINT)"
+
+FEATURES = f"""WITH v AS (SELECT source, doc_id, {_HEX(0)} % 200000 AS event, {_HEX(0)} % 200000 - 60 + {_HEX(1)} % 1200 AS arrival, {_HEX(0)} % 200000 + {_HEX(2)} % 900 AS expiry, n_chars, lang FROM documents),
+ s AS (SELECT doc_id, min(source) AS source FROM documents WHERE doc_id IS NOT NULL GROUP BY 1), l AS (SELECT row_number() OVER () AS n, doc_id, {_HEX(3)} % 200000 AS t FROM labels),
+ c AS (SELECT l.n, l.doc_id, l.t, v.doc_id AS version_id, event, v.n_chars, v.lang, row_number() OVER (PARTITION BY l.n ORDER BY event DESC NULLS LAST, arrival DESC NULLS LAST, v.doc_id DESC NULLS LAST, v.n_chars DESC NULLS LAST, v.lang DESC NULLS LAST) AS r
+ FROM l LEFT JOIN s ON s.doc_id = l.doc_id LEFT JOIN v ON v.source = s.source AND event <= t AND arrival <= t AND t < expiry),
+ w AS (SELECT *, t - event AS age, CASE WHEN version_id IS NULL THEN 'none' WHEN t - event > 20 THEN 'stale' ELSE 'fresh' END AS status FROM c WHERE r = 1)
+ SELECT doc_id, t, version_id, age, status, CASE WHEN status = 'fresh' THEN n_chars END AS n_chars, CASE WHEN status = 'fresh' THEN lang END AS lang FROM w"""
+
 MIX = f"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents),
  p AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1), w AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, 2.0::DOUBLE * source_size AS cap, CAST(1.5::DOUBLE * sum(source_size) OVER () AS DOUBLE) AS total FROM p),
  l AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),

@@ -86,5 +86,11 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality, op10_fm, op11_phrases)}
-ORACLES: dict[str, str] = {"op4_jaccard": oracles.JACCARD, "op5_mix": oracles.MIX, "op6_lattice": oracles.VECTORS, "op8_chat": oracles.CHAT, "op10_fm": oracles.SUBSTRINGS, "op11_phrases": oracles.PHRASES}
+def op12_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import pit
+
+    return pit.features(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality, op10_fm, op11_phrases, op12_features)}
+ORACLES: dict[str, str] = {"op4_jaccard": oracles.JACCARD, "op5_mix": oracles.MIX, "op6_lattice": oracles.VECTORS, "op8_chat": oracles.CHAT, "op10_fm": oracles.SUBSTRINGS, "op11_phrases": oracles.PHRASES, "op12_features": oracles.FEATURES}
