@@ -151,23 +151,29 @@ def test_lattice_points_are_of_e8_and_recall_at_the_limit():
     assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b, strict=True)]) >= 0.95
 
 
-def recall(spark, path):
+def recall(df):
     """Links that op6 finds on a table of vectors, as a part of all pairs at 0.9 or more, and how many such there are."""
-    df = spark.read.parquet(path)
-    rows = [(r["vec_id"], np.array(r["embedding"], float)) for r in df.collect() if r["embedding"] is not None and None not in r["embedding"]]
-    rows = [(i, v) for i, v in rows if i is not None and len(v) and np.isfinite(v).all() and v.any()]
-    found, links = {r["vec_id"]: r["n_links"] for r in lattice.near_duplicates(df, 0.9).collect()}, {}
-    for d in {len(v) for _, v in rows}:
-        ids, x = zip(*[(i, v / np.linalg.norm(v)) for i, v in rows if len(v) == d], strict=True)
-        near = np.array(x) @ np.array(x).T >= 0.9
-        links |= dict(zip(ids, (near.sum(1) - 1).tolist(), strict=True))
-    assert len(links) == len(rows) and all(found[i] <= links[i] for i in links)  # no links that aren't
+    rows = [(r["vec_id"], np.array(r["embedding"], float)) for r in df.collect()]
+    found = {r["vec_id"]: r["n_links"] for r in lattice.near_duplicates(df, 0.9).collect()}
+    ids, x = zip(*[(i, v / np.linalg.norm(v)) for i, v in rows], strict=True)
+    links = dict(zip(ids, ((np.array(x) @ np.array(x).T >= 0.9).sum(1) - 1).tolist(), strict=True))
+    assert all(found[i] <= links[i] for i in links)  # no links that aren't
     return sum(found[i] for i in links) / max(sum(links.values()), 1), sum(links.values())
 
 
-def test_lattice_recall_on_given_vectors(spark):
-    share, n = recall(spark, "/root/testdata/check_s/embeddings.parquet")  # the tables of sf0.001 to sf0.1 hold no pair at 0.9
-    assert n > 0 and share >= 0.9
+@pytest.mark.parametrize("cosine", [0.902, 0.92, 0.97])
+def test_lattice_recall_of_near_copies_of_given_vectors(spark, cosine):
+    """The given tables hold no pair at 0.9, so each vector gets a copy turned by a random direction to a stated cosine."""
+    g, given = np.random.default_rng(11), spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").where("embedding is not null").collect()
+    rows = [(r["vec_id"], r["embedding"]) for r in given if all(x is not None and np.isfinite(x) for x in r["embedding"]) and any(r["embedding"])]
+    copies = []
+    for i, v in rows:
+        u = np.array(v, float) / np.linalg.norm(v)
+        z = g.standard_normal(len(u))
+        z -= (z @ u) * u
+        copies.append((i + 1_000_000, (cosine * u + np.sqrt(1 - cosine**2) * z / np.linalg.norm(z)).tolist()))
+    share, n = recall(spark.createDataFrame(rows + copies, "vec_id long, embedding array<double>"))
+    assert n >= 2 * len(rows) and share >= 0.9
 
 
 # --- op3

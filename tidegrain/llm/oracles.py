@@ -48,6 +48,14 @@ FEATURES = f"""WITH v AS (SELECT source, doc_id, {_HEX(0)} % 200000 AS event, {_
  w AS (SELECT *, t - event AS age, CASE WHEN version_id IS NULL THEN 'none' WHEN t - event > 20 THEN 'stale' ELSE 'fresh' END AS status FROM c WHERE r = 1)
  SELECT doc_id, t, version_id, age, status, CASE WHEN status = 'fresh' THEN n_chars END AS n_chars, CASE WHEN status = 'fresh' THEN lang END AS lang FROM w"""
 
+NEGATIVES = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS e FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+ p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+ SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score >= 50 * positive_score AND 100 * score <= 95 * positive_score
+ WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 3"""
+
 MIX = f"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents),
  p AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1), w AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, 2.0::DOUBLE * source_size AS cap, CAST(1.5::DOUBLE * sum(source_size) OVER () AS DOUBLE) AS total FROM p),
  l AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegrain.llm import oracles
 from tidegrain.llm.common import table
@@ -92,5 +93,13 @@ def op12_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pit.features(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality, op10_fm, op11_phrases, op12_features)}
-ORACLES: dict[str, str] = {"op4_jaccard": oracles.JACCARD, "op5_mix": oracles.MIX, "op6_lattice": oracles.VECTORS, "op8_chat": oracles.CHAT, "op10_fm": oracles.SUBSTRINGS, "op11_phrases": oracles.PHRASES, "op12_features": oracles.FEATURES}
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidegrain.llm import negatives
+
+    e = table(spark, sf_dir, "embeddings")
+    e = e.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(e, F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_ann, op3_html, op4_jaccard, op5_mix, op6_lattice, op7_tokenfile, op8_chat, op9_quality, op10_fm, op11_phrases, op12_features, op13_negatives)}
+ORACLES: dict[str, str] = {"op4_jaccard": oracles.JACCARD, "op5_mix": oracles.MIX, "op6_lattice": oracles.VECTORS, "op8_chat": oracles.CHAT, "op10_fm": oracles.SUBSTRINGS, "op11_phrases": oracles.PHRASES, "op12_features": oracles.FEATURES, "op13_negatives": oracles.NEGATIVES}
