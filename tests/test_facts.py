@@ -72,7 +72,8 @@ def test_autumn_day_has_an_hour_twice(spark):
 )
 def test_glitches(spark, values, flag):
     r = spark.createDataFrame([("s", "A", at(5 * i), dt.date(2026, 9, 28), 840, n, "numeric" if n is not None else "open") for i, n in enumerate(values)], "source_id string, facility string, reading_at timestamp, reading_date date, reading_minute_of_day int, available_spaces int, status string")
-    f = r.select("source_id", "facility", "reading_at", F.col("reading_at").alias("ingested_at"))
+    r = r.withColumn("ingested_at", F.col("reading_at"))
+    f = r.select("source_id", "facility", "reading_at", "ingested_at")
     dim = spark.createDataFrame([("A", 1, 400)], "facility_name string, facility_key int, capacity int")
     a = facts.availability(r, f, dim, periods(spark), Glitch(10, 50)).orderBy("valid_from").collect()
     assert [x["is_source_glitch"] for x in a] == [False, flag, False]
@@ -82,7 +83,8 @@ def test_glitches(spark, values, flag):
 
 def test_unknown_facility_is_minus_one(spark):
     r = spark.createDataFrame([("s", "B", at(0), dt.date(2026, 9, 28), 840, 3, "numeric")], "source_id string, facility string, reading_at timestamp, reading_date date, reading_minute_of_day int, available_spaces int, status string")
-    f = r.select("source_id", "facility", "reading_at", F.col("reading_at").alias("ingested_at"))
+    r = r.withColumn("ingested_at", F.col("reading_at"))
+    f = r.select("source_id", "facility", "reading_at", "ingested_at")
     dim = spark.createDataFrame([], "facility_name string, facility_key int, capacity int")
     assert facts.availability(r, f, dim, periods(spark)).first()["facility_key"] == -1
 
@@ -134,9 +136,9 @@ def test_price_rules_report_all_problems(spark):
 def test_keys_and_merge(spark):
     old = spark.createDataFrame([(-1, facility.UNKNOWN, True), (1, "A", True), (2, "B", True)], "facility_key int, facility_name string, is_active boolean")
     new = spark.createDataFrame([("A", T0, True), ("D", T0, True), ("C", T0, False), ("E", T0 - dt.timedelta(1), True)], "facility_name string, first_seen timestamp, is_active boolean")
-    new = new.selectExpr("*", "cast(null as decimal(10,7)) latitude", "cast(null as decimal(10,7)) longitude", "cast(null as int) capacity", "cast(null as long) register_id", "cast(null as timestamp) last_seen")
-    full = facility.dim_facility(new, old.selectExpr("*", "cast(null as decimal(10,7)) latitude", "cast(null as decimal(10,7)) longitude", "cast(null as int) capacity", "cast(null as long) register_id", "cast(null as timestamp) first_seen", "cast(null as timestamp) last_seen"))
-    assert {x["facility_name"]: (x["facility_key"], x["is_active"]) for x in full.collect()} == {facility.UNKNOWN: (-1, True), "A": (1, True), "B": (2, False), "E": (3, True), "C": (4, False), "D": (5, True)}
+    new = new.selectExpr("*", "cast(null as decimal(10,7)) latitude", "cast(null as decimal(10,7)) longitude", "cast(null as int) capacity", "cast(null as timestamp) capacity_changed_at", "cast(null as long) register_id", "cast(null as timestamp) last_seen")
+    full = facility.dim_facility(new, old.selectExpr("*", "cast(null as decimal(10,7)) latitude", "cast(null as decimal(10,7)) longitude", "cast(null as int) capacity", "cast(null as timestamp) capacity_changed_at", "cast(null as long) register_id", "cast(null as timestamp) first_seen", "cast(null as timestamp) last_seen"))
+    assert {x["facility_name"]: (x["facility_key"], x["is_active"]) for x in full.collect()} == {facility.UNKNOWN: (-1, False), "A": (1, True), "B": (2, False), "E": (3, True), "C": (4, False), "D": (5, True)}
     assert full.schema.simpleString() == FACILITY.simpleString()
 
 

@@ -113,7 +113,7 @@ def pipeline(a, spark, say=print) -> int:
                 run.run_silver(f, a.rebuild)
         if a.command in ("run", "gold"):
             run.run_gold(feeds[0])
-        return 3 if a.command in ("run", "check") and any([run.run_quality(f) for f in feeds]) else 0
+        return 3 if a.command in ("run", "check") and any([run.run_quality(f, f is feeds[0]) for f in feeds]) else 0
     except run.STEP_ERRORS as e:
         say(f"{a.command} failed: {e}")
         return 1

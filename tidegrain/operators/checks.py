@@ -134,10 +134,11 @@ def source_outages(outages: DataFrame, until: DataFrame) -> DataFrame:
     return counted(o, "source_id", "source_outages")
 
 
-def run_checks(t: dict[str, DataFrame], expected: list[str], lineage: list[str], count_field: str, box: Box = Box()) -> DataFrame:
+def run_checks(t: dict[str, DataFrame], expected: list[str], lineage: list[str], count_field: str, box: Box = Box(), shared: bool = True) -> DataFrame:
     """All results. t: bronze, issues, fetches, quarantine, snapshots, areas, mapping, facilities, availability, hourly, runs, outages.
 
-    Facility checks give no rows when the newest snapshot has no fetches.
+    Facility checks give no rows when the newest snapshot has no fetches. Without ``shared``, checks of tables that aren't one
+    feed's (the register, coverage, failed runs) are left to another feed's call. snapshot is the newest raw file that was checked.
     """
     newest = newest_file(t["bronze"], t["issues"])
     until = t["fetches"].agg(F.max("ingested_at").alias("until"))
@@ -146,12 +147,13 @@ def run_checks(t: dict[str, DataFrame], expected: list[str], lineage: list[str],
     n = latest.limit(1).count()
     parts = [
         schema_drift(snapshot, expected, lineage), empty_snapshot(t["fetches"], t["issues"], newest), quarantined(t["quarantine"], newest, count_field),
-        register_missing_areas(t["areas"], t["mapping"]), source_stale(t["snapshots"], newest), low_coverage(t["hourly"], t["facilities"], until),
-        source_glitches(t["availability"], t["facilities"], until), collect_failures(t["runs"], until), source_outages(t["outages"], until),
+        source_stale(t["snapshots"], newest), source_glitches(t["availability"], t["facilities"], until), source_outages(t["outages"], until),
     ]
+    if shared:
+        parts += [register_missing_areas(t["areas"], t["mapping"]), low_coverage(t["hourly"], t["facilities"], until), collect_failures(t["runs"], until)]
     if n:
         parts += [facility_count(latest, t["mapping"]), per_facility(latest, t["facilities"], t["mapping"], box)]
-    all_ = reduce(DataFrame.unionByName, parts)
+    all_ = reduce(DataFrame.unionByName, parts).join(F.broadcast(newest.withColumnRenamed("newest", "snapshot")))
     return conform(all_.withColumn("checked_at", F.current_timestamp()), CHECK)
 
 

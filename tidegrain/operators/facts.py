@@ -19,30 +19,51 @@ class Glitch:
     min_jump: int = 50
 
 
-def glitch_flag(g: Glitch | None, by: Window) -> Column:
-    """Whether a single reading stands out from both of its neighbours; null comparisons count as no."""
+#: The order of a facility's readings, whichever sources they come from; the last one holds.
+ORDER = ["reading_at", "last_fetched_at", "source_id"]
+
+
+def neighbours(readings: DataFrame, bucket: str = "MONTH") -> DataFrame:
+    """readings with the readings of the facility before and after each (_prev, _next: structs of ORDER, available_spaces, status).
+
+    Windows are by facility and month (another ``bucket``, or the column _part), so that one facility's rows go to many tasks; the
+    first and last reading of each month, one row for a facility and month, are put in a row of their own and close the seams.
+    """
+    row = F.struct(*ORDER, "available_spaces", "status")
+    r = readings if "_part" in readings.columns else readings.withColumn("_part", F.date_trunc(bucket, "reading_at"))
+    ends = r.groupBy("facility", "_part").agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    months = Window.partitionBy("facility").orderBy("_part")
+    seams = ends.select("facility", "_part", F.lag("_last").over(months).alias("_before"), F.lead("_first").over(months).alias("_after"))
+    by = Window.partitionBy("facility", "_part").orderBy(*ORDER)
+    r = r.withColumns({"_prev": F.lag(row).over(by), "_next": F.lead(row).over(by)}).join(seams, ["facility", "_part"], "left")
+    return r.withColumns({"_prev": F.coalesce("_prev", "_before"), "_next": F.coalesce("_next", "_after")}).drop("_part", "_before", "_after")
+
+
+def glitch_flag(g: Glitch | None) -> Column:
+    """Whether a single reading stands out from both of its neighbours (_prev and _next); null comparisons count as no."""
     if g is None:
         return F.lit(False)
-    now, prev, nxt = F.col("available_spaces"), F.lag("available_spaces").over(by), F.lead("available_spaces").over(by)
+    now, prev, nxt = F.col("available_spaces"), F.col("_prev.available_spaces"), F.col("_next.available_spaces")
     jump = (F.abs(prev - nxt) <= g.max_neighbour_difference) & (F.abs(now - prev) >= g.min_jump) & (F.abs(now - nxt) >= g.min_jump)
-    closed = (F.lag("status").over(by) == "open") & (F.lead("status").over(by) == "open") & (F.col("status") == "numeric")
+    closed = (F.col("_prev.status") == "open") & (F.col("_next.status") == "open") & (F.col("status") == "numeric")
     return F.coalesce(jump, F.lit(False)) | F.coalesce(closed, F.lit(False))
 
 
 def availability(readings: DataFrame, fetches: DataFrame, facilities: DataFrame, periods: DataFrame, glitch: Glitch | None = Glitch()) -> DataFrame:
-    """Readings as validity intervals, with facility key, last fetch, staleness and glitch flag.
+    """Readings as validity intervals, with facility key, first and last fetch, staleness and glitch flag.
 
+    A reading holds until the facility's next one, from whichever source, so the intervals of a facility never overlap.
     Facilities are the small side; an unknown one gets key -1. The last fetch comes with the readings of deduplicate(), or
     from fetches where readings lack it. The stale flag is an existence test on distinct source
     times, so periods never multiply readings.
     """
-    by = Window.partitionBy("source_id", "facility").orderBy("reading_at")
     stale = periods.select("source_id", F.col("source_reading_at").alias("reading_at")).distinct().withColumn("_stale", F.lit(True))
     dim = facilities.select(F.col("facility_name").alias("facility"), "facility_key", "capacity")
-    r = readings.withColumns({"valid_to": F.lead("reading_at").over(by), "is_source_glitch": glitch_flag(glitch, by)})
     if "last_fetched_at" not in readings.columns:
         last = fetches.groupBy("source_id", "facility", "reading_at").agg(F.max("ingested_at").alias("last_fetched_at"))
-        r = r.join(last, ["source_id", "facility", "reading_at"], "left")
+        readings = readings.join(last, ["source_id", "facility", "reading_at"], "left")
+    r = neighbours(readings)
+    r = r.withColumns({"valid_to": F.col("_next.reading_at"), "is_source_glitch": glitch_flag(glitch), "first_ingested_at": F.col("ingested_at")})
     r = r.join(stale, ["source_id", "reading_at"], "left").join(dim, "facility", "left")
     m = F.col("reading_minute_of_day").cast("int")
     r = r.withColumns(

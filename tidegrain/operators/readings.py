@@ -44,7 +44,7 @@ Keep = Callable[[DataFrame], DataFrame]
 def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
     """Typed readings, and a quarantine row for each bad value, in one pass over bronze each, or one in all with keep.
 
-    A row without a usable time or entity is no reading, but all of its bad values are quarantined. A field that bronze
+    A row without a usable time or entity is no reading (reading_excluded), but all of its bad values are quarantined. A field that bronze
     lacks is null everywhere.
     """
     raw = {n: (F.col(f"`{n}`") if n in bronze.columns else F.lit(None).cast("string")) for n in spec.fields}
@@ -85,7 +85,7 @@ def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep |
         bad(spec.longitude, lo, number(lo, F.col("longitude"))),
         bad(spec.count, n, F.when(missing(n), "missing_value").when(F.col("available_spaces").isNull() & ~F.col("_open"), "not_a_count")),
     )
-    quarantine = typed.select(*LINEAGE, F.explode(F.filter(rules, lambda x: x["reason"].isNotNull())).alias("q")).select(*LINEAGE, "q.*")
+    quarantine = typed.select(*LINEAGE, (~sound).alias("reading_excluded"), F.explode(F.filter(rules, lambda x: x["reason"].isNotNull())).alias("q")).select(*LINEAGE, "reading_excluded", "q.*")
     return conform(readings, READING), conform(quarantine, QUARANTINE)
 
 
@@ -97,8 +97,9 @@ def compared_values(spec: FeedSpec) -> Column:
 
 
 def by_entity(fetches: DataFrame) -> DataFrame:
-    """fetches dealt by source and facility: one shuffle that serves the windows of deduplicate() and availability()."""
-    return fetches.repartition("source_id", "facility")
+    """fetches dealt by facility and month (_part): one shuffle that serves the windows of deduplicate() and availability(), and
+    that a facility with most of the rows doesn't bring to one task."""
+    return fetches.withColumn("_part", F.date_trunc("MONTH", "reading_at")).repartition("facility", "_part")
 
 
 def deduplicate(fetches: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
@@ -107,7 +108,8 @@ def deduplicate(fetches: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep | No
 
     One window gives all: the rank, the last fetch, and the winner's values beside every loser, so there is no self-join.
     """
-    order = Window.partitionBy("source_id", "facility", "reading_at").orderBy(F.col("ingested_at").asc_nulls_first(), F.col("raw_file").asc_nulls_first(), F.col("record_index").asc_nulls_first())
+    part = [c for c in fetches.columns if c == "_part"]  # the month goes along, see by_entity()
+    order = Window.partitionBy("source_id", "facility", "reading_at", *part).orderBy(F.col("ingested_at").asc_nulls_first(), F.col("raw_file").asc_nulls_first(), F.col("record_index").asc_nulls_first())
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = fetches.withColumns({"_rank": F.row_number().over(order), "last_fetched_at": F.max("ingested_at").over(whole)})
     beside = lambda df: df.withColumn("_own", compared_values(spec)).withColumn("_won", F.first("_own").over(order))
@@ -115,8 +117,8 @@ def deduplicate(fetches: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep | No
     readings = ranked.where("_rank = 1")
     seen = (ranked if keep else beside(ranked)).where("_rank > 1")
     differ = F.filter(F.zip_with("_own", "_won", lambda a, b: F.when(~a["raw_value"].eqNullSafe(b["raw_value"]), a)), lambda x: x.isNotNull())
-    conflicts = seen.select(*LINEAGE, F.explode(differ).alias("q")).select(*LINEAGE, "q.*", F.lit("conflicting_duplicate").alias("reason"))
-    return conform(readings, FIRST), conform(conflicts, QUARANTINE)
+    conflicts = seen.select(*LINEAGE, F.explode(differ).alias("q")).select(*LINEAGE, "q.*", F.lit("conflicting_duplicate").alias("reason"), F.lit(False).alias("reading_excluded"))
+    return readings.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FIRST], *part), conform(conflicts, QUARANTINE)
 
 
 def freshness(fetches: DataFrame, stale_after_minutes: float = 15) -> DataFrame:

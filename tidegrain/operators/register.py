@@ -43,5 +43,5 @@ def parse_areas(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     rules.append(q(f"{VERSION}.{CHANGED}", changed, F.when(sound & missing(changed), "missing_value").when(sound & instant_of(changed).isNull(), "invalid_value")))
     rules.append(q(f"{DEACTIVATED}.{ENDED}", over, F.when(over.isNotNull() & instant_of(over).isNull(), "invalid_value")))
     areas = b.withColumns(made).where(F.col("register_id").isNotNull())
-    bad = b.select(*LINEAGE, F.explode(F.filter(F.array(*rules), lambda x: x["reason"].isNotNull())).alias("q")).select(*LINEAGE, "q.*")
+    bad = b.select(*LINEAGE, F.explode(F.filter(F.array(*rules), lambda x: x["reason"].isNotNull())).alias("q")).select(*LINEAGE, "q.*", F.lit(False).alias("reading_excluded"))
     return conform(areas, AREA), conform(bad, QUARANTINE)

@@ -1,6 +1,7 @@
 """Report measures over the star schema: measure(facts, by=[...]) for any grouping of a fact joined to its dimensions.
 
-Semi-additive measures take the latest or the time-weighted value per facility first and add over facilities then.
+Semi-additive measures take the latest or the time-weighted value per facility first and add over facilities then. Of readings
+of one time the one fetched last is the latest, then that of the greatest source.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ ATTRIBUTION = "Contains open data under the Norwegian licence for Open Governmen
 
 
 def free_spaces_latest(avail: DataFrame, by: list[str]) -> DataFrame:
-    per = avail.groupBy(*by, "facility_key").agg(F.max_by("available_spaces", "valid_from").alias("v"))
+    per = avail.groupBy(*by, "facility_key").agg(F.max_by("available_spaces", F.struct("valid_from", "last_fetched_at", "source_id")).alias("v"))
     return per.groupBy(*by).agg(F.sum("v").cast("long").alias("free_spaces_latest"))
 
 
@@ -24,7 +25,7 @@ def capacity(dim: DataFrame, by: list[str]) -> DataFrame:
 
 def occupancy_latest(avail: DataFrame, dim: DataFrame, by: list[str]) -> DataFrame:
     """(capacity - free) / capacity over facilities that have both."""
-    per = avail.groupBy(*by, "facility_key").agg(F.max_by("available_spaces", "valid_from").alias("v")).join(dim.select("facility_key", "capacity"), "facility_key")
+    per = avail.groupBy(*by, "facility_key").agg(F.max_by("available_spaces", F.struct("valid_from", "last_fetched_at", "source_id")).alias("v")).join(dim.select("facility_key", "capacity"), "facility_key")
     return per.where("v is not null and capacity is not null").groupBy(*by).agg(F.try_divide(F.sum(F.col("capacity") - F.col("v")), F.sum("capacity")).alias("occupancy_latest"))
 
 

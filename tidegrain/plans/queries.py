@@ -264,7 +264,7 @@ def measure_totals(spark, d):
 
 @query("SELECT user_id, arg_max(value, struct_pack(t := ts, i := event_id)) FILTER (WHERE event_type = 'click' OR event_type IS NOT NULL) AS latest_value, min(ts) AS first_seen, max(ts) AS last_seen, bool_or(ts::DATE = (SELECT max(ts)::DATE FROM events)) AS is_active FROM events GROUP BY 1")
 def entity_attributes(spark, d):
-    e = t(spark, d, "events").select(F.col("user_id").alias("facility"), F.col("ts").alias("ingested_at"), F.date_format("ts", "yyyy-MM-dd").alias("raw_file"), F.col("event_id").alias("record_index"), F.col("value").alias("latitude"), F.col("value").alias("longitude"))
+    e = t(spark, d, "events").select(F.lit("events").alias("source_id"), F.col("user_id").alias("facility"), F.col("ts").alias("ingested_at"), F.date_format("ts", "yyyy-MM-dd").alias("raw_file"), F.col("event_id").alias("record_index"), F.col("value").alias("latitude"), F.col("value").alias("longitude"))
     areas = spark.createDataFrame([], AREA)
     mapping = spark.createDataFrame([], "facility long, register_id long, reserved_spaces int")
     return facility.attributes(e, areas, mapping).select(F.col("facility_name").alias("user_id"), F.col("latitude").alias("latest_value"), "first_seen", "last_seen", "is_active")

@@ -53,7 +53,7 @@ SAVAIL = f"""{SFEED}, swon AS (SELECT * FROM sfeed QUALIFY row_number() OVER (PA
  coalesce(abs(lag(available_spaces) OVER o - lead(available_spaces) OVER o) <= 30 AND abs(available_spaces - lag(available_spaces) OVER o) >= 5 AND abs(available_spaces - lead(available_spaces) OVER o) >= 5, false)
  OR coalesce(lag(status) OVER o = 'open' AND lead(status) OVER o = 'open' AND status = 'numeric', false) AS glitch,
  EXISTS (SELECT 1 FROM speriod p WHERE p.source_id = w.source_id AND p.source_reading_at = w.reading_at) AS is_stale
- FROM swon w JOIN slast USING (source_id, facility, reading_at) WINDOW o AS (PARTITION BY w.source_id, w.facility ORDER BY w.reading_at))"""
+ FROM swon w JOIN slast USING (source_id, facility, reading_at) WINDOW o AS (PARTITION BY w.facility ORDER BY w.reading_at, last_fetched_at, w.source_id))"""
 SHOUR = f"""{SAVAIL}, span AS (SELECT source_id, source_reading_at, min(stale_from) AS s0, max(last_stale) AS s1 FROM speriod GROUP BY ALL),
  sseg AS (SELECT sav.*, s0, s1, CASE WHEN valid_to IS NULL THEN last_fetched_at ELSE least(valid_to, last_fetched_at + INTERVAL 20 MINUTE) END AS upto FROM sav LEFT JOIN span ON span.source_id = sav.source_id AND source_reading_at = valid_from),
  scut AS (SELECT *, unnest(generate_series(date_trunc('hour', valid_from), date_trunc('hour', upto - INTERVAL 1 MICROSECOND), INTERVAL 1 HOUR)) AS hour_start FROM sseg WHERE upto > valid_from),
@@ -202,13 +202,9 @@ def report_free_spaces_line(spark, d):
     return r.select("date", "hour", "facility_name", F.round("free_spaces_avg", 6).alias("free_spaces_avg"))
 
 
-@query(f"WITH {SAVAIL}, l AS (SELECT u, arg_max(coalesce(available_spaces, -1), valid_from) AS v FROM (SELECT u, valid_from, max(available_spaces) AS available_spaces, count(*) AS n FROM sav GROUP BY ALL) WHERE n = 1 GROUP BY u) SELECT CAST(sum(CASE WHEN v >= 0 THEN v END) AS BIGINT) AS free_spaces_latest FROM l")
+@query(f"WITH {SAVAIL}, l AS (SELECT * FROM sav QUALIFY row_number() OVER (PARTITION BY u ORDER BY valid_from DESC, last_fetched_at DESC, source_id DESC) = 1) SELECT CAST(sum(available_spaces) AS BIGINT) AS free_spaces_latest FROM l")
 def report_latest_card(spark, d):
-    """Over the times that one source alone reports, as which of two sources is the latest at one moment isn't defined."""
-    s = star(spark, d)
-    a = s["fact_parking_availability"]
-    once = a.groupBy("facility_key", "valid_from").agg(F.count("*").alias("n")).where("n = 1").drop("n")
-    return Report(s | {"fact_parking_availability": a.join(once, ["facility_key", "valid_from"])}).latest_card()
+    return Report(star(spark, d)).latest_card()
 
 
 @query(f"WITH {SHOUR}, per AS {PER.format(by='isodow(wall) AS weekday_number, dayname(wall) AS weekday, hour(wall) AS hour', only=FRESH)} SELECT CAST(weekday_number AS TINYINT) AS weekday_number, weekday, CAST(hour AS TINYINT) AS hour, round(sum(capacity - v) / sum(capacity), 6) AS occupancy_fresh FROM per WHERE v IS NOT NULL AND capacity IS NOT NULL GROUP BY ALL")
@@ -416,14 +412,15 @@ def facility_capacity(spark, d):
     at = F.when(F.col("p_partkey") % 3 == 0, F.lit("2024-01-01")).otherwise("2024-01-02").cast("timestamp")
     areas = p.select(F.col("p_partkey").alias("register_id"), at.alias("ingested_at"), F.lit(0).alias("record_index"), F.col("p_size").alias("paid_spaces"), F.when(F.col("p_size") % 5 == 0, at).alias("deactivated_at"))
     mapping = s.select(F.col("s_name").alias("facility"), F.col("s_suppkey").alias("register_id"), F.when(F.col("s_suppkey") % 2 == 0, F.lit(10)).alias("reserved_spaces"))
-    fetches = s.select(F.col("s_name").alias("facility"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"), F.lit("2024-01-02").cast("timestamp").alias("ingested_at"), F.lit("f").alias("raw_file"), F.lit(0).alias("record_index"))
+    areas = areas.withColumn("changed_at", F.lit(None).cast("timestamp"))
+    fetches = s.select(F.lit("s").alias("source_id"), F.col("s_name").alias("facility"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"), F.lit("2024-01-02").cast("timestamp").alias("ingested_at"), F.lit("f").alias("raw_file"), F.lit(0).alias("record_index"))
     return facility.attributes(fetches, areas, mapping).select("facility_name", "register_id", "capacity")
 
 
-@query("SELECT CAST(row_number() OVER (ORDER BY c_custkey % 10, c_name) AS INTEGER) AS facility_key, c_name AS facility_name, true AS is_active FROM customer UNION ALL SELECT -1, '(unknown)', true")
+@query("SELECT CAST(row_number() OVER (ORDER BY c_custkey % 10, c_name) AS INTEGER) AS facility_key, c_name AS facility_name, true AS is_active FROM customer UNION ALL SELECT -1, '(unknown)', false")
 def dim_facility_first_run(spark, d):
     from tidegrain.schemas import FACILITY
 
     seen = F.timestamp_seconds(F.lit(1704067200) + F.col("c_custkey") % 10)
-    attrs = t(spark, d, "customer").select(F.col("c_name").alias("facility_name"), seen.alias("first_seen"), seen.alias("last_seen"), F.lit(None).cast("decimal(10,7)").alias("latitude"), F.lit(None).cast("decimal(10,7)").alias("longitude"), F.lit(None).cast("int").alias("capacity"), F.lit(None).cast("long").alias("register_id"), F.lit(True).alias("is_active"))
+    attrs = t(spark, d, "customer").select(F.col("c_name").alias("facility_name"), seen.alias("first_seen"), seen.alias("last_seen"), F.lit(None).cast("decimal(10,7)").alias("latitude"), F.lit(None).cast("decimal(10,7)").alias("longitude"), F.lit(None).cast("int").alias("capacity"), F.lit(None).cast("timestamp").alias("capacity_changed_at"), F.lit(None).cast("long").alias("register_id"), F.lit(True).alias("is_active"))
     return facility.dim_facility(attrs, spark.createDataFrame([], FACILITY)).select("facility_key", "facility_name", "is_active")

@@ -106,25 +106,28 @@ def load_runs(c: Setup, say: Callable[[str], None] = print) -> None:
 
 
 def run_silver(c: Setup, rebuild: bool = False) -> None:
-    """Parses what is new, quarantine before fetches so that a crash between the two repeats and doesn't lose; derives the rest
-    from all fetches. What two results come from is written once. Conflicts and the register's quarantine are written under
+    """Parses what is new: rows that are neither in fetches nor quarantined as no reading at all. The quarantine is written before
+    fetches, so a crash between the two repeats and doesn't lose; a rebuild replaces what the feed has in both. The rest is derived from all fetches. What two results come from is written once. Conflicts and the register's quarantine are written under
     tags of their own, so that replacing them leaves all other rows of the quarantine where they are."""
     st = c.store
     raw = bronze.widen(st.read(c.bronze), c.spec.fields)
     own = F.col("source_id") == c.feed
     if st.exists("silver_parking_fetch") and not rebuild:
-        quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where(own & (F.col("reason") != CONFLICT)).select(ROW)
+        quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where(own & F.col("reading_excluded")).select(ROW)
         raw = bronze.unhandled(raw, st.read("silver_parking_fetch").where(own).select(ROW).union(quarantined), ROW)
     fetched, bad = readings.parse_readings(raw, c.spec, st.staged)
-    st.insert_if_new("silver_quarantine", bad, [*ROW, "field", "reason"])
+    if rebuild:
+        st.replace_tagged("silver_quarantine", f"parsed {c.feed}", bad)
+    else:
+        st.insert_if_new("silver_quarantine", bad, [*ROW, "field", "reason"], f"parsed {c.feed}")
     if rebuild and st.exists("silver_parking_fetch"):
         st.replace_where("silver_parking_fetch", own, fetched)
     else:
         st.append("silver_parking_fetch", fetched)
     st.unstage()
     fetches = st.read("silver_parking_fetch")
-    first, conflicts = readings.deduplicate(fetches, c.spec, st.staged)
-    st.overwrite("silver_parking_reading", first)
+    first, conflicts = readings.deduplicate(readings.by_entity(fetches), c.spec, st.staged)
+    st.overwrite("silver_parking_reading", first.drop("_part"))
     st.replace_tagged("silver_quarantine", CONFLICT, conflicts)
     st.unstage()
     st.overwrite("silver_snapshot_freshness", readings.freshness(fetches, c.stale_after))
@@ -155,18 +158,19 @@ def run_gold(c: Setup) -> None:
     st.overwrite("fact_source_stale_period", facts.stale_fact(periods, c.spec.zone))
 
 
-def run_quality(c: Setup) -> bool:
-    """Stores the results, then says whether a critical check failed."""
-    st = c.store
+def run_quality(c: Setup, shared: bool = True) -> bool:
+    """Stores the results of the feed's own rows, and with ``shared`` those of tables that all feeds share; then says whether a
+    critical check failed."""
+    st, own = c.store, F.col("source_id") == c.feed
     raw = st.read(c.bronze)
     names = [r[0] for r in raw.select(F.explode(F.map_keys("fields")).alias("k")).distinct().collect()]  # field names, not rows
     t = {
-        "bronze": bronze.widen(raw, sorted(names)), "issues": st.read_or_empty(f"{c.bronze}_load_issues", s.LOAD_ISSUE), "fetches": st.read("silver_parking_fetch"),
-        "quarantine": st.read("silver_quarantine"), "snapshots": st.read("silver_snapshot_freshness"), "areas": st.read_or_empty("silver_parking_area", s.AREA), "mapping": c.mapping_frame(),
-        "facilities": st.read("dim_parking_facility"), "availability": st.read("fact_parking_availability"), "hourly": st.read("fact_parking_hourly"),
-        "runs": st.read_or_empty("bronze_collect_runs", s.RUNS), "outages": st.read_or_empty("bronze_source_outages", s.OUTAGE),
+        "bronze": bronze.widen(raw, sorted(names)), "issues": st.read_or_empty(f"{c.bronze}_load_issues", s.LOAD_ISSUE), "fetches": st.read("silver_parking_fetch").where(own),
+        "quarantine": st.read("silver_quarantine").where(own), "snapshots": st.read("silver_snapshot_freshness").where(own), "areas": st.read_or_empty("silver_parking_area", s.AREA), "mapping": c.mapping_frame(),
+        "facilities": st.read("dim_parking_facility"), "availability": st.read("fact_parking_availability").where(own), "hourly": st.read("fact_parking_hourly"),
+        "runs": st.read_or_empty("bronze_collect_runs", s.RUNS), "outages": st.read_or_empty("bronze_source_outages", s.OUTAGE).where(own),
     }
-    st.append("quality_check_results", checks.run_checks(t, c.spec.fields, bronze.META, c.spec.count, c.box))
+    st.append("quality_check_results", checks.run_checks(t, c.spec.fields, bronze.META, c.spec.count, c.box, shared))
     r = st.read("quality_check_results")
     last = r.agg(F.max("checked_at")).first()[0]
     return not r.where((F.col("checked_at") == last) & ~F.col("passed") & (F.col("severity") == checks.CRITICAL)).isEmpty()
@@ -183,7 +187,7 @@ def run(c: Setup | list[Setup], say: Callable[[str], None] = print) -> int:
             say(f"{name} failed: {e}")
             return 1
     try:
-        return 3 if any([run_quality(f) for f in feeds]) else 0
+        return 3 if any([run_quality(f, f is feeds[0]) for f in feeds]) else 0
     except STEP_ERRORS as e:
         say(f"quality failed: {e}")
         return 1

@@ -19,18 +19,18 @@ LINEAGE = "source_id string, raw_file string, record_index int, ingested_at time
 READING = schema(f"{LINEAGE}, facility string, reading_at timestamp, reading_date date, reading_minute_of_day smallint, utc_offset_minutes smallint, dst_resolved boolean, latitude decimal(10,7), longitude decimal(10,7), available_spaces int, status string")
 #: A reading with the last fetch that showed it.
 FIRST = StructType([*READING, T.StructField("last_fetched_at", T.TimestampType())])
-QUARANTINE = schema(f"{LINEAGE}, field string, raw_value string, reason string")
+QUARANTINE = schema(f"{LINEAGE}, field string, raw_value string, reason string, reading_excluded boolean")
 SNAPSHOT = schema("source_id string, raw_file string, ingested_at timestamp, source_reading_at timestamp, age_minutes double, is_stale boolean")
 STALE_PERIOD = schema("source_id string, source_reading_at timestamp, stale_from timestamp, first_stale_fetch_at timestamp, last_stale_fetch_at timestamp, fetch_count int, ongoing boolean")
 AREA = schema(f"{LINEAGE}, register_id bigint, name string, paid_spaces int, free_spaces int, charging_spaces int, disabled_spaces int, changed_at timestamp, deactivated_at timestamp")
 DIM_DATE = schema("date_key int, date date, year smallint, quarter tinyint, month tinyint, month_name string, day tinyint, iso_year smallint, iso_week tinyint, weekday_number tinyint, weekday string, is_weekend boolean, is_public_holiday boolean, holiday_name string")
 DIM_TIME = schema("time_key smallint, minute_of_day smallint, hour tinyint, minute tinyint, quarter_hour string, time_label string, day_part string")
-FACILITY = schema("facility_key int, facility_name string, latitude decimal(10,7), longitude decimal(10,7), capacity int, register_id bigint, first_seen timestamp, last_seen timestamp, is_active boolean")
-AVAILABILITY = schema("facility_key int, source_id string, valid_from timestamp, valid_to timestamp, last_fetched_at timestamp, date_key int, time_key smallint, available_spaces int, occupied_spaces int, status string, duration_minutes double, is_stale boolean, is_source_glitch boolean")
+FACILITY = schema("facility_key int, facility_name string, latitude decimal(10,7), longitude decimal(10,7), capacity int, capacity_changed_at timestamp, register_id bigint, first_seen timestamp, last_seen timestamp, is_active boolean")
+AVAILABILITY = schema("facility_key int, source_id string, valid_from timestamp, valid_to timestamp, first_ingested_at timestamp, last_fetched_at timestamp, date_key int, time_key smallint, available_spaces int, occupied_spaces int, status string, duration_minutes double, is_stale boolean, is_source_glitch boolean")
 HOURLY = schema("facility_key int, hour_start timestamp, date_key int, hour tinyint, avg_spaces double, min_spaces int, max_spaces int, observation_count int, covered_minutes double, counted_minutes double, stale_minutes double")
 PRICE = schema("facility_key int, hour_start timestamp, date_key int, hour tinyint, occupancy double, capacity int, capacity_is_estimated boolean, band string, rush_window string, multiplier double, base_price double, suggested_price double, status string, applied_rule string")
 STALE_FACT = schema("source_id string, source_reading_at timestamp, stale_from timestamp, stale_until timestamp, date_key int, duration_minutes double, fetch_count int, ongoing boolean")
-CHECK = schema("check string, severity string, subject string, passed boolean, detail string, checked_at timestamp")
+CHECK = schema("check string, severity string, subject string, passed boolean, detail string, snapshot string, checked_at timestamp")
 LOAD_ISSUE = schema("source_id string, raw_file string, reason string")
 RUNS = schema("run_id bigint, run_attempt int, started_at timestamp, failed_step string, url string")
 OUTAGE = schema("source_id string, raw_file string, observed_at timestamp, source_url string, run_id string, http_status int")
