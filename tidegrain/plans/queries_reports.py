@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrain.functions.time import local
+from tidegrain import scratch
 from tidegrain.operators import calendar, checks, facility, facts, pricing, readings
-from tidegrain.plans import measures
-from tidegrain.plans.queries import EASTER, FEED, FIRST, SNAP, TEXT, _source_text, dim, feed, ntz, query, snapshots, t, tariff_of_all
+from tidegrain.plans import daily, measures
+from tidegrain.plans.queries import EASTER, FEED, FIRST, SNAP, STALE, TEXT, _source_text, dim, feed, ntz, query, snapshots, t, tariff_of_all
 from tidegrain.plans.reports import Report
+from tidegrain.streaming import islands
 
 # --- facts with stale data
 
@@ -82,6 +84,36 @@ def hourly_with_stale_periods(spark, d):
     return h.select("facility_key", ntz("hour_start").alias("hour_start"), F.round("avg_spaces", 6).alias("avg_spaces"), minutes_to_us("covered_minutes").alias("covered"), minutes_to_us("counted_minutes").alias("counted"), minutes_to_us("stale_minutes").alias("stale"))
 
 
+@query(f"WITH {SHOUR} SELECT u + 1 AS facility_key, hour_start, round(avg_spaces, 6) AS avg_spaces, covered, counted, stale FROM sh")
+def hourly_by_affected_keys(spark, d):
+    """The same hours from facts kept by day: a seventh of the hourly files comes in a second load, and only what it touches is derived anew."""
+    fetches, store = stalled(spark, d), daily.Facts(spark, scratch.new(spark, "days"), facts.Glitch(30, 5))
+    late = F.pmod(F.xxhash64("source_id", "raw_file"), F.lit(7)) == 0
+    for part in (fetches.where(~late), fetches.where(late)):
+        store.update(part, dim(spark, d))
+    h = store.hourly()
+    return h.select("facility_key", ntz("hour_start").alias("hour_start"), F.round("avg_spaces", 6).alias("avg_spaces"), minutes_to_us("covered_minutes").alias("covered"), minutes_to_us("counted_minutes").alias("counted"), minutes_to_us("stale_minutes").alias("stale"))
+
+
+@query(f"WITH {STALE} SELECT * FROM period")
+def stale_periods_stream(spark, d):
+    """Stale periods from a stream of snapshot files in which snapshots come up to eight days late."""
+    files, out, home = (scratch.new(spark, n) for n in ("snapshots", "periods", "checkpoint"))
+    s = readings.freshness(snapshots(spark, d))
+    block = F.floor(F.dayofmonth("ingested_at") / 4) + F.pmod(F.xxhash64("source_id", "raw_file"), F.lit(2))
+    for n in range(1, 10):  # files in the order of their arrival
+        s.where(block == n - 1).coalesce(1).write.parquet(f"{files}/{n:02d}")
+    tick = s.groupBy("source_id").agg((F.max("ingested_at") + F.expr("interval 1000 days")).alias("ingested_at"))
+    for n, days in ((10, 0), (11, 1)):  # the first moves the watermark past all snapshots and itself is passed by the second
+        own = tick.select("source_id", F.lit(None).cast("string").alias("raw_file"), (F.col("ingested_at") - F.expr(f"interval {900 * (1 - days)} days")).alias("ingested_at"), F.lit(None).cast("timestamp").alias("source_reading_at"), F.lit(None).cast("double").alias("age_minutes"), F.lit(None).cast("boolean").alias("is_stale"))
+        own.coalesce(1).write.parquet(f"{files}/{n:02d}")
+    for last in (6, 11):  # the stream stops and goes on from its checkpoint
+        new = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 3).parquet(f"{files}/{{{','.join(f'{n:02d}' for n in range(1, last + 1))}}}")
+        islands.run_available(spark, new, out, home, "9 days")
+    p = islands.read(spark, out)
+    return p.withColumns({c: ntz(c) for c in ("source_reading_at", "stale_from", "first_stale_fetch_at", "last_stale_fetch_at")})
+
+
 @query(
     f"""WITH {SHOUR}, w AS (SELECT *, max(max_spaces) OVER (PARTITION BY u) AS seen FROM sh), j AS (SELECT *, coalesce(CASE WHEN u % 7 <> 0 THEN 100 + u % 50 END, seen) AS capacity FROM w)
  SELECT u + 1 AS facility_key, hour_start, CASE WHEN avg_spaces IS NULL OR capacity IS NULL OR capacity = 0 OR covered < 60000000 THEN 'no_data' WHEN stale > 0.5 * covered THEN 'stale' WHEN u % 11 = 0 THEN 'no_tariff' ELSE 'priced' END AS status FROM j"""
