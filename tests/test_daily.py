@@ -6,6 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from tidegrain import schemas
 from tidegrain.operators import facts, readings
 from tidegrain.plans.daily import Facts
 from tidegrain.schemas import READING
@@ -70,3 +71,27 @@ def test_a_late_reading_writes_its_days_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in store.readings([dt.date(2026, 3, 6)])._jdf.queryExecution().executedPlan().toString()
     same(store, fetched(spark, rows + late), dim)
     assert store.readings().where(F.col("available_spaces") == 77).count() == 1
+
+
+def test_runs_that_keep_facts_by_day_equal_full_runs(spark, tmp_path):
+    from test_run import record, setup, snapshot, put
+    from test_run import T0 as START
+
+    from tidegrain.plans import run
+
+    raw = tmp_path / "raw"
+    a, b = setup(spark, raw, tmp_path / "a"), setup(spark, raw, tmp_path / "b")
+    a.days_root = str(tmp_path / "days")
+    for load in range(2):
+        for i in ((0, 2, 3), (1, 5))[load]:
+            snapshot(raw, i)
+        if load:  # the register's figure comes late: all days of A get another occupancy
+            put(raw, START + dt.timedelta(days=1), [record("A", dt.datetime(2026, 9, 29, 14, 0), "7"), record("B", dt.datetime(2026, 9, 29, 14, 0), "8")])
+            for c in (a, b):
+                c.store.overwrite("silver_parking_area", spark.createDataFrame([("r", "f", 0, START, 1, "A", 400, 0, 0, 0, START, None)], schemas.AREA))
+        for c in (a, b):
+            assert run.run(c, print) == 0
+    for name in ("availability", "hourly"):
+        got, want = run.fact(a, name), b.store.read(f"fact_parking_{name}")
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert {r["occupied_spaces"] is None for r in run.fact(a, "availability").collect()} == {True, False}

@@ -8,7 +8,8 @@ or covers, from the intervals of the day and the last one before it: a facility'
 
 ends, one row for a facility and day with its first and last reading, tells which day is before and after another without a look
 at the readings. Loads may come in any order and repeat: update() of the same rows changes nothing, so a run that died is done again
-with the same rows. Every facility has to be in the dimension. The driver sees the days of a load.
+with the same rows. Every facility has to be in the dimension; one whose key or capacity has changed since the load before is derived
+anew on all of its days. The driver sees the days of a load.
 """
 
 from __future__ import annotations
@@ -38,10 +39,13 @@ class Days:
     def _fs(self):
         return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def has(self, table: str) -> bool:
+        return self._fs().exists(self._path(table))
+
     def read(self, table: str, schema, days: list[dt.date] | None = None) -> DataFrame:
         """The table, or its partitions of some days, which are all that is listed and opened."""
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != "day")
-        if not self._fs().exists(self._path(table)):
+        if not self.has(table):
             return self.spark.createDataFrame([], f"{ddl}, day date")
         df = self.spark.read.schema(f"{ddl}, day date").parquet(f"{self.root}/{table}")
         return df if days is None else df.where(F.col("day").isin(days))
@@ -110,7 +114,8 @@ class Facts:
         self.days.swap("ends", self.ends(days).join(touched, KEY, "left_anti").unionByName(ends), days)
 
         before, after = self._freshness(new)
-        affected, seams = self._affected(touched, before, after)
+        dim = scratch.save(dim.select("facility_name", "facility_key", "capacity"), "dim")
+        affected, seams = self._affected(touched, before, after, self._resized(dim))
         changed = days_of(affected)
         old = self.availability(changed).join(affected, KEY, "left_semi")
         r = self.readings(changed).join(affected, KEY, "left_semi").withColumn("_part", F.col("day"))
@@ -123,7 +128,8 @@ class Facts:
         h = facts.hourly(self._intervals(hours, hdays), after, self.max_gap, self.zone, ("facility",))
         h = with_day(h, "hour_start").join(hours, KEY, "left_semi")
         self.days.swap("hourly", self.hourly(hdays).join(hours, KEY, "left_anti").unionByName(h), hdays)
-        scratch.done(new, touched, own, before, after, affected, avail, hours)
+        dim.write.mode("overwrite").parquet(f"{self.days.root}/dim")  # last, so that a load that died finds the change again
+        scratch.done(new, touched, own, before, after, dim, affected, avail, hours)
         return {"reading": days, "availability": changed, "hourly": hdays}
 
     def _freshness(self, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -134,13 +140,22 @@ class Facts:
         self.days.swap("snapshot", with_day(readings.freshness(files, self.stale_after), "ingested_at"), days)
         return before, scratch.save(readings.stale_periods(self.snapshots().drop("day"), self.stale_after), "periods")
 
-    def _affected(self, touched: DataFrame, before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def _resized(self, dim: DataFrame) -> DataFrame:
+        """The facilities that the dimension now gives another key or capacity."""
+        if not self.days.has("dim"):
+            return dim.limit(0).select(F.col("facility_name").alias("facility"))
+        was = self.spark.read.schema(dim.schema).parquet(f"{self.days.root}/dim").select("facility_name", F.col("facility_key").alias("key"), F.col("capacity").alias("size"))
+        both = dim.join(was, "facility_name").where(~F.col("key").eqNullSafe(F.col("facility_key")) | ~F.col("size").eqNullSafe(F.col("capacity")))
+        return both.select(F.col("facility_name").alias("facility"))
+
+    def _affected(self, touched: DataFrame, before: DataFrame, after: DataFrame, resized: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The facilities and days whose intervals may change; and the seams (_before, _after) of all days of their facilities."""
         span = lambda p: p.select("source_id", "source_reading_at", "stale_from", "last_stale_fetch_at")
         moved = span(before).exceptAll(span(after)).union(span(after).exceptAll(span(before))).select("source_id", F.col("source_reading_at").alias("reading_at")).distinct()
         moved = scratch.save(with_day(moved, "reading_at"), "moved")
         stale = self.readings(days_of(moved)).join(moved, ["source_id", "reading_at", "day"], "left_semi").select(*KEY).distinct()
-        keys = scratch.save(touched.union(stale).distinct(), "keys")
+        sized = self.ends().join(resized, "facility", "left_semi").select(*KEY)
+        keys = scratch.save(touched.union(stale).union(sized).distinct(), "keys")
         over = Window.partitionBy("facility").orderBy("day")
         ends = self.ends().join(keys.select("facility").distinct(), "facility", "left_semi")
         line = ends.select(*KEY, F.lag("_last").over(over).alias("_before"), F.lead("_first").over(over).alias("_after"), F.lag("day").over(over).alias("_back"), F.lead("day").over(over).alias("_on"))

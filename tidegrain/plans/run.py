@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidegrain import schemas as s
 from tidegrain.config import Source
 from tidegrain.operators import calendar, checks, facility, facts, pricing, readings, register
+from tidegrain.plans import daily
 from tidegrain.sources import bronze, collector
 from tidegrain.sources.store import TableStore
 
@@ -42,6 +43,7 @@ class Setup:
     glitch: facts.Glitch | None = facts.Glitch()
     max_gap: float = 20
     box: checks.Box = checks.Box()
+    days_root: str | None = None  # a shared folder for facts kept by day, which a run brings up to date by what its load touches
 
     def mapping_frame(self) -> DataFrame:
         return self.store.spark.createDataFrame(self.mapping, "facility string, register_id long, reserved_spaces int")
@@ -138,6 +140,13 @@ def run_silver(c: Setup, rebuild: bool = False) -> None:
         st.replace_tagged("silver_quarantine", c.register, bad)
 
 
+def fact(c: Setup, name: str) -> DataFrame:
+    """The availability or the hourly fact, from where the run keeps it."""
+    if not c.days_root:
+        return c.store.read(f"fact_parking_{name}")
+    return getattr(daily.Facts(c.store.spark, c.days_root), name)().drop("facility", "day")
+
+
 def run_gold(c: Setup) -> None:
     st, spark = c.store, c.store.spark
     st.overwrite("dim_date", calendar.dim_date(spark))
@@ -147,14 +156,19 @@ def run_gold(c: Setup) -> None:
     st.overwrite("dim_parking_facility", facility.dim_facility(attrs, st.read_or_empty("dim_parking_facility", s.FACILITY), st.staged))
     st.unstage()
     dim, periods = st.read("dim_parking_facility"), st.read("silver_stale_period")
-    st.overwrite("fact_parking_availability", facts.availability(st.read("silver_parking_reading"), fetches, dim, periods, c.glitch))
-    avail = st.read("fact_parking_availability")
+    if c.days_root:
+        own = daily.Facts(spark, c.days_root, c.glitch, c.stale_after, c.max_gap, c.spec.zone)
+        own.update(bronze.unhandled(fetches, own.fetches(), ROW), dim)
+    else:
+        st.overwrite("fact_parking_availability", facts.availability(st.read("silver_parking_reading"), fetches, dim, periods, c.glitch))
+    avail = fact(c, "availability")
     span = st.read("dim_date").agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")).first()
     if not avail.where(~F.col("date_key").between(span["a"], span["b"])).isEmpty():
         raise ValueError("a reading lies outside the calendar")
-    st.overwrite("fact_parking_hourly", facts.hourly(avail, periods, c.max_gap, c.spec.zone))
+    if not c.days_root:
+        st.overwrite("fact_parking_hourly", facts.hourly(avail, periods, c.max_gap, c.spec.zone))
     if c.tariff_list:
-        st.overwrite("fact_suggested_price", pricing.suggested_prices(st.read("fact_parking_hourly"), dim, pricing.tariffs(spark, c.tariff_list), c.rules, c.spec.zone))
+        st.overwrite("fact_suggested_price", pricing.suggested_prices(fact(c, "hourly"), dim, pricing.tariffs(spark, c.tariff_list), c.rules, c.spec.zone))
     st.overwrite("fact_source_stale_period", facts.stale_fact(periods, c.spec.zone))
 
 
@@ -167,7 +181,7 @@ def run_quality(c: Setup, shared: bool = True) -> bool:
     t = {
         "bronze": bronze.widen(raw, sorted(names)), "issues": st.read_or_empty(f"{c.bronze}_load_issues", s.LOAD_ISSUE), "fetches": st.read("silver_parking_fetch").where(own),
         "quarantine": st.read("silver_quarantine").where(own), "snapshots": st.read("silver_snapshot_freshness").where(own), "areas": st.read_or_empty("silver_parking_area", s.AREA), "mapping": c.mapping_frame(),
-        "facilities": st.read("dim_parking_facility"), "availability": st.read("fact_parking_availability").where(own), "hourly": st.read("fact_parking_hourly"),
+        "facilities": st.read("dim_parking_facility"), "availability": fact(c, "availability").where(own), "hourly": fact(c, "hourly"),
         "runs": st.read_or_empty("bronze_collect_runs", s.RUNS), "outages": st.read_or_empty("bronze_source_outages", s.OUTAGE).where(own),
     }
     st.append("quality_check_results", checks.run_checks(t, c.spec.fields, bronze.META, c.spec.count, c.box, shared))
