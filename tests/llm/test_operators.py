@@ -176,6 +176,13 @@ def test_lattice_recall_of_near_copies_of_given_vectors(spark, cosine):
     assert n >= 2 * len(rows) and share >= 0.9
 
 
+@pytest.mark.parametrize("record", ['{"a":' * 100_000, '{"a":' * 5000 + "1" + "}" * 5000, '{"prompt":"\\ud800","response":"x"}', '{"\\udfff":1}', "[", "3", '{"prompt":"a"}'])
+def test_odd_records_give_a_problem_and_no_end(spark, record):
+    rows = [(1, record), (2, '{"prompt":"a","response":"b"}'), (3, None)]
+    got = {r["conv_id"]: r for r in chat.format_json(spark.createDataFrame(rows, "conv_id long, record string")).collect()}
+    assert got[1]["formatted"] is None and got[1]["problem"] and got[3]["problem"] and got[2]["problem"] is None and got[2]["formatted"]
+
+
 # --- op3
 
 

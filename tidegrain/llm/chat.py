@@ -11,8 +11,9 @@ prompt, instruction or question layout is written in one of these (by its id, so
 Defined cases: a null text is an empty text; a null role becomes the role "null"; rows of one conversation are ordered
 by turn (nulls first), ties by role and then text; a conversation without rows doesn't appear; rows with a null
 conv_id form one conversation of null id; repeated rows are turns of their own; a text of any length is one turn; an
-empty list of turns gives an empty text and mask; a record that is null, no JSON object, or of an unknown layout has a null
-text and mask and a problem that names its field paths; an empty table gives an empty result; extra columns are left out.
+empty list of turns gives an empty text and mask; a record that is null, no JSON object, nested too deeply to be read (about a
+thousand levels), with half a surrogate pair in a text or of an unknown layout has a null text and mask and a problem, which for an
+unknown layout names its field paths; an empty table gives an empty result; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -165,8 +166,13 @@ def formatted_record(record: str | None) -> tuple[str | None, list[int] | None,
         if not isinstance(value, dict):
             return None, None, "no record" if record is None else "not an object"
         text, mask = render(canonical(value))
+        text.encode()
+    except UnicodeEncodeError:  # JSON can name half a surrogate pair, which no text holds
+        return None, None, "half a surrogate pair"
+    except RecursionError:
+        return None, None, "nested too deeply"
     except ValueError as e:  # not JSON, or an unknown layout
-        return None, None, str(e)
+        return None, None, str(e).encode("utf-8", "backslashreplace").decode()
     return text, [x for s in mask for x in s], None
 
 
