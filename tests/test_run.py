@@ -178,6 +178,15 @@ def test_collector(tmp_path):
     assert do(200, s=demand) == "stored" and collector.sidecars(home, 1)[0]["next_due"] is None
 
 
+@pytest.mark.parametrize("body", [b"<html>", b'{"error": 1}', b'[{"Sted": "A"}, 3]', b"\xff", b"null"])
+def test_a_payload_that_is_no_list_is_stored_under_a_filter(tmp_path, body):
+    own = source(tmp_path, filter={"field": "Sted", "mapping_field": "facility"})
+    assert collector.Poll(tmp_path / "raw", own, Net({"https://x": (200, body)}), T0, "r", frozenset("A")).run() == "stored"
+    assert collector.sidecars(tmp_path / "raw")[0]["filter"]["applied"] is False
+    assert (tmp_path / "raw/b/2026/09/28/120300.json").read_bytes() == body
+    assert collector.narrowed(b"[{}]", "Sted", {"A"})[1]["missing"] == ["A"] and collector.narrowed(b"[]", "Sted", set())[1]["applied"]
+
+
 def test_catalogue_errors():
     one = {"id": "i", "name": "n", "format": " JSON ", "url": "https://a/x"}
     at = "https://c/api/3/action/package_show"
