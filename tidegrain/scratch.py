@@ -13,8 +13,13 @@ _MADE: dict[str, tuple] = {}
 
 def home(spark: SparkSession) -> str:
     """A folder of this application below spark.checkpoint.dir, or below the session's warehouse, which is shared as well,
-    where no checkpoint folder is named (as in tests). Never a temporary folder of one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    where no checkpoint folder is named (as in tests). Never a temporary folder of one machine: on a cluster a warehouse below
+    file: isn't taken, as it is the driver's own by default."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and base.split(":")[0] == "file":
+            raise ValueError(f"spark.checkpoint.dir isn't set, and the warehouse {base} may be a folder of the driver's machine alone")
     path = f"{base.rstrip('/')}/tidegrain-{spark.sparkContext.applicationId}"
     if path not in _MADE:
         _MADE[path] = spark._jvm, spark._jsc.hadoopConfiguration()
