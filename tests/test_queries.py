@@ -4,7 +4,7 @@ import os
 import duckdb
 import pytest
 
-from tidegrain.plans import queries_reports, queries_tables  # noqa: F401
+from tidegrain.plans import queries_levels, queries_reports, queries_tables  # noqa: F401
 from tidegrain.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"

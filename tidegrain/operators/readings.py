@@ -143,3 +143,14 @@ def stale_periods(snapshots: DataFrame, stale_after_minutes: float = 15) -> Data
         F.bool_or(F.col("ingested_at") == F.col("_last")).alias("ongoing"),
     )
     return conform(per.withColumn("stale_from", F.col("source_reading_at") + minutes(stale_after_minutes)), STALE_PERIOD)
+
+
+def tallies(quarantine: DataFrame, by: list[str]) -> DataFrame:
+    """How much is quarantined: values, rows with a bad value, rows that are no reading at all (excluded), and raw files with either.
+
+    Rows are counted once however many of their values are bad. The distinct counts are one pass: Spark expands each row once for each.
+    """
+    row = F.struct("source_id", "raw_file", "record_index")
+    return quarantine.groupBy(*by).agg(
+        F.count("*").alias("quarantined"), F.count_distinct(row).alias("rows_quarantined"), F.count_distinct(F.when(F.col("reading_excluded"), row)).alias("excluded"), F.count_distinct("source_id", "raw_file").alias("files_quarantined")
+    )

@@ -96,9 +96,10 @@ def raw_files(spark: SparkSession, d: str) -> DataFrame:
 FILES = "o AS (SELECT *, strftime(o_orderdate, '%Y/%m/%d') || '/120000.json' AS raw_file, day(o_orderdate) AS k FROM orders)"
 
 
-@query(f"WITH {FILES} SELECT raw_file, CASE any_value(k) WHEN 1 THEN 'missing_sidecar' WHEN 2 THEN 'unreadable_sidecar' WHEN 5 THEN 'no_records' ELSE 'unreadable_payload' END AS reason FROM o WHERE k <= 6 GROUP BY 1")
+@query(f"""WITH {FILES} SELECT raw_file, CASE any_value(k) WHEN 1 THEN 'missing_sidecar' WHEN 2 THEN 'unreadable_sidecar' WHEN 5 THEN 'no_records' ELSE 'unreadable_payload' END AS reason,
+ CASE any_value(k) WHEN 1 THEN replace(raw_file, '.json', '.meta.json') WHEN 2 THEN 'ingested_at: none' WHEN 5 THEN '0 records' ELSE 'no list of objects' END AS detail FROM o WHERE k <= 6 GROUP BY raw_file""")
 def load_issues(spark, d):
-    return bronze.classify(raw_files(spark, d), "orders").where("reason is not null").select("raw_file", "reason")
+    return bronze.classify(raw_files(spark, d), "orders").where("reason is not null").select("raw_file", "reason", "detail")
 
 
 @query(

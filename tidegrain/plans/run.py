@@ -107,10 +107,11 @@ def load_runs(c: Setup, say: Callable[[str], None] = print) -> None:
     st.overwrite("bronze_collect_runs", s.conform(df.withColumn("started_at", F.try_to_timestamp("started_at")), s.RUNS))
 
 
-def run_silver(c: Setup, rebuild: bool = False) -> None:
+def run_silver(c: Setup, rebuild: bool = False) -> dict[str, int]:
     """Parses what is new: rows that are neither in fetches nor quarantined as no reading at all. The quarantine is written before
     fetches, so a crash between the two repeats and doesn't lose; a rebuild replaces what the feed has in both. The rest is derived from all fetches. What two results come from is written once. Conflicts and the register's quarantine are written under
-    tags of their own, so that replacing them leaves all other rows of the quarantine where they are."""
+    tags of their own, so that replacing them leaves all other rows of the quarantine where they are. Returns how much is new (rows,
+    fetches, quarantined values, rows excluded) and how much there is now (readings, conflicts, stale snapshots and periods)."""
     st = c.store
     raw = bronze.widen(st.read(c.bronze), c.spec.fields)
     own = F.col("source_id") == c.feed
@@ -118,6 +119,9 @@ def run_silver(c: Setup, rebuild: bool = False) -> None:
         quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where(own & F.col("reading_excluded")).select(ROW)
         raw = bronze.unhandled(raw, st.read("silver_parking_fetch").where(own).select(ROW).union(quarantined), ROW)
     fetched, bad = readings.parse_readings(raw, c.spec, st.staged)
+    n = readings.tallies(bad, []).first()
+    counts = {"fetches": fetched.count(), "quarantined": n["quarantined"], "excluded": n["excluded"]}
+    counts = {"new_rows": counts["fetches"] + counts["excluded"]} | counts
     if rebuild:
         st.replace_tagged("silver_quarantine", f"parsed {c.feed}", bad)
     else:
@@ -131,6 +135,7 @@ def run_silver(c: Setup, rebuild: bool = False) -> None:
     first, conflicts = readings.deduplicate(readings.by_entity(fetches), c.spec, st.staged)
     st.overwrite("silver_parking_reading", first.drop("_part"))
     st.replace_tagged("silver_quarantine", CONFLICT, conflicts)
+    counts["conflicts"] = conflicts.count()
     st.unstage()
     st.overwrite("silver_snapshot_freshness", readings.freshness(fetches, c.stale_after))
     st.overwrite("silver_stale_period", readings.stale_periods(st.read("silver_snapshot_freshness"), c.stale_after))
@@ -138,6 +143,9 @@ def run_silver(c: Setup, rebuild: bool = False) -> None:
         areas, bad = register.parse_areas(bronze.widen(st.read(c.bronze_register), REGISTER_FIELDS))
         st.overwrite("silver_parking_area", areas)
         st.replace_tagged("silver_quarantine", c.register, bad)
+    counts["readings"] = st.read("silver_parking_reading").count()
+    counts["stale_snapshots"] = st.read("silver_snapshot_freshness").where("is_stale").count()
+    return counts | {"stale_periods": st.read("silver_stale_period").count()}
 
 
 def fact(c: Setup, name: str) -> DataFrame:
@@ -192,14 +200,16 @@ def run_quality(c: Setup, shared: bool = True) -> bool:
 
 def run(c: Setup | list[Setup], say: Callable[[str], None] = print) -> int:
     """All steps in order, bronze and silver for each feed, the rest once over all of them."""
-    feeds = c if isinstance(c, list) else [c]
+    feeds = [*c] if isinstance(c, list) else [c]
     steps: list[tuple[str, Callable]] = [(f"{name} {f.feed}", lambda step=step, f=f: step(f)) for f in feeds for name, step in (("bronze", run_bronze), ("silver", run_silver))]
     for name, step in [*steps, ("gold", lambda: run_gold(feeds[0]))]:
         try:
-            step()
+            counts = step()
         except STEP_ERRORS as e:
             say(f"{name} failed: {e}")
             return 1
+        if counts:
+            say(f"{name}: " + ", ".join(f"{k} {v}" for k, v in counts.items()))
     try:
         return 3 if any([run_quality(f, f is feeds[0]) for f in feeds]) else 0
     except STEP_ERRORS as e:

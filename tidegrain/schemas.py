@@ -31,7 +31,7 @@ HOURLY = schema("facility_key int, hour_start timestamp, date_key int, hour tiny
 PRICE = schema("facility_key int, hour_start timestamp, date_key int, hour tinyint, occupancy double, capacity int, capacity_is_estimated boolean, band string, rush_window string, multiplier double, base_price double, suggested_price double, status string, applied_rule string")
 STALE_FACT = schema("source_id string, source_reading_at timestamp, stale_from timestamp, stale_until timestamp, date_key int, duration_minutes double, fetch_count int, ongoing boolean")
 CHECK = schema("check string, severity string, subject string, passed boolean, detail string, snapshot string, checked_at timestamp")
-LOAD_ISSUE = schema("source_id string, raw_file string, reason string")
+LOAD_ISSUE = schema("source_id string, raw_file string, reason string, detail string, detected_at timestamp")
 RUNS = schema("run_id bigint, run_attempt int, started_at timestamp, failed_step string, url string")
 OUTAGE = schema("source_id string, raw_file string, observed_at timestamp, source_url string, run_id string, http_status int")
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidegrain.schemas import LOAD_ISSUE, OUTAGE, conform
 from tidegrain.sources.store import TableStore
 
-META = ["source_id", "raw_file", "record_index", "ingested_at", "source_url", "resource_id", "run_id", "content_hash", "polling_mode", "next_due"]
-SIDECAR = ["source_url", "resource_id", "run_id", "content_hash", "polling_mode", "next_due"]
+META = ["source_id", "raw_file", "record_index", "ingested_at", "source_url", "resource_id", "run_id", "content_hash", "values_fingerprint", "polling_mode", "next_due", "loaded_at"]
+SIDECAR = ["source_url", "resource_id", "run_id", "content_hash", "values_fingerprint", "polling_mode", "next_due"]
 
 
 #: Raw files that one step of a load reads and commits.
@@ -54,10 +54,10 @@ def read_files(spark: SparkSession, files: list[str], base: str) -> DataFrame:
 
 
 def classify(files: DataFrame, source: str) -> DataFrame:
-    """raw_file, source_id, ingested_at, the sidecar's fields, records and reason (null: sound) of every raw file.
+    """raw_file, source_id, ingested_at, the sidecar's fields, records, reason (null: sound) and detail of every raw file.
 
     A file lacks its sidecar, or has an unreadable one, or isn't a list of objects, or is an empty list: the first that
-    holds is its reason.
+    holds is its reason. The detail says which sidecar is missing, what its time is, or how many records are no objects.
     """
     side = F.col("path").endswith(".meta.json")
     raw = files.where(~side).select(F.col("path").alias("raw_file"), "value", F.regexp_replace("path", r"\.json$", "").alias("_stem"))
@@ -66,13 +66,21 @@ def classify(files: DataFrame, source: str) -> DataFrame:
     of = lambda n: F.get_json_object("_meta", f"$.{n}")
     at = F.try_to_timestamp(of("ingested_at"))
     reason = F.when(F.col("_meta").isNull(), "missing_sidecar").when(at.isNull(), "unreadable_sidecar").when(F.col("records").isNull() | F.exists("records", lambda x: x.isNull()), "unreadable_payload").when(F.size("records") == 0, "no_records")
-    return j.select("raw_file", F.lit(source).alias("source_id"), at.alias("ingested_at"), *[of(n).alias(n) for n in SIDECAR], "records", reason.alias("reason"))
+    odd = F.concat(F.size(F.filter("records", lambda x: x.isNull())), F.lit(" of "), F.size("records"), F.lit(" records are no objects"))
+    j = j.select("*", F.lit(source).alias("source_id"), at.alias("ingested_at"), *[of(n).alias(n) for n in SIDECAR], reason.alias("reason"))
+    detail = (
+        F.when(F.col("reason") == "missing_sidecar", F.concat("_stem", F.lit(".meta.json")))
+        .when(F.col("reason") == "unreadable_sidecar", F.concat(F.lit("ingested_at: "), F.coalesce(of("ingested_at"), F.lit("none"))))
+        .when(F.col("reason") == "unreadable_payload", F.coalesce(odd, F.lit("no list of objects")))
+        .when(F.col("reason") == "no_records", "0 records")
+    )
+    return j.select("raw_file", "source_id", "ingested_at", *SIDECAR, "records", "reason", detail.alias("detail"))
 
 
 def rows(sound: DataFrame) -> DataFrame:
     """A row per record: the lineage columns and fields, a map of every source field as text."""
     due = F.try_to_timestamp("next_due").alias("next_due")
-    return sound.select("source_id", "raw_file", "ingested_at", *SIDECAR[:-1], due, F.posexplode("records").alias("record_index", "fields"))
+    return sound.select("source_id", "raw_file", "ingested_at", *SIDECAR[:-1], due, F.current_timestamp().alias("loaded_at"), F.posexplode("records").alias("record_index", "fields"))
 
 
 def widen(bronze: DataFrame, fields: list[str]) -> DataFrame:
@@ -86,7 +94,7 @@ def store_files(store: TableStore, files: DataFrame, source: str, table: str) ->
     """Appends the rows and then the issues of raw files; each file is parsed once."""
     parsed = store.staged(classify(files, source))
     n = store.append_counted(table, rows(parsed.where("reason is null")))
-    m = store.append_counted(f"{table}_load_issues", conform(parsed.where("reason is not null"), LOAD_ISSUE))
+    m = store.append_counted(f"{table}_load_issues", conform(parsed.where("reason is not null").withColumn("detected_at", F.current_timestamp()), LOAD_ISSUE))
     store.unstage()
     return n, m
 
