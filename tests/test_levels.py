@@ -75,3 +75,16 @@ def test_a_page_reads_the_dates_of_its_slicer_and_a_rerun_writes_one(spark, tmp_
     page.collect()
     plan = page._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression" in plan and "PartitionFilters" in plan
+
+
+def test_bucketed_fetches_are_not_dealt_again(spark):
+    import re
+
+    df = queries_levels.hourly_from_buckets(spark, SF)
+    rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.find("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    keys = set(re.findall(r"hashpartitioning\(([^()]*), \d+\)", re.sub(r"#\d+L?", "", plan)))
+    assert not {k for k in keys if "reading_at" in k and "facility" in k}, keys
+    assert keys <= {"facility", "facility, _part", "facility_key, hour_start", "source_id, source_reading_at", "user_id"}, keys
+    assert re.search(r"Bucketed: true|SelectedBucketsCount", plan) and len(rows) > 0

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidegrain import scratch
 from tidegrain.functions import sql
 from tidegrain.functions.time import local
-from tidegrain.operators import readings
+from tidegrain.operators import facts, readings
 from tidegrain.plans import totals
 from tidegrain.plans.dated import Dated
 from tidegrain.plans.queries import EASTER, TEXT, _source_text, dim, ntz, query, t
-from tidegrain.plans.queries_reports import SAVAIL, SHOUR, minutes_to_us, star
+from tidegrain.plans.queries_reports import SAVAIL, SHOUR, minutes_to_us, stalled, star
 from tidegrain.plans.reports import Report
+from tidegrain.sources import buckets
 
 CAPACITY = "CASE WHEN u % 7 <> 0 THEN 100 + u % 50 END AS capacity"
 
@@ -110,3 +113,13 @@ def intervals_in_sql(spark, d):
         SELECT user_id, CAST(hour_start AS TIMESTAMP_NTZ) AS hour_start, SUM(micros_within_hour(a, upto, hour_start)) AS covered_us FROM c GROUP BY user_id, hour_start""",
         events=t(spark, d, "events"),
     )
+
+
+@query(f"WITH {SHOUR} SELECT u + 1 AS facility_key, hour_start, round(avg_spaces, 6) AS avg_spaces, covered, counted, stale FROM sh")
+def hourly_from_buckets(spark, d):
+    """The hours of the feed from fetches that are bucketed by facility and month."""
+    fetches = buckets.write(stalled(spark, d), f"fetch_{uuid.uuid4().hex}", scratch.new(spark, "buckets"))
+    first, _ = readings.deduplicate(fetches)
+    periods = scratch.save(readings.stale_periods(readings.freshness(fetches)), "periods")
+    h = facts.hourly(facts.availability(first, fetches, dim(spark, d), periods, facts.Glitch(30, 5)), periods, 20)
+    return h.select("facility_key", ntz("hour_start").alias("hour_start"), F.round("avg_spaces", 6).alias("avg_spaces"), minutes_to_us("covered_minutes").alias("covered"), minutes_to_us("counted_minutes").alias("counted"), minutes_to_us("stale_minutes").alias("stale"))
