@@ -279,6 +279,32 @@ def test_html_threshold_decides_on_blocks_beside():
     assert inside.count("plenty") == 20 and "ok" not in inside.split()
 
 
+def test_html_density_drops_furniture_that_no_tag_tells():
+    """Menus, adverts and footers of given pages rewritten as plain blocks; the article's text is the one of its element."""
+    import itertools
+    import re
+
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"]).slice(0, 300).to_pylist()]
+    whole = [html.text_of(html.parse(re.search(r"<article.*?>(.*)</article>", page, re.S)[1])) for page in pages]
+    swaps = {"menu": (r"<(/?)nav[^>]*>", r"<\1div>"), "footer": (r"<(/?)footer[^>]*>", r"<\1div>"), "advert": (r'<div class="ad">', "<div>")}
+    for n, article in itertools.product((1, 2, 3), (True, False)):
+        for names in itertools.combinations(swaps, n):
+            right = 0
+            for page, text in zip(pages, whole, strict=True):
+                for name in names:
+                    page = re.sub(*swaps[name], page)
+                right += html.main_text(page if article else re.sub(r"<(/?)article[^>]*>", r"<\1div>", page)) == text
+            assert right >= 0.95 * len(pages), (names, article, right)
+
+
+def test_html_header_of_an_article_keeps_its_title():
+    story = "".join(f"<p>s{i} " + "and more of the text, " * 9 + f"end{i}.</p>" for i in range(6))
+    whole = html.main_text(f"<body><article><h1>Head</h1>{story}</article></body>")
+    for tag in ("article", "main"):
+        page = f"<body><header><h1>Site</h1></header><{tag}><header class=header><div><h1>Head</h1></div><p>By someone</p><nav><h2>Menu</h2></nav></header>{story}</{tag}></body>"
+        assert html.main_text(page) == whole, tag
+
+
 def test_html_odd_markup_takes_linear_time():
     import time
 

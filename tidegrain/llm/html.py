@@ -3,12 +3,16 @@
 Every DOM node, runs of text included, gets a density: its characters per tag, scaled down by its share of link
 characters (all tags beneath a node count, link tags count as link characters' carriers). A node's density sum is the sum
 of its children's densities; on every page the container (no paragraph, heading, list or inline element) of the largest
-sum is the article, and an article or main tag only breaks ties. The smallest density among the nodes above it, up to
-body, is the threshold: blocks beside the path that reach it belong to the text, and those that don't are left out, but
-for headings among them and, where the path goes through an <article>, sibling articles that aren't mostly links.
+sum is the article, and an article or main tag only breaks ties; where all that it holds is one container with at least half
+of its sum beside blocks without tags and lists of links, that container is. The smallest density among the nodes above it, up to
+body, is the threshold: blocks beside the path that reach it, and whose own density sum is that of a usual block of the
+article at least (half the article's whole sum for a block without a tag in it, as a short text is dense by having no tags),
+belong to the text. Those that don't are left out, but for headings among them and, where the path goes through an
+<article>, sibling articles that aren't mostly links.
 Elements that cannot be article text (scripts, styles, forms, navigation, headers, footers, asides) are taken out before
 any density is taken, as are blocks with a whole token of class, id or role that names a menu, notice, advert, sidebar or
-comments, and hidden ones, unless such a block holds an article or main tag or most of the body's text.
+comments, and hidden ones, unless such a block holds an article or main tag or most of the body's text. Of a header within
+an article or main tag its headings stay, as they are the article's own; the rest of it goes.
 
 Pages are read in one pass whose steps don't go back, so time grows with the length of any markup, however odd: a quote
 counts only after =, as in browsers; one that never closes ends that rule for the rest of the page.
@@ -52,6 +56,10 @@ INNER = HEADING | frozenset("p blockquote pre li ul ol td tr tbody table br".spl
 FORMATTING = frozenset("a b i em strong u s span small big font code tt sub sup mark q cite abbr".split())
 
 
+#: Equal sums count as equal, whatever the order of additions.
+NEARLY = 1 + 1e-9
+
+
 class Node:
     __slots__ = ("chars", "dens", "kids", "links", "ltags", "marked", "parent", "tag", "tags", "total")
 
@@ -190,14 +198,38 @@ def length(text: str) -> int:
     return len("".join(text.split()))
 
 
+def titles(header: Node) -> list[Node]:
+    """The headings of a header, without those of menus and the like in it."""
+    out, todo = [], [header]
+    while todo:
+        x = todo.pop()
+        if x.tag in HEADING:
+            out.append(x)
+        else:
+            todo += [k for k in reversed(x.kids) if isinstance(k, Node) and k.tag not in DROP and not k.marked]
+    return out
+
+
 def prune(root: Node) -> None:
-    """Takes out elements of DROP, and what is marked, but for elements that hold an article or main tag or most of the
-    body's text.
+    """Takes out elements of DROP, and what is marked, but for headings of an article's header and for elements that hold an
+    article or main tag or most of the body's text.
 
     Most of the text doesn't count for a single block, such as an advert, beside an article tag that has text (a short one).
     """
+    inside = set()  # an article or main tag, or beneath one
     for x in order(root):
-        x.kids = [k for k in x.kids if isinstance(k, str) or k.tag not in DROP]
+        if x.tag in ("article", "main") or x.parent in inside:
+            inside.add(x)
+        own = x in inside
+        kids = []
+        for k in x.kids:
+            if isinstance(k, str) or k.tag not in DROP:
+                kids.append(k)
+            elif own and k.tag == "header":
+                for h in titles(k):
+                    h.parent = x
+                    kids.append(h)
+        x.kids = kids
     nodes = order(root)
     if not any(x.marked for x in nodes):
         return
@@ -267,16 +299,19 @@ def main_nodes(root: Node) -> list[Node | str]:
     nodes = weigh(root)
     body = next((x for x in nodes if x.tag == "body"), root)
     best = max((x for x in order(body) if x is body or container(x)), key=lambda x: (x.total, x.tag in ("article", "main")))
+    best = narrowed(best)
     threshold, x = math.inf, best
     while x is not body:
         x = x.parent
         threshold = min(threshold, x.dens)
     # A story may be dealt over several blocks: beside the winner, and beside each node that holds it.
+    share = body.links / max(body.chars, 1)
+    usual, half = usual_block(best, share), best.total / 2 if best.tags else 0.0
     parts = [best]
     while best is not body:
         beside = best.parent.kids
         at = beside.index(best)
-        keep = [i == at or belongs(k, best, threshold, body) for i, k in enumerate(beside)]
+        keep = [i == at or belongs(k, best, threshold, usual, half, share) for i, k in enumerate(beside)]
         last = max(i for i, yes in enumerate(keep) if yes)
         keep = [yes or i < last and isinstance(k, Node) and k.tag in HEADING for i, (k, yes) in enumerate(zip(beside, keep, strict=True))]
         parts = [k for k, yes in zip(beside[:at], keep, strict=False) if yes] + parts + [k for k, yes in zip(beside[at + 1 :], keep[at + 1 :], strict=True) if yes]
@@ -284,11 +319,36 @@ def main_nodes(root: Node) -> list[Node | str]:
     return parts
 
 
-def belongs(x: Node | str, best: Node, threshold: float, body: Node) -> bool:
-    """A block or run of text beside the text that is as dense, or an article beside an article that isn't mostly links."""
+def narrowed(best: Node) -> Node:
+    """The container within the winner that has half of its sum at least, where what is beside it has no tags or is mostly links."""
+    while True:
+        kids = [k for k in best.kids if (length(k) if isinstance(k, str) else k.chars)]
+        if not all(isinstance(k, Node) and container(k) for k in kids):
+            return best
+        built = [k for k in kids if k.tags and 2 * k.links <= k.chars]
+        if len(built) != 1 or 2 * built[0].total < best.total:
+            return best
+        best = built[0]
+
+
+def usual_block(best: Node, share: float) -> float:
+    """The mean density of the children of a node that have text, headings left out."""
+    dens = [density(length(k), 0, 0, 0, share) if isinstance(k, str) else k.dens for k in best.kids if isinstance(k, str) or k.tag not in HEADING]
+    dens = [d for d in dens if d > 0]
+    return sum(dens) / len(dens) if dens else 0.0
+
+
+def belongs(x: Node | str, best: Node, threshold: float, usual: float, half: float, share: float) -> bool:
+    """A block or run of text beside the text that is as dense and whose density sum is a usual block's at least (without
+    tags: half the article's), or an article beside an article that isn't mostly links.
+    """
     if isinstance(x, str):
-        return (c := length(x)) > 0 and density(c, 0, 0, 0, body.links / max(body.chars, 1)) >= threshold
-    return x.chars > 0 and (x.dens >= threshold or x.tag == best.tag == "article" and 2 * x.links <= x.chars)
+        return (c := length(x)) > 0 and (d := density(c, 0, 0, 0, share)) >= threshold and d * NEARLY >= max(usual, half)
+    if x.chars and x.tag == best.tag == "article" and 2 * x.links <= x.chars:
+        return True
+    if not x.chars or x.dens < threshold:
+        return False
+    return not container(x) or x.total * NEARLY >= (usual if x.tags else max(usual, half))
 
 
 def text_of(node: Node | str) -> str:
