@@ -484,13 +484,18 @@ def test_token_ids_of_odd_texts():
         assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
-def test_coder_beats_order_0():
+def test_files_are_smaller_than_order_0():
+    """Eight files, heads and all, against the entropy of the ids of all of them, for which no table is counted."""
     enc = tokenfile.Encoder(tokenizer(WORD_BPE))
-    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()]
-    ids = np.frombuffer(b"".join(enc.encode_all(texts)), "<u4")
-    p = np.bincount(ids)
-    p = p[p > 0] / len(ids)
-    assert 8 * len(tokenfile.pack([1], [len(ids)], ids)) / len(ids) < -(p * np.log2(p)).sum()
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").sort_by("doc_id").column("text").to_pylist()]
+    own = [np.frombuffer(x, "<u4") for x in enc.encode_all(texts)]
+    p = np.bincount(np.concatenate(own))
+    p = p[p > 0] / p.sum()
+    size = 0
+    for i in range(8):
+        part = own[i * len(own) // 8 : (i + 1) * len(own) // 8]
+        size += len(tokenfile.pack(list(range(len(part))), [len(x) for x in part], np.concatenate(part)))
+    assert 8 * size / sum(map(len, own)) < -(p * np.log2(p)).sum()
 
 
 def test_blocks_and_damage():
@@ -509,6 +514,13 @@ def test_blocks_and_damage():
         tokenfile.unpack(data[:-40] + bytes(40))
     with pytest.raises(ValueError, match="head"):
         tokenfile.unpack(data[:40] + bytes([data[40] ^ 1]) + data[41:])
+    many = g.integers(0, 300, (tokenfile.TWICE + 1) * tokenfile.BLOCK).astype("<u4")
+    data = tokenfile.pack([-(2**63), 2**63 - 1, None], [5, len(many) - 5, 0], many)
+    for at in (0, 7, 15, 60, len(data) - 60, len(data) - 10, len(data) - 1):  # one of the two heads
+        docs, lengths, back = tokenfile.unpack(data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :])
+        assert docs == [-(2**63), 2**63 - 1, None] and lengths == [5, len(many) - 5, 0] and (back == many).all(), at
+    with pytest.raises(ValueError, match="head"):
+        tokenfile.unpack(data[:60] + bytes([data[60] ^ 1]) + data[61:-60] + bytes([data[-60] ^ 1]) + data[-59:])
 
 
 # --- op8

@@ -8,9 +8,11 @@ head says and has a checksum, so a damaged or lost block costs no other. All blo
 one numpy lane each. Whatever the coder's range depends on is an integer, so that writing and reading agree on any machine.
 
 File format: a folder of Parquet files whose rows (part, seq, n_ids, payload) hold one buffer of whole documents each;
-payload: magic, counts, document ids and lengths, the distinct ids with their shares of order 0 and the ids that most often
-follow them, block lengths and checksums, then the blocks' bytes. Rows are in document order by (part, seq). A damaged
-block or head raises ValueError on reading.
+payload: magic, then a head with counts, document ids and lengths, the distinct ids with their numbers in the buffer (their
+shares of order 0 follow from these) and, for those seen OFTEN times, the ids that most often follow them, block lengths and
+checksums, then the blocks' bytes. A buffer of more than TWICE blocks has its head once more at its end, so that a damaged
+head costs no block. Rows are in document order by (part, seq). A damaged block, or a head with no sound copy, raises
+ValueError on reading.
 
 Defined cases: a null text has no ids of its own, only the end id; documents are in order of doc_id, nulls last, ties
 by a hash of the text; equal rows are documents of their own; a document longer than a buffer is a buffer of its own;
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 
 from tidegrain.llm.common import HELD, LOWER, parts, save, tidied
 
-BLOCK, BUFFER, MAGIC = 4096, 4096 * 2048, b"TGTF2\0"
+BLOCK, BUFFER, MAGIC = 4096, 4096 * 2048, b"TGTF3\0"
+OFTEN, TWICE = 16, 64
 SLOTS_BITS = 11  # of each long order's table
 SURE = 3  # the highest confidence of an entry
 U32, U64, I64 = np.uint32, np.uint64, np.int64
@@ -40,14 +43,17 @@ SPECIAL = b"<|"  # how the vocabulary's special tokens begin
 
 
 class Start:
-    """What every block starts from: the distinct ids in order, their shares of order 0, and what most often follows each.
+    """What every block starts from: the distinct ids in order, how often each occurs, and what most often follows it.
 
-    Ids are coded by their places among the distinct ones. Shares sum to 2^bits, each at least one.
+    Ids are coded by their places among the distinct ones. Shares of order 0 sum to 2^bits, each at least one.
     """
 
-    def __init__(self, ids: np.ndarray, share: np.ndarray, follow: np.ndarray):
-        self.ids, self.share, self.follow = ids, share, follow
+    def __init__(self, ids: np.ndarray, times: np.ndarray, follow: np.ndarray):
+        self.ids, self.times, self.follow = ids, times, follow
         self.bits = 16 if len(ids) <= 1 << 13 else 20
+        k, total = len(ids), 1 << self.bits
+        share = 1 + times.astype(I64) * (total - k) // int(times.sum())
+        share[np.argmax(share)] += total - share.sum()
         cum = np.concatenate([[0], np.cumsum(share, dtype=np.int64)])
         self.cum, self.size = cum[:-1].astype(U64), share.astype(U64)
         self.place = np.repeat(np.arange(len(ids), dtype=U32), share)  # of each point of the order-0 range
@@ -65,11 +71,9 @@ class Start:
             at = place[ids]
         else:
             distinct, at, n = np.unique(ids, return_inverse=True, return_counts=True)
-        k, total = len(distinct), 1 << (16 if len(distinct) <= 1 << 13 else 20)
+        k = len(distinct)
         if 2 * k > 1 << 20:
             raise ValueError(f"{k} distinct ids in a buffer: the file format is for vocabularies of up to 2^19")
-        share = 1 + (n * (total - k) // n.sum())
-        share[np.argmax(share)] += total - share.sum()
         # the two ids that follow each id most often
         kind = U32 if k * k < 1 << 32 else U64
         pairs = np.sort(at[:-1].astype(kind) * kind(k) + at[1:])
@@ -82,7 +86,41 @@ class Start:
         follow = np.zeros((k, 2), U32)
         follow[own[head]] = then[head, None]
         follow[own[next_], 1] = then[next_]
-        return Start(distinct.astype(U32), share.astype(U32), follow), at.astype(U32)
+        follow[~Start.told(n)] = 0
+        return Start(distinct.astype(U32), n.astype(U64), follow), at.astype(U32)
+
+    @staticmethod
+    def told(times: np.ndarray) -> np.ndarray:
+        """The places whose followers the head holds."""
+        return (times >= OFTEN) & (np.arange(len(times)) < 1 << SLOTS_BITS)
+
+    def arrays(self) -> list[bytes]:
+        """Ids by their distances, numbers, and followers by their ranks among the ids by number."""
+        rank = np.empty(len(self.ids), U32)
+        rank[self.ranked()] = np.arange(len(self.ids), dtype=U32)
+        return [packed(np.diff(self.ids, prepend=U32(0)), "<u4"), packed(self.times, "<u8"), packed(rank[self.follow[Start.told(self.times)]].ravel(), "<u4")]
+
+    def ranked(self) -> np.ndarray:
+        return np.argsort(-self.times.astype(I64), kind="stable")
+
+    @staticmethod
+    def of_arrays(data: list[bytes]) -> Start:
+        ids, times = np.cumsum(unpacked(data[0], "<u4"), dtype=U32), unpacked(data[1], "<u8")
+        s = Start(ids, times, np.zeros((len(ids), 2), U32))
+        s.follow[Start.told(times)] = s.ranked()[unpacked(data[2], "<u4").reshape(-1, 2)]
+        return s
+
+
+def packed(x: np.ndarray, kind: str) -> bytes:
+    """An array's bytes compressed: the lowest byte of all numbers, then the next of all."""
+    kind = np.dtype(kind)
+    return zlib.compress(np.ascontiguousarray(x.astype(kind)).view("u1").reshape(len(x), kind.itemsize).T.tobytes(), 9)
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    kind = np.dtype(kind)
+    flat = np.frombuffer(zlib.decompress(data), "u1")
+    return np.ascontiguousarray(flat.reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
 class Model:
@@ -260,34 +298,41 @@ def pack(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
     blocks = encode_blocks(at, start)
     sums = [zlib.crc32(ids[i : i + BLOCK].astype("<u4").tobytes()) for i in range(0, len(ids), BLOCK)]
     known = np.array([d is not None for d in doc_ids], "u1")
-    model = zlib.compress(b"".join(x.astype("<u4").tobytes() for x in (start.ids, start.share, start.follow)) if start else b"")
-    head = struct.pack("<QIIII", len(ids), len(doc_ids), len(blocks), len(start.ids) if start else 0, len(model))
-    head = b"".join([head, known.tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array(lengths, "<u8").tobytes(), np.array([len(b) for b in blocks], "<u4").tobytes(), np.array(sums, "<u4").tobytes(), model])
-    return b"".join([MAGIC, struct.pack("<QI", len(head), zlib.crc32(head)), head, *blocks])
+    arrays = [packed(known, "u1"), packed(np.diff(np.array([d or 0 for d in doc_ids], "<i8"), prepend=np.int64(0)), "<i8"), packed(np.array(lengths, "<u8"), "<u8"), packed(np.array([len(b) for b in blocks], "<u4"), "<u4"), np.array(sums, "<u4").tobytes()]
+    arrays += start.arrays() if start else [b""] * 3
+    head = b"".join([struct.pack("<QII8I", len(ids), len(doc_ids), len(blocks), *map(len, arrays)), *arrays])
+    check = struct.pack("<QI", len(head), zlib.crc32(head))
+    return b"".join([MAGIC, check, head, *blocks, *([head, check, MAGIC] if len(blocks) > TWICE else [])])
+
+
+def head_of(data: bytes) -> tuple[bytes, int | None, int | None]:
+    """The head, and where the blocks begin or, where the copy at the end was taken, where they end."""
+    size = len(MAGIC) + 12
+    places = [(data[: len(MAGIC)], data[len(MAGIC) : size], True), (data[-len(MAGIC) :], data[-size : -len(MAGIC)], False)]
+    if all(m != MAGIC for m, _, _ in places):
+        raise ValueError("not a token file")
+    for magic, check, first in places:
+        if magic != MAGIC or len(check) != 12:
+            continue
+        room, crc = struct.unpack("<QI", check)
+        at = size if first else len(data) - size - room
+        if at >= 0 and zlib.crc32(head := data[at : at + room]) == crc and len(head) == room:
+            return head, at + room if first else None, None if first else at
+    raise ValueError("the head is damaged")
 
 
 def unpack(data: bytes) -> tuple[list, list[int], np.ndarray]:
-    if data[: len(MAGIC)] != MAGIC:
-        raise ValueError("not a token file")
-    room, check = struct.unpack_from("<QI", data, len(MAGIC))
-    at = len(MAGIC) + 12
-    if zlib.crc32(data[at : at + room]) != check:
-        raise ValueError("the head is damaged")
-    n, docs, count, k, model_size = struct.unpack_from("<QIIII", data, at)
-    at += 24
-
-    def take(kind: str, many: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(data, kind, many, at)
-        at += out.nbytes
-        return out
-
-    known, ids, lengths, sizes, sums = take("u1", docs), take("<i8", docs), take("<u8", docs), take("<u4", count), take("<u4", count)
-    flat = np.frombuffer(zlib.decompress(data[at : at + model_size]), "<u4")
-    start = Start(flat[:k], flat[k : 2 * k], flat[2 * k :].reshape(k, 2)) if k else None
-    ends = at + model_size + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    head, begin, end = head_of(data)
+    n, _, count, *rooms = struct.unpack_from("<QII8I", head)
+    cuts = struct.calcsize("<QII8I") + np.concatenate([[0], np.cumsum(rooms, dtype=np.int64)])
+    arrays = [head[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    known, ids, lengths, sizes = (unpacked(x, kind) for x, kind in zip(arrays, ("u1", "<i8", "<u8", "<u4"), strict=False))
+    ids, sums = np.cumsum(ids), np.frombuffer(arrays[4], "<u4")
+    start = Start.of_arrays(arrays[5:]) if n else None
+    begin = end - int(sizes.sum(dtype=np.int64)) if begin is None else begin
+    ends = begin + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     out = decode_blocks([data[ends[i] : ends[i + 1]] for i in range(count)], n, start)
-    out = start.ids[out] if k else out
+    out = start.ids[out] if n else out
     for i in range(count):
         if zlib.crc32(out[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) != sums[i]:
             raise ValueError(f"block {i} is damaged")
