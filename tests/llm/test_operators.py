@@ -113,6 +113,22 @@ def test_ann_mixed_lengths_beside_zero_vectors(spark):
     assert got == {i: {j for j in (range(5) if i < 5 else range(5, 9)) if j != i} for i in range(9)}
 
 
+def test_ann_of_very_large_and_very_small_components(spark):
+    rows = [(0, [3.0, 4.0]), (1, [3e200, 4e200]), (2, [4e-200, 3e-200]), (3, [1e308, -1e308]), (4, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in ann.nearest(df, df, 4).collect()}
+    exact = {(0, 1): 1.0, (0, 2): 0.96, (0, 3): -0.1 * 2**0.5, (0, 4): 0.6, (2, 4): 0.8, (3, 4): 0.5**0.5}
+    assert len(got) == 20 and all(abs(got[a, b] - s) < 1e-12 and abs(got[b, a] - s) < 1e-12 for (a, b), s in exact.items())
+
+
+def test_lattice_cell_of_most_vectors_is_dealt_before_it_is_cut(spark):
+    g = np.random.default_rng(5)
+    x = g.standard_normal(16) + 0.01 * g.standard_normal((600, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "rep long, embedding array<double>")
+    got = lattice.close_pairs(df, 0.9, lattice.TABLES, lattice.CELLS, lattice.WIDTH, 64).collect()
+    assert {(r["a"], r["b"]) for r in got} == {(i, j) for j in range(600) for i in range(j)} and len(got) == 600 * 599 // 2
+
+
 def test_lattice_links_equal_brute_force(spark):
     df, x, n = vectors(spark)
     got = lattice.near_duplicates(df, 0.9, block=16).collect()

@@ -57,6 +57,15 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def fitted(x: np.ndarray) -> np.ndarray:
+    """Vectors whose squares would leave the range of doubles, times a power of two, which changes no digit of a cosine."""
+    top = np.abs(x).max(1)
+    odd = (top > 1e120) | (top < 1e-120)
+    if not odd.any():
+        return x
+    return np.ldexp(x, np.where(odd, -np.frexp(top)[1], 0)[:, None])
+
+
 def quantise(u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """int8 vectors, their scales, and the length of what quantisation loses."""
     scale = np.abs(u).max(1) / 127
@@ -196,6 +205,7 @@ def cosines(pairs: DataFrame) -> DataFrame:
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
                 x, y = (b.column(i).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, d) for i in (2, 3))
+                x, y = fitted(x), fitted(y)
                 out[at] = np.einsum("ij,ij->i", x, y) / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out)], names=[*names, "score"])
 

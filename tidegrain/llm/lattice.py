@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidegrain.llm.ann import cosines, matrix, quantise, unit
 from tidegrain.llm.common import components, mix, save
 
-TABLES, CELLS, WIDTH, BLOCK, SEED = 8, 4, 1.2, 512, 20240501
+TABLES, CELLS, WIDTH, BLOCK, SPREAD, SEED = 8, 4, 1.2, 512, 256, 20240501
 
 
 def flipped(y: np.ndarray) -> np.ndarray:
@@ -100,8 +100,11 @@ def cells_of(vectors: DataFrame, tables: int, cells: int, width: float) -> DataF
 
 def near_pairs(rows: DataFrame, least: float, block: int) -> DataFrame:
     """Rows (a, b, sure), a < b, of ids that share a key and may have a cosine of at least ``least``; sure: they have."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    cut = rows.join(sizes, "key").withColumn("nb", F.ceil(F.col("n") / block)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")))
+    # a cell's rows are told its size in SPREAD places, so that a large one is cut before any task holds it
+    rows = rows.withColumn("place", F.pmod(F.xxhash64("id"), F.lit(SPREAD)))
+    per = rows.groupBy("key", "place").agg(F.count("*").alias("n"))
+    sizes = per.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    cut = rows.join(per.select("key", "place").join(sizes, "key"), ["key", "place"]).withColumn("nb", F.ceil(F.col("n") / block)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")))
     pairs = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
     pairs = pairs.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own"), "id", "v")
 
