@@ -197,8 +197,8 @@ def test_catalogue_errors():
 
     assert find((200, show([one, {"format": "csv"}]))) == collector.Resource("i", "n", "JSON", "https://a/x")
     cases = [
-        ((503, b""), "HTTP 503"), ((200, b"<html>"), "not JSON"), ((200, b'{"success": false, "error": "Not found"}'), "package_show failed.*Not found"), ((200, b"[]"), "package_show failed"),
-        ((200, b'{"success": true, "result": []}'), "no result object"), ((200, show(None)), "no resource list"), ((200, show([{"format": "CSV"}])), r"no JSON resource \(available formats: CSV\)"),
+        ((503, b""), "HTTP 503"), ((200, b"<html>"), "no JSON"), ((200, b'{"success": false, "error": "Not found"}'), "a refusal: Not found"), ((200, b"[]"), "a refusal"),
+        ((200, b'{"success": true, "result": []}'), "success without a description"), ((200, show(None)), "no resource list"), ((200, show([{"format": "CSV"}])), r"no JSON resource \(available formats: CSV\)"),
         ((200, show([one, one | {"name": "second"}])), "2 JSON resources, expected exactly one.*second"), ((200, show([one | {"url": "http://a"}])), "no https download URL"), (collector.CollectError("request timed out"), "timed out"),
     ]
     for answer, message in cases:
