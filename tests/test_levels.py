@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidegrain.functions import sql
 from tidegrain.functions.time import with_instants
 from tidegrain.operators import polling, readings
-from tidegrain.plans import queries, queries_levels, queries_reports, totals
+from tidegrain.plans import measures, queries, queries_levels, queries_reports, totals
 from tidegrain.plans.dated import Dated
 from tidegrain.schemas import QUARANTINE
 
@@ -88,3 +88,15 @@ def test_bucketed_fetches_are_not_dealt_again(spark):
     assert not {k for k in keys if "reading_at" in k and "facility" in k}, keys
     assert keys <= {"facility", "facility, _part", "facility_key, hour_start", "source_id, source_reading_at", "user_id"}, keys
     assert re.search(r"Bucketed: true|SelectedBucketsCount", plan) and len(rows) > 0
+
+
+def test_covered_time_of_many_hours_is_exact(spark):
+    """Sums of minutes as fractions differ from the whole microseconds by the order in which rows come."""
+    us = "1 + pmod(xxhash64(id), 3599999999)"
+    h = spark.range(400_000).selectExpr("cast(id % 2 as int) as day", f"({us}) / 60e6 as covered_minutes", f"({us}) div 3 / 60e6 as stale_minutes", "id")
+    want = {r[0]: (r[1], r[2]) for r in spark.range(400_000).selectExpr("cast(id % 2 as int) as day", f"{us} as us").groupBy("day").agg(F.sum("us"), F.sum(F.expr("us div 3"))).collect()}
+    got = measures.coverage(h, ["day"]).collect()
+    assert {r["day"]: (r["covered_us"], r["stale_us"]) for r in got} == want
+    assert {r["day"]: r["stale_share"] for r in got} == {d: s / c for d, (c, s) in want.items()}
+    share = totals.hourly_states(h.selectExpr("*", "1 as facility_key", "1D as avg_spaces", "1D as counted_minutes"), ["day"])
+    assert {r["day"]: (r["covered"], r["stale"]) for r in share.collect()} == want

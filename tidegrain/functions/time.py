@@ -34,6 +34,11 @@ def local(at: Column, zone: str) -> Column:
     return F.from_utc_timestamp(at, zone)
 
 
+def micros_of(c: Column) -> Column:
+    """Minutes as whole microseconds, whose sums are exact whatever their order."""
+    return F.round(c * MICROS_A_MINUTE).cast("long")
+
+
 def whole_second_minutes(a: Column, b: Column) -> Column:
     """Minutes from b to a, with the difference cut to whole seconds."""
     return F.expr("0D") + ((F.unix_micros(a) - F.unix_micros(b)) / 1_000_000).cast("long") / 60

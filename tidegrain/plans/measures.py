@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrain.functions.time import MICROS_A_MINUTE, micros_of
+
 FRESH_SHARE = 0.5
 ATTRIBUTION = "Contains open data under the Norwegian licence for Open Government data (NLOD)"
 
@@ -67,7 +69,10 @@ def occupancy(hourly: DataFrame, dim: DataFrame, by: list[str], fresh_only: bool
 
 
 def coverage(hourly: DataFrame, by: list[str]) -> DataFrame:
-    return hourly.groupBy(*by).agg(F.sum("covered_minutes").alias("covered_minutes"), F.sum("stale_minutes").alias("stale_minutes"), F.try_divide(F.sum("stale_minutes"), F.sum("covered_minutes")).alias("stale_share"))
+    """Covered and stale time: exact as microseconds, which minutes, being fractions, are to some fifteen digits only."""
+    us = hourly.groupBy(*by).agg(*[F.sum(micros_of(F.col(f"{c}_minutes"))).alias(f"{c}_us") for c in ("covered", "stale")])
+    own = [(F.col(f"{c}_us") / MICROS_A_MINUTE).alias(f"{c}_minutes") for c in ("covered", "stale")]
+    return us.select(*by, *own, F.try_divide("stale_us", "covered_us").alias("stale_share"), "covered_us", "stale_us")
 
 
 def incidents(stale: DataFrame, by: list[str], totals: bool = False) -> DataFrame:

@@ -191,7 +191,7 @@ def measure_occupancy(spark, d):
 @query(f"WITH {SHOUR} SELECT day, CAST(sum(covered) AS BIGINT) AS covered, CAST(sum(stale) AS BIGINT) AS stale, round(CAST(sum(stale) AS DOUBLE) / nullif(sum(covered), 0), 6) AS stale_share FROM sh GROUP BY 1")
 def measure_coverage(spark, d):
     h = star(spark, d)["fact_parking_hourly"].withColumn("day", F.to_date(local(F.col("hour_start"), "Europe/Oslo")))
-    return measures.coverage(h, ["day"]).select("day", minutes_to_us("covered_minutes").alias("covered"), minutes_to_us("stale_minutes").alias("stale"), F.round("stale_share", 6).alias("stale_share"))
+    return measures.coverage(h, ["day"]).select("day", F.col("covered_us").alias("covered"), F.col("stale_us").alias("stale"), F.round("stale_share", 6).alias("stale_share"))
 
 
 @query(f"WITH {SFEED} SELECT source_id, ongoing, count(*) AS incidents, round(sum(m) / 1440, 6) AS stale_days, round(max(m) / 1440, 6) AS longest_days FROM sstale GROUP BY ALL")

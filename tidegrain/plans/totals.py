@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrain.functions.time import micros_of
 from tidegrain.plans.measures import FRESH_SHARE
 
 #: How two states of one facility become one.
@@ -31,7 +32,7 @@ def hourly_states(hourly: DataFrame, by: list[str]) -> DataFrame:
     return hourly.groupBy(*by, "facility_key").agg(
         F.sum(F.when(known, total)).alias("weighted"), F.sum(F.when(known, F.col("counted_minutes"))).alias("counted"),
         F.sum(F.when(fresh, total)).alias("weighted_fresh"), F.sum(F.when(fresh, F.col("counted_minutes"))).alias("counted_fresh"),
-        F.sum("covered_minutes").alias("covered"), F.sum("stale_minutes").alias("stale"),
+        F.sum(micros_of(F.col("covered_minutes"))).alias("covered"), F.sum(micros_of(F.col("stale_minutes"))).alias("stale"),
     )
 
 
