@@ -260,7 +260,7 @@ def report_stale_timeline(spark, d):
 
 @query(f"WITH {SHOUR} SELECT day AS date, CAST(sum(covered) AS BIGINT) AS covered FROM sh GROUP BY 1")
 def report_covered_minutes(spark, d):
-    return Report(star(spark, d)).covered_minutes().select("date", minutes_to_us("covered_minutes").alias("covered"))
+    return Report(star(spark, d)).covered_minutes().select("date", F.col("covered_us").alias("covered"))
 
 
 @query(f"WITH {SFEED} SELECT stale_from, CASE WHEN ongoing THEN 'ongoing' ELSE strftime(stale_until, '%Y-%m-%d %H:%M') END AS ended, round(m / 1440, 6) AS stale_days, fetch_count FROM sstale")

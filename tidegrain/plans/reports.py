@@ -41,7 +41,7 @@ class Report:
         return m.coverage(self.hourly, ["date"]).join(m.occupancy(self.hourly, self.dim, ["date"], fresh_only=True), "date", "left").select("date", "stale_share", "occupancy_fresh").orderBy("date")
 
     def covered_minutes(self) -> DataFrame:
-        return m.coverage(self.hourly, ["date"]).select("date", "covered_minutes").orderBy("date")
+        return m.coverage(self.hourly, ["date"]).select("date", "covered_minutes", "covered_us").orderBy("date")
 
     def stale_periods(self) -> DataFrame:
         return self.stale.select("stale_from", F.when(F.col("ongoing"), "ongoing").otherwise(F.date_format("stale_until", "yyyy-MM-dd HH:mm")).alias("ended"), (F.col("duration_minutes") / 1440).alias("stale_days"), "fetch_count").orderBy("stale_from")
