@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # workers that have done the other stages share the executor's memory with what these left there
-    return bpe.digest(docs, tokenizer(BYTE_BPE), held=300_000)
+    return bpe.digest(docs, tokenizer(BYTE_BPE), held=150_000, room=1_000_000)
 
 
 STAGES = [

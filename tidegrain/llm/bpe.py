@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterable
 from itertools import chain
 
 import pyarrow as pa
@@ -43,6 +44,7 @@ class TrieBPE:
     """Encoder and decoder of one vocabulary file; both directions agree with the file's own library."""
 
     HELD_WORDS, SEAMS = 1_000_000, 300_000  # words, and pieces, whose encodings are held; pairs of tokens known to stand or not
+    ROOM = 4_000_000  # characters that are encoded at a time
 
     def __init__(self, path: str, held: int = HELD_WORDS):
         self.most = held
@@ -99,7 +101,7 @@ class TrieBPE:
         token of the path so far, with the length of the longest tail that begins some token.
         """
         ids, heads, beside, stands, out = self.ids, self.heads, self.beside, self.stands, self.word_ids
-        if len(beside) > self.SEAMS:
+        if len(beside) > min(self.SEAMS, self.most):
             beside.clear()
         states, reaches, path = [0], [0], b""
         for raw, word in sorted((w.encode("utf-8", "surrogatepass"), w) for w in words):
@@ -181,7 +183,7 @@ class TrieBPE:
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
-    def stream(self, texts: list[str | None], room: int = 4_000_000):
+    def stream(self, texts: Iterable[str | None], room: int = ROOM):
         """Encodings of texts, some million characters at a time; null counts as empty."""
         some, size = [], 0
         for t in texts:
@@ -228,10 +230,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), F.col("ids")).mapInArrow(tidied(run, "bpe"), "doc_id long, text string")
 
 
-def digest(docs: DataFrame, path: str, held: int = TrieBPE.HELD_WORDS) -> DataFrame:
+def texts_of(col: pa.Array, rows: int = 64):
+    """The texts of a column, of which few are Python's at a time: a batch holds thousands of whole texts."""
+    for i in range(0, len(col), rows):
+        yield from col.slice(i, rows).to_pylist()
+
+
+def digest(docs: DataFrame, path: str, held: int = TrieBPE.HELD_WORDS, room: int = TrieBPE.ROOM) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded, and its ids decoded again, in one pass.
 
-    held: words whose encodings a Python worker holds; fewer take less memory and more time, with the same results.
+    held: words whose encodings a Python worker holds; room: characters that it encodes at a time. Fewer take less memory
+    and more time, with the same results.
     """
 
     def run(batches):
@@ -239,7 +248,7 @@ def digest(docs: DataFrame, path: str, held: int = TrieBPE.HELD_WORDS) -> DataFr
         name = {i: str(i) for i in c.bytes}
         for b in batches:
             n, one, two = [], [], []
-            for ids in c.stream(b.column(1).to_pylist()):
+            for ids in c.stream(texts_of(b.column(1)), room):
                 n.append(len(ids))
                 one.append(hashlib.sha256(",".join(map(name.__getitem__, ids)).encode()).hexdigest())
                 two.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())

@@ -102,8 +102,11 @@ HELD: dict[str, dict] = {}
 
 
 def forget(own: str) -> None:
-    for name in set(HELD) - {own}:
-        del HELD[name]
+    """Drops what other operators hold, and hands its memory back before the task takes its own."""
+    if others := set(HELD) - {own}:
+        for name in others:
+            del HELD[name]
+        hand_back()
 
 
 def hand_back() -> None:
