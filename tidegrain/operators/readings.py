@@ -89,11 +89,16 @@ def parse_readings(bronze: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep |
     return conform(readings, READING), conform(quarantine, QUARANTINE)
 
 
-def compared_values(spec: FeedSpec) -> Column:
-    """The values in which two records of one reading can conflict, as text."""
-    shown = F.when(F.col("status") == "open", next((t for t, v in spec.tokens.items() if v == "open"), "open")).otherwise(F.col("available_spaces").cast("string"))
+#: The columns in which two records of one reading can conflict.
+COMPARED = ["latitude", "longitude", "available_spaces", "status"]
+
+
+def compared_values(spec: FeedSpec, of: str = "") -> Column:
+    """The values in which two records of one reading can conflict, as text; of: a struct that holds them."""
+    c = lambda n: F.col(f"{of}.{n}" if of else n)
+    shown = F.when(c("status") == "open", next((t for t, v in spec.tokens.items() if v == "open"), "open")).otherwise(c("available_spaces").cast("string"))
     pair = lambda n, v: F.struct(F.lit(n).alias("field"), v.alias("raw_value"))
-    return F.array(pair(spec.latitude, F.col("latitude").cast("string")), pair(spec.longitude, F.col("longitude").cast("string")), pair(spec.count, shown))
+    return F.array(pair(spec.latitude, c("latitude").cast("string")), pair(spec.longitude, c("longitude").cast("string")), pair(spec.count, shown))
 
 
 def by_entity(fetches: DataFrame) -> DataFrame:
@@ -112,10 +117,11 @@ def deduplicate(fetches: DataFrame, spec: FeedSpec = FeedSpec(), keep: Keep | No
     order = Window.partitionBy("source_id", "facility", "reading_at", *part).orderBy(F.col("ingested_at").asc_nulls_first(), F.col("raw_file").asc_nulls_first(), F.col("record_index").asc_nulls_first())
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = fetches.withColumns({"_rank": F.row_number().over(order), "last_fetched_at": F.max("ingested_at").over(whole)})
-    beside = lambda df: df.withColumn("_own", compared_values(spec)).withColumn("_won", F.first("_own").over(order))
+    # the winner's plain values go beside a loser, and become text there only: most rows have no other of their reading
+    beside = lambda df: df.withColumn("_winner", F.first(F.struct(*COMPARED)).over(order)).withColumn("_winner", F.when(F.col("_rank") > 1, F.col("_winner")))
     ranked = keep(beside(ranked)) if keep else ranked
     readings = ranked.where("_rank = 1")
-    seen = (ranked if keep else beside(ranked)).where("_rank > 1")
+    seen = (ranked if keep else beside(ranked)).where("_rank > 1").withColumns({"_own": compared_values(spec), "_won": compared_values(spec, "_winner")})
     differ = F.filter(F.zip_with("_own", "_won", lambda a, b: F.when(~a["raw_value"].eqNullSafe(b["raw_value"]), a)), lambda x: x.isNotNull())
     conflicts = seen.select(*LINEAGE, F.explode(differ).alias("q")).select(*LINEAGE, "q.*", F.lit("conflicting_duplicate").alias("reason"), F.lit(False).alias("reading_excluded"))
     return readings.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FIRST], *part), conform(conflicts, QUARANTINE)

@@ -109,7 +109,8 @@ def load_runs(c: Setup, say: Callable[[str], None] = print) -> None:
 
 def run_silver(c: Setup, rebuild: bool = False) -> dict[str, int]:
     """Parses what is new: rows that are neither in fetches nor quarantined as no reading at all. The quarantine is written before
-    fetches, so a crash between the two repeats and doesn't lose; a rebuild replaces what the feed has in both. The rest is derived from all fetches. What two results come from is written once. Conflicts and the register's quarantine are written under
+    fetches, so a crash between the two repeats and doesn't lose; a rebuild replaces what the feed has in both. The rest is derived from all fetches. What two results come from is written once. Readings and conflicts
+    are derived when there are fetches that they weren't made from (a changed spec takes a rebuild, as it does for parsed rows). Conflicts and the register's quarantine are written under
     tags of their own, so that replacing them leaves all other rows of the quarantine where they are. Returns how much is new (rows,
     fetches, quarantined values, rows excluded) and how much there is now (readings, conflicts, stale snapshots and periods)."""
     st = c.store
@@ -119,7 +120,7 @@ def run_silver(c: Setup, rebuild: bool = False) -> dict[str, int]:
         quarantined = st.read_or_empty("silver_quarantine", s.QUARANTINE).where(own & F.col("reading_excluded")).select(ROW)
         raw = bronze.unhandled(raw, st.read("silver_parking_fetch").where(own).select(ROW).union(quarantined), ROW)
     fetched, bad = readings.parse_readings(raw, c.spec, st.staged)
-    n = readings.tallies(bad, []).first()
+    n = readings.tallies(bad, []).select("quarantined", "excluded").first()  # each distinct count that isn't asked for would copy the rows once more
     counts = {"fetches": fetched.count(), "quarantined": n["quarantined"], "excluded": n["excluded"]}
     counts = {"new_rows": counts["fetches"] + counts["excluded"]} | counts
     if rebuild:
@@ -132,11 +133,13 @@ def run_silver(c: Setup, rebuild: bool = False) -> dict[str, int]:
         st.append("silver_parking_fetch", fetched)
     st.unstage()
     fetches = st.read("silver_parking_fetch")
-    first, conflicts = readings.deduplicate(readings.by_entity(fetches), c.spec, st.staged)
-    st.overwrite("silver_parking_reading", first.drop("_part"))
-    st.replace_tagged("silver_quarantine", CONFLICT, conflicts)
-    counts["conflicts"] = conflicts.count()
-    st.unstage()
+    made_of = f"{st.manifest('silver_parking_fetch')['dirs']}"
+    if rebuild or st.made_of("silver_parking_reading") != made_of:
+        first, conflicts = readings.deduplicate(readings.by_entity(fetches), c.spec, st.staged)
+        st.replace_tagged("silver_quarantine", CONFLICT, conflicts)
+        st.overwrite("silver_parking_reading", first.drop("_part"), made_of)  # last, so that a run that died does both again
+        st.unstage()
+    counts["conflicts"] = st.read("silver_quarantine").where(F.col("reason") == CONFLICT).count()
     st.overwrite("silver_snapshot_freshness", readings.freshness(fetches, c.stale_after))
     st.overwrite("silver_stale_period", readings.stale_periods(st.read("silver_snapshot_freshness"), c.stale_after))
     if c.register_root:
