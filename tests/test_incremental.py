@@ -1,11 +1,13 @@
 """What a load doesn't touch isn't written anew, and what a run that died left out is."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
+from tidegrain import scratch
 from tidegrain.operators.readings import FeedSpec
-from tidegrain.plans import run
+from tidegrain.plans import daily, run
 from tidegrain.sources.store import TableStore
 
 NOON = dt.datetime(2024, 1, 10, 12, tzinfo=dt.timezone.utc)
@@ -32,3 +34,15 @@ def test_readings_are_derived_only_from_new_fetches(spark, tmp_path):
     assert len(st.versions("silver_parking_reading")) == len(n) + 1 and (died["conflicts"], died["readings"]) == (2, 3)
     q = st.read("silver_quarantine").where(F.col("reason") == run.CONFLICT)
     assert sorted((r["raw_file"], r["field"], r["raw_value"]) for r in q.collect()) == [("f1", "Antall_ledige_plasser", "6"), ("f4", "Antall_ledige_plasser", "8")]
+
+
+def test_days_are_written_once(spark, tmp_path, monkeypatch):
+    days, saved = daily.Days(spark, str(tmp_path)), []
+    monkeypatch.setattr(scratch, "save", lambda df, name: saved.append(name))
+    d = [dt.date(2024, 1, n) for n in (1, 2, 3)]
+    schema = spark.createDataFrame([], "v int").schema
+    days.swap("t", spark.createDataFrame([(1, d[0]), (2, d[1])], "v int, day date"), d)
+    kept = os.listdir(tmp_path / "t/day=2024-01-01")
+    days.swap("t", days.read("t", schema).where("v = 2").selectExpr("v + 1 as v", "date'2024-01-03' as day"), d[1:])
+    assert sorted(map(tuple, days.read("t", schema).collect())) == [(1, d[0]), (3, d[2])]
+    assert os.listdir(tmp_path / "t/day=2024-01-01") == kept and not saved and not os.listdir(tmp_path / "_aside")

@@ -1,7 +1,7 @@
 """Facts kept by day and brought up to date by the keys that a load touches.
 
 All tables are Parquet, partitioned by UTC day (of a reading, an hour or a snapshot), and only the days of a load and its neighbours
-are read and written, by dynamic partition overwrite. A load touches facilities on days. Their readings are derived anew
+are read and written, each day's folder in one move. A load touches facilities on days. Their readings are derived anew
 from the fetches of those days; intervals also on the day with readings before and after, as these end or begin anew; and
 intervals whose source time a stale period gained or lost. Hours are derived anew on all days that a changed interval covered
 or covers, from the intervals of the day and the last one before it: a facility's intervals don't overlap, so no other reaches into it.
@@ -15,6 +15,7 @@ anew on all of its days. The driver sees the days of a load.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,13 +52,17 @@ class Days:
         return df if days is None else df.where(F.col("day").isin(days))
 
     def swap(self, table: str, df: DataFrame, days: list[dt.date]) -> None:
-        """Puts df in the place of all rows of these days. What it reads may be the table itself: it is written aside first."""
-        new = scratch.save(df.repartition("day"), table)
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{self.root}/{table}")
-        have = {r["day"] for r in new.select("day").distinct().collect()}
-        for day in set(days) - have:  # days that have lost all rows
-            self._fs().delete(self._path(f"{table}/day={day}"), True)
-        scratch.done(new)
+        """Puts df in the place of all rows of these days. What it reads may be the table itself: it is written aside, once, and its
+        days are moved into their places."""
+        fs, aside = self._fs(), f"_aside/{table}-{uuid.uuid4().hex}"
+        df.repartition("day").write.partitionBy("day").parquet(f"{self.root}/{aside}")
+        fs.mkdirs(self._path(table))
+        have = {n for f in fs.listStatus(self._path(aside)) if (n := f.getPath().getName()).startswith("day=")}
+        for day in sorted(have | {f"day={d}" for d in days}):  # days that have lost all rows go as well
+            to, old = self._path(f"{table}/{day}"), self._path(f"{aside}/_old-{day}")
+            if fs.exists(to) and not fs.rename(to, old) or day in have and not fs.rename(self._path(f"{aside}/{day}"), to):
+                raise OSError(f"{table}/{day} couldn't be put in place from {aside}")
+        fs.delete(self._path(aside), True)
 
     def add(self, table: str, df: DataFrame) -> None:
         df.repartition("day").write.mode("append").partitionBy("day").parquet(f"{self.root}/{table}")
