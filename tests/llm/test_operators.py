@@ -500,6 +500,25 @@ def test_token_ids_of_odd_texts():
         assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
+def test_plain_pieces_are_the_models_alone(monkeypatch):
+    """Pieces that the vocabulary's rules leave as they are take one call of its model, and those that come again are held."""
+    from tokenizers import Tokenizer
+
+    lib, enc, rng = Tokenizer.from_file(tokenizer(WORD_BPE)), tokenfile.Encoder(tokenizer(WORD_BPE)), random.Random(4)
+    enc.lib = None
+    monkeypatch.setattr(tokenfile.Encoder, "LIMIT", 20)
+    bits = ["THE", "été", "größe", "ÿ", "a", "Z", "9", "10", ",", ".", "!?", "(", "[x]", "~", " ", " ", "\n"]
+    for _ in range(2000):
+        t = "".join(rng.choices(bits, k=rng.randint(0, 12)))
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
+        assert len(enc) + len(enc.old) <= 20
+    calls, model = [], enc.model
+    enc.model = lambda p: calls.append(p) or model(p)
+    for i in range(30):
+        enc.encode(f"again {chr(97 + i % 26)}{'x' * i}")
+    assert calls.count("again") <= 1
+
+
 def test_coder_beats_order_0():
     enc = tokenfile.Encoder(tokenizer(WORD_BPE))
     texts = [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()]

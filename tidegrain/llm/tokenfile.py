@@ -2,14 +2,15 @@
 
 An id is predicted by three orders, each a distribution over ids: order 0 is the frequencies of the buffer's ids, which its
 head holds; order 1 is the two ids that a block last saw after the id before, order 2 the one that it last saw after the
-two before. Weights that adapt to how often the long orders were right mix the three: an id's share of the coder's range
-is the weighted sum of its shares in all of them, in the order of ids. Each block of BLOCK ids starts anew from what the
-head says and has a checksum, so a damaged or lost block costs no other. All blocks of a buffer are coded side by side,
+two before, and these adapt within the block. Weights mix the orders by context, which is how sure the long orders are and
+whether they agree; they are fitted to how often each was the first that was right in the buffer, and its head holds them.
+An id takes the part of the coder's range that is the first right long order's, any other its share of order 0's part.
+Each block of BLOCK ids starts anew from what the head says and has a checksum, so a damaged or lost block costs no other. All blocks of a buffer are coded side by side,
 one numpy lane each. Whatever the coder's range depends on is an integer, so that writing and reading agree on any machine.
 
 File format: a folder of Parquet files whose rows (part, seq, n_ids, payload) hold one buffer of whole documents each;
 payload: magic, then a head with counts, document ids and lengths, the distinct ids with their numbers in the buffer (their
-shares of order 0 follow from these) and, for those seen OFTEN times, the ids that most often follow them, block lengths and
+shares of order 0 follow from these) and, for those seen OFTEN times, the ids that most often follow them, the weights, block lengths and
 checksums, then the blocks' bytes. A buffer of more than TWICE blocks has its head once more at its end, so that a damaged
 head costs no block. Rows are in document order by (part, seq). A damaged block, or a head with no sound copy, raises
 ValueError on reading.
@@ -22,6 +23,7 @@ an empty table gives files without rows; extra columns, whatever their names, ar
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 
@@ -30,16 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrain.llm.bpe import byte_alphabet
 from tidegrain.llm.common import HELD, LOWER, parts, save, tidied
 
-BLOCK, BUFFER, MAGIC = 4096, 4096 * 2048, b"TGTF3\0"
+BLOCK, BUFFER, MAGIC = 4096, 4096 * 2048, b"TGTF4\0"
 OFTEN, TWICE = 16, 64
 SLOTS_BITS = 11  # of each long order's table
-SURE = 3  # the highest confidence of an entry
-U32, U64, I64 = np.uint32, np.uint64, np.int64
+U8, U32, U64, I64 = np.uint8, np.uint32, np.uint64, np.int64
 LEAST = U64(1 << 32)  # the coder's range after a settled step
-WEIGHTS = 12  # bits of a weight
+WEIGHTS, LOWEST = 12, 16  # bits of a weight, and the lowest: no order is ever certain
+# by hit << 2 | confidence: what an entry changes by, and below which it is lost to the id seen; by hits: the first order that was right
+STEP = np.array([0, 0, -1, -1, 1, 1, 1, 0], np.int64).astype(U32)
+LOST = U8(2)
+FIRST = np.array([3, 0, 1, 0, 2, 0, 1, 0], U8)
 SPECIAL = b"<|"  # how the vocabulary's special tokens begin
+LETTER = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])"  # small letters of Latin-1, which no rule changes
+PLAIN, RUNS = re.compile(rb"(?:[!-&(-@\[-`{-~]|" + LETTER + rb")+"), re.compile(LETTER + rb"+|[0-9]|[!-/:-@\[-`{-~]+")
 
 
 class Start:
@@ -127,47 +135,42 @@ class Model:
     """The predictions of one lane per block; encoder and decoder take the same steps."""
 
     def __init__(self, lanes: int, start: Start):
-        self.s, slots = start, 1 << SLOTS_BITS
+        slots = 1 << SLOTS_BITS
         one = np.zeros((slots, 2), U32)
         k = min(len(start.ids), slots)
         one[:k] = start.follow[:k] << U32(2) | U32(1)
-        self.first, self.second = np.tile(one[:, 0], lanes), np.tile(one[:, 1], lanes)  # order 1: place << 2 | confidence
-        self.long = np.zeros(lanes * slots, U32)  # order 2
-        self.w = [np.full(lanes * 64, at, np.int32) for at in (1024, 1024, 512)]  # chances in 4096ths of each entry, if those before it are wrong
-        every = np.arange(lanes, dtype=I64)
-        self.base, self.base_w = every << SLOTS_BITS, every << 6
+        self.near = np.tile(one.view(U64).ravel(), lanes)  # order 1: two entries of place << 2 | confidence
+        self.far = np.zeros(lanes * slots, U32)  # order 2: one entry
+        self.base = np.arange(lanes, dtype=I64) << SLOTS_BITS
         self.prev, self.key = np.zeros(lanes, U32), np.zeros(lanes, U32)
 
-    def predict(self, a: int):
-        """For the first a lanes: the long orders' places and weights, and the weight of order 0, of 4096 in all."""
-        prev = self.prev[:a]
-        self.i1 = self.base[:a] + (prev & U32((1 << SLOTS_BITS) - 1))
-        self.i2 = self.base[:a] + ((prev * U32(0x9E3779B1) ^ self.key[:a]) * U32(0x27D4EB2F) >> U32(32 - SLOTS_BITS))
-        self.e = self.long.take(self.i2), self.first.take(self.i1), self.second.take(self.i1)
-        c = [e >> U32(2) for e in self.e]
-        same1, same2 = c[0] == c[1], c[0] == c[2]
-        self.iw = self.base_w[:a] + (((self.e[0] & U32(3)) << U32(4)) | ((self.e[1] & U32(3)) << U32(2)) | (same1 | (same2 << 1)))
-        self.v = [w.take(self.iw) for w in self.w]
-        m, left = [], np.int32(4096)
-        for v in self.v:
-            part = (left * v) >> 12
-            m.append(part)
-            left = left - part
-        return c, [x.astype(U64) for x in m], left.astype(U64)
-
-    def learn(self, a: int, x: np.ndarray, hit: list[np.ndarray]) -> None:
-        """hit: which of the three places were x."""
-        done = np.zeros(a, bool)
-        for w, v, h in zip(self.w, self.v, hit, strict=True):
-            right = h & ~done
-            w[self.iw] = np.where(done, v, v + ((right * np.int32(3840) + np.int32(64) - v) >> 4))
-            done |= h
-        for t, i, e, h in ((self.long, self.i2, self.e[0], hit[0]), (self.first, self.i1, self.e[1], hit[1])):
-            sure = e & U32(3)
-            fresh = x << U32(2) | U32(1)
-            t[i] = np.where(h, e + (sure < SURE), np.where(sure > 1, e - U32(1), fresh))
-            if t is self.first:
-                self.second[i] = np.where(h, self.e[2], np.where(sure > 1, fresh, e))
+    def predict(self, a: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """For the first a lanes: the places of the long orders, and 4 times the number of their context."""
+        prev, base = self.prev[:a], self.base[:a]
+        self.i1 = base + (prev & U32((1 << SLOTS_BITS) - 1)).astype(I64)
+        self.i2 = base + ((prev * U32(0x9E3779B1) ^ self.key[:a]) * U32(0x27D4EB2F) >> U32(32 - SLOTS_BITS)).astype(I64)
+        self.e0, self.pair = self.far.take(self.i2), self.near.take(self.i1)
+        both = self.pair.view(U32).reshape(-1, 2) >> U32(2)
+        c0, c1, c2 = self.e0 >> U32(2), both[:, 0], both[:, 1]
+        self.sure0, self.sure1 = self.e0.astype("u1") & U8(3), self.pair.astype("u1") & U8(3)
+        same = (c0 == c1).view("u1") | (c0 == c2).view("u1") << U8(1)
+        return [c0, c1, c2], self.sure0 << U8(6) | self.sure1 << U8(4) | same << U8(2)
+
+    def learn(self, a: int, x: np.ndarray, hit0: np.ndarray, hit1: np.ndarray) -> None:
+        """hit0, hit1: where x was the place of order 2, and the first of order 1."""
+        fresh = x << U32(2) | U32(1)
+        at = hit0.view("u1") << U8(2) | self.sure0
+        e = self.e0 + STEP.take(at)
+        np.copyto(e, fresh, where=at < LOST)
+        self.far[self.i2] = e
+        at = hit1.view("u1") << U8(2) | self.sure1
+        lost, old = at < LOST, self.pair.view(U32).reshape(-1, 2)
+        new = old.copy()
+        new[:, 0] += STEP.take(at)
+        np.copyto(new[:, 1], fresh, where=~hit1)
+        np.copyto(new[:, 1], old[:, 0], where=lost)
+        np.copyto(new[:, 0], fresh, where=lost)
+        self.near[self.i1] = new.view(U64).ravel()
         self.key[:a] = (self.prev[:a] + U32(1)) * U32(0x85EBCA6B)
         self.prev[:a] = x
 
@@ -196,52 +199,72 @@ class Coder:
             self.low[sel], self.rng[sel] = lo, r
 
 
-def encode_blocks(at: np.ndarray, start: Start) -> list[bytes]:
-    """The coded blocks of ids, given as places."""
+def fitted(hist: np.ndarray, last: int) -> np.ndarray:
+    """The weights of the long orders in each context, of 2^WEIGHTS in all: how often each was the first that was right."""
+    n = np.bincount(hist.ravel(), minlength=256)
+    n -= np.bincount(hist[last:, -1], minlength=256)  # the last lane ends early
+    n = n.reshape(64, 4)
+    return LOWEST + n[:, :3] * ((1 << WEIGHTS) - 4 * LOWEST) // np.maximum(n.sum(1, keepdims=True), 1)
+
+
+def shares(weights: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each context and order: where its part of the range begins, and its size; for order 0 the size of one of its points."""
+    every = np.concatenate([weights, (1 << WEIGHTS) - weights.sum(1, keepdims=True)], axis=1).astype(U64)
+    begin = (np.cumsum(every, axis=1, dtype=U64) - every) << U64(bits)
+    every[:, :3] <<= U64(bits)
+    return begin.ravel(), every.ravel()
+
+
+def encode_blocks(at: np.ndarray, start: Start) -> tuple[list[bytes], np.ndarray]:
+    """The coded blocks of ids, given as places, and the weights they are coded with."""
     n = len(at)
-    lanes = -(-n // BLOCK)
-    if not lanes:
-        return []
+    lanes, steps = -(-n // BLOCK), min(BLOCK, n)
     grid = np.zeros(lanes * BLOCK, U32)
     grid[:n] = at
-    grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)
+    grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)[:steps]
     last = n - (lanes - 1) * BLOCK
-    m, c = Model(lanes, start), Coder(lanes)
+    width = [lanes if t < last else lanes - 1 for t in range(steps)]
+    m, hist = Model(lanes, start), np.zeros((steps, lanes), "u1")
+    for t, a in enumerate(width):
+        if not a:
+            break
+        x = grid[t, :a]
+        place, context = m.predict(a)
+        hit = [p == x for p in place]
+        hist[t, :a] = context | FIRST.take(hit[0].view("u1") | hit[1].view("u1") << U8(1) | hit[2].view("u1") << U8(2))
+        m.learn(a, x, hit[0], hit[1])
+    weights = fitted(hist, last)
+    begin, size = shares(weights, start.bits)
+    c = Coder(lanes)
     out = np.zeros((lanes, 2 * BLOCK + 4), "<u4")  # an id takes 32 bits at most, and what the range loses by rounding
 
     def emit(sel, lo):
         out[sel, c.pos[sel]] = lo >> U64(32)
 
-    bits = U64(start.bits)
-    for t in range(min(BLOCK, n)):
-        a = lanes if t < last else lanes - 1
-        if not a:
-            break
-        x = grid[t, :a]
-        place, weight, w0 = m.predict(a)
-        hit = [p == x for p in place]
-        below, own = w0 * start.cum.take(x), w0 * start.size.take(x)
-        less = more = U64(0)
-        for p, w, h in zip(place, weight, hit, strict=True):
-            less = less + w * (p < x)
-            more = more + w * h
-        r = c.rng[:a] >> (bits + U64(WEIGHTS))
-        c.low[:a] += r * (below + (less << bits))
-        c.rng[:a] = r * (own + (more << bits))
-        c.settle(a, emit)
-        m.learn(a, x, hit)
+    shift = U64(start.bits + WEIGHTS)
+    for some in range(0, steps, 32):
+        kind = hist[some : some + 32]
+        below, own = begin.take(kind), size.take(kind)
+        rest = np.flatnonzero(kind & U8(3) == U8(3))
+        x, w = grid[some : some + 32].ravel()[rest], own.ravel()[rest]
+        below.ravel()[rest] += w * start.cum.take(x)
+        own.ravel()[rest] = w * start.size.take(x)
+        for t, lower, part in zip(range(some, steps), below, own, strict=False):
+            a = width[t]
+            r = c.rng[:a] >> shift
+            c.low[:a] += r * lower[:a]
+            c.rng[:a] = r * part[:a]
+            c.settle(a, emit)
     every = np.arange(lanes)
     for s in (32, 0):
         out[every, c.pos] = (c.low >> U64(s)) & U64(2**32 - 1)
         c.pos += 1
-    return [out[i, : c.pos[i]].tobytes() for i in range(lanes)]
+    return [out[i, : c.pos[i]].tobytes() for i in range(lanes)], weights
 
 
-def decode_blocks(blocks: list[bytes], n: int, start: Start) -> np.ndarray:
+def decode_blocks(blocks: list[bytes], n: int, start: Start, weights: np.ndarray) -> np.ndarray:
     """The places of all ids."""
     lanes = len(blocks)
-    if not lanes:
-        return np.zeros(0, U32)
     width = max(map(len, blocks)) // 4 + 4
     data = np.zeros((lanes, width), "<u4")
     for i, b in enumerate(blocks):
@@ -251,56 +274,48 @@ def decode_blocks(blocks: list[bytes], n: int, start: Start) -> np.ndarray:
     m, c = Model(lanes, start), Coder(lanes)
     code = data[:, 0].astype(U64) << U64(32) | data[:, 1]
 
-    def shift(sel, lo):
+    def refill(sel, lo):
         code[sel] = code[sel] << U64(32) | data[sel, np.minimum(c.pos[sel] + 2, width - 1)]
 
-    bits = U64(start.bits)
-    top = U64(len(start.place) - 1)
+    begin, size = shares(weights, start.bits)
+    cuts = [np.repeat(begin[j::4], 4) for j in (1, 2, 3)]  # by 4 times the context
+    shift, top = U64(start.bits + WEIGHTS), U64(len(start.place) - 1)
     for t in range(min(BLOCK, n)):
         a = lanes if t < last else lanes - 1
         if not a:
             break
-        place, weight, w0 = m.predict(a)
-        r = c.rng[:a] >> (bits + U64(WEIGHTS))
+        place, kind = m.predict(a)
+        r = c.rng[:a] >> shift
         v = (code[:a] - c.low[:a]) // r
-        # the long orders' places whose whole share lies below v; what is left of v falls into order 0, or is one of them
-        past, x = U64(0), None
-        for j, p in enumerate(place):
-            less = more = U64(0)
-            for q, w in zip(place, weight, strict=True):
-                less = less + w * (q < p)
-                more = more + w * (q == p)
-            begin = w0 * start.cum.take(p, mode="clip") + (less << bits)
-            end = begin + w0 * start.size.take(p, mode="clip") + (more << bits)
-            past = past + weight[j] * (end <= v)
-            here = (begin <= v) & (v < end)
-            x = np.where(here, p, x) if x is not None else np.where(here, p, U32(0xFFFFFFFF))
-        rest = np.flatnonzero(x == U32(0xFFFFFFFF))
-        point = np.minimum((v[rest] - ((past[rest]) << bits)) // w0[rest], top)
-        x[rest] = start.place.take(point.astype(I64))
-        hit = [p == x for p in place]
-        below, own = w0 * start.cum.take(x), w0 * start.size.take(x)
-        less = more = U64(0)
-        for p, w, h in zip(place, weight, hit, strict=True):
-            less = less + w * (p < x)
-            more = more + w * h
-        c.low[:a] += r * (below + (less << bits))
-        c.rng[:a] = r * (own + (more << bits))
-        c.settle(a, shift)
+        past = [v >= cut.take(kind) for cut in cuts]
+        kind += past[0].view("u1") + past[1].view("u1") + past[2].view("u1")
+        lower, part = begin.take(kind), size.take(kind)
+        x = place[0].copy()
+        np.copyto(x, place[1], where=past[0])
+        np.copyto(x, place[2], where=past[1])
+        rest = np.flatnonzero(past[2])
+        w = part[rest]
+        own = start.place.take(np.minimum((v[rest] - lower[rest]) // w, top).astype(I64))
+        x[rest] = own
+        lower[rest] += w * start.cum.take(own)
+        part[rest] = w * start.size.take(own)
+        c.low[:a] += r * lower
+        c.rng[:a] = r * part
+        c.settle(a, refill)
         grid[t, :a] = x
-        m.learn(a, x, hit)
+        m.learn(a, x, place[0] == x, place[1] == x)
     return np.ascontiguousarray(grid.T).ravel()[:n]
 
 
 def pack(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
     """One buffer of whole documents as bytes."""
     start, at = Start.of(ids) if len(ids) else (None, ids)
-    blocks = encode_blocks(at, start)
+    blocks, weights = encode_blocks(at, start) if start else ([], None)
     sums = [zlib.crc32(ids[i : i + BLOCK].astype("<u4").tobytes()) for i in range(0, len(ids), BLOCK)]
     known = np.array([d is not None for d in doc_ids], "u1")
     arrays = [packed(known, "u1"), packed(np.diff(np.array([d or 0 for d in doc_ids], "<i8"), prepend=np.int64(0)), "<i8"), packed(np.array(lengths, "<u8"), "<u8"), packed(np.array([len(b) for b in blocks], "<u4"), "<u4"), np.array(sums, "<u4").tobytes()]
-    arrays += start.arrays() if start else [b""] * 3
-    head = b"".join([struct.pack("<QII8I", len(ids), len(doc_ids), len(blocks), *map(len, arrays)), *arrays])
+    arrays += [*start.arrays(), packed(weights.ravel(), "<u2")] if start else [b""] * 4
+    head = b"".join([struct.pack("<QII9I", len(ids), len(doc_ids), len(blocks), *map(len, arrays)), *arrays])
     check = struct.pack("<QI", len(head), zlib.crc32(head))
     return b"".join([MAGIC, check, head, *blocks, *([head, check, MAGIC] if len(blocks) > TWICE else [])])
 
@@ -323,28 +338,32 @@ def head_of(data: bytes) -> tuple[bytes, int | None, int | None]:
 
 def unpack(data: bytes) -> tuple[list, list[int], np.ndarray]:
     head, begin, end = head_of(data)
-    n, _, count, *rooms = struct.unpack_from("<QII8I", head)
-    cuts = struct.calcsize("<QII8I") + np.concatenate([[0], np.cumsum(rooms, dtype=np.int64)])
+    n, _, count, *rooms = struct.unpack_from("<QII9I", head)
+    cuts = struct.calcsize("<QII9I") + np.concatenate([[0], np.cumsum(rooms, dtype=np.int64)])
     arrays = [head[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
     known, ids, lengths, sizes = (unpacked(x, kind) for x, kind in zip(arrays, ("u1", "<i8", "<u8", "<u4"), strict=False))
     ids, sums = np.cumsum(ids), np.frombuffer(arrays[4], "<u4")
-    start = Start.of_arrays(arrays[5:]) if n else None
+    start = Start.of_arrays(arrays[5:8]) if n else None
     begin = end - int(sizes.sum(dtype=np.int64)) if begin is None else begin
     ends = begin + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    out = decode_blocks([data[ends[i] : ends[i + 1]] for i in range(count)], n, start)
-    out = start.ids[out] if n else out
+    out = np.zeros(0, U32)
+    if n:
+        out = start.ids[decode_blocks([data[ends[i] : ends[i + 1]] for i in range(count)], n, start, unpacked(arrays[8], "<u2").reshape(64, 3).astype(I64))]
     for i in range(count):
         if zlib.crc32(out[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) != sums[i]:
             raise ValueError(f"block {i} is damaged")
     return [int(d) if k else None for d, k in zip(ids, known, strict=True)], lengths.tolist(), out
 
 
-class Encoder:
-    """Whole texts to ids with the tokenizers library; pieces between spaces are encoded once and held.
+class Encoder(dict):
+    """Whole texts to ids with the tokenizers library; pieces between spaces are encoded once and held, piece to ids.
 
     The vocabulary's rules turn white space into one space and never join what a space parts, so a text's ids are those
     of its pieces in a row. Pieces are held in lower case, as the vocabulary's rules take them, but for those that may hold
-    one of its special tokens, which the library finds in the text as it is.
+    one of its special tokens, which the library finds in the text as it is. In a piece of small Latin-1 letters and other
+    printable ASCII signs without these tokens and without an apostrophe, the rules change nothing and part runs of letters,
+    single digits and runs of signs, so the library's model takes the bytes of each of these; other pieces go through the
+    whole library. When half of LIMIT pieces are held, they become the old ones, and only those that come again stay.
     """
 
     LIMIT = 800_000
@@ -356,40 +375,38 @@ class Encoder:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
-        self.held: dict[bytes, bytes] = {}
-
-    def learn(self, pieces: list[bytes]) -> None:
-        """Encodes pieces in one call; a piece that only adds a comma or full stop to letters is put together from its parts."""
-        held, whole, joined = self.held, [], []
-        for p in pieces:
-            if p[-1:] in (b",", b".") and p[:-1].isalpha():
-                joined.append(p)
-                if p[:-1] not in held:
-                    whole.append(p[:-1])
-            else:
-                whole.append(p)
-        whole = list(dict.fromkeys([b",", b".", *whole]))
-        e = self.lib.encode([p.decode() for p in whole], is_pretokenized=True, add_special_tokens=False)
-        ids, at = np.array(e.ids, "<u4"), np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(whole) + 1))
-        data = ids.tobytes()
-        for i, p in enumerate(whole):
-            held[p] = data[4 * at[i] : 4 * at[i + 1]]
-        for p in joined:
-            held[p] = held[p[:-1]] + held[p[-1:]]
+        self.model = self.lib.model.tokenize
+        self.signs = {b: c for c, b in byte_alphabet().items()}
+        self.four = [i.to_bytes(4, "little") for i in range(1 + max(self.lib.get_vocab().values()))]
+        self.old: dict[bytes, bytes] = {}
+
+    def __missing__(self, p: bytes) -> bytes:
+        got = self.old.get(p)
+        if got is None:
+            got = self.learn(p)
+        if len(self) >= self.LIMIT // 2:
+            self.old = dict(self)
+            self.clear()
+        self[p] = got
+        return got
+
+    def learn(self, p: bytes) -> bytes:
+        if p.isalpha():
+            ids = [t.id for t in self.model(p.decode())]
+        elif p[-1:] in (b",", b".") and p[:-1].isalpha():
+            return self[p[:-1]] + self[p[-1:]]
+        elif PLAIN.fullmatch(p) and SPECIAL not in p:
+            runs = RUNS.findall(p)
+            if len(runs) > 1:
+                return b"".join([self[r] for r in runs])
+            ids = [t.id for t in self.model(p.decode("latin-1").translate(self.signs))]
+        else:
+            ids = self.lib.encode([p.decode()], is_pretokenized=True, add_special_tokens=False).ids if p else []
+        return b"".join([self.four[i] for i in ids])
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """ids of each text as little-endian 32-bit integers."""
-        own = [self.pieces(t.encode("utf-8")) for t in texts]
-        held = self.held
-        pieces = set().union(*own)
-        missing = pieces - held.keys()
-        if missing:
-            if len(held) + len(missing) > self.LIMIT:
-                held.clear()
-                missing = pieces
-            self.learn([p for p in missing if p])
-            held[b""] = b""
-        return [b"".join(map(held.__getitem__, ps)) for ps in own]
+        return [b"".join(map(self.__getitem__, self.pieces(t.encode("utf-8")))) for t in texts]
 
     @staticmethod
     def pieces(text: bytes) -> list[bytes]:
