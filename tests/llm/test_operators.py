@@ -607,6 +607,16 @@ def test_quality_against_given_labels(spark):
     assert quality.classify(odd.where("false")).count() == 0 and quality.kept(odd).count() == 0
 
 
+def test_small_letters_of_any_script_are_not_looked_at_one_by_one(monkeypatch):
+    text = "été größe, ça. abc. λόγος привет,"
+    plain = {w: quality.Reader.word(w.encode()) for w in text.split()}
+    monkeypatch.setattr(quality.Reader, "word", staticmethod(lambda w: pytest.fail(f"{w} looked at")))
+    r = quality.Reader()
+    stats, shapes = r.read(text)
+    assert stats[0] == 6 and stats[7] == 2 / 6 and not stats[1:4].any() and abs(shapes.sum() - 1) < 1e-6
+    assert set(r.kinds) == set(plain.values())  # as if each had been
+
+
 def test_em_equals_a_version_document_by_document():
     import math
 

@@ -13,7 +13,7 @@ left out.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -30,52 +30,73 @@ BITS, SEED = 12, 7
 ODD = frozenset(b"#$%&*+<=>@[\\]^_`{|}~")
 
 
-class Reader:
-    """Statistics and hashed features of texts; what depends on a word alone is held per word, up to a limit."""
+class Reader(dict):
+    """Statistics and hashed features of texts; what depends on a word alone is held per word, up to a limit: the number of
+    its kind, as words alike share one row of numbers."""
 
     LIMIT = 300_000
 
     def __init__(self):
-        self.held: dict[bytes, tuple] = {}
-        self.kinds: dict[tuple, tuple] = {}  # words alike share one entry
+        self.forget()
 
-    def word(self, w: bytes) -> tuple:
-        """(capitals, letters, odd signs, ends a sentence, doubled end sign, shape's feature)"""
+    def forget(self) -> None:
+        self.clear()
+        self.kinds: dict[tuple, int] = {}
+        self.plain: dict[tuple, int] = {}  # kinds of small letters with perhaps a comma or full stop, by length and end
+        self.rows = np.zeros((256, 6), np.int64)
+
+    def __missing__(self, w: bytes) -> int:
         core = w[:-1] if w[-1:] in (b".", b",") else w
-        if core.isalpha() and core.islower():  # most words: plain letters, perhaps a comma or full stop
-            key = (0, len(core), 0, w[len(core) :] == b".", False, "a", len(w), w[len(core) :].decode())
+        if not core.isascii():
+            core = core.decode("utf-8", "replace")
+        if core.isalpha() and core.islower():  # most words
+            tail = w[-1:] if w[-1:] in (b".", b",") else b""
+            kind = self.plain.get((len(core), tail))
+            if kind is None:
+                kind = self.plain[len(core), tail] = self.kind((0, len(core), 0, tail == b".", False, "a", len(core) + len(tail), tail.decode()))
         else:
-            t = w.decode("utf-8", "replace")
-            letters, caps, odd = sum(map(str.isalpha, t)), sum(map(str.isupper, t)), sum(c in ODD for c in w)
-            tail = t[-1:] if not t[-1:].isalnum() else ""
-            doubled = len(t) > 1 and t[-1] == t[-2] and not t[-1].isalnum()
-            kind = "A" if letters and caps == letters and letters > 1 else "a" if letters and not caps else "Aa" if letters and t[:1].isupper() and caps == 1 else "mix" if letters else "0" if t.isdigit() else "-"
-            key = (caps, letters, odd, t[-1:] in (".", "?", "!", ";", ":"), doubled, kind, len(t), tail)
-        if key not in self.kinds:
+            kind = self.kind(self.word(w))
+        self[w] = kind
+        return kind
+
+    @staticmethod
+    def word(w: bytes) -> tuple:
+        """(capitals, letters, odd signs, ends a sentence, doubled end sign, kind of letters, size, end sign)"""
+        t = w.decode("utf-8", "replace")
+        letters, caps, odd = sum(map(str.isalpha, t)), sum(map(str.isupper, t)), sum(c in ODD for c in w)
+        tail = t[-1:] if not t[-1:].isalnum() else ""
+        doubled = len(t) > 1 and t[-1] == t[-2] and not t[-1].isalnum()
+        kind = "A" if letters and caps == letters and letters > 1 else "a" if letters and not caps else "Aa" if letters and t[:1].isupper() and caps == 1 else "mix" if letters else "0" if t.isdigit() else "-"
+        return caps, letters, odd, t[-1:] in (".", "?", "!", ";", ":"), doubled, kind, len(t), tail
+
+    def kind(self, key: tuple) -> int:
+        """The number of the row (capitals, letters, odd signs, ends a sentence, doubled end sign, shape's feature)."""
+        at = self.kinds.get(key)
+        if at is None:
             caps, letters, odd, stop, doubled, kind, size, tail = key
             shape = f"{kind} {min(size, 24) // 4} {tail}{'x' if doubled else ''} {min(odd, 3)}"
-            if len(self.kinds) > self.LIMIT // 8:
-                self.kinds.clear()
-            self.kinds[key] = (caps, letters, odd, stop, doubled, xxhash.xxh3_64_intdigest(shape) >> (64 - BITS))
-        return self.kinds[key]
+            at = self.kinds[key] = len(self.kinds)
+            if at == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[at] = caps, letters, odd, stop, doubled, xxhash.xxh3_64_intdigest(shape) >> (64 - BITS)
+        return at
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Statistics, and counts of hashed shapes."""
         raw = text.encode("utf-8", "replace")
         words = raw.split()
-        n, held = len(words), self.held
+        n = len(words)
         if not n:
             return np.zeros(9), np.zeros(1 << BITS, np.float32)
-        if len(held) > self.LIMIT:
-            held.clear()
-        code = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        for w in code:
-            if w not in held:
-                held[w] = self.word(w)
+        if len(self) > self.LIMIT or len(self.kinds) > self.LIMIT // 8:
+            self.forget()
+        code: defaultdict[bytes, int] = defaultdict()
+        code.default_factory = code.__len__  # numbers in order of appearance
         seq = np.fromiter(map(code.__getitem__, words), np.int64, n)
         k = np.bincount(seq)
-        per = np.array([held[w] for w in code], np.int64)
-        caps, letters, odd, stops, doubled = (per[:, :5] * k[:, None]).sum(0)
+        kinds = np.fromiter(map(self.__getitem__, code), np.int64, len(k))
+        per = self.rows.take(kinds, axis=0)
+        caps, letters, odd, stops, doubled = k @ per[:, :5]
         feats = np.bincount(per[:, 5], weights=k, minlength=1 << BITS).astype(np.float32) / n
         same = int((seq[1:] == seq[:-1]).sum())
         lines = Counter(x for x in raw.split(b"\n") if len(x) > 20)
