@@ -519,6 +519,50 @@ def test_plain_pieces_are_the_models_alone(monkeypatch):
     assert calls.count("again") <= 1
 
 
+def test_new_runs_of_many_texts_take_few_calls(monkeypatch):
+    """The model takes all new runs in one call and none alone; what is held keeps to LIMIT, and ids are the library's."""
+    from tokenizers import Tokenizer
+
+    lib, enc, rng = Tokenizer.from_file(tokenizer(WORD_BPE)), tokenfile.Encoder(tokenizer(WORD_BPE)), random.Random(5)
+    monkeypatch.setattr(tokenfile.Encoder, "LIMIT", 1000)
+    calls, model, runs = [], enc.model, enc.runs
+    enc.model = lambda p: calls.append(p) or model(p)
+
+    class Runs:
+        def encode_batch_fast(self, *args, **named):
+            calls.append(args)
+            return runs.encode_batch_fast(*args, **named)
+
+    enc.runs = Runs()
+    bits = ["THE", "été", "größe", "ÿ", "a", "9", "10", ",", ".", "!?", "<", "x" * 15, "y" * 16, "z" * 17, "w" * 300, "&&&&&&&&&", " ", " ", "\n"]
+    texts = ["", " ", "\n", *("".join(rng.choices(bits, k=rng.randint(1, 12))) for _ in range(3000))]
+    for t, got in zip(texts, enc.encode_all(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
+    assert len(calls) <= 1 and len(enc) + len(enc.old) <= 1000
+
+
+def test_many_odd_texts_with_ends():
+    from tokenizers import Tokenizer
+
+    lib, enc, rng = Tokenizer.from_file(tokenizer(WORD_BPE)), tokenfile.Encoder(tokenizer(WORD_BPE)), random.Random(6)
+    bits = ["it's", "'", "\0", "\0\0", "\x0b", "\t", "É", "×", "ß", "÷", "ũ", "é", "́", " ", " ", "abc", "7", "--", "<|endoftext|>", "<", "|", " ", " ", "\n", "\r\n", "😀", "中"]
+    for some in (0, 1, 2, 3000):
+        texts = ["".join(rng.choices(bits, k=rng.randint(0, 9))) for _ in range(some)]
+        flat, lengths = enc.encode_many([t.encode() for t in texts], np.array([1], "<u4").tobytes())
+        assert len(lengths) == some and lengths.sum() == len(flat)
+        for t, got in zip(texts, np.split(flat, np.cumsum(lengths)[:-1]) if some else [], strict=True):
+            assert got.tolist() == [*lib.encode(t, add_special_tokens=False).ids, 1], t
+
+
+def test_places_are_by_frequency():
+    ids = np.array([9, 9, 9, 7, 5, 5, 2**25, 2**25, 2**25, 2**25], "<u4")
+    for some in (ids, ids[:6]):
+        start, at = tokenfile.Start.of(some)
+        assert (np.diff(start.times.astype(int)) <= 0).all() and (start.ids[at] == some).all()
+        again = tokenfile.Start.of_arrays(start.arrays())
+        assert (again.ids == start.ids).all() and (again.times == start.times).all() and (again.follow == start.follow).all()
+
+
 def test_coder_beats_order_0():
     enc = tokenfile.Encoder(tokenizer(WORD_BPE))
     texts = [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()]

@@ -10,7 +10,7 @@ one numpy lane each. Whatever the coder's range depends on is an integer, so tha
 
 File format: a folder of Parquet files whose rows (part, seq, n_ids, payload) hold one buffer of whole documents each;
 payload: magic, then a head with counts, document ids and lengths, the distinct ids with their numbers in the buffer (their
-shares of order 0 follow from these) and, for those seen OFTEN times, the ids that most often follow them, the weights, block lengths and
+shares of order 0 and their places, by frequency, follow from these) and, for those seen OFTEN times, the ids that most often follow them, the weights, block lengths and
 checksums, then the blocks' bytes. A buffer of more than TWICE blocks has its head once more at its end, so that a damaged
 head costs no block. Rows are in document order by (part, seq). A damaged block, or a head with no sound copy, raises
 ValueError on reading.
@@ -33,17 +33,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrain.llm.bpe import byte_alphabet
-from tidegrain.llm.common import HELD, LOWER, parts, save, tidied
+from tidegrain.llm.common import HELD, LOWER, parts, save, strings, tidied
 
-BLOCK, BUFFER, MAGIC = 4096, 4096 * 2048, b"TGTF4\0"
+BLOCK, BUFFER, MAGIC = 4096, 4096 * 2048, b"TGTF5\0"
 OFTEN, TWICE = 16, 64
 SLOTS_BITS = 11  # of each long order's table
 U8, U32, U64, I64 = np.uint8, np.uint32, np.uint64, np.int64
-LEAST = U64(1 << 32)  # the coder's range after a settled step
+LEAST = np.array(1 << 32, U64)  # the coder's range after a settled step; constants of the steps are arrays, which numpy takes faster
+LOW, HALF = LEAST - U64(1), np.array(32, U64)
+ONE, TWO, FOUR, ALL = (np.array(x, U32) for x in (1, 2, 4, 2**32 - 1))
 WEIGHTS, LOWEST = 12, 16  # bits of a weight, and the lowest: no order is ever certain
-# by hit << 2 | confidence: what an entry changes by, and below which it is lost to the id seen; by hits: the first order that was right
-STEP = np.array([0, 0, -1, -1, 1, 1, 1, 0], np.int64).astype(U32)
-LOST = U8(2)
+# by hits: the first order that was right
 FIRST = np.array([3, 0, 1, 0, 2, 0, 1, 0], U8)
 SPECIAL = b"<|"  # how the vocabulary's special tokens begin
 LETTER = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])"  # small letters of Latin-1, which no rule changes
@@ -51,9 +51,9 @@ PLAIN, RUNS = re.compile(rb"(?:[!-&(-@\[-`{-~]|" + LETTER + rb")+"), re.compile(
 
 
 class Start:
-    """What every block starts from: the distinct ids in order, how often each occurs, and what most often follows it.
+    """What every block starts from: the distinct ids by how often they occur, their numbers, and what most often follows each.
 
-    Ids are coded by their places among the distinct ones. Shares of order 0 sum to 2^bits, each at least one.
+    Ids are coded by their places among the distinct ones, of which the most frequent is first. Shares of order 0 sum to 2^bits, each at least one.
     """
 
     def __init__(self, ids: np.ndarray, times: np.ndarray, follow: np.ndarray):
@@ -73,12 +73,17 @@ class Start:
         if top < 1 << 24:
             n = np.bincount(ids)
             distinct = np.flatnonzero(n)
+            distinct = distinct[by_number(n[distinct])]
             n = n[distinct]
             place = np.zeros(top + 1, U32)
             place[distinct] = np.arange(len(distinct), dtype=U32)
             at = place[ids]
         else:
             distinct, at, n = np.unique(ids, return_inverse=True, return_counts=True)
+            order = by_number(n)
+            place = np.empty(len(n), U32)
+            place[order] = np.arange(len(n), dtype=U32)
+            distinct, at, n = distinct[order], place[at], n[order]
         k = len(distinct)
         if 2 * k > 1 << 20:
             raise ValueError(f"{k} distinct ids in a buffer: the file format is for vocabularies of up to 2^19")
@@ -103,22 +108,24 @@ class Start:
         return (times >= OFTEN) & (np.arange(len(times)) < 1 << SLOTS_BITS)
 
     def arrays(self) -> list[bytes]:
-        """Ids by their distances, numbers, and followers by their ranks among the ids by number."""
-        rank = np.empty(len(self.ids), U32)
-        rank[self.ranked()] = np.arange(len(self.ids), dtype=U32)
-        return [packed(np.diff(self.ids, prepend=U32(0)), "<u4"), packed(self.times, "<u8"), packed(rank[self.follow[Start.told(self.times)]].ravel(), "<u4")]
-
-    def ranked(self) -> np.ndarray:
-        return np.argsort(-self.times.astype(I64), kind="stable")
+        """Ids by their distances, and their numbers, in order of ids; followers by their places."""
+        by = np.argsort(self.ids)
+        return [packed(np.diff(self.ids[by], prepend=U32(0)), "<u4"), packed(self.times[by], "<u8"), packed(self.follow[Start.told(self.times)].ravel(), "<u4")]
 
     @staticmethod
     def of_arrays(data: list[bytes]) -> Start:
         ids, times = np.cumsum(unpacked(data[0], "<u4"), dtype=U32), unpacked(data[1], "<u8")
-        s = Start(ids, times, np.zeros((len(ids), 2), U32))
-        s.follow[Start.told(times)] = s.ranked()[unpacked(data[2], "<u4").reshape(-1, 2)]
+        by = by_number(times)
+        s = Start(ids[by], times[by], np.zeros((len(ids), 2), U32))
+        s.follow[Start.told(s.times)] = unpacked(data[2], "<u4").reshape(-1, 2)
         return s
 
 
+def by_number(times: np.ndarray) -> np.ndarray:
+    """The order of places: most frequent ids first, so that what is often looked up lies close together."""
+    return np.argsort(-times.astype(I64), kind="stable")
+
+
 def packed(x: np.ndarray, kind: str) -> bytes:
     """An array's bytes compressed: the lowest byte of all numbers, then the next of all."""
     kind = np.dtype(kind)
@@ -132,47 +139,74 @@ def unpacked(data: bytes, kind: str) -> np.ndarray:
 
 
 class Model:
-    """The predictions of one lane per block; encoder and decoder take the same steps."""
+    """The predictions of one lane per block; encoder and decoder take the same steps. Entries are place << 2 | confidence.
+
+    An order's slots of one lane lie side by side, those of frequent places first, which keeps them in the processor's cache.
+    """
+
+    SPREAD, MIXED = np.array(0x9E3779B1, U32), np.array(0x27D4EB2F, U32)
+    SHIFT, SLOTS = np.array(32 - SLOTS_BITS, U32), np.array((1 << SLOTS_BITS) - 1, U32)
 
     def __init__(self, lanes: int, start: Start):
         slots = 1 << SLOTS_BITS
-        one = np.zeros((slots, 2), U32)
+        one = np.ones((slots, 2), U32)
         k = min(len(start.ids), slots)
-        one[:k] = start.follow[:k] << U32(2) | U32(1)
-        self.near = np.tile(one.view(U64).ravel(), lanes)  # order 1: two entries of place << 2 | confidence
-        self.far = np.zeros(lanes * slots, U32)  # order 2: one entry
-        self.base = np.arange(lanes, dtype=I64) << SLOTS_BITS
-        self.prev, self.key = np.zeros(lanes, U32), np.zeros(lanes, U32)
-
-    def predict(self, a: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """For the first a lanes: the places of the long orders, and 4 times the number of their context."""
-        prev, base = self.prev[:a], self.base[:a]
-        self.i1 = base + (prev & U32((1 << SLOTS_BITS) - 1)).astype(I64)
-        self.i2 = base + ((prev * U32(0x9E3779B1) ^ self.key[:a]) * U32(0x27D4EB2F) >> U32(32 - SLOTS_BITS)).astype(I64)
-        self.e0, self.pair = self.far.take(self.i2), self.near.take(self.i1)
-        both = self.pair.view(U32).reshape(-1, 2) >> U32(2)
-        c0, c1, c2 = self.e0 >> U32(2), both[:, 0], both[:, 1]
-        self.sure0, self.sure1 = self.e0.astype("u1") & U8(3), self.pair.astype("u1") & U8(3)
-        same = (c0 == c1).view("u1") | (c0 == c2).view("u1") << U8(1)
-        return [c0, c1, c2], self.sure0 << U8(6) | self.sure1 << U8(4) | same << U8(2)
-
-    def learn(self, a: int, x: np.ndarray, hit0: np.ndarray, hit1: np.ndarray) -> None:
-        """hit0, hit1: where x was the place of order 2, and the first of order 1."""
-        fresh = x << U32(2) | U32(1)
-        at = hit0.view("u1") << U8(2) | self.sure0
-        e = self.e0 + STEP.take(at)
-        np.copyto(e, fresh, where=at < LOST)
-        self.far[self.i2] = e
-        at = hit1.view("u1") << U8(2) | self.sure1
-        lost, old = at < LOST, self.pair.view(U32).reshape(-1, 2)
-        new = old.copy()
-        new[:, 0] += STEP.take(at)
-        np.copyto(new[:, 1], fresh, where=~hit1)
-        np.copyto(new[:, 1], old[:, 0], where=lost)
-        np.copyto(new[:, 0], fresh, where=lost)
-        self.near[self.i1] = new.view(U64).ravel()
-        self.key[:a] = (self.prev[:a] + U32(1)) * U32(0x85EBCA6B)
-        self.prev[:a] = x
+        one[:k] |= start.follow[:k] << TWO
+        self.table = np.zeros(lanes * slots * 3, U32)  # order 2: one entry a slot; then order 1: two
+        self.table[lanes * slots :].reshape(lanes, -1)[:] = one.ravel()
+        far, near = np.arange(lanes) * slots, lanes * slots + np.arange(lanes) * slots * 2
+        self.base = np.stack([far, near, near])
+
+    def slots(self, before: np.ndarray, prev: np.ndarray) -> np.ndarray:
+        """Of each lane where the entry of order 2 and the two of order 1 are, by the two places before."""
+        far, at = prev * self.SPREAD, np.empty((*prev.shape[:-1], *self.base.shape), U32)
+        far ^= before
+        far *= self.MIXED
+        np.right_shift(far, self.SHIFT, out=at[..., 0, :])
+        np.bitwise_and(prev, self.SLOTS, out=far)
+        np.left_shift(far, ONE, out=at[..., 1, :])
+        np.bitwise_or(at[..., 1, :], ONE, out=at[..., 2, :])
+        at = at.astype(I64)
+        at += self.base
+        return at
+
+    def learn(self, at: np.ndarray, e: np.ndarray, fresh: np.ndarray) -> None:
+        """fresh: the entries of the places that came. An entry that was right is surer, another less so, or fresh if it wasn't sure.
+
+        What is chosen lane by lane is chosen by masks of all bits, as no branch foresees it.
+        """
+        old, new = e[:2], np.empty_like(e)
+        hit = ((old ^ fresh) < FOUR) * ALL
+        kept = old & TWO
+        kept = (kept > 0) * ALL
+        kept |= hit
+        step = hit & TWO
+        step -= ONE
+        step += old
+        most = ~hit
+        most |= fresh | TWO
+        np.minimum(step, most, out=step)
+        step ^= fresh
+        step &= kept
+        np.bitwise_xor(step, fresh, out=new[:2])
+        second = fresh ^ e[2]
+        second &= hit[1]
+        second ^= fresh
+        second ^= e[1]
+        second &= kept[1]
+        np.bitwise_xor(second, e[1], out=new[2])
+        self.table[at] = new
+
+
+def context(e0: np.ndarray, e1: np.ndarray, e2: np.ndarray) -> np.ndarray:
+    """4 times the number of the context."""
+    kind = e1.astype("u1")
+    kind &= U8(3)
+    kind <<= U8(4)
+    kind |= e0.astype("u1") << U8(6)
+    kind |= ((e0 ^ e1) < FOUR).view("u1") << U8(2)
+    kind |= ((e0 ^ e2) < FOUR).view("u1") << U8(3)
+    return kind
 
 
 class Coder:
@@ -180,28 +214,23 @@ class Coder:
 
     def __init__(self, lanes: int):
         self.low, self.rng = np.zeros(lanes, U64), np.full(lanes, 2**64 - 1, U64)
-        self.pos = np.zeros(lanes, I64)
+        self.lanes, self.at = lanes, np.arange(lanes, dtype=I64)  # the next 32 bits are at this place, then lanes further on
 
     def settle(self, a: int, move) -> None:
-        sel, lo, r = None, self.low[:a], self.rng[:a]
-        while True:
-            done = (lo ^ (lo + r)) < LEAST
-            go = np.flatnonzero(done | (r < LEAST))
-            if not len(go):
-                return
-            under = ~done[go]
-            lo, r = lo[go], r[go]
-            r = np.where(under, (U64(0) - lo) & (LEAST - U64(1)), r)
-            sel = go if sel is None else sel[go]
-            move(sel, lo)
-            self.pos[sel] += 1
-            lo, r = lo << U64(32), r << U64(32)
-            self.low[sel], self.rng[sel] = lo, r
+        """Lanes of a range under LEAST shed 32 bits, after which it is at least that; it is cut where they aren't settled."""
+        r = self.rng[:a]
+        go = np.flatnonzero(r < LEAST)
+        lo, at = self.low.take(go), self.at.take(go)
+        r = np.minimum(r.take(go), LEAST - (lo & LOW))
+        move(go, lo, at)
+        self.at[go] = at + self.lanes
+        self.low[go], self.rng[go] = lo << HALF, r << HALF
 
 
 def fitted(hist: np.ndarray, last: int) -> np.ndarray:
     """The weights of the long orders in each context, of 2^WEIGHTS in all: how often each was the first that was right."""
-    n = np.bincount(hist.ravel(), minlength=256)
+    n = np.bincount(hist[: len(hist) // 2 * 2].ravel().view("<u2"), minlength=1 << 16).reshape(256, 256)
+    n = n.sum(0) + n.sum(1) + np.bincount(hist[len(hist) // 2 * 2 :].ravel(), minlength=256)
     n -= np.bincount(hist[last:, -1], minlength=256)  # the last lane ends early
     n = n.reshape(64, 4)
     return LOWEST + n[:, :3] * ((1 << WEIGHTS) - 4 * LOWEST) // np.maximum(n.sum(1, keepdims=True), 1)
@@ -219,47 +248,50 @@ def encode_blocks(at: np.ndarray, start: Start) -> tuple[list[bytes], np.ndarray
     """The coded blocks of ids, given as places, and the weights they are coded with."""
     n = len(at)
     lanes, steps = -(-n // BLOCK), min(BLOCK, n)
-    grid = np.zeros(lanes * BLOCK, U32)
-    grid[:n] = at
-    grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)[:steps]
+    flat = np.zeros(lanes * BLOCK, U32)
+    flat[:n] = at
+    grid = np.zeros((2 + steps, lanes), U32)  # two places of 0 come before each block's
+    grid[2:] = flat.reshape(lanes, BLOCK).T[:steps]
     last = n - (lanes - 1) * BLOCK
-    width = [lanes if t < last else lanes - 1 for t in range(steps)]
-    m, hist = Model(lanes, start), np.zeros((steps, lanes), "u1")
-    for t, a in enumerate(width):
-        if not a:
-            break
-        x = grid[t, :a]
-        place, context = m.predict(a)
-        hit = [p == x for p in place]
-        hist[t, :a] = context | FIRST.take(hit[0].view("u1") | hit[1].view("u1") << U8(1) | hit[2].view("u1") << U8(2))
-        m.learn(a, x, hit[0], hit[1])
+    m, hist = Model(lanes, start), np.empty((steps, lanes), "u1")
+    for some in range(0, steps, 32):
+        x = grid[some + 2 : some + 34]
+        at = m.slots(grid[some : some + len(x)], grid[some + 1 : some + 1 + len(x)])
+        fresh, seen = x << TWO | ONE, np.empty(at.shape, U32)
+        for slots, e, came in zip(at, seen, fresh, strict=True):
+            m.table.take(slots, out=e, mode="clip")
+            m.learn(slots, e, came)
+        e0, e1, e2 = seen[:, 0], seen[:, 1], seen[:, 2]
+        hit = [((e ^ fresh) < FOUR).view("u1") for e in (e0, e1, e2)]
+        hist[some : some + 32] = context(e0, e1, e2) | FIRST.take(hit[0] | hit[1] << U8(1) | hit[2] << U8(2))
     weights = fitted(hist, last)
     begin, size = shares(weights, start.bits)
     c = Coder(lanes)
-    out = np.zeros((lanes, 2 * BLOCK + 4), "<u4")  # an id takes 32 bits at most, and what the range loses by rounding
+    out = np.zeros((2 * steps + 4) * lanes, "<u4")  # lane by lane for each place; an id takes 32 bits at most, and what the range loses by rounding
 
-    def emit(sel, lo):
-        out[sel, c.pos[sel]] = lo >> U64(32)
+    def emit(sel, lo, at):
+        out[at] = lo >> HALF
 
     shift = U64(start.bits + WEIGHTS)
     for some in range(0, steps, 32):
         kind = hist[some : some + 32]
         below, own = begin.take(kind), size.take(kind)
         rest = np.flatnonzero(kind & U8(3) == U8(3))
-        x, w = grid[some : some + 32].ravel()[rest], own.ravel()[rest]
+        x, w = grid[some + 2 : some + 34].ravel().take(rest), own.ravel().take(rest)
         below.ravel()[rest] += w * start.cum.take(x)
         own.ravel()[rest] = w * start.size.take(x)
         for t, lower, part in zip(range(some, steps), below, own, strict=False):
-            a = width[t]
+            a = lanes if t < last else lanes - 1
             r = c.rng[:a] >> shift
             c.low[:a] += r * lower[:a]
             c.rng[:a] = r * part[:a]
             c.settle(a, emit)
-    every = np.arange(lanes)
     for s in (32, 0):
-        out[every, c.pos] = (c.low >> U64(s)) & U64(2**32 - 1)
-        c.pos += 1
-    return [out[i, : c.pos[i]].tobytes() for i in range(lanes)], weights
+        out[c.at] = (c.low >> U64(s)) & U64(2**32 - 1)
+        c.at += lanes
+    sizes = c.at // lanes
+    out = np.ascontiguousarray(out.reshape(-1, lanes)[: sizes.max()].T)
+    return [out[i, : sizes[i]].tobytes() for i in range(lanes)], weights
 
 
 def decode_blocks(blocks: list[bytes], n: int, start: Start, weights: np.ndarray) -> np.ndarray:
@@ -269,42 +301,52 @@ def decode_blocks(blocks: list[bytes], n: int, start: Start, weights: np.ndarray
     data = np.zeros((lanes, width), "<u4")
     for i, b in enumerate(blocks):
         data[i, : len(b) // 4] = np.frombuffer(b, "<u4", len(b) // 4)
-    last = n - (lanes - 1) * BLOCK
-    grid = np.zeros((BLOCK, lanes), U32)
+    data = np.ascontiguousarray(data.T).ravel()
+    grid = np.zeros((BLOCK + 2, lanes), U32)  # two places of 0 come before each block's
     m, c = Model(lanes, start), Coder(lanes)
-    code = data[:, 0].astype(U64) << U64(32) | data[:, 1]
+    code = data[:lanes].astype(U64) << U64(32) | data[lanes : 2 * lanes]
+    c.at += 2 * lanes
 
-    def refill(sel, lo):
-        code[sel] = code[sel] << U64(32) | data[sel, np.minimum(c.pos[sel] + 2, width - 1)]
+    def refill(sel, lo, at):
+        code[sel] = code.take(sel) << HALF | data.take(at, mode="clip")
 
     begin, size = shares(weights, start.bits)
-    cuts = [np.repeat(begin[j::4], 4) for j in (1, 2, 3)]  # by 4 times the context
-    shift, top = U64(start.bits + WEIGHTS), U64(len(start.place) - 1)
-    for t in range(min(BLOCK, n)):
-        a = lanes if t < last else lanes - 1
-        if not a:
-            break
-        place, kind = m.predict(a)
-        r = c.rng[:a] >> shift
-        v = (code[:a] - c.low[:a]) // r
-        past = [v >= cut.take(kind) for cut in cuts]
-        kind += past[0].view("u1") + past[1].view("u1") + past[2].view("u1")
+    ends = (begin.reshape(64, 4)[:, 1:] >> U64(start.bits)).astype(I64)
+    orders = (np.arange(1 << WEIGHTS) >= ends[:, :, None]).sum(1, dtype="u1").ravel()  # by context and part of the range
+    bits, shift, top = np.array(start.bits, U64), np.array(start.bits + WEIGHTS, U64), np.array((1 << WEIGHTS) - 1, I64)
+    e, every, three = np.zeros((4, lanes), U32), np.arange(lanes), np.array(3, "u1")
+    for t in range(min(BLOCK, n)):  # the last lane goes on behind its end, where nobody reads it
+        at = m.slots(grid[t], grid[t + 1])
+        m.table.take(at, out=e[:3], mode="clip")
+        kind = context(e[0], e[1], e[2]).astype(I64)
+        r = c.rng >> shift
+        v = code - c.low
+        v //= r
+        place = (v >> bits).view(I64)
+        np.minimum(place, top, out=place)
+        place += kind << np.int64(WEIGHTS - 2)
+        order = orders.take(place)
+        kind += order
         lower, part = begin.take(kind), size.take(kind)
-        x = place[0].copy()
-        np.copyto(x, place[1], where=past[0])
-        np.copyto(x, place[2], where=past[1])
-        rest = np.flatnonzero(past[2])
-        w = part[rest]
-        own = start.place.take(np.minimum((v[rest] - lower[rest]) // w, top).astype(I64))
+        x = e.ravel().take(order * np.int64(lanes) + every) >> TWO
+        rest = np.flatnonzero(order == three)
+        w, under = part.take(rest), lower.take(rest)
+        v = v.take(rest)
+        v -= under
+        v //= w
+        own = start.place.take(v.view(I64), mode="clip")
         x[rest] = own
-        lower[rest] += w * start.cum.take(own)
+        lower[rest] = under + w * start.cum.take(own)
         part[rest] = w * start.size.take(own)
-        c.low[:a] += r * lower
-        c.rng[:a] = r * part
-        c.settle(a, refill)
-        grid[t, :a] = x
-        m.learn(a, x, place[0] == x, place[1] == x)
-    return np.ascontiguousarray(grid.T).ravel()[:n]
+        lower *= r
+        c.low += lower
+        np.multiply(r, part, out=c.rng)
+        c.settle(lanes, refill)
+        grid[t + 2] = x
+        fresh = x << TWO
+        fresh |= ONE
+        m.learn(at, e[:3], fresh)
+    return np.ascontiguousarray(grid[2:].T).ravel()[:n]
 
 
 def pack(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
@@ -363,20 +405,27 @@ class Encoder(dict):
     one of its special tokens, which the library finds in the text as it is. In a piece of small Latin-1 letters and other
     printable ASCII signs without these tokens and without an apostrophe, the rules change nothing and part runs of letters,
     single digits and runs of signs, so the library's model takes the bytes of each of these; other pieces go through the
-    whole library. When half of LIMIT pieces are held, they become the old ones, and only those that come again stay.
+    whole library. Of many texts these units are found and told apart by numpy, so that each distinct one is looked up once,
+    and the model takes all new runs in one call. When half of LIMIT pieces are held, they become the old ones, and only those that come again stay.
     """
 
     LIMIT = 800_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
         self.model = self.lib.model.tokenize
         self.signs = {b: c for c, b in byte_alphabet().items()}
+        self.letters = {b: c for b, c in self.signs.items() if b != 32}
+        self.runs = Tokenizer(self.lib.model)  # the model alone, for runs with spaces between them
+        self.runs.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        suffix = self.lib.model.end_of_word_suffix or "</w>"
+        self.last = np.zeros(1 + max(self.lib.get_vocab().values()), bool)
+        self.last[[i for t, i in self.lib.get_vocab(False).items() if t.endswith(suffix)]] = True
         self.four = [i.to_bytes(4, "little") for i in range(1 + max(self.lib.get_vocab().values()))]
         self.old: dict[bytes, bytes] = {}
 
@@ -406,7 +455,66 @@ class Encoder(dict):
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """ids of each text as little-endian 32-bit integers."""
-        return [b"".join(map(self.__getitem__, self.pieces(t.encode("utf-8")))) for t in texts]
+        flat, lengths = self.encode_many([t.encode("utf-8") for t in texts])
+        ends = 4 * np.cumsum(lengths)
+        data = flat.tobytes()
+        return [data[b - 4 * n : b] for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+
+    def encode_many(self, texts: list[bytes], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each with the ids of end behind it, and how many there are of each text.
+
+        Units are what the model takes alone: runs of plain pieces, and other pieces whole. Each distinct one is looked up once.
+        """
+        marked = [i for i, t in enumerate(texts) if SPECIAL in t]  # these go piece by piece
+        apart = {i: self.encode(texts[i].decode()) for i in marked}
+        data = b"\n".join([*(b"" if i in apart else t.replace(b"\n", b" ") for i, t in enumerate(texts)), b""]).translate(LOWER)
+        begin, size, kind = units(data)
+        rep = alike(data, begin, size)
+        first = np.flatnonzero(rep == np.arange(len(rep), dtype=rep.dtype))
+        number = np.zeros(len(rep), np.int32)
+        number[first] = np.arange(len(first), dtype=np.int32)
+        own, at = number.take(rep), begin[first]
+        held = self.all_of([data[i:j] for i, j in zip(at.tolist(), (at + size[first]).tolist(), strict=True)], kind[first] == OTHER, end)
+        many = np.fromiter(map(len, held), np.int32, len(held)) // 4
+        pool, before = np.frombuffer(b"".join(held), "<u4"), np.cumsum(many, dtype=I64) - many
+        each = many.take(own)
+        till = np.cumsum(each, dtype=I64)
+        flat = pool.take(np.repeat(before.take(own) - till + each, each) + np.arange(int(till[-1]) if len(till) else 0))
+        lengths = np.diff(till[kind == END], prepend=0)
+        if marked:
+            own = np.split(flat, np.cumsum(lengths)[:-1])
+            for i, ids in apart.items():
+                own[i] = np.frombuffer(ids + end, "<u4")
+            flat, lengths = np.concatenate(own), np.array([len(x) for x in own], I64)
+        return flat, lengths
+
+    def all_of(self, pieces: list[bytes], odd: np.ndarray, end: bytes) -> list[bytes]:
+        """What stands for each unit; the model takes all plain ones that aren't held in few calls."""
+        held = list(map(self.get, pieces))
+        fresh = [i for i, x in enumerate(held) if x is None]
+        for i in fresh:
+            held[i] = self.old.get(pieces[i]) if pieces[i] != b"\n" else end
+        new = [i for i in fresh if held[i] is None and not odd[i]]
+        for k in range(0, len(new), 50_000):
+            some = new[k : k + 50_000]
+            ids = np.array(self.runs.encode_batch_fast([b" ".join([pieces[i] for i in some]).decode("latin-1").translate(self.letters)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = 4 * (1 + np.flatnonzero(self.last.take(ids)))
+            if len(cuts) != len(some):  # a vocabulary without ends of words
+                break
+            data, a = ids.tobytes(), 0
+            for i, b in zip(some, cuts.tolist(), strict=True):
+                held[i] = data[a:b]
+                a = b
+        for i in fresh:
+            p = pieces[i]
+            if held[i] is None:
+                held[i] = self.learn(p)
+            if p != b"\n":
+                self[p] = held[i]
+            if len(self) >= self.LIMIT // 2:
+                self.old = dict(self)
+                self.clear()
+        return held
 
     @staticmethod
     def pieces(text: bytes) -> list[bytes]:
@@ -415,7 +523,64 @@ class Encoder(dict):
         return [p if SPECIAL in p else p.translate(LOWER) for p in text.replace(b"\n", b" ").split(b" ")]
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+        return b"".join(map(self.__getitem__, self.pieces(text.encode("utf-8"))))
+
+
+#: Of each byte: a space's, a Latin-1 letter's, a digit's or a sign's run, another piece's, the end of a text.
+SPACE, SMALL, DIGIT, SIGN, OTHER, END = range(6)
+KIND = bytearray([OTHER]) * 256
+for _kind, _signs in ((SIGN, rb"!\"#$%&()*+,-./:;<=>?@[\]^_`{|}~"), (DIGIT, b"0123456789"), (SMALL, bytes(range(97, 123))), (SPACE, b" "), (END, b"\n")):
+    for _sign in _signs:
+        KIND[_sign] = _kind
+SECOND = np.zeros(256, bool)  # what stands behind 0xc3 in a small letter
+SECOND[[*range(0x9F, 0xB7), *range(0xB8, 0xC0)]] = True
+
+
+def units(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the units of texts in lower case, each with a line break behind it, begin, their sizes and kinds; line breaks count as units."""
+    b, kind = np.frombuffer(data, "u1"), np.frombuffer(bytearray(data.translate(KIND)), "u1")
+    lead = np.flatnonzero(b == 0xC3)
+    lead = lead[SECOND.take(b.take(lead + 1))]
+    kind[lead] = kind[lead + 1] = SMALL
+    if len(odd := np.flatnonzero(kind == OTHER)):  # the whole piece is one unit
+        gaps = np.flatnonzero((kind == SPACE) | (kind == END))
+        piece = np.unique(np.searchsorted(gaps, odd))
+        begin = np.where(piece > 0, gaps.take(piece - 1, mode="clip") + 1, 0)
+        size = gaps[piece] - begin
+        kind[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())] = OTHER
+    cut = np.ones(len(b), bool)
+    np.not_equal(kind[1:], kind[:-1], out=cut[1:])
+    cut |= (kind == DIGIT) | (kind == END)
+    begin = np.flatnonzero(cut)
+    size, kind = np.diff(begin, append=len(b)).astype(np.int32), kind.take(begin)
+    real = np.flatnonzero(kind != SPACE)
+    return begin[real], size[real], kind[real]
+
+
+def alike(data: bytes, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each unit the number of one with the same bytes, the same for all of these; units of over 16 bytes stand for themselves.
+
+    Units meet in the slots of a table by a hash and are compared there; those that meet others go on to the next table.
+    """
+    words = np.ndarray((len(data) + 9,), "<u8", data + bytes(16), strides=(1,))
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+    w0, w1 = words[begin] & masks.take(np.minimum(size, 8)), np.zeros(len(begin), U64)
+    more = np.flatnonzero(size > 8)
+    w1[more] = words[begin[more] + 8] & masks.take(np.minimum(size[more] - 8, 8))
+    rep, rest = np.arange(len(begin), dtype=np.int32), np.flatnonzero(size <= 16)
+    slots, salt = np.zeros(1 << 20, np.int32), 0x9E3779B97F4A7C15
+    a, b, n = w0[rest], w1[rest], size[rest]
+    while len(rest):
+        h = (a ^ (b + n.astype(U64)) * U64(0xD6E8FEB86659FD93)) * U64(salt)
+        h = ((h ^ h >> U64(32)) * U64(salt) >> U64(44)).astype(I64)
+        slots[h] = rest
+        r = slots.take(h)
+        same = (w0.take(r) == a) & (w1.take(r) == b) & (size.take(r) == n)
+        rep[rest[same]] = r[same]
+        over = np.flatnonzero(~same)
+        rest, a, b, n = rest[over], a[over], b[over], n[over]
+        salt = (salt + 0x2545F4914F6CDD1E) % 2**64 | 1
+    return rep
 
 
 def encoder(path: str) -> Encoder:
@@ -437,30 +602,34 @@ def write(docs: DataFrame, path: str, end: int = 1) -> DataFrame:
         ids, data, size = [], [], 0
 
         def out():
-            lengths = [len(d) // 4 for d in data]
-            flat = np.frombuffer(b"".join(data), "<u4")
+            lengths = [len(d) for d in data]
+            flat = np.concatenate(data)
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([len(flat)], pa.int64()), pa.array([pack(ids, lengths, flat)], pa.binary())], names=["part", "seq", "n_ids", "payload"])
 
+        def coded(ids, texts):
+            flat, lengths = enc.encode_many(texts, stop)
+            yield from zip(ids, np.split(flat, np.cumsum(lengths)[:-1]), strict=True)
+
         def coded_rows():
             for b in batches:
                 some, room = ([], []), 0
-                for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for d, t in zip(b.column(0).to_pylist(), strings(b.column(1)), strict=True):
                     some[0].append(d)
                     some[1].append(t)
                     room += len(t)
                     if room > 8_000_000:
-                        yield from zip(some[0], enc.encode_all(some[1]), strict=True)
+                        yield from coded(*some)
                         some, room = ([], []), 0
-                yield from zip(some[0], enc.encode_all(some[1]), strict=True)
+                if some[0]:
+                    yield from coded(*some)
 
-        for d, coded in coded_rows():
-            coded += stop
-            if ids and size + len(coded) // 4 > BUFFER:
+        for d, own in coded_rows():
+            if ids and size + len(own) > BUFFER:
                 yield out()
                 seq, ids, data, size = seq + 1, [], [], 0
             ids.append(d)
-            data.append(coded)
-            size += len(coded) // 4
+            data.append(own)
+            size += len(own)
         if ids:
             yield out()
 
