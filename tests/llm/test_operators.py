@@ -393,6 +393,51 @@ def test_jaccard_edges(spark):
     assert jaccard.choose_boundary({5: 10, 200: 10}) < 200
 
 
+def shuffled(spark) -> int:
+    """Bytes that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_jaccard_deals_only_what_pairs_read(spark, request):
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # tables too large to be sent to all
+    g = random.Random(8)
+    texts = [" ".join(f"{g.random():.12f}" for _ in range(400)) for _ in range(300)]
+    docs = frame(spark, [*texts, texts[7] + " a b"]).cache()
+    named = jaccard.named_sets(docs, F.col("doc_id"), 0).where("n > 0").cache()
+    of = {r["doc_id"]: r["sig"] for r in named.select("doc_id", "sig").collect()}
+    pairs = spark.createDataFrame([(of[7], of[300])], "a long, b long")
+    docs.count()
+    at = shuffled(spark)
+    assert jaccard.compare(pairs, docs, F.col("doc_id"), named.select("sig", F.col("k").alias("rep_k"))).collect() == [(of[7], of[300], 396, 398)]
+    assert shuffled(spark) - at < sum(map(len, texts)) / 20
+    at = shuffled(spark)
+    ((*_, differ, size),) = jaccard.prune(pairs, named.select("sig", "n", "sketch")).collect()
+    assert differ <= 2 and size == 396 + 398 and shuffled(spark) - at < 256 * 300 / 10
+    docs.unpersist()
+    named.unpersist()
+
+
+def test_jaccard_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SHARE", 40)
+    monkeypatch.setattr(jaccard, "MAYBE", 128)  # nearly full: rows that aren't wanted pass as well
+    runs, compare = [], jaccard.compare
+    monkeypatch.setattr(jaccard, "compare", lambda pairs, *a: runs.append(pairs.count()) or compare(pairs, *a))
+    g, texts = random.Random(9), corpus(6, 60)
+    for i in range(8):  # near copies whose sketches have more bits than a fold
+        w = [f"u{i % 3}-{j}" for j in range(600)]
+        for _ in range(g.randrange(1, 25)):
+            w[g.randrange(600)] = f"z{g.random()}"
+        texts.append(" ".join(w))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(texts)
+    assert sum(n > 0 for n in runs) > 3
+
+
 def test_names_that_collide_are_given_anew(spark, monkeypatch):
     texts = corpus(4)
     df = frame(spark, texts)

@@ -16,7 +16,12 @@ component still; only pairs across components go on, and of these only the ones
 Jaccard distance doesn't rule out. So no link that changes a component is lost, and no group is expanded. Before two texts are compared, their odd sketches
 are: a bitmap in which each element flips one bit, so that the bits in which two sketches differ are at most the
 elements in which the sets do. Two similar sets differ in a ninth of their sizes' sum at most, so a pair whose sketches
-alone differ more is none; pairs across components are made under that condition.
+alone differ more is none; pairs across components are made under that condition. Folds of sketches are compared first,
+whole sketches of the pairs that they leave.
+
+On disk are the postings at most, while lists are scanned, then pairs with a fold of FOLD bits, and what pairs read: whole
+sketches and texts of the others are left out before they are dealt (among()), and texts are compared in as many slices as
+let one deal a SHARE-th of all shingles' texts. Each table's shuffles go when it is written.
 
 Sets are compared as 64-bit hashes of whole shingles (two shingles of a pair collide once in 2^64); sets are named by 64
 bits, and if a second hash tells that two of a name differ, all are named anew. Words are
@@ -29,6 +34,7 @@ out of the join and carried along by deduplicated().
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -43,6 +49,7 @@ from tidegrain.llm.common import LOWER, WordHash, components, alone, docs_of, do
 WORDS, LEAST, LIGHT, DEMOTED, FAN = 5, 80, 8, 2**17, 128
 SEEN, COUNTED = 300_000, 2_000_000  # names and prefix elements that a task holds
 FOLD, MOST_BITS = 1024, 2**16  # bits of the sketch that joins compare, and of the largest
+SHARE, MAYBE = 2, 2**24  # of the texts that a slice of pairs deals; bits of the table that tells which rows are wanted
 
 
 def shingles(text: bytes, h: WordHash, k: int = WORDS) -> np.ndarray:
@@ -242,6 +249,18 @@ def scan_lists(post: DataFrame, light: int = LIGHT) -> DataFrame:
     return post.repartition("key").sortWithinPartitions("key", "sig").mapInArrow(tidied(run), "key long, a long, b long, nr long")
 
 
+def among(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows of df whose column is in wanted's only one, and a few others.
+
+    Wanted values are told by a broadcast table of MAYBE bits, 64 to a row, so that the other rows are dropped before df is
+    dealt. Where so many are wanted that the table is full, all rows pass.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(MAYBE))
+    bits = wanted.toDF("_wanted").select(bit("_wanted").alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, CAST(_bit & 63 AS INT)))").alias("_bits"))
+    told = df.withColumn("_bit", bit(column)).join(F.broadcast(bits), F.shiftright("_bit", 6) == F.col("_word"))
+    return told.where("shiftright(_bits, CAST(_bit & 63 AS INT)) & 1 = 1").select(df.columns)
+
+
 def compare(pairs: DataFrame, docs: DataFrame, key: Column, reps: DataFrame) -> DataFrame:
     """Rows (a, b, inter, total): shared and all shingles of each pair, from the texts.
 
@@ -249,7 +268,8 @@ def compare(pairs: DataFrame, docs: DataFrame, key: Column, reps: DataFrame) ->
     FAN of them.
     """
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b"))).distinct().join(reps.select("sig", "rep_k"), "sig")
-    texts = docs_of(docs, key).select("k", "text").join(wanted.select(F.col("rep_k").alias("k"), "sig"), "k").groupBy("k").agg(F.first("sig").alias("sig"), F.first("text").alias("text")).select("sig", "text")
+    own = among(docs_of(docs, key).select("k", "text"), "k", wanted.select("rep_k"))
+    texts = own.join(wanted.select(F.col("rep_k").alias("k"), "sig"), "k").groupBy("k").agg(F.first("sig").alias("sig"), F.first("text").alias("text")).select("sig", "text")
     fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("fan"))
     first = texts.join(fan, texts["sig"] == fan["a"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fan") - 1)).alias("slot"), F.lit(None).cast("long").alias("b"), "text")
     second = pairs.join(fan, "a").select("a", F.pmod(F.xxhash64("b"), "fan").alias("slot"), "b").join(texts, F.col("b") == texts["sig"]).select("a", "slot", "b", "text")
@@ -274,8 +294,26 @@ def compare(pairs: DataFrame, docs: DataFrame, key: Column, reps: DataFrame) ->
     return dealt.select("a", "b", "text").mapInArrow(tidied(run), "a long, b long, inter long, total long")
 
 
+def apart(x: Column | str, y: Column | str) -> Column:
+    """The bits in which two folds differ."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
+
+
+def folded(pairs: DataFrame, folds: DataFrame) -> DataFrame:
+    """Rows (a, b, differ, size, wide): pairs with the bits in which their folds differ, or the difference of their sizes if
+    that is more, the sum of their sizes, and whether both have sketches of more bits. folds: sig, n, fold."""
+    one, two = (folds.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("fold").alias(f"f{x}")) for x in "ab")
+    j = pairs.join(one, "a").join(two, "b")
+    return j.select("a", "b", F.greatest(apart("fa", "fb").cast("long"), F.abs(F.col("na") - F.col("nb"))).alias("differ"), (F.col("na") + F.col("nb")).alias("size"), (F.least("na", "nb") > FOLD // 4).alias("wide"))
+
+
 def prune(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Rows (a, b, differ, size): pairs with the bits in which their sketches differ and the sum of their sizes."""
+    """Rows (a, b, differ, size): pairs with the bits in which their sketches differ and the sum of their sizes.
+
+    sketches: sig, n, sketch, in any number of equal rows; those of no pair are left out.
+    """
+    wanted = pairs.select("a").union(pairs.select("b"))
+    sketches = among(sketches, "sig", wanted).groupBy("sig").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     one = sketches.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = sketches.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
@@ -302,6 +340,7 @@ def links(docs: DataFrame, key: Column, named: DataFrame, seed: int) -> DataFram
 
     def save(df: DataFrame, name: str) -> DataFrame:
         made.append(scratch.save(df, name))
+        sweep(docs.sparkSession)
         return made[-1]
 
     out = scratch.save(spanning(docs, key, named, seed, save), "links")
@@ -312,9 +351,11 @@ def links(docs: DataFrame, key: Column, named: DataFrame, seed: int) -> DataFram
 
 def spanning(docs: DataFrame, key: Column, named: DataFrame, seed: int, save: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """links(), from intermediate tables that save() writes."""
-    sizes = {r[0]: r[1] for r in named.where("n > 0").groupBy(F.least("n", F.lit(256)).cast("int")).agg(F.count("*")).collect()}
+    by_size = named.where("n > 0").groupBy(F.least("n", F.lit(256)).cast("int")).agg(F.count("*"), F.sum("n")).collect()
+    sizes, whole = {r[0]: r[1] for r in by_size}, sum(r[2] for r in by_size)
     reps = named.where("n > 0").groupBy("sig").agg(F.min("k").alias("rep_k"))
-    sketches = named.where("n > 0 and sketch is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
+    sketches = named.where("n > 0 and sketch is not null")
+    folds = sketches.groupBy("sig").agg(F.first("n").alias("n"), F.first("fold").alias("fold"))
     # a bounded number of 64-bit keys
     often = named.where("n is null").groupBy("sig").agg(F.sum("k").alias("c")).orderBy(F.desc("c"), "sig").limit(DEMOTED).collect()
     last = np.sort(np.array([r[0] for r in often], np.int64))
@@ -324,9 +365,14 @@ def spanning(docs: DataFrame, key: Column, named: DataFrame, seed: int, save: Ca
 
     def tried(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """What sketches and texts say of pairs, and the links."""
-        sketch = save(prune(least_first(pairs), sketches), "pruned")
-        exact = save(compare(sketch.where(near).select("a", "b"), docs, key, reps), "compared")
-        sweep(docs.sparkSession)
+        rough, told = save(folded(least_first(pairs), folds), "folded"), ["a", "b", "differ", "size"]
+        close = rough.where(near & F.col("wide"))
+        fine = save(prune(close.select("a", "b"), sketches.select("sig", "n", "sketch")), "pruned")
+        sketch = rough.where(~(near & F.col("wide"))).select(told).union(fine.select(told))
+        left = save(sketch.where(near), "near")
+        slices = -(-SHARE * (left.agg(F.sum("size")).first()[0] or 0) // max(whole, 1)) or 1
+        slice_ = F.pmod(F.xxhash64("a", "b"), F.lit(slices))
+        exact = reduce(DataFrame.union, [save(compare(left.where(slice_ == i).select("a", "b"), docs, key, reps), "compared") for i in range(slices)])
         return sketch, exact, exact.where(similar).select("a", "b")
 
     # members of long lists; the one whose elements the most others share stands for the list
@@ -358,13 +404,12 @@ def spanning(docs: DataFrame, key: Column, named: DataFrame, seed: int, save: Ca
     p = placed(out)
     lower = F.least(F.lit(1.0), F.col("differ") * 2 / (F.col("size") + F.col("differ")))
     told = sketch.join(exact, ["a", "b"], "left").select("a", "b", F.coalesce(1 - F.col("inter") / F.col("total"), lower).alias("d"), F.col("inter").isNotNull().alias("sure"))
-    p = p.where("sig <> lead").withColumn("a", F.least("lead", "sig")).withColumn("b", F.greatest("lead", "sig")).join(told, ["a", "b"]).join(sketches.select("sig", "fold"), "sig").select("key", "sig", "n", "r", "root", "lead_root", "d", "sure", "fold")
+    p = p.where("sig <> lead").withColumn("a", F.least("lead", "sig")).withColumn("b", F.greatest("lead", "sig")).join(told, ["a", "b"]).join(folds.select("sig", "fold"), "sig").select("key", "sig", "n", "r", "root", "lead_root", "d", "sure", "fold")
     away = save(p.where("root <> lead_root").drop("lead_root"), "away")
     other = p.select("key", *[F.col(c).alias(f"{c}_") for c in ("sig", "n", "r", "root", "d", "sure", "fold")])
     far, slack = F.lit(1 - LEAST / 100 + 1e-9), F.least("n", "n_") * 100 >= F.greatest("n", "n_") * LEAST
     fits = slack & ((F.col("r") + F.col("r_")) * 9 <= F.col("n") + F.col("n_")) & (F.col("root") != F.col("root_")) & (~F.col("sure_") | (F.col("d") <= F.col("d_") + far)) & (~F.col("sure") | (F.col("d_") <= F.col("d") + far))
-    differ = F.aggregate(F.zip_with("fold", "fold_", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    fits = fits & (differ * 9 <= F.col("n") + F.col("n_"))
+    fits = fits & (apart("fold", "fold_") * 9 <= F.col("n") + F.col("n_"))
     more = least_first(away.join(other, "key").where(fits).select(F.col("sig").alias("a"), F.col("sig_").alias("b")))
     more = more.join(known.union(sketch2.select("a", "b")), ["a", "b"], "left_anti")
     return out.union(tried(more)[2])
